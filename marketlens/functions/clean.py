@@ -67,8 +67,10 @@ def to_wall_clock(c: ColumnOrName) -> Column:
 
 # SCA-6: parse with a list of formats, first that fits wins.
 def parse_timestamp_formats(c: ColumnOrName, formats: Iterable[str]) -> Column:
+    """ISO text (with or without offset) is read as wall clock first; other shapes by the listed formats
+    (read in the session time zone, UTC, so without shifting)."""
     c = _c(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], to_wall_clock(c))
+    return F.coalesce(to_wall_clock(c), *[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
 # SCA-10: sentinel for a null date; dates outside the pandas range are treated as null first.

@@ -26,10 +26,8 @@ from ..sinks import writers
 TENANT = ("Project", "Marketplace")
 ORDER_METRICS = ["ordersCount", "ordersSumRub", "addToCartCount"]
 
-# Formats the campaign API uses for its times (ISO with or without fraction / offset).
-CAMPAIGN_TIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
-                         "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
-                         "yyyy-MM-dd"]
+# Non-ISO time shapes accepted besides ISO text (ISO, with or without fraction or offset, is tried first).
+CAMPAIGN_TIME_FORMATS = ["dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd"]
 
 
 # ------------------------------------------------------------------------------------------- JOB-2
