@@ -97,9 +97,15 @@ def rows_per(df: DataFrame, column: str, alias: str = "n_rows") -> DataFrame:
 
 # AGG-9 / AGG-10: regroup finer rows to a coarser key with sums.
 def regroup_sum(df: DataFrame, keys: Sequence[str | Column], counts: Sequence[str] = (),
-                money: Sequence[str] = (), money_scale: int = 2, row_count: str | None = None) -> DataFrame:
+                money: Sequence[str] = (), money_scale: int = 2, row_count: str | None = None,
+                keep_decimal: bool = False) -> DataFrame:
+    """Sum counts (0 for all-null) and money (decimal) per key. ``keep_decimal`` leaves money sums as
+    decimals so a later regroup of these partial sums is still exact; cast to double at the last stage."""
     aggs = [sum_or_zero(c).alias(c) for c in counts]
-    aggs += [money_sum_or_zero(c, money_scale).alias(c) for c in money]
+    if keep_decimal:
+        aggs += [F.sum(F.col(c).cast(f"decimal(38,{money_scale})")).alias(c) for c in money]
+    else:
+        aggs += [money_sum_or_zero(c, money_scale).alias(c) for c in money]
     if row_count:
         aggs.append(F.count(F.lit(1)).alias(row_count))
     return df.groupBy(*keys).agg(*aggs)
