@@ -167,9 +167,10 @@ def product_first_fact(product_day_orders: DataFrame, facts_with_campaign: DataF
 
 # ------------------------------------------------------------------------------------------- JOB-7
 def reload_ad_window(spark: SparkSession, stats: DataFrame, details: DataFrame, history: DataFrame,
-                     table: str, today: dt.date | str, days: int = 6) -> None:
+                     target: writers.Target, today: dt.date | str, days: int = 6) -> None:
     """JOB-7: recompute the ad fact for ``days`` days ending yesterday and replace them in ``table``
-    (SNK-2). Stats are filtered to the window before flattening so the scan prunes ``day`` partitions."""
+    (SNK-2) of ``target`` (the 22-column contract, partitioned by ``day`` as a date). Stats are filtered to
+    the window before flattening so a landed ``day`` partition column is pruned at the scan."""
     from ..functions.dates import reload_days
 
     first, last = reload_days(today, days)
@@ -178,4 +179,4 @@ def reload_ad_window(spark: SparkSession, stats: DataFrame, details: DataFrame,
     facts = ad_facts_with_campaign(ad_daily_fact(flat), campaign_dim(details, type_labels=labels.CAMPAIGN_TYPE_SHORT))
     orders = product_day_orders_from_history(flatten_history(history))
     out = ad_orders_fact(facts, orders).withColumn("day", F.to_date("day"))
-    writers.reload_window(spark, out, table, first, last, part_col="day")
+    writers.reload_window(spark, out, target, first, last, part_col="day")

@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Importing the modules fills the registry.
-from . import queries_ads, queries_core  # noqa: E402,F401
+from . import queries_ads, queries_core, queries_sinks  # noqa: E402,F401

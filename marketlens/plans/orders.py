@@ -30,16 +30,24 @@ def prepare_orders(landed: DataFrame, project: str | None = None, marketplace: s
     return conform(rows, ORDERS_WB, cast_present=True)
 
 
-def high_water_mark(spark: SparkSession, table: str) -> object:
+ORDERS_WB_TABLE = [*ORDERS_WB, ("day", "date")]
+
+
+def orders_target(path: str) -> writers.Target:
+    """The ``orders_wb`` table at ``path``: the contract plus ``day`` (the order date) as partition column."""
+    return writers.Target(path, ORDERS_WB_TABLE, ("day",))
+
+
+def high_water_mark(spark: SparkSession, target: writers.Target) -> object:
     """FLT-11: the last ``lastChangeDate`` already loaded (one scalar; None for an empty table)."""
-    return spark.table(table).agg(F.max(ORDERS_WB_VERSION)).first()[0]
+    return writers.read(spark, target).agg(F.max(ORDERS_WB_VERSION)).first()[0]
 
 
-def orders_upsert(spark: SparkSession, landed: DataFrame, table: str, project: str | None = None) -> None:
+def orders_upsert(spark: SparkSession, landed: DataFrame, target: writers.Target, project: str | None = None) -> None:
     """JOB-11: rows at or after the table's high-water mark, deduplicated (WIN-1: the source can return a
     boundary row twice), then upserted with latest-version-wins per (date, srid, nmId) (SNK-3). The table
     is partitioned by ``day`` = the order date, which the key determines."""
     rows = prepare_orders(landed, project)
-    rows = after_high_water_mark(rows, ORDERS_WB_VERSION, high_water_mark(spark, table))
+    rows = after_high_water_mark(rows, ORDERS_WB_VERSION, high_water_mark(spark, target))
     rows = latest_version(rows, ORDERS_WB_KEY, ORDERS_WB_VERSION).withColumn("day", F.to_date("date"))
-    writers.upsert_latest(spark, rows, table, ORDERS_WB_KEY, ORDERS_WB_VERSION, part_col="day")
+    writers.upsert_latest(spark, rows, target, ORDERS_WB_KEY, ORDERS_WB_VERSION)

@@ -1,15 +1,20 @@
-"""Sinks (SNK-1 to SNK-11) over catalog tables stored as Parquet, partitioned by day.
+"""Sinks (SNK-1 to SNK-11) over Parquet tables stored at a path, partitioned by a column such as ``day``.
 
-Writes bind columns by name (the frame is reordered to the table's own column order before an insert), so
-an evolved table never receives values in the wrong column. Reads of the target that feed a write into the
-same target are materialised first with a reliable ``checkpoint()`` into the shared folder: the overwrite
-then cannot delete files its own input still needs, and a lost executor is recovered from the checkpoint.
+A table is a :class:`Target`: a path (on a cluster, in the shared file system), an ordered column contract
+and its partition columns. Reads use the contract as the schema (no footer inference; partition values come
+from directory names). Writes bind columns by name (the frame is put in contract order first).
+
+Partition bookkeeping stays in the file system: there is no per-partition catalog call, so loading thousands
+of days costs one write job, not thousands of metadata updates. Reads of the target that feed a write into
+the same target are materialised first with a reliable ``checkpoint()`` in the shared folder, so the
+overwrite never deletes files its own input still needs, and a lost executor recomputes from the checkpoint.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,84 +25,122 @@ from ..schemas import ddl
 from ..session import shared_dir
 
 
-def create_table(spark: SparkSession, table: str, contract: Sequence[tuple[str, str]], location: str,
-                 partition_by: Sequence[str] = ()) -> None:
-    """SNK-6: create the table if missing, with the declared types."""
-    parts = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl(contract)}) USING parquet{parts} LOCATION '{location}'")
+@dataclass(frozen=True)
+class Target:
+    path: str
+    contract: Sequence[tuple[str, str]]
+    partition_by: Sequence[str] = field(default_factory=tuple)
+
+    @property
+    def schema(self) -> str:
+        return ddl(self.contract)
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c, _ in self.contract]
+
+
+def read(spark: SparkSession, target: Target) -> DataFrame:
+    """SRC-18: scan of a sink table with its declared schema; filters on partition columns prune directories."""
+    return spark.read.schema(target.schema).parquet(target.path).select(*[F.col(f"`{c}`") for c in target.columns])
+
+
+def create_table(spark: SparkSession, target: Target, catalog_name: str | None = None) -> None:
+    """SNK-6: create the table if it does not exist (an existing table is left as it is), optionally also
+    registered in the catalog for SQL users."""
+    empty = spark.createDataFrame([], target.schema)
+    writer = empty.write.mode("ignore")
+    if target.partition_by:
+        writer = writer.partitionBy(*target.partition_by)
+    writer.parquet(target.path)
+    if catalog_name:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {catalog_name} ({target.schema}) USING parquet "
+                  f"LOCATION '{target.path}'")
 
 
-def _in_table_order(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in spark.table(table).columns])
+def _prepared(df: DataFrame, target: Target) -> DataFrame:
+    """Contract order (absent columns null); before a partitioned write, rows of one partition value are
+    grouped into few tasks (few files per day) while AQE still splits an oversized value across tasks."""
+    out = conform(df, target.contract)
+    return out.hint("rebalance", *target.partition_by) if target.partition_by else out
 
 
-def append(spark: SparkSession, df: DataFrame, table: str, contract: Sequence[tuple[str, str]] | None = None) -> None:
+def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
+    w = df.write.mode(mode)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if target.partition_by:
+        w = w.partitionBy(*target.partition_by)
+    return w
+
+
+def append(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name."""
-    if contract is not None:
-        df = conform(df, contract)
-    _in_table_order(spark, df, table).write.insertInto(table)
+    _writer(_prepared(df, target), target, "append").parquet(target.path)
+
 
+def overwrite_partitions(spark: SparkSession, df: DataFrame, target: Target) -> None:
+    """Replace exactly the partitions that occur in ``df`` (dynamic partition overwrite)."""
+    _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
 
-def _empty_partition(spark: SparkSession, table: str, part_col: str, value: dt.date | str) -> None:
-    """Overwrite one partition with nothing (static partition overwrite), i.e. delete that day."""
-    schema = spark.table(table).schema
-    cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields
-                     if f.name != part_col)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{part_col}` = DATE'{value}') SELECT {cols} WHERE false")
 
+def empty_partition(spark: SparkSession, target: Target, values: dict) -> None:
+    """Delete one partition's rows: overwrite its directory with an empty frame."""
+    sub = "/".join(f"{k}={v}" for k, v in values.items())
+    rest = [(c, t) for c, t in target.contract if c not in values]
+    spark.createDataFrame([], ddl(rest)).write.mode("overwrite").parquet(f"{target.path.rstrip('/')}/{sub}")
 
-def reload_window(spark: SparkSession, df: DataFrame, table: str, first: dt.date | str, last: dt.date | str,
+
+def reload_window(spark: SparkSession, df: DataFrame, target: Target, first: dt.date | str, last: dt.date | str,
                   part_col: str = "day") -> None:
-    """SNK-2: replace the days ``first..last`` with ``df``'s rows for those days; days outside stay.
+    """SNK-2: replace the days ``first..last`` with ``df``'s rows for those days; other days stay.
 
-    Days of the window present in ``df`` are replaced by a dynamic partition overwrite; window days absent
-    from ``df`` are emptied, as the delete-then-insert of the source does. Re-running is idempotent.
+    Window days present in ``df`` are replaced by a dynamic partition overwrite; window days absent from
+    ``df`` are emptied, as the source's delete-then-insert does. Re-running is idempotent.
     """
     first_d = dt.date.fromisoformat(str(first))
     last_d = dt.date.fromisoformat(str(last))
-    window = df.filter(F.col(part_col).between(F.lit(str(first_d)).cast("date"), F.lit(str(last_d)).cast("date")))
-    (_in_table_order(spark, window, table).write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
-    # The window is a handful of days: listing which of them got rows is a bounded, tiny result.
-    present = {r[0] for r in window.select(part_col).distinct().collect()}
-    day = first_d
-    while day <= last_d:
-        if day not in present:
-            _empty_partition(spark, table, part_col, day)
-        day += dt.timedelta(days=1)
-
-
-def upsert_latest(spark: SparkSession, df: DataFrame, table: str, key: Sequence[str], version: str,
-                  part_col: str) -> None:
+    in_window = F.col(part_col).between(F.lit(str(first_d)).cast("date"), F.lit(str(last_d)).cast("date"))
+    window = df.filter(in_window)
+    # The window is a handful of days, so these day lists are bounded, tiny results.
+    written = {r[0] for r in window.select(part_col).distinct().collect()}
+    overwrite_partitions(spark, window, target)
+    stored = {r[0] for r in read(spark, target).filter(in_window).select(part_col).distinct().collect()}
+    for day in sorted(stored - written):
+        empty_partition(spark, target, {part_col: day.isoformat()})
+
+
+def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Sequence[str], version: str) -> None:
     """SNK-3: versioned upsert, latest ``version`` wins per key (replacing-merge semantics).
 
     Only partitions that receive new rows are touched: their current rows are selected with a semi join on
-    the new batch's partition values, unioned with the batch, reduced to the latest version per key, then
-    checkpointed (lineage cut; the target's files are no longer an input) and written back with a dynamic
-    partition overwrite. ``key`` must determine ``part_col`` so that all versions of a key share a partition.
+    the batch's partition values (pruned at the scan), unioned with the batch, reduced to the latest version
+    per key, checkpointed, then written back with a dynamic partition overwrite. The key must determine the
+    partition columns, so every version of a key lives in one partition.
     """
     shared_dir(spark)
-    new = _in_table_order(spark, df, table)
-    current = spark.table(table).join(new.select(part_col).distinct(), part_col, "left_semi")
+    parts = list(target.partition_by)
+    new = conform(df, target.contract)
+    current = read(spark, target)
+    if parts:
+        current = current.join(new.select(*parts).distinct(), parts, "left_semi")
     merged = latest_version(current.unionByName(new), key, version).checkpoint(eager=True)
-    (_in_table_order(spark, merged, table).write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
+    overwrite_partitions(spark, merged, target)
 
 
-def backfill_with_default(spark: SparkSession, source: DataFrame, table: str, day_col: str,
+def backfill_with_default(spark: SparkSession, source: DataFrame, target: Target, day_col: str,
                           last_day: dt.date | str, defaults: dict) -> None:
-    """SNK-4: copy rows up to the end of ``last_day`` into ``table`` with constant new columns, bound by name
-    (the source statement relied on position, which silently swaps same-typed columns)."""
+    """SNK-4: copy rows up to the end of ``last_day`` into ``target`` with constant new columns, bound by
+    name (the source statement relied on position, which silently swaps same-typed columns)."""
     bound = F.lit(f"{last_day} 23:59:59").cast("timestamp_ntz")
     rows = source.filter(F.col(day_col).cast("timestamp_ntz") <= bound)
-    rows = rows.withColumns({k: F.lit(v) for k, v in defaults.items()})
-    _in_table_order(spark, rows, table).write.insertInto(table)
+    append(spark, rows.withColumns({k: F.lit(v) for k, v in defaults.items()}), target)
 
 
-def truncate(spark: SparkSession, table: str) -> None:
-    """SNK-5: empty the table, keeping its schema (an overwrite with an empty frame)."""
-    empty = spark.createDataFrame([], spark.table(table).schema)
-    empty.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+def truncate(spark: SparkSession, target: Target) -> None:
+    """SNK-5: empty the table, keeping its schema."""
+    empty = spark.createDataFrame([], target.schema)
+    _writer(empty, target, "overwrite").parquet(target.path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
