@@ -153,7 +153,8 @@ CAMPAIGN_OBJECTS = "list array<struct<id:string>>"
 PRODUCT_STATS_METRICS = ["dailyBudget", "weeklyBudget", "spending", "views", "clicks", "addToCart",
                          "averageRate", "average1000ViewsPrice", "ctr", "averageClickPrice",
                          "ordersCount", "ordersSum", "drr"]
-PRODUCT_STATS = "campaignId string, date string, " + ", ".join(f"{m} string" for m in PRODUCT_STATS_METRICS)
+PRODUCT_STATS_COLUMNS = ["campaignId", "date", *PRODUCT_STATS_METRICS]
+PRODUCT_STATS = ", ".join(f"{m} string" for m in PRODUCT_STATS_COLUMNS)
 
 ERP_PROFIT = (
     "rows array<struct<assortment:struct<name:string, code:string, article:string, uom:struct<name:string>,"

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import PRODUCT_STATS
+from ..schemas import PRODUCT_STATS_COLUMNS
 
 
 def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True) -> DataFrame:
@@ -29,29 +29,37 @@ def parse_json_text(df: DataFrame, text_col: str, schema: str, keep: Sequence[st
 
 
 def read_report(spark: SparkSession, json_path: str | None = None, csv_path: str | None = None,
-                schema: str = PRODUCT_STATS) -> DataFrame:
-    """SRC-13/14: a report landed as JSON or as header CSV (the source decides by content type); both are
-    read as text columns with the same schema and unioned by name."""
+                columns: Sequence[str] = PRODUCT_STATS_COLUMNS) -> DataFrame:
+    """SRC-13/14: a text-valued report landed as JSON or as header CSV (the source decides by content type).
+    Both are bound to ``columns`` by name (a CSV read with a schema would bind by position and ignore the
+    header), absent columns are null, and the two are unioned."""
     frames = []
     if json_path:
+        schema = ", ".join(f"`{c}` string" for c in columns)
         frames.append(spark.read.schema(schema).option("multiLine", True).json(json_path))
     if csv_path:
-        frames.append(spark.read.schema(schema).option("header", True).csv(csv_path))
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
+        frames.append(raw.select(*[F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string").alias(c)
+                                   for c in columns]))
     if not frames:
         raise ValueError("read_report needs json_path or csv_path")
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        out = out.unionByName(f)
     return out
 
 
-def read_history(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """SRC-17: re-read of the previously exported history (spreadsheets re-aimed as CSV or Parquet)."""
+def read_history(spark: SparkSession, path: str, fmt: str = "parquet",
+                 contract: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """SRC-17: re-read of the previously exported history (spreadsheets re-aimed as CSV or Parquet). A CSV
+    is bound to the contract by header name and cast tolerantly (absent columns null)."""
+    from ..operators.project import conform
+
     if fmt == "csv":
-        r = spark.read.option("header", True)
-        r = r.schema(schema) if schema else r
-        return r.csv(path)
-    return spark.read.parquet(path)
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return conform(raw, contract, cast_present=True) if contract else raw
+    df = spark.read.parquet(path)
+    return conform(df, contract) if contract else df
 
 
 def read_target(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
