@@ -1,8 +1,7 @@
 """Flattening nested landed JSON (PRJ-1 to PRJ-11).
 
-All of it is ``Generate`` (``inline``/``posexplode``) and struct field access: narrow, no shuffle, one
-whole-stage-codegen span. ``inline`` (not ``inline_outer``) is used on purpose: the source drops a parent
-whose array is empty or missing, and so do we.
+All of it is ``Generate`` and struct field access: narrow, no shuffle. Explodes are inner in effect: the
+source drops a parent whose array is empty or missing, and so do we (see ``_elements`` for how).
 """
 
 from __future__ import annotations
@@ -14,17 +13,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _elements(df: DataFrame, array_col: str, cols: Sequence[str], pos_name: str = "__pos") -> DataFrame:
+    """One row per array element with its position; rows whose array is empty or null vanish.
+
+    Written as ``posexplode_outer`` + ``pos IS NOT NULL`` rather than an inner generator: for an inner one
+    the optimizer infers ``size(arr) > 0`` and pushes it below the projection that produced ``arr``; when
+    that is ``from_json`` the whole parse is evaluated twice. Same rows, one parse.
+    """
+    return (df.select(*cols, F.posexplode_outer(array_col).alias(pos_name, "__elem"))
+            .filter(F.col(pos_name).isNotNull()))
+
+
 def explode_with_meta(df: DataFrame, array_col: str, meta: Sequence[str] = (),
                       keep: Sequence[str] = ()) -> DataFrame:
     """PRJ-1/2/4/11: one row per element of ``array_col`` (struct fields become columns), with the parent
     columns ``meta`` and pass-through columns ``keep``. Empty or null arrays yield no rows."""
-    return df.select(*keep, *meta, F.inline(array_col))
+    cols = [*keep, *meta]
+    return _elements(df, array_col, cols).select(*cols, "__elem.*")
 
 
 def explode_positions(df: DataFrame, array_col: str, pos_name: str, keep: Sequence[str]) -> DataFrame:
     """Like ``explode_with_meta`` but also keeps the element position (for order-free "first")."""
-    return (df.select(*keep, F.posexplode(array_col).alias(pos_name, "__elem"))
-            .select(*keep, pos_name, "__elem.*"))
+    return _elements(df, array_col, keep, pos_name).select(*keep, pos_name, "__elem.*")
 
 
 def select_paths(df: DataFrame, paths: Mapping[str, str]) -> DataFrame:

@@ -35,8 +35,8 @@ def campaign_list(counts: DataFrame, keep: Sequence[str] = TENANT) -> DataFrame:
     """PRJ-1: ``adverts[]{type,status,count,advert_list[]}`` -> one row per advert with its group's
     type, status and count, and ``changeTime`` parsed."""
     groups = explode_with_meta(counts, "adverts", keep=[c for c in keep if c in counts.columns])
-    ids = groups.select(*[c for c in keep if c in groups.columns], "type", "status", "count",
-                        F.inline("advert_list"))
+    ids = explode_with_meta(groups, "advert_list", meta=["type", "status", "count"],
+                            keep=[c for c in keep if c in groups.columns])
     return ids.withColumn("changeTime", to_wall_clock("changeTime"))
 
 
@@ -115,7 +115,7 @@ def product_day_orders_from_history(history_rows: DataFrame, keep: Sequence[str]
 def flatten_funnel_cards(pages: DataFrame, keep: Sequence[str] = TENANT) -> DataFrame:
     """PRJ-5: funnel cards (pages concatenated) -> 22 flat columns from struct paths."""
     keep = [c for c in keep if c in pages.columns]
-    cards = pages.select(*keep, F.inline("data.cards"))
+    cards = explode_with_meta(pages, "data.cards", keep=keep)
     sp = "statistics.selectedPeriod"
     paths = {c: c for c in keep}
     paths.update({

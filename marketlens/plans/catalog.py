@@ -26,6 +26,3 @@ def register(name: str, sql: str | None = None):
         return fn
     return deco
 
-
-# Importing the modules fills the registry.
-from . import queries_ads, queries_core, queries_sinks  # noqa: E402,F401

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import text_after_last
+from ..operators.flatten import explode_with_meta
 
 # Sink column -> path in a profit row (missing intermediate objects give null).
 ERP_PROFIT_PATHS = {
@@ -21,7 +22,7 @@ UUID_MARKER = "id="
 def erp_profit(payload: DataFrame) -> DataFrame:
     """JOB-18: ``rows[]`` -> one row per product with 15 columns (PRJ-6, missing keys tolerated); the
     product uuid is the text after the last ``id=`` of ``uuidHref``, null when absent or empty (SCA-18)."""
-    rows = payload.select(F.inline("rows"))
+    rows = explode_with_meta(payload, "rows")
     cols = [F.col(p).alias(n) for n, p in ERP_PROFIT_PATHS.items()]
     cols.insert(5, text_after_last(F.col("assortment.meta.uuidHref"), UUID_MARKER).alias("product_uuid"))
     return rows.select(*cols)

@@ -12,7 +12,7 @@ from ..functions.clean import (bool_to_int, empty_strings_to_null, to_double_or_
                                to_wall_clock)
 from ..functions.dates import date_parts, unpadded_date_text
 from ..operators.filters import successful_payloads
-from ..operators.flatten import first_element_fields, prefixed_struct, recursive_flatten
+from ..operators.flatten import explode_with_meta, first_element_fields, prefixed_struct, recursive_flatten
 from ..operators.project import conform
 from ..schemas import (OZON_FINANCE, REALIZATION_BOOL_COLUMNS, REALIZATION_DATE_COLUMNS, REALIZATION_NULLABLE_TEXT,
                        WB_FINANCE)
@@ -52,7 +52,7 @@ def finance_operations(payload: DataFrame, project: str | None = None, all_items
     ``all_items=True`` is the lossless variant: one row per item instead of the first item only.
     """
     keep = [c for c in ("project",) if c in payload.columns]
-    ops = payload.select(*keep, F.inline("result.operations"))
+    ops = explode_with_meta(payload, "result.operations", keep=keep)
     if all_items:
         ops = ops.select("*", F.explode_outer("items").alias("__item")).withColumn("items", F.array("__item"))
     cols = [*keep, *OPERATION_FIELDS,
@@ -78,7 +78,7 @@ def realization_by_day(payloads: DataFrame, day_col: str = "day", array_sizes: d
     row, recursively flattened with ``_``-joined paths and arrays by index (PRJ-8), with the request day as
     unpadded text and its year/month/day parts (SCA-19/20)."""
     ok = successful_payloads(payloads, "rows", error_col=None)
-    rows = ok.select(F.col(day_col).alias("__day"), F.inline("rows"))
+    rows = explode_with_meta(ok.select(F.col(day_col).alias("__day"), "rows"), "rows", keep=["__day"])
     flat = recursive_flatten(rows, array_sizes)
     day = F.col("__day")
     return flat.withColumns({"date_text": unpadded_date_text(day), **date_parts(day)}).drop("__day")

@@ -27,7 +27,7 @@ def performance_campaign_dim(campaigns: DataFrame, created_from: str | None = No
         "state": labels.CAMPAIGN_STATE,
         "PaymentType": labels.PAYMENT_TYPE,
     }
-    rows = campaigns.select(F.inline("list")) if "list" in campaigns.columns else campaigns
+    rows = explode_with_meta(campaigns, "list") if "list" in campaigns.columns else campaigns
     rows = rows.withColumns({c: label_or_null(c, m) for c, m in maps.items() if c in rows.columns})
     if "placement" in rows.columns:
         rows = rows.withColumn("placement", map_and_join("placement", placement_labels))

@@ -13,6 +13,7 @@ from ..functions.labels import MARKETPLACE_WB
 from ..operators.aggregate import distinct_count, filtered_total, regroup_sum, total
 from ..operators.filters import equals
 from ..operators.joins import bounded_broadcast, left_join
+from ..operators.partitioning import spread
 from ..operators.project import conform
 from ..operators.quality import rows_per_project
 from ..operators.setops import union_projects
@@ -31,8 +32,9 @@ NOW = "2024-02-01 06:00:00"
 
 
 def _json_payload(df: DataFrame, payload, schema: str, keep=()) -> DataFrame:
-    """Serialise a built struct to JSON text and read it back with the landed schema (the typed reader)."""
-    return parse_json_text(df.select(*keep, F.to_json(payload).alias("payload")), "payload", schema, keep)
+    """Serialise a built struct to JSON text and read it back with the landed schema (the typed reader).
+    Both steps are CPU-heavy and narrow, so an unsplittable input is spread over the cores first."""
+    return parse_json_text(spread(df).select(*keep, F.to_json(payload).alias("payload")), "payload", schema, keep)
 
 
 # ---------------------------------------------------------------------------------------------- B9
@@ -174,7 +176,7 @@ def q_flatten_struct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _funnel_pages(cards: DataFrame, page) -> DataFrame:
-    src = cards.select(F.lit("parts").alias("Project"), F.lit(MARKETPLACE_WB).alias("Marketplace"),
+    src = spread(cards).select(F.lit("parts").alias("Project"), F.lit(MARKETPLACE_WB).alias("Marketplace"),
                        F.to_json(page).alias("payload"))
     return parse_json_text(src, "payload", FUNNEL_PAGE, ["Project", "Marketplace"])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import to_double, to_wall_clock, upper_or_empty
 from ..functions.labels import MARKETPLACE_WB
 from ..operators.filters import falling_sales, out_of_stock
+from ..operators.flatten import explode_with_meta
 from ..operators.project import conform
 from ..operators.window import period_change
 from ..schemas import STOCKS, WAREHOUSE_DATA_WB
@@ -24,7 +25,7 @@ def stock_snapshot(remains: DataFrame, now: dt.datetime | str, marketplace: str
     gives no row), stamp the load time and marketplace (PRJ-16/15), upper-case the brand with '' for null
     (SCA-14), in the ``warehouse_data_wb`` contract."""
     keep = [c for c in ("Project",) if c in remains.columns]
-    rows = remains.select(*keep, *[F.col(c) for c in WAREHOUSE_META], F.inline("warehouses"))
+    rows = explode_with_meta(remains, "warehouses", meta=WAREHOUSE_META, keep=keep)
     rows = rows.withColumns({"Date": F.lit(str(now)).cast("timestamp_ntz"), "Marketplace": F.lit(marketplace),
                              "brand": upper_or_empty("brand")})
     return conform(rows, WAREHOUSE_DATA_WB)
@@ -45,7 +46,7 @@ def erp_stock_snapshot(payload: DataFrame) -> DataFrame:
     """JOB-10: ``stocks[]`` -> one row per item (PRJ-7: struct paths renamed to underscore names), the whole
     flattened item serialised to ``metadata_json`` with its dotted keys and nulls written (PRJ-19), and
     ``moment`` parsed (SCA-6), in the ``stocks`` contract."""
-    items = payload.select(F.inline("stocks"))
+    items = explode_with_meta(payload, "stocks")
     flat_cols = [F.col("moment")] + [F.col(p).alias(p) for p in ERP_STOCK_PATHS]
     meta = F.to_json(F.struct(*flat_cols), {"ignoreNullFields": "false"})
     rows = items.select(to_wall_clock("moment").alias("moment"),
