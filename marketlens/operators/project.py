@@ -32,14 +32,19 @@ def add_load_time(df: DataFrame, column: str, now: dt.datetime | str, only_if_ab
     return df.withColumn(column, F.lit(str(now)).cast("timestamp_ntz"))
 
 
-def conform(df: DataFrame, contract: Sequence[tuple[str, str]], cast_present: bool = False) -> DataFrame:
+def conform(df: DataFrame, contract: Sequence[tuple[str, str]], cast_present: bool | str = False) -> DataFrame:
     """PRJ-17/18: reorder to the contract; absent columns are added as typed nulls. With ``cast_present``
-    present columns are also converted to the contract type (tolerantly)."""
+    present columns are also converted to the contract type: tolerantly (``True``: bad values become null)
+    or ``"strict"`` (a value that does not fit fails, as a table write should)."""
     cols: list[Column] = []
     for name, typ in contract:
         if name in df.columns:
             c = F.col(f"`{name}`")
-            cols.append((c.try_cast(typ) if cast_present else c).alias(name))
+            if cast_present == "strict":
+                c = c.cast(typ)
+            elif cast_present:
+                c = c.try_cast(typ)
+            cols.append(c.alias(name))
         else:
             cols.append(F.lit(None).cast(typ).alias(name))
     return df.select(*cols)

@@ -166,17 +166,18 @@ def product_first_fact(product_day_orders: DataFrame, facts_with_campaign: DataF
 
 
 # ------------------------------------------------------------------------------------------- JOB-7
-def reload_ad_window(spark: SparkSession, stats: DataFrame, details: DataFrame, history: DataFrame,
-                     target: writers.Target, today: dt.date | str, days: int = 6) -> None:
-    """JOB-7: recompute the ad fact for ``days`` days ending yesterday and replace them in ``table``
-    (SNK-2) of ``target`` (the 22-column contract, partitioned by ``day`` as a date). Stats are filtered to
-    the window before flattening so a landed ``day`` partition column is pruned at the scan."""
+def reload_ad_window(spark: SparkSession, flat_stats: DataFrame, dim: DataFrame, product_day_orders: DataFrame,
+                     target: writers.Target, today: dt.date | str, days: int = 6) -> tuple[dt.date, dt.date]:
+    """JOB-7: recompute the ad fact with orders for ``days`` days ending yesterday and replace exactly those
+    days in ``target`` (SNK-2; a 22-column table partitioned by ``day`` as a date). Stats and orders are
+    filtered to the window first, so day-partitioned landed data is pruned at the scan. Returns the window."""
     from ..functions.dates import reload_days
 
     first, last = reload_days(today, days)
-    flat = flatten_ad_stats(stats)
-    flat = flat.filter(F.to_date("date").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")))
-    facts = ad_facts_with_campaign(ad_daily_fact(flat), campaign_dim(details, type_labels=labels.CAMPAIGN_TYPE_SHORT))
-    orders = product_day_orders_from_history(flatten_history(history))
+    lo, hi = F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")
+    flat = flat_stats.filter(F.to_date("date").between(lo, hi))
+    orders = product_day_orders.filter(F.col("day").between(lo, hi))
+    facts = ad_facts_with_campaign(ad_daily_fact(flat), dim)
     out = ad_orders_fact(facts, orders).withColumn("day", F.to_date("day"))
     writers.reload_window(spark, out, target, first, last, part_col="day")
+    return first, last

@@ -12,6 +12,7 @@ from ..session import scratch_path
 from ..sinks import writers
 from ..sources.tables import table
 from .catalog import register
+from ..schemas import CAMPAIGN_DATA_WB
 from .queries_core import LATEST_SQL, LINE_COLUMNS
 
 
@@ -93,3 +94,44 @@ def q_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = after_high_water_mark(li.filter(F.col("l_shipdate") >= cutoff), "l_shipdate", hwm)
     writers.upsert_latest(spark, second, target, key, "l_shipdate")
     return writers.read(spark, target).drop("bucket")
+
+
+# -------------------------------------------------------------------------------------------- JOB-7
+AD_TODAY, AD_DAYS = "2024-01-31", 6
+AD_FIRST, AD_LAST = reload_days(AD_TODAY, AD_DAYS)
+# The 22-column contract partitioned by day; the stand-in's campaign ids are event types, hence text.
+AD_TABLE = [*[(c, "string" if c == "advertId" else t) for c, t in CAMPAIGN_DATA_WB if c != "day"], ("day", "date")]
+
+
+def _reload_ad_sql() -> str:
+    from .queries_ads import AD_ORDERS_FACT_SQL
+    cols = []
+    for c, _ in AD_TABLE:
+        if c == "day":
+            cols.append("CAST(day AS DATE) AS day")
+        elif c in ("ordersCount", "ordersSumRub", "addToCartCount"):
+            cols.append(f"CASE WHEN CAST(day AS DATE) BETWEEN DATE '{AD_FIRST}' AND DATE '{AD_LAST}' THEN {c} "
+                        f"ELSE 0 END AS {c}")
+        else:
+            cols.append(c)
+    return f"SELECT {', '.join(cols)} FROM ({AD_ORDERS_FACT_SQL}) f"
+
+
+@register("reload_ad_window", _reload_ad_sql())
+def q_reload_ad_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-7 (SNK-1, SNK-2, SCA-23, JON-1/2): the daily ad fact is first loaded before any orders are known
+    (0 orders on every day), then the 6 days ending yesterday are recomputed with product-day orders and
+    replaced in the day-partitioned table. Days outside the window keep 0 orders. Read back."""
+    from . import ads, standins
+    from .queries_ads import campaign_details, product_day_orders
+
+    events = table(spark, sf_dir, "events")
+    flat = standins.ad_stats_rows(events)
+    dim = ads.campaign_dim(campaign_details(spark))
+    orders = product_day_orders(spark, sf_dir)
+    target = _new_table(spark, "campaign_data_wb", AD_TABLE, ["day"])
+    facts = ads.ad_facts_with_campaign(ads.ad_daily_fact(flat, order_cols=("date",)), dim)
+    no_orders_yet = orders.filter(F.lit(False))
+    writers.append(spark, ads.ad_orders_fact(facts, no_orders_yet).withColumn("day", F.to_date("day")), target)
+    ads.reload_ad_window(spark, flat, dim, orders, target, AD_TODAY, AD_DAYS)
+    return writers.read(spark, target)

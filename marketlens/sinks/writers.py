@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,10 @@ def create_table(spark: SparkSession, target: Target, catalog_name: str | None =
 
 
 def _prepared(df: DataFrame, target: Target) -> DataFrame:
-    """Contract order (absent columns null); before a partitioned write, rows of one partition value are
+    """Contract order and types (absent columns null, a value that does not fit its type fails the write);
+    before a partitioned write, rows of one partition value are
     grouped into few tasks (few files per day) while AQE still splits an oversized value across tasks."""
-    out = conform(df, target.contract)
+    out = conform(df, target.contract, cast_present="strict")
     return out.hint("rebalance", *target.partition_by) if target.partition_by else out
 
 
@@ -74,14 +76,34 @@ def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
     return w
 
 
+@contextmanager
+def _parallel_partition_write(spark: SparkSession, target: Target):
+    """During a partitioned write, keep the rebalance's partition count instead of letting AQE coalesce it
+    by bytes. Rows are hashed by the partition columns, so this adds no files (a day goes to few tasks and
+    empty tasks write nothing); it only lets many small days be written in parallel instead of by one task.
+    AQE still splits an oversized day."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    if not target.partition_by:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name."""
-    _writer(_prepared(df, target), target, "append").parquet(target.path)
+    with _parallel_partition_write(spark, target):
+        _writer(_prepared(df, target), target, "append").parquet(target.path)
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """Replace exactly the partitions that occur in ``df`` (dynamic partition overwrite)."""
-    _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
+    with _parallel_partition_write(spark, target):
+        _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
 
 
 def empty_partition(spark: SparkSession, target: Target, values: dict) -> None:
@@ -102,14 +124,27 @@ def reload_window(spark: SparkSession, df: DataFrame, target: Target, first: dt.
     last_d = dt.date.fromisoformat(str(last))
     in_window = F.col(part_col).between(F.lit(str(first_d)).cast("date"), F.lit(str(last_d)).cast("date"))
     window = df.filter(in_window)
+    days = [first_d + dt.timedelta(days=i) for i in range((last_d - first_d).days + 1)]
     # The window is a handful of days, so these day lists are bounded, tiny results.
     written = {r[0] for r in window.select(part_col).distinct().collect()}
     overwrite_partitions(spark, window, target)
-    stored = {r[0] for r in read(spark, target).filter(in_window).select(part_col).distinct().collect()}
-    for day in sorted(stored - written):
+    for day in sorted(_days_present(spark, target, part_col, days) - written):
         empty_partition(spark, target, {part_col: day.isoformat()})
 
 
+def _days_present(spark: SparkSession, target: Target, part_col: str, days: list[dt.date]) -> set[dt.date]:
+    """Which of ``days`` have rows, listing only those day directories (not the whole table's history)."""
+    from pyspark.errors import AnalysisException
+
+    glob = f"{target.path.rstrip('/')}/{part_col}={{{','.join(d.isoformat() for d in days)}}}"
+    try:
+        found = (spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)
+                 .select(part_col).distinct().collect())
+    except AnalysisException:  # none of the days exists yet
+        return set()
+    return {r[0] for r in found}
+
+
 def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Sequence[str], version: str) -> None:
     """SNK-3: versioned upsert, latest ``version`` wins per key (replacing-merge semantics).
 
@@ -120,7 +155,7 @@ def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Seque
     """
     shared_dir(spark)
     parts = list(target.partition_by)
-    new = conform(df, target.contract)
+    new = conform(df, target.contract, cast_present="strict")
     current = read(spark, target)
     if parts:
         current = current.join(new.select(*parts).distinct(), parts, "left_semi")

@@ -163,11 +163,13 @@ def test_reload_ad_window_job(spark, landed, tmp_path):
     table = [*[(c, t) for c, t in schemas.CAMPAIGN_DATA_WB if c != "day"], ("day", "date")]
     target = writers.Target(str(tmp_path / "campaign_data_wb"), table, ("day",))
     writers.create_table(spark, target)
-    stats = tenant(landed(STATS, schemas.AD_STATS))
-    details = landed(DETAILS, schemas.CAMPAIGN_DETAILS)
-    history = landed(HISTORY, schemas.PRODUCT_HISTORY)
-    ads.reload_ad_window(spark, stats, details, history, target, today="2024-03-03", days=6)
+    flat = ads.flatten_ad_stats(tenant(landed(STATS, schemas.AD_STATS)))
+    dim = ads.campaign_dim(landed(DETAILS, schemas.CAMPAIGN_DETAILS))
+    orders = ads.product_day_orders_from_history(ads.flatten_history(landed(HISTORY, schemas.PRODUCT_HISTORY)))
+    window = ads.reload_ad_window(spark, flat, dim, orders, target, today="2024-03-03", days=6)
+    assert window == (dt.date(2024, 2, 26), dt.date(2024, 3, 2))
     out = writers.read(spark, target)
     assert out.count() == 3 and rows(out, "day")[0][0] == dt.date(2024, 3, 1)
-    ads.reload_ad_window(spark, stats, details, history, target, today="2024-03-03", days=6)
+    assert out.agg(F.sum("ordersCount")).first()[0] == 8
+    ads.reload_ad_window(spark, flat, dim, orders, target, today="2024-03-03", days=6)
     assert writers.read(spark, target).count() == 3  # idempotent (re-read: the files were replaced)
