@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIM_BROADCAST_MAX_ROWS = 1_000_000
+DIM_BROADCAST_MAX_ROWS = 100_000  # a campaign dimension is thousands of rows; beyond this, AQE decides
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
