@@ -26,6 +26,9 @@ from ..schemas import ddl
 from ..session import shared_dir
 
 
+MAX_TOUCHED_PARTITIONS = 100_000
+
+
 @dataclass(frozen=True)
 class Target:
     path: str
@@ -154,15 +157,39 @@ def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Seque
     partition columns, so every version of a key lives in one partition.
     """
     shared_dir(spark)
-    parts = list(target.partition_by)
     new = conform(df, target.contract, cast_present="strict")
-    current = read(spark, target)
-    if parts:
-        current = current.join(new.select(*parts).distinct(), parts, "left_semi")
+    current = _read_touched(spark, target, new)
     merged = latest_version(current.unionByName(new), key, version).checkpoint(eager=True)
     overwrite_partitions(spark, merged, target)
 
 
+def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> DataFrame:
+    """The target's rows in the partitions ``new`` touches.
+
+    A batch touches few partitions (a day's orders touch a few days), so their values are a small, bounded
+    list: with one date or integer partition column only those directories are listed and read (a path
+    glob), so the cost does not grow with the table's history. Otherwise (several partition columns, null
+    values, or more than ``MAX_TOUCHED_PARTITIONS`` values) it falls back to a semi join on the values.
+    """
+    from pyspark.errors import AnalysisException
+
+    parts = list(target.partition_by)
+    if not parts:
+        return read(spark, target)
+    touched = new.select(*parts).distinct()
+    values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()] if len(parts) == 1 else None
+    simple = (values is not None and len(values) <= MAX_TOUCHED_PARTITIONS and values
+              and all(isinstance(v, (dt.date, int)) and not isinstance(v, bool) for v in values))
+    if not simple:
+        return read(spark, target).join(touched, parts, "left_semi")
+    glob = f"{target.path.rstrip('/')}/{parts[0]}={{{','.join(str(v) for v in values)}}}"
+    try:
+        found = spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)
+    except AnalysisException:  # none of the touched partitions exists yet
+        return spark.createDataFrame([], target.schema)
+    return found.select(*[F.col(f"`{c}`") for c in target.columns])
+
+
 def backfill_with_default(spark: SparkSession, source: DataFrame, target: Target, day_col: str,
                           last_day: dt.date | str, defaults: dict) -> None:
     """SNK-4: copy rows up to the end of ``last_day`` into ``target`` with constant new columns, bound by
