@@ -38,9 +38,10 @@ def label_or_null(c: ColumnOrName, mapping: Mapping) -> Column:
     return label_map(mapping)[_c(c)]
 
 
-# SCA-3: tolerant numeric cast.
+# SCA-3: tolerant numeric cast. Text "NaN" parses to NaN in Spark; it is made null, so that the 0-filling
+# of SCA-4 applies to it as to any other non-number.
 def to_double(c: ColumnOrName) -> Column:
-    return _c(c).cast("string").try_cast("double")
+    return F.nanvl(_c(c).cast("string").try_cast("double"), F.lit(None).cast("double"))
 
 
 def tolerant_doubles(df: DataFrame, columns: Iterable[str]) -> DataFrame:

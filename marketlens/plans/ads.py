@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.clean import fill_zero, label_or_code, parse_timestamp_formats, to_wall_clock
 from ..operators.aggregate import daily_ad_fact
+from ..operators.filters import year_at_least
 from ..operators.flatten import explode_positions, explode_with_meta, select_paths
 from ..operators.joins import DIM_BROADCAST_MAX_ROWS, left_join, restrict_to_keys
 from ..operators.project import conform
@@ -31,13 +32,14 @@ CAMPAIGN_TIME_FORMATS = ["dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "yyyy/MM/dd HH:mm:
 
 
 # ------------------------------------------------------------------------------------------- JOB-2
-def campaign_list(counts: DataFrame, keep: Sequence[str] = TENANT) -> DataFrame:
+def campaign_list(counts: DataFrame, keep: Sequence[str] = TENANT, min_year: int | None = None) -> DataFrame:
     """PRJ-1: ``adverts[]{type,status,count,advert_list[]}`` -> one row per advert with its group's
-    type, status and count, and ``changeTime`` parsed."""
+    type, status and count, and ``changeTime`` parsed; optionally only adverts changed in ``min_year`` or
+    later (FLT-8)."""
     groups = explode_with_meta(counts, "adverts", keep=[c for c in keep if c in counts.columns])
     ids = explode_with_meta(groups, "advert_list", meta=["type", "status", "count"],
                             keep=[c for c in keep if c in groups.columns])
-    return ids.withColumn("changeTime", to_wall_clock("changeTime"))
+    return year_at_least(ids.withColumn("changeTime", to_wall_clock("changeTime")), "changeTime", min_year)
 
 
 def campaign_dim(details: DataFrame, status_labels: Mapping = labels.CAMPAIGN_STATUS,

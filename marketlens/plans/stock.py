@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import to_double, to_wall_clock, upper_or_empty
@@ -13,6 +13,8 @@ from ..functions.labels import MARKETPLACE_WB
 from ..operators.filters import falling_sales, out_of_stock
 from ..operators.flatten import explode_with_meta
 from ..operators.project import conform
+from ..operators.quality import all_successful
+from ..sinks import writers
 from ..operators.window import period_change
 from ..schemas import STOCKS, WAREHOUSE_DATA_WB
 
@@ -20,6 +22,16 @@ WAREHOUSE_META = ["brand", "subjectName", "vendorCode", "inWayToClient", "inWayF
                   "quantityWarehousesFull"]
 
 
+def load_stock_snapshot(spark: SparkSession, remains: DataFrame, audit: DataFrame, target: writers.Target,
+                        now: dt.datetime | str) -> bool:
+    """JOB-9 with the source's all-or-nothing rule: the snapshot is appended only when every project's
+    report response succeeded (SNK-11 audit); otherwise nothing is loaded. Returns whether it loaded."""
+    if not all_successful(audit):
+        return False
+    writers.append(spark, stock_snapshot(remains, now), target)
+    return True
+
+
 def stock_snapshot(remains: DataFrame, now: dt.datetime | str, marketplace: str = MARKETPLACE_WB) -> DataFrame:
     """JOB-9: explode ``warehouses[]`` with the six product columns (PRJ-2; a product with an empty list
     gives no row), stamp the load time and marketplace (PRJ-16/15), upper-case the brand with '' for null

@@ -31,6 +31,11 @@ def test_tolerant_numbers(spark):
     assert one(spark, clean.to_double_or_zero("c"), values=vals) == [12.7, -3.9, 0.0, 0.0, 0.0, 7.0, 8.0]
 
 
+def test_nan_text_counts_as_not_a_number(spark):
+    assert one(spark, clean.to_double("c"), values=["NaN"]) == [None]
+    assert one(spark, clean.to_double_or_zero("c"), values=["NaN"]) == [0.0]
+
+
 def test_tolerant_doubles_skips_absent_columns(spark):
     df = spark.createDataFrame([("1.5", "x")], "a string, b string")
     out = clean.tolerant_doubles(df, ["a", "b", "missing"])

@@ -74,6 +74,8 @@ def test_campaign_list_and_dim(spark, landed):
     listed = ads.campaign_list(landed(COUNTS, schemas.CAMPAIGN_COUNTS, multi_line=True))
     assert rows(listed, "advertId", "type", "status", "count") == [(100, 8, 9, 2), (300, 8, 9, 2)]
     assert rows(listed, "changeTime")[0][0] == dt.datetime(2024, 3, 1, 10, 0, 0, 123000)
+    recent = ads.campaign_list(landed(COUNTS, schemas.CAMPAIGN_COUNTS, multi_line=True), min_year=2024)
+    assert rows(recent, "advertId") == [(100,)]  # the unparseable change time is not >= 2024
     dim = ads.campaign_dim(landed(DETAILS, schemas.CAMPAIGN_DETAILS), listed=listed)
     got = {r.advertId: r for r in dim.collect()}
     assert got[100].status == "Идут показы" and got[100].type == "Автоматическая кампания"

@@ -33,6 +33,19 @@ def test_stock_snapshot(spark, landed):
                    ("Коледино", 7, "KITCHENAID", 1, ts, "Wildberries")]
 
 
+def test_stock_load_is_all_or_nothing(spark, landed, tmp_path):
+    remains = landed([{"brand": "b", "subjectName": "s", "vendorCode": "v",
+                       "warehouses": [{"warehouseName": "w", "quantity": 1}]}], schemas.WAREHOUSE_REMAINS)
+    target = writers.Target(str(tmp_path / "warehouse_data_wb"), schemas.WAREHOUSE_DATA_WB)
+    writers.create_table(spark, target)
+    resp = spark.createDataFrame([("P1", 200, "ok"), ("P2", 500, "fail")], "project string, status_code int, text string")
+    assert not stock.load_stock_snapshot(spark, remains, load_audit(resp, NOW), target, NOW)
+    assert writers.read(spark, target).count() == 0
+    ok = load_audit(resp.filter("status_code = 200"), NOW)
+    assert stock.load_stock_snapshot(spark, remains, ok, target, NOW)
+    assert writers.read(spark, target).count() == 1
+
+
 def test_erp_stock_snapshot_json_keeps_nulls(spark, landed):
     payload = [{"stocks": [
         {"moment": "2024-03-01 10:00:00.000", "assortment": {"type": "product", "code": "A1", "name": "Товар",
