@@ -83,3 +83,31 @@ def test_null_safe_left_join(spark):
     assert rows(joins.left_join(left, right, ["k"], null_safe=True)) == [(2, 2, "t"), (None, 1, "n")]
     renamed = joins.left_join_renamed(left, right.withColumnRenamed("k", "kk"), ["k"], ["kk"])
     assert renamed.columns == ["k", "a", "b"]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of all rows: results stay whole and every aggregate keeps a partial (map-side)
+    step before its shuffle, so the hot key is pre-reduced on each map task."""
+    from marketlens.operators.aggregate import daily_ad_fact
+
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") % 97).alias("v"), F.col("id").cast("string").alias("s"))
+    latest = window.latest_version(base, ["k"], "v")
+    assert latest.count() == 1 + (n - n // 3)
+    assert latest.filter("k = -1").first().v == 96
+    plan = latest._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "partial_max" in plan
+    flat = base.select(F.lit("P").alias("Project"), F.lit("M").alias("Marketplace"),
+                       F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("date"), F.col("k").alias("nmId"),
+                       F.lit(1).alias("advertId"), F.col("s").alias("name"), F.col("v").alias("views"),
+                       *[F.lit(None).cast("bigint").alias(c) for c in ("clicks", "atbs", "orders", "shks")],
+                       *[F.lit(1.0).alias(c) for c in ("sum", "sum_price", "ctr", "cpc", "cr")])
+    fact = daily_ad_fact(flat, order_cols=("date",))
+    hot = fact.filter("nmId = -1").first()
+    assert hot.views == sum(i % 97 for i in range(0, n, 3)) and hot.sum == float(n // 3)
+    assert "partial_sum" in fact._jdf.queryExecution().executedPlan().toString()
+    pages = nest_pages(base, ["k"], F.col("v"), ["v", "s"], page_size=1000)
+    hot_pages = pages.filter("k = -1").select(F.size("items").alias("n")).collect()
+    assert sum(r.n for r in hot_pages) == n // 3 and len(hot_pages) == 10 and max(r.n for r in hot_pages) < 2000
