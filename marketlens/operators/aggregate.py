@@ -52,11 +52,13 @@ AD_MEAN_METRICS = ["ctr", "cpc", "cr"]
 
 def daily_ad_fact(flat: DataFrame, keys: Sequence[str] = ("Project", "Marketplace"),
                   order_cols: Sequence[str] = ("date",), money_scale: int = 2,
-                  mean_digits: int = 6) -> DataFrame:
+                  mean_digits: int = 6, ratio_of_sums: bool = False) -> DataFrame:
     """AGG-1: group flat ad statistics by (keys, day of ``date``, nmId, advertId).
 
     Sums of counts and money (0 when all null), rounded means of the three ratios, first ``date`` and
     first ``name``. Rows with a null group key are dropped first, as pandas ``groupby`` does.
+    The mean of per-row ratios is kept for parity; ``ratio_of_sums=True`` adds ``ctr_of_sums`` =
+    clicks / views * 100 from the sums (null when there are no views), the ratio a reader usually means.
     """
     group = [*keys, "day", "nmId", "advertId"]
     src = flat.withColumn("day", F.to_date("date")).dropna(subset=group)
@@ -65,8 +67,12 @@ def daily_ad_fact(flat: DataFrame, keys: Sequence[str] = ("Project", "Marketplac
     aggs += [money_sum_or_zero(m, money_scale).alias(m) for m in AD_MONEY_METRICS]
     aggs += [mean_rounded(m, mean_digits).alias(m) for m in AD_MEAN_METRICS]
     out = src.groupBy(*group).agg(*aggs)
-    return out.select(*group, "date", "name", "views", "clicks", "sum", "atbs", "orders", "shks", "sum_price",
-                      "ctr", "cpc", "cr")
+    cols = [*group, "date", "name", "views", "clicks", "sum", "atbs", "orders", "shks", "sum_price", "ctr", "cpc", "cr"]
+    if ratio_of_sums:
+        out = out.withColumn("ctr_of_sums", F.round(F.try_divide(F.col("clicks") * 100.0, F.nullif("views", F.lit(0))),
+                                                    mean_digits))
+        cols.append("ctr_of_sums")
+    return out.select(*cols)
 
 
 # AGG-2 / AGG-3: global and filtered sums, one row.

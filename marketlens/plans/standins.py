@@ -102,7 +102,10 @@ def nest_pages(children: DataFrame, parent: Sequence[str], item: Column, order:
     h = F.xxhash64(*[F.col(c) for c in children.columns])
     paged = (children.join(counts, parent)
              .withColumn("__page", F.when(pages > 1, F.pmod(h, pages)).otherwise(F.lit(0))))
-    return (paged.groupBy(*parent, "__page")
+    # collect_list gains nothing from a map-side partial step (it keeps every row), so shuffle the rows by
+    # (parent, page) first: the collect then runs after the only shuffle, in parallel, and a hot parent's
+    # pages land in different tasks.
+    return (paged.repartition(*[F.col(c) for c in parent], F.col("__page")).groupBy(*parent, "__page")
             .agg(F.array_sort(F.collect_list(F.struct(*[F.col(o) for o in order], item.alias("__item"))))
                  .alias("__items"))
             .select(*parent, F.transform("__items", lambda s: s["__item"]).alias("items")))

@@ -58,8 +58,17 @@ def create_table(spark: SparkSession, target: Target, catalog_name: str | None =
         writer = writer.partitionBy(*target.partition_by)
     writer.parquet(target.path)
     if catalog_name:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {catalog_name} ({target.schema}) USING parquet "
-                  f"LOCATION '{target.path}'")
+        register_catalog_table(spark, target, catalog_name)
+
+
+def register_catalog_table(spark: SparkSession, target: Target, name: str) -> None:
+    """Expose a path table to SQL users under ``name`` (declared types and partitioning), with the
+    partitions present on disk recovered. Loads go through the path; run ``ALTER TABLE ... RECOVER
+    PARTITIONS`` (this function again) after a load that adds days, or read with :func:`read`."""
+    parts = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in target.partition_by)})" if target.partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({target.schema}) USING parquet{parts} LOCATION '{target.path}'")
+    if target.partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def _prepared(df: DataFrame, target: Target) -> DataFrame:

@@ -68,6 +68,8 @@ def test_daily_fact_sums_means_first_and_null_keys(spark, landed):
     assert (a.ctr, a.cpc, a.cr) == (20.0, 4.0, 25.0)
     b = got[(100, 2)]
     assert (b.views, b.clicks, b.sum, b.ctr) == (7, 0, 0.0, None)  # all-null sums are 0, means stay null
+    ratio = ads.daily_ad_fact(ads.flatten_ad_stats(tenant(landed(STATS, schemas.AD_STATS))), ratio_of_sums=True)
+    assert {r.nmId: r.ctr_of_sums for r in ratio.filter("advertId = 100").collect()} == {1: 20.0, 2: 0.0}
 
 
 def test_campaign_list_and_dim(spark, landed):

@@ -89,3 +89,13 @@ def test_orders_stream_catch_up_runs(spark, tmp_path):
     got = {r.srid: r.totalPrice for r in writers.read(spark, target).collect()}
     assert got == {"s1": 80.0, "s2": 100.0}  # p1.json was not read again; s1 took its newer version
     assert writers.read(spark, target).columns[:30] == schemas.names(schemas.ORDERS_WB)
+
+
+def test_catalog_registration_sees_partitions(spark, tmp_path):
+    t = writers.Target(str(tmp_path / "cat"), CONTRACT, ("day",))
+    writers.create_table(spark, t)
+    writers.append(spark, frame(spark, [(1, 1.0, "2024-01-01"), (2, 2.0, "2024-01-02")]), t)
+    writers.register_catalog_table(spark, t, "ml_test_cat")
+    got = spark.sql("SELECT id, day FROM ml_test_cat WHERE day = DATE'2024-01-02'").collect()
+    assert [tuple(r) for r in got] == [(2, dt.date(2024, 1, 2))]
+    assert [c.name for c in spark.catalog.listColumns("ml_test_cat") if c.isPartition] == ["day"]
