@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.clean import to_wall_clock, upper_keep_null
 from ..operators.project import conform

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import date_or_sentinel, fill_zero, text_after_last, to_double, to_long_or_zero, to_wall_clock
-from ..functions.dates import (calendar, day_end_text, day_start_text, iso_utc_text, previous_week_end,
+from ..functions.dates import (calendar, date_parts, day_end_text, day_start_text, iso_utc_text, previous_week_end,
                                previous_week_start, unpadded_date_text, year_start)
 from ..functions.labels import MARKETPLACE_WB
 from ..operators.aggregate import distinct_count, filtered_total, regroup_sum, total
@@ -19,8 +19,8 @@ from ..operators.quality import rows_per_project
 from ..operators.setops import union_projects
 from ..operators.sort import sort_desc, top_k
 from ..operators.window import latest_version
-from ..schemas import (AD_STATS, FINANCE_OPERATIONS, FUNNEL_PAGE, PRODUCT_HISTORY, REALIZATION_BY_DAY, WB_FINANCE,
-                       WAREHOUSE_REMAINS)
+from ..schemas import (AD_STATS, CAMPAIGN_OBJECTS, ERP_PROFIT, ERP_STOCK, FINANCE_OPERATIONS, FUNNEL_PAGE,
+                       PRODUCT_HISTORY, REALIZATION_BY_DAY, WAREHOUSE_REMAINS, WB_FINANCE)
 from ..sources.landed import parse_json_text
 from ..sources.tables import table
 from . import ads, erp, finance, funnel, performance, standins, stock
@@ -177,7 +177,7 @@ def q_flatten_struct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _funnel_pages(cards: DataFrame, page) -> DataFrame:
     src = spread(cards).select(F.lit("parts").alias("Project"), F.lit(MARKETPLACE_WB).alias("Marketplace"),
-                       F.to_json(page).alias("payload"))
+                               F.to_json(page).alias("payload"))
     return parse_json_text(src, "payload", FUNNEL_PAGE, ["Project", "Marketplace"])
 
 
@@ -376,7 +376,6 @@ def q_row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("n_nationkey").cast("double").alias("stock"), F.lit(0.0).alias("transit"),
                  F.lit(0.0).alias("reserve"), F.col("n_nationkey").cast("double").alias("quantity"),
                  F.col("n_regionkey").cast("double").alias("cost")).alias("stock"))
-    from ..schemas import ERP_STOCK
     snap = stock.erp_stock_snapshot(_json_payload(nation, F.struct(F.array(item).alias("stocks")), ERP_STOCK))
     parsed = F.from_json("metadata_json", "moment string, `assortment.name` string, `assortment.code` string")
     return snap.select("*", parsed.getField("assortment.name").alias("json_name"),
@@ -441,7 +440,6 @@ FROM orders
 @register("date_text_parts", DATE_TEXT_SQL)
 def q_date_text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B23 (SCA-19/20/21): unpadded date text, year/month/day, formatted request bounds, year start."""
-    from ..functions.dates import date_parts
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     d = F.col("o_orderdate")
     return o.select("o_orderkey", unpadded_date_text(d).alias("date_text"),
@@ -706,7 +704,6 @@ def q_campaign_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     pages = standins.nest_pages(o, ["o_custkey"], F.struct(F.col("o_orderkey").cast("string").alias("id")),
                                 ["o_orderkey"])
-    from ..schemas import CAMPAIGN_OBJECTS
     lists = _json_payload(pages.withColumn("campaign_id", F.col("o_custkey").cast("string")),
                           F.struct(F.col("items").alias("list")), CAMPAIGN_OBJECTS, ["campaign_id"])
     return performance.campaign_objects(lists)
@@ -727,7 +724,6 @@ FROM part
 def q_erp_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-18 (PRJ-6, SCA-18): ERP profit rows read from JSON text, nested paths flattened with absent keys
     null, the uuid taken after the last 'id='. Stand-in: one profit row per part."""
-    from ..schemas import ERP_PROFIT
     part = table(spark, sf_dir, "part")
     row = F.struct(
         F.struct(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("code"),

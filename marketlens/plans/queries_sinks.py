@@ -11,7 +11,9 @@ from ..operators.filters import after_high_water_mark
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources.tables import table
+from . import ads, standins
 from .catalog import register
+from .queries_ads import AD_ORDERS_FACT_SQL, campaign_details, product_day_orders
 from ..schemas import CAMPAIGN_DATA_WB
 from .queries_core import LATEST_SQL, LINE_COLUMNS
 
@@ -104,7 +106,6 @@ AD_TABLE = [*[(c, "string" if c == "advertId" else t) for c, t in CAMPAIGN_DATA_
 
 
 def _reload_ad_sql() -> str:
-    from .queries_ads import AD_ORDERS_FACT_SQL
     cols = []
     for c, _ in AD_TABLE:
         if c == "day":
@@ -122,9 +123,6 @@ def q_reload_ad_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-7 (SNK-1, SNK-2, SCA-23, JON-1/2): the daily ad fact is first loaded before any orders are known
     (0 orders on every day), then the 6 days ending yesterday are recomputed with product-day orders and
     replaced in the day-partitioned table. Days outside the window keep 0 orders. Read back."""
-    from . import ads, standins
-    from .queries_ads import campaign_details, product_day_orders
-
     events = table(spark, sf_dir, "events")
     flat = standins.ad_stats_rows(events)
     dim = ads.campaign_dim(campaign_details(spark))
