@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster has cores.
+    """Round-robin repartition only when a scan has fewer partitions than the cluster has cores.
 
     A Parquet file with a single row group cannot be split, so its scan is one task, and CPU-heavy narrow
     work after it (JSON serialisation and parsing, flattening) would run on one core. On large inputs the
     scan already has many splits and this is a no-op: no shuffle is added where parallelism exists.
     An explicit partition count is kept by AQE (it is not coalesced back).
+
+    Apply it to a frame straight from a scan (narrow operations only): asking a frame that contains a
+    shuffle for its partition count makes adaptive execution run that shuffle first, and a frame coming out
+    of a shuffle is parallel anyway.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -33,8 +33,8 @@ NOW = "2024-02-01 06:00:00"
 
 def _json_payload(df: DataFrame, payload, schema: str, keep=()) -> DataFrame:
     """Serialise a built struct to JSON text and read it back with the landed schema (the typed reader).
-    Both steps are CPU-heavy and narrow, so an unsplittable input is spread over the cores first."""
-    return parse_json_text(spread(df).select(*keep, F.to_json(payload).alias("payload")), "payload", schema, keep)
+    Both steps are CPU-heavy and narrow; callers building payloads straight from a scan ``spread`` it first."""
+    return parse_json_text(df.select(*keep, F.to_json(payload).alias("payload")), "payload", schema, keep)
 
 
 # ---------------------------------------------------------------------------------------------- B9
@@ -80,7 +80,7 @@ def q_flatten_nested_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     text and flattened through three ``inline`` levels. Stand-in: one payload per line (advertId = order,
     date = ship date as text with a +03:00 offset, one app with the line as product, a second app with an
     empty product list, which must vanish)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     nm = F.struct(F.col("l_partkey").alias("nmId"), F.concat("l_returnflag", "l_linestatus").alias("name"),
                   F.col("l_quantity").cast("bigint").alias("views"), F.col("l_linenumber").cast("bigint").alias("clicks"),
                   F.col("l_discount").alias("ctr"), F.col("l_tax").alias("cpc"), F.col("l_extendedprice").alias("sum"),
@@ -176,8 +176,8 @@ def q_flatten_struct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _funnel_pages(cards: DataFrame, page) -> DataFrame:
-    src = spread(cards).select(F.lit("parts").alias("Project"), F.lit(MARKETPLACE_WB).alias("Marketplace"),
-                               F.to_json(page).alias("payload"))
+    src = cards.select(F.lit("parts").alias("Project"), F.lit(MARKETPLACE_WB).alias("Marketplace"),
+                       F.to_json(page).alias("payload"))
     return parse_json_text(src, "payload", FUNNEL_PAGE, ["Project", "Marketplace"])
 
 
@@ -280,7 +280,7 @@ def q_recursive_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B15 (JOB-14: PRJ-8, FLT-10, SCA-19/20): realization-by-day payloads read from JSON text; every leaf
     becomes a ``_``-joined column, the declared 2-element price array becomes ``prices_0``/``prices_1``;
     the request day as unpadded text and parts. Stand-in: one report row per part."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     row = F.struct(
         F.struct(F.col("p_name").alias("offer_id"), F.col("p_type").alias("name"),
                  F.col("p_partkey").alias("sku")).alias("item"),
@@ -367,7 +367,7 @@ def q_row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B20 (JOB-10: PRJ-7, PRJ-19, SCA-6): ERP stock payloads flattened, renamed to underscore names, the
     whole item serialised to JSON with nulls written; the JSON is checked by parsing fields back (all 15
     keys present, nulls included). Stand-in: one stock item per nation."""
-    nation = table(spark, sf_dir, "nation")
+    nation = spread(table(spark, sf_dir, "nation"))
     item = F.struct(
         F.lit(NOW.replace(" ", "T")).alias("moment"),
         F.struct(F.lit("nation").alias("type"), F.col("n_nationkey").cast("string").alias("code"),
@@ -679,7 +679,7 @@ def q_realization_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     '' to null, dates parsed with the offset dropped, flags to 0/1, fixed load time, project and source,
     absent columns null. Stand-in rows: a line is a report row; brand '' for unreturned lines; dates as
     text with +03:00 / Z offsets; empty date_from text."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     rows = li.select(
         F.col("l_orderkey").alias("realizationreport_id"), F.col("l_linenumber").cast("bigint").alias("rrd_id"),
         F.col("l_partkey").alias("nm_id"), F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -724,7 +724,7 @@ FROM part
 def q_erp_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-18 (PRJ-6, SCA-18): ERP profit rows read from JSON text, nested paths flattened with absent keys
     null, the uuid taken after the last 'id='. Stand-in: one profit row per part."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     row = F.struct(
         F.struct(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("code"),
                  F.col("p_type").alias("article"), F.struct(F.lit("pcs").alias("name")).alias("uom"),
