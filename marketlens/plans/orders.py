@@ -10,7 +10,6 @@ from ..functions.clean import date_or_sentinel, to_wall_clock
 from ..functions.labels import MARKETPLACE_WB
 from ..operators.filters import after_high_water_mark
 from ..operators.project import conform
-from ..operators.window import latest_version
 from ..schemas import ORDERS_WB, ORDERS_WB_KEY, ORDERS_WB_VERSION
 from ..sinks import writers
 
@@ -44,10 +43,10 @@ def high_water_mark(spark: SparkSession, target: writers.Target) -> object:
 
 
 def orders_upsert(spark: SparkSession, landed: DataFrame, target: writers.Target, project: str | None = None) -> None:
-    """JOB-11: rows at or after the table's high-water mark, deduplicated (WIN-1: the source can return a
-    boundary row twice), then upserted with latest-version-wins per (date, srid, nmId) (SNK-3). The table
-    is partitioned by ``day`` = the order date, which the key determines."""
+    """JOB-11: rows at or after the table's high-water mark, upserted with latest-version-wins per
+    (date, srid, nmId) (SNK-3 applies WIN-1 to the stored rows and the batch together, which also removes a
+    boundary row the source returned twice). The table is partitioned by ``day`` = the order date, which
+    the key determines."""
     rows = prepare_orders(landed, project)
     rows = after_high_water_mark(rows, ORDERS_WB_VERSION, high_water_mark(spark, target))
-    rows = latest_version(rows, ORDERS_WB_KEY, ORDERS_WB_VERSION).withColumn("day", F.to_date("date"))
-    writers.upsert_latest(spark, rows, target, ORDERS_WB_KEY, ORDERS_WB_VERSION)
+    writers.upsert_latest(spark, rows.withColumn("day", F.to_date("date")), target, ORDERS_WB_KEY, ORDERS_WB_VERSION)

@@ -160,20 +160,23 @@ def _days_present(spark: SparkSession, target: Target, part_col: str, days: list
 def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Sequence[str], version: str) -> None:
     """SNK-3: versioned upsert, latest ``version`` wins per key (replacing-merge semantics).
 
-    Only partitions that receive new rows are touched: their current rows are selected with a semi join on
-    the batch's partition values (pruned at the scan), unioned with the batch, reduced to the latest version
-    per key, checkpointed, then written back with a dynamic partition overwrite. The key must determine the
-    partition columns, so every version of a key lives in one partition.
+    Only partitions that receive new rows are touched: their current rows are read (only those partition
+    directories), unioned with the batch, reduced to the latest version per key (which also removes
+    duplicates inside the batch), checkpointed when the plan reads the target, then written back with a
+    dynamic partition overwrite. The key must determine the partition columns, so every version of a key
+    lives in one partition.
     """
-    shared_dir(spark)
     new = conform(df, target.contract, cast_present="strict")
-    current = _read_touched(spark, target, new)
-    merged = latest_version(current.unionByName(new), key, version).checkpoint(eager=True)
+    current, reads_target = _read_touched(spark, target, new)
+    merged = latest_version(current.unionByName(new), key, version)
+    if reads_target:  # the overwrite would delete files this plan still reads: cut the lineage first
+        shared_dir(spark)
+        merged = merged.checkpoint(eager=True)
     overwrite_partitions(spark, merged, target)
 
 
-def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> DataFrame:
-    """The target's rows in the partitions ``new`` touches.
+def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> tuple[DataFrame, bool]:
+    """The target's rows in the partitions ``new`` touches, and whether that frame reads the target.
 
     A batch touches few partitions (a day's orders touch a few days), so their values are a small, bounded
     list: with one date or integer partition column only those directories are listed and read (a path
@@ -184,19 +187,19 @@ def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> DataFr
 
     parts = list(target.partition_by)
     if not parts:
-        return read(spark, target)
+        return read(spark, target), True
     touched = new.select(*parts).distinct()
     values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()] if len(parts) == 1 else None
     simple = (values is not None and len(values) <= MAX_TOUCHED_PARTITIONS and values
               and all(isinstance(v, (dt.date, int)) and not isinstance(v, bool) for v in values))
     if not simple:
-        return read(spark, target).join(touched, parts, "left_semi")
+        return read(spark, target).join(touched, parts, "left_semi"), True
     glob = f"{target.path.rstrip('/')}/{parts[0]}={{{','.join(str(v) for v in values)}}}"
     try:
         found = spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)
     except AnalysisException:  # none of the touched partitions exists yet
-        return spark.createDataFrame([], target.schema)
-    return found.select(*[F.col(f"`{c}`") for c in target.columns])
+        return spark.createDataFrame([], target.schema), False
+    return found.select(*[F.col(f"`{c}`") for c in target.columns]), True
 
 
 def backfill_with_default(spark: SparkSession, source: DataFrame, target: Target, day_col: str,

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.window import latest_version
 from ..plans.orders import prepare_orders
 from ..schemas import ORDERS_WB_KEY, ORDERS_WB_VERSION, SUPPLIER_ORDERS
 from ..sinks import writers
@@ -28,8 +27,7 @@ def orders_stream(spark: SparkSession, landed_dir: str, target: writers.Target,
               .json(landed_dir))
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = prepare_orders(batch, project)
-        rows = latest_version(rows, ORDERS_WB_KEY, ORDERS_WB_VERSION).withColumn("day", F.to_date("date"))
+        rows = prepare_orders(batch, project).withColumn("day", F.to_date("date"))
         writers.upsert_latest(batch.sparkSession, rows, target, ORDERS_WB_KEY, ORDERS_WB_VERSION)
 
     return (source.writeStream.foreachBatch(upsert_batch)
