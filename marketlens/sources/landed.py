@@ -49,6 +49,35 @@ def read_report(spark: SparkSession, json_path: str | None = None, csv_path: str
     return out
 
 
+def read_report_folder(spark: SparkSession, path: str, columns: Sequence[str] = PRODUCT_STATS_COLUMNS) -> DataFrame:
+    """SRC-13 on a landed folder that holds both kinds of responses: ``*.json`` and ``*.csv`` files are read
+    with their own reader (selected by ``pathGlobFilter``, recursively) and unioned by name."""
+    def has(glob: str) -> bool:
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path).limit(1).count()
+            return True
+        except AnalysisException:
+            return False
+
+    frames = []
+    if has("*.json"):
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        frames.append(spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json")
+                      .option("recursiveFileLookup", True).json(path))
+    if has("*.csv"):
+        raw = (spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", "*.csv")
+               .option("recursiveFileLookup", True).csv(path))
+        frames.append(raw.select(*[F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string").alias(c)
+                                   for c in columns]))
+    if not frames:
+        raise ValueError(f"no JSON or CSV report under {path}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet",
                  contract: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """SRC-17: re-read of the previously exported history (spreadsheets re-aimed as CSV or Parquet). A CSV

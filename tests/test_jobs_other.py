@@ -216,3 +216,13 @@ def test_history_csv_binds_by_header(spark, tmp_path):
     p.write_text("quantity,warehouseName,extra\n7,Коледино,x\nbad,Казань,y\n")
     out = read_history(spark, str(p), "csv", [("warehouseName", "string"), ("quantity", "int"), ("brand", "string")])
     assert rows(out) == [("Казань", None, None), ("Коледино", 7, None)]
+
+
+def test_report_folder_with_json_and_csv(spark, tmp_path):
+    from marketlens.sources.landed import read_report_folder
+    d = tmp_path / "reports" / "day=2024-03-01"
+    d.mkdir(parents=True)
+    (d / "c1.json").write_text(json.dumps([{"campaignId": "1", "date": "2024-03-01", "views": "5"}]))
+    (d / "c2.csv").write_text("views,campaignId,date\n7,2,2024-03-01\n")
+    out = performance.performance_stats(read_report_folder(spark, str(tmp_path / "reports")))
+    assert rows(out, "campaignId", "views") == [("1", 5.0), ("2", 7.0)]
