@@ -128,10 +128,10 @@ def map_and_join(c: ColumnOrName, mapping: Mapping, sep: str = ", ") -> Column:
     return F.array_join(F.transform(_c(c), lambda x: F.coalesce(m[x], x)), sep)
 
 
-# SCA-18: text after the last marker; null when the marker is absent or the tail is empty.
+# SCA-18: text after the last marker; null when the text is missing or empty. Text without the marker is
+# returned whole, and text ending with the marker gives '' (the source's split-and-take-last).
 def text_after_last(c: ColumnOrName, marker: str) -> Column:
-    c = _c(c)
-    return F.when(F.instr(c, marker) > 0, F.nullif(F.substring_index(c, marker, -1), F.lit("")))
+    return F.substring_index(F.nullif(_c(c), F.lit("")), marker, -1)
 
 
 # SCA-24: conditional label.

@@ -21,7 +21,8 @@ UUID_MARKER = "id="
 
 def erp_profit(payload: DataFrame) -> DataFrame:
     """JOB-18: ``rows[]`` -> one row per product with 15 columns (PRJ-6, missing keys tolerated); the
-    product uuid is the text after the last ``id=`` of ``uuidHref``, null when absent or empty (SCA-18)."""
+    product uuid is the text after the last ``id=`` of ``uuidHref`` (null when that is missing or empty;
+    SCA-18)."""
     rows = explode_with_meta(payload, "rows")
     cols = [F.col(p).alias(n) for n, p in ERP_PROFIT_PATHS.items()]
     cols.insert(5, text_after_last(F.col("assortment.meta.uuidHref"), UUID_MARKER).alias("product_uuid"))

@@ -334,15 +334,15 @@ def q_tolerant_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------------------------- B18
 TAIL_SQL = """
-SELECT page_id, url, CASE WHEN strpos(url, '/') > 0 THEN NULLIF(regexp_extract(url, '[^/]*$'), '') END AS tail
+SELECT page_id, url, regexp_extract(NULLIF(url, ''), '[^/]*$') AS tail
 FROM pages
 """
 
 
 @register("text_after_marker", TAIL_SQL)
 def q_text_after_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B18 (SCA-18): the text after the last marker ('/'), null when the marker is absent or nothing
-    follows it."""
+    """B18 (SCA-18): the text after the last marker ('/'): null for missing or empty text, the whole text
+    when the marker is absent, '' when nothing follows it."""
     pg = table(spark, sf_dir, "pages").select("page_id", "url")
     return pg.select("page_id", "url", text_after_last("url", "/").alias("tail"))
 

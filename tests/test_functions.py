@@ -84,8 +84,8 @@ def test_map_and_join_keeps_unknown_elements(spark):
 
 
 def test_text_after_last_marker(spark):
-    vals = ["https://x/app/#good/edit?id=abc-1", "no marker", "ends with id=", None, "a id=1 id=2"]
-    assert one(spark, clean.text_after_last("c", "id="), values=vals) == ["abc-1", None, None, None, "2"]
+    vals = ["https://x/app/#good/edit?id=abc-1", "no marker", "ends with id=", None, "", "a id=1 id=2"]
+    assert one(spark, clean.text_after_last("c", "id="), values=vals) == ["abc-1", "no marker", "", None, None, "2"]
 
 
 def test_status_label_and_default(spark):

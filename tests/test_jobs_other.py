@@ -182,7 +182,7 @@ def test_erp_profit_uuid(spark, landed):
     out = erp.erp_profit(landed(payload, schemas.ERP_PROFIT, multi_line=True))
     assert len(out.columns) == 15
     assert rows(out, "product_name", "product_uuid", "product_uom") == [
-        ("Без меты", None, None), ("Товар", "uuid-1", "шт"), (None, None, None)]
+        ("Без меты", None, None), ("Товар", "uuid-1", "шт"), (None, "https://h/no-marker", None)]
 
 
 def test_stock_alerts_from_sheet(spark, tmp_path):
