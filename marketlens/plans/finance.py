@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import (bool_to_int, empty_strings_to_null, to_double_or_zero, to_long_or_zero,
                                to_wall_clock)
-from ..functions.dates import date_parts, unpadded_date_text
+from ..functions.dates import unpadded_date_text
 from ..operators.filters import successful_payloads
 from ..operators.flatten import explode_with_meta, first_element_fields, prefixed_struct, recursive_flatten
 from ..operators.project import conform
@@ -75,10 +75,9 @@ def finance_operations(payload: DataFrame, project: str | None = None, all_items
 
 def realization_by_day(payloads: DataFrame, day_col: str = "day", array_sizes: dict | None = None) -> DataFrame:
     """JOB-14: successful payloads only (FLT-10: records without ``rows`` are dropped), one row per report
-    row, recursively flattened with ``_``-joined paths and arrays by index (PRJ-8), with the request day as
-    unpadded text and its year/month/day parts (SCA-19/20)."""
+    row, recursively flattened with ``_``-joined paths and arrays by index (PRJ-8), and ``date`` set to the
+    request day as unpadded ``Y-M-D`` text (SCA-19), as the source writes it into every row."""
     ok = successful_payloads(payloads, "rows", error_col=None)
     rows = explode_with_meta(ok.select(F.col(day_col).alias("__day"), "rows"), "rows", keep=["__day"])
     flat = recursive_flatten(rows, array_sizes)
-    day = F.col("__day")
-    return flat.withColumns({"date_text": unpadded_date_text(day), **date_parts(day)}).drop("__day")
+    return flat.withColumn("date", unpadded_date_text(F.col("__day"))).drop("__day")

@@ -269,8 +269,7 @@ SELECT p_name AS item_offer_id, p_type AS item_name, p_partkey AS item_sku,
        p_size AS delivery_commission_quantity, p_retailprice AS delivery_commission_amount,
        CAST(NULL AS DOUBLE) AS delivery_commission_bonus, CAST(0 AS INTEGER) AS return_commission_quantity,
        CAST(NULL AS DOUBLE) AS return_commission_amount, p_retailprice AS prices_0,
-       CAST(p_size AS DOUBLE) AS prices_1, '2024-3-5' AS date_text, CAST(2024 AS INTEGER) AS year,
-       CAST(3 AS INTEGER) AS month, CAST(5 AS INTEGER) AS day_of_month
+       CAST(p_size AS DOUBLE) AS prices_1, '2024-3-5' AS date
 FROM part
 """
 
@@ -279,7 +278,7 @@ FROM part
 def q_recursive_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B15 (JOB-14: PRJ-8, FLT-10, SCA-19/20): realization-by-day payloads read from JSON text; every leaf
     becomes a ``_``-joined column, the declared 2-element price array becomes ``prices_0``/``prices_1``;
-    the request day as unpadded text and parts. Stand-in: one report row per part."""
+    ``date`` is the request day as unpadded text. Stand-in: one report row per part."""
     part = spread(table(spark, sf_dir, "part"))
     row = F.struct(
         F.struct(F.col("p_name").alias("offer_id"), F.col("p_type").alias("name"),
