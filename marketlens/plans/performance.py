@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.clean import label_or_null, map_and_join, to_double, to_wall_clock
+from ..functions.clean import label_or_null, map_and_join, to_wall_clock, tolerant_doubles
 from ..operators.aggregate import exact_sum
 from ..operators.flatten import explode_with_meta
 from ..schemas import PRODUCT_STATS_METRICS
@@ -42,12 +42,18 @@ def campaign_objects(objects: DataFrame, campaign_col: str = "campaign_id") -> D
             .select(campaign_col, F.col("id").alias("object_id")))
 
 
+def typed_report(report: DataFrame, metrics: Sequence[str] = PRODUCT_STATS_METRICS) -> DataFrame:
+    """JOB-17, row level: the text metrics that are present are cast tolerantly to numbers (SCA-3; bad text
+    becomes null), other columns are kept as they are."""
+    return tolerant_doubles(report, metrics)
+
+
 def performance_stats(report: DataFrame, metrics: Sequence[str] = PRODUCT_STATS_METRICS,
                       campaign_col: str = "campaignId", date_col: str = "date", money_scale: int = 2) -> DataFrame:
-    """JOB-17: text metrics cast tolerantly (SCA-3; absent metric columns are skipped), then the report is
-    grouped by campaign and day (AGG-10) with order-independent sums and a row count."""
+    """JOB-17 grouped: the typed report (SCA-3; absent metric columns are skipped) grouped by campaign and
+    day (AGG-10, the grouping the source asks its API for) with order-independent sums and a row count."""
     present = [m for m in metrics if m in report.columns]
-    typed = report.select(F.col(campaign_col), F.to_date(to_wall_clock(date_col)).alias("day"),
-                          *[to_double(m).alias(m) for m in present])
+    typed = typed_report(report, present).select(F.col(campaign_col), F.to_date(to_wall_clock(date_col)).alias("day"),
+                                                 *present)
     return (typed.groupBy(campaign_col, "day")
             .agg(*[exact_sum(m, money_scale).alias(m) for m in present], F.count(F.lit(1)).alias("n_rows")))
