@@ -85,5 +85,8 @@ MARKETPLACE_OZON = "Ozon"
 AUDIT_OK = "Successful"
 AUDIT_ERROR = "Error"
 
+# Fixed value: the source tag written into the realization tables (PRJ-15).
+REALIZATION_SOURCE = "WB-Realization-API"
+
 # Fixed value: the sentinel written for a missing date (SCA-10).
 NULL_DATE_SENTINEL = "2100-01-01"

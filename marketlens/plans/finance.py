@@ -11,19 +11,17 @@ from pyspark.sql import functions as F
 from ..functions.clean import (bool_to_int, empty_strings_to_null, to_double_or_zero, to_long_or_zero,
                                to_wall_clock)
 from ..functions.dates import unpadded_date_text
+from ..functions.labels import REALIZATION_SOURCE
 from ..operators.filters import successful_payloads
 from ..operators.flatten import explode_with_meta, first_element_fields, prefixed_struct, recursive_flatten
 from ..operators.project import conform
 from ..schemas import (OZON_FINANCE, REALIZATION_BOOL_COLUMNS, REALIZATION_DATE_COLUMNS, REALIZATION_NULLABLE_TEXT,
                        WB_FINANCE)
 
-REALIZATION_SOURCE = "api"
-
-
 def realization_clean(rows: DataFrame, now: dt.datetime | str, project: str | None = None,
                       source: str = REALIZATION_SOURCE, contract=WB_FINANCE) -> DataFrame:
     """JOB-12: '' becomes null in every text column (SCA-11), project / load time / source are added
-    (PRJ-15/16; ``load_dt`` only if absent), dates are parsed with the offset dropped (SCA-5/7), the two
+    (PRJ-15/16; ``load_dt`` and ``source`` only if absent), dates are parsed with the offset dropped (SCA-5/7), the two
     flags become 0/1 with null kept (SCA-16), missing contract columns are added as nulls and the columns
     are put in contract order (PRJ-18/17)."""
     out = empty_strings_to_null(rows)
@@ -31,7 +29,8 @@ def realization_clean(rows: DataFrame, now: dt.datetime | str, project: str | No
         out = out.withColumn("project", F.lit(project))
     if "load_dt" not in out.columns:
         out = out.withColumn("load_dt", F.lit(str(now)))
-    out = out.withColumn("source", F.lit(source))
+    if "source" not in out.columns:
+        out = out.withColumn("source", F.lit(source))
     out = out.withColumns({c: to_wall_clock(c) for c in REALIZATION_DATE_COLUMNS if c in out.columns})
     out = out.withColumns({c: bool_to_int(c) for c in REALIZATION_BOOL_COLUMNS if c in out.columns})
     out = empty_strings_to_null(out, [c for c in REALIZATION_NULLABLE_TEXT if c in out.columns])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import date_or_sentinel, fill_zero, text_after_last, to_double, to_long_or_zero, to_wall_clock
 from ..functions.dates import (calendar, date_parts, day_end_text, day_start_text, iso_utc_text, previous_week_end,
                                previous_week_start, unpadded_date_text, year_start)
-from ..functions.labels import MARKETPLACE_WB
+from ..functions.labels import MARKETPLACE_WB, REALIZATION_SOURCE
 from ..operators.aggregate import distinct_count, filtered_total, regroup_sum, total
 from ..operators.filters import equals
 from ..operators.joins import bounded_broadcast, left_join
@@ -665,7 +665,7 @@ def _realization_sql() -> str:
         "brand_name": "CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END",
         "rr_dt": "l_shipdate", "order_dt": "l_shipdate",
         "srv_dbs": "CAST(l_returnflag = 'R' AS INTEGER)", "is_legal_entity": "CAST(l_linestatus = 'O' AS INTEGER)",
-        "load_dt": f"TIMESTAMP '{NOW}'", "source": "'api'", "project": "'lines'",
+        "load_dt": f"TIMESTAMP '{NOW}'", "source": lit(REALIZATION_SOURCE), "project": "'lines'",
     }
     duck = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
     cols = [f"{mapped[c]} AS {c}" if c in mapped else f"CAST(NULL AS {duck[t]}) AS {c}" for c, t in WB_FINANCE]

@@ -99,7 +99,7 @@ def test_realization_clean(spark, landed):
     assert a.subject_name is None and a.srid is None and a.brand_name == "Бренд"
     assert a.create_dt == dt.datetime(2024, 3, 4, 3) and a.date_from == dt.datetime(2024, 2, 26)
     assert (a.srv_dbs, a.is_legal_entity, b.srv_dbs, b.is_legal_entity) == (1, None, 0, 1)
-    assert b.date_from is None and a.load_dt == dt.datetime(2024, 3, 5, 6) and a.source == "api"
+    assert b.date_from is None and a.load_dt == dt.datetime(2024, 3, 5, 6) and a.source == "WB-Realization-API"
     assert a.project == "P1" and a.ppvz_inn is None
 
 
