@@ -42,14 +42,18 @@ def rows_per_project(df: DataFrame, project_col: str = "project") -> DataFrame:
     return df.groupBy(project_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def load_audit(responses: DataFrame, loaded_at: dt.datetime | str, code_col: str = "status_code",
-               ok_code: int = 200) -> DataFrame:
-    """SNK-11: one row per landed response with its status label and the load time."""
-    return (responses
-            .withColumn("status", F.when(F.col(code_col) == ok_code, F.lit(AUDIT_OK)).otherwise(F.lit(AUDIT_ERROR)))
-            .withColumn("Date", F.lit(str(loaded_at)).cast("timestamp_ntz")))
+def load_audit(responses: DataFrame, loaded_at: dt.datetime | str, api_col: str = "project",
+               code_col: str = "status_code", text_col: str = "text", ok_code: int = 200) -> DataFrame:
+    """SNK-11: one row per landed response (API, Status Code, Status, Response Text, Date): the status
+    label is 'Successful' for ``ok_code`` and 'Error' otherwise (SCA-24); Date is the load time."""
+    code = F.col(code_col)
+    return responses.select(
+        F.col(api_col).cast("string").alias("API"), code.cast("int").alias("Status Code"),
+        F.when(code == ok_code, F.lit(AUDIT_OK)).otherwise(F.lit(AUDIT_ERROR)).alias("Status"),
+        F.col(text_col).cast("string").alias("Response Text"),
+        F.lit(str(loaded_at)).cast("timestamp_ntz").alias("Date"))
 
 
 def all_successful(audit: DataFrame) -> bool:
     """Precondition for all-or-nothing loads: true when no response failed (reads at most one row)."""
-    return audit.filter(F.col("status") != AUDIT_OK).limit(1).count() == 0
+    return audit.filter(F.col("Status") != AUDIT_OK).limit(1).count() == 0

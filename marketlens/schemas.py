@@ -239,6 +239,11 @@ STOCKS = [
 ]
 
 
+# The load-audit table (SNK-11): one row per project response.
+LOAD_AUDIT = [("API", "string"), ("Status Code", "int"), ("Status", "string"), ("Response Text", "string"),
+              ("Date", "timestamp_ntz")]
+
+
 def ddl(contract: list[tuple[str, str]]) -> str:
     """``CREATE TABLE`` column list for a contract (backticked, since ``sum``/``type`` are keywords)."""
     return ", ".join(f"`{c}` {t}" for c, t in contract)

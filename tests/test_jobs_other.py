@@ -206,8 +206,9 @@ def test_falling_sales_does_not_bridge_gaps(spark):
 def test_load_audit(spark):
     resp = spark.createDataFrame([("P1", 200, "ok"), ("P2", 429, "too many")], "project string, status_code int, text string")
     audit = load_audit(resp, NOW)
-    assert rows(audit, "project", "status") == [("P1", "Successful"), ("P2", "Error")]
-    assert not all_successful(audit) and all_successful(audit.filter("project = 'P1'"))
+    assert audit.columns == schemas.names(schemas.LOAD_AUDIT)
+    assert rows(audit, "API", "Status Code", "Status") == [("P1", 200, "Successful"), ("P2", 429, "Error")]
+    assert not all_successful(audit) and all_successful(audit.filter("API = 'P1'"))
 
 
 def test_history_csv_binds_by_header(spark, tmp_path):
