@@ -130,14 +130,17 @@ def reload_window(spark: SparkSession, df: DataFrame, target: Target, first: dt.
     """SNK-2: replace the days ``first..last`` with ``df``'s rows for those days; other days stay.
 
     Window days present in ``df`` are replaced by a dynamic partition overwrite; window days absent from
-    ``df`` are emptied, as the source's delete-then-insert does. Re-running is idempotent.
+    ``df`` are emptied, as the source's delete-then-insert does. ``df`` is evaluated once (checkpointed).
+    Re-running is idempotent.
     """
     first_d = dt.date.fromisoformat(str(first))
     last_d = dt.date.fromisoformat(str(last))
     in_window = F.col(part_col).between(F.lit(str(first_d)).cast("date"), F.lit(str(last_d)).cast("date"))
-    window = df.filter(in_window)
     days = [first_d + dt.timedelta(days=i) for i in range((last_d - first_d).days + 1)]
-    # The window is a handful of days, so these day lists are bounded, tiny results.
+    # The new rows are computed once: checkpointed in the shared folder, then both listed (which window days
+    # received rows: a handful of dates) and written, instead of running the upstream job twice.
+    shared_dir(spark)
+    window = conform(df.filter(in_window), target.contract, cast_present="strict").checkpoint(eager=True)
     written = {r[0] for r in window.select(part_col).distinct().collect()}
     overwrite_partitions(spark, window, target)
     for day in sorted(_days_present(spark, target, part_col, days) - written):
@@ -166,11 +169,12 @@ def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Seque
     dynamic partition overwrite. The key must determine the partition columns, so every version of a key
     lives in one partition.
     """
-    new = conform(df, target.contract, cast_present="strict")
+    shared_dir(spark)
+    # The batch is computed once (checkpointed), then used to list its partitions and in the merge.
+    new = conform(df, target.contract, cast_present="strict").checkpoint(eager=True)
     current, reads_target = _read_touched(spark, target, new)
     merged = latest_version(current.unionByName(new), key, version)
     if reads_target:  # the overwrite would delete files this plan still reads: cut the lineage first
-        shared_dir(spark)
         merged = merged.checkpoint(eager=True)
     overwrite_partitions(spark, merged, target)
 
