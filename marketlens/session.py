@@ -31,6 +31,8 @@ BASE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Checkpoints written by reload/upsert are deleted once their DataFrames are garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
