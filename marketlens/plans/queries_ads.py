@@ -1,4 +1,4 @@
-"""Registered advertising and performance-report queries (FIXTURES B1-B8, B19, B36)."""
+"""Registered advertising and performance queries (FIXTURES B1-B8, B19, B36, and JOB-15)."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.clean import label_or_null
+from ..functions.clean import label_map, label_or_null
 from ..operators.joins import bounded_broadcast, restrict_to_keys
+from ..operators.partitioning import spread
 from ..operators.quality import reconcile_totals
+from ..schemas import PERFORMANCE_CAMPAIGNS
+from ..sources.landed import parse_json_text
 from ..sources.tables import table
 from . import ads, performance, standins
 from .catalog import register
@@ -255,3 +258,56 @@ def q_report_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.get_json_object("props", "$.k").alias("views"), F.lit("1").alias("clicks"),
                        F.col("value").cast("string").alias("spending"))
     return performance.performance_stats(report)
+
+
+# ------------------------------------------------------------------------------------------- JOB-15
+# Parameters of this query: codes the stand-in campaigns carry, taken from an order's status and priority.
+# 'CAMPAIGN_STATE_NEW' and the two lowest priorities are not in the source's label maps (they become null).
+STATE_CODE_OF_STATUS = {"F": "CAMPAIGN_STATE_FINISHED", "O": "CAMPAIGN_STATE_RUNNING", "P": "CAMPAIGN_STATE_NEW"}
+PAYMENT_CODE_OF_PRIORITY = {"1-URGENT": "CPC", "2-HIGH": "CPM", "3-MEDIUM": "CPA"}
+PLACEMENT_CODE_OF_PRIORITY = {"1-URGENT": "PLACEMENT_TOP_PROMOTION", "2-HIGH": "PLACEMENT_SEARCH_AND_CATEGORY"}
+CREATED_FROM = "1998-01-01"
+
+
+def _code(col: str, mapping: dict):
+    return label_map(mapping)[F.col(col)]
+
+
+PERFORMANCE_DIM_SQL = f"""
+WITH c AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS title,
+         {case_map('o_orderstatus', STATE_CODE_OF_STATUS, False)} AS state_code,
+         {case_map('o_orderpriority', PAYMENT_CODE_OF_PRIORITY, False)} AS payment_code,
+         COALESCE({case_map('o_orderpriority', PLACEMENT_CODE_OF_PRIORITY, False)}, o_orderpriority) AS placement_code,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS createdAt
+  FROM orders)
+SELECT id, title, {case_map('state_code', labels.CAMPAIGN_STATE, False)} AS state,
+       CAST(NULL AS VARCHAR) AS advObjectType,
+       {case_map('payment_code', labels.PAYMENT_TYPE, False)} AS PaymentType,
+       CAST(NULL AS VARCHAR) AS productCampaignMode, CAST(NULL AS VARCHAR) AS productAutopilotStrategy,
+       COALESCE({case_map('placement_code', labels.PLACEMENT, False)}, placement_code) || ', '
+         || {lit(labels.PLACEMENT['PLACEMENT_PDP'])} AS placement,
+       createdAt
+FROM c WHERE createdAt >= {lit(CREATED_FROM)}
+"""
+
+
+@register("performance_campaign_dim", PERFORMANCE_DIM_SQL)
+def q_performance_campaign_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-15 (SCA-2, SCA-17, FLT-5): campaign lists read from JSON text; five code columns mapped with the
+    source's labels (unknown codes null), the placement array mapped element-wise (unknown kept) and joined,
+    then only campaigns created on or after a day (ISO text compare). Stand-in: one campaign per order, its
+    codes taken from the order's status and priority through the fixed code tables above."""
+    o = spread(table(spark, sf_dir, "orders"))
+    camp = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
+        _code("o_orderstatus", STATE_CODE_OF_STATUS).alias("state"),
+        _code("o_orderpriority", PAYMENT_CODE_OF_PRIORITY).alias("PaymentType"),
+        F.array(F.coalesce(_code("o_orderpriority", PLACEMENT_CODE_OF_PRIORITY), F.col("o_orderpriority")),
+                F.lit("PLACEMENT_PDP")).alias("placement"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"))
+    text = o.select(F.to_json(F.struct(F.array(camp).alias("list"))).alias("payload"))
+    lists = parse_json_text(text, "payload", PERFORMANCE_CAMPAIGNS)
+    out = performance.performance_campaign_dim(lists, created_from=CREATED_FROM)
+    return out.select("id", "title", "state", "advObjectType", "PaymentType", "productCampaignMode",
+                      "productAutopilotStrategy", "placement", "createdAt")
