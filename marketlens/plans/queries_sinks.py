@@ -1,4 +1,4 @@
-"""Registered sink queries (FIXTURES B32-B34): each writes real tables under the shared folder
+"""Registered sink queries (FIXTURES B32-B34, JOB-7, JOB-11): each writes real tables under the shared folder
 (``spark.checkpoint.dir``), runs the sink operator, and returns the table read back."""
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from ..sinks import writers
 from ..sources.tables import table
 from . import ads, standins
 from .catalog import register
+from .orders import ORDERS_WB_TABLE, orders_target, orders_upsert
 from .queries_ads import AD_ORDERS_FACT_SQL, campaign_details, product_day_orders
 from ..schemas import CAMPAIGN_DATA_WB
 from .queries_core import LATEST_SQL, LINE_COLUMNS
@@ -133,3 +134,51 @@ def q_reload_ad_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.append(spark, ads.ad_orders_fact(facts, no_orders_yet).withColumn("day", F.to_date("day")), target)
     ads.reload_ad_window(spark, flat, dim, orders, target, AD_TODAY, AD_DAYS)
     return writers.read(spark, target)
+
+
+# ------------------------------------------------------------------------------------------- JOB-11
+ORDERS_CHANGED_AT = "2024-02-01T00:00:00"
+
+
+def _orders_upsert_sql() -> str:
+    duck = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "tinyint": "TINYINT",
+            "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+    cancelled = "event_type = 'purchase'"
+    mapped = {
+        "date": "date_trunc('second', ts)",
+        "lastChangeDate": f"CASE WHEN {cancelled} THEN TIMESTAMP '{ORDERS_CHANGED_AT}' ELSE date_trunc('second', ts) END",
+        "warehouseName": "event_type", "nmId": "user_id", "totalPrice": "value",
+        "isSupply": "CAST(0 AS TINYINT)", "isRealization": "CAST(1 AS TINYINT)",
+        "isCancel": f"CAST(CASE WHEN {cancelled} THEN 1 ELSE 0 END AS TINYINT)",
+        "cancelDate": f"CASE WHEN {cancelled} THEN TIMESTAMP '{ORDERS_CHANGED_AT}' ELSE TIMESTAMP '2100-01-01' END",
+        "srid": "CAST(event_id AS VARCHAR)", "Marketplace": "'Wildberries'", "Project": "'events'",
+        "day": "CAST(ts AS DATE)",
+    }
+    cols = [f"{mapped[c]} AS {c}" if c in mapped else f"CAST(NULL AS {duck[t]}) AS {c}" for c, t in ORDERS_WB_TABLE]
+    return "SELECT " + ", ".join(cols) + " FROM events"
+
+
+@register("orders_upsert", _orders_upsert_sql())
+def q_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-11 (SCA-5, SCA-10, SCA-16, FLT-11, WIN-1, SNK-3): two landed batches of the supplier order log
+    upserted into a day-partitioned table. Batch 1: every event as an order (no cancel date -> sentinel);
+    batch 2, taken from the table's high-water mark on: the purchases sent again as cancelled at a later
+    change time, which must replace their first version. Read back."""
+    ev = table(spark, sf_dir, "events")
+    text_ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+
+    def landed(cancelled: bool) -> DataFrame:
+        rows = ev.filter(F.col("event_type") == "purchase") if cancelled else ev
+        changed = F.lit(ORDERS_CHANGED_AT) if cancelled else text_ts
+        return rows.select(
+            text_ts.alias("date"), changed.alias("lastChangeDate"), F.col("event_type").alias("warehouseName"),
+            F.col("user_id").alias("nmId"), F.col("value").alias("totalPrice"), F.lit(False).alias("isSupply"),
+            F.lit(True).alias("isRealization"), F.lit(cancelled).alias("isCancel"),
+            (F.lit(ORDERS_CHANGED_AT) if cancelled else F.lit(None).cast("string")).alias("cancelDate"),
+            F.col("event_id").cast("string").alias("srid"))
+
+    target = orders_target(scratch_path(spark, "orders_wb"))
+    writers.create_table(spark, target)
+    orders_upsert(spark, landed(False), target, project="events")
+    orders_upsert(spark, landed(True), target, project="events")
+    return writers.read(spark, target)
