@@ -169,12 +169,13 @@ def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Seque
     dynamic partition overwrite. The key must determine the partition columns, so every version of a key
     lives in one partition.
     """
-    shared_dir(spark)
-    # The batch is computed once (checkpointed), then used to list its partitions and in the merge.
-    new = conform(df, target.contract, cast_present="strict").checkpoint(eager=True)
+    new = conform(df, target.contract, cast_present="strict")
+    # Listing the batch's partition values reads only the partition columns (column pruning), so the batch
+    # is not materialised for it; the merge below is the one full evaluation.
     current, reads_target = _read_touched(spark, target, new)
     merged = latest_version(current.unionByName(new), key, version)
     if reads_target:  # the overwrite would delete files this plan still reads: cut the lineage first
+        shared_dir(spark)
         merged = merged.checkpoint(eager=True)
     overwrite_partitions(spark, merged, target)
 
