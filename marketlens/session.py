@@ -2,8 +2,8 @@
 
 The library itself never creates a session inside an operator; jobs receive one. ``build_session`` is for
 scripts, tests and the bench. ``shared_dir`` is where jobs put tables they must write and read back
-(window reload, upsert staging): it is the cluster's ``spark.checkpoint.dir``; only when that is unset (a
-laptop or a test) do we pick a local folder ourselves.
+(window reload, upsert staging): it is the cluster's ``spark.checkpoint.dir``; only when that is unset in
+local mode (a laptop or a test) do we pick a local folder ourselves; on a cluster an unset one is an error.
 """
 
 from __future__ import annotations
@@ -71,6 +71,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                           "(a machine-local folder is not visible to executors and is lost with the driver)")
     local = tempfile.mkdtemp(prefix="marketlens-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
