@@ -18,8 +18,9 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
+        known = QUERIES.get(name)
+        if known is not None and (known.__module__, known.__qualname__) != (fn.__module__, fn.__qualname__):
+            raise ValueError(f"two different queries registered as {name}")  # a re-import is fine
         QUERIES[name] = fn
         if sql is not None:
             ORACLE_SQL[name] = sql.strip()
