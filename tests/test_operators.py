@@ -111,3 +111,39 @@ def test_hot_key_third_of_rows(spark):
     pages = nest_pages(base, ["k"], F.col("v"), ["v", "s"], page_size=1000)
     hot_pages = pages.filter("k = -1").select(F.size("items").alias("n")).collect()
     assert sum(r.n for r in hot_pages) == n // 3 and len(hot_pages) == 10 and max(r.n for r in hot_pages) < 2000
+
+
+version_rows = st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)),
+                                  st.text("abc", max_size=2)), max_size=30)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(version_rows)
+def test_latest_version_matches_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k int, v int, p string")
+    expected = {}
+    for k, v, p in data:  # highest version, null lowest; ties broken by the highest other column
+        rank = (v is not None, v if v is not None else 0, p)
+        if k not in expected or rank > expected[k][0]:
+            expected[k] = (rank, (k, v, p))
+    assert rows(window.latest_version(df, ["k"], "v")) == sorted(
+        (r for _, r in expected.values()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+weeks = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.integers(0, 12)), max_size=20,
+                 unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(weeks)
+def test_period_change_matches_brute_force(spark, data):
+    base = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(p, base + dt.timedelta(weeks=w), n) for p, w, n in data],
+                               "p int, week date, n bigint")
+    got = {(r.p, r.week): (r.prev_n, r.change) for r in
+           window.period_change(df, ["p"], "week", "n", lambda c: F.date_sub(c, 7)).collect()}
+    counts = {(p, w): n for p, w, n in data}
+    for (p, w), n in counts.items():
+        prev = counts.get((p, w - 1))  # only the immediately preceding week counts
+        change = round(n / prev - 1, 6) if prev else None
+        assert got[(p, base + dt.timedelta(weeks=w))] == (prev, change)
