@@ -147,3 +147,44 @@ def test_period_change_matches_brute_force(spark, data):
         prev = counts.get((p, w - 1))  # only the immediately preceding week counts
         change = round(n / prev - 1, 6) if prev else None
         assert got[(p, base + dt.timedelta(weeks=w))] == (prev, change)
+
+
+ad_rows = st.lists(st.tuples(
+    st.integers(0, 1), st.sampled_from([1, 2, None]), st.sampled_from([10, 11]), st.integers(0, 3),
+    st.sampled_from([None, "a", "b"]), st.one_of(st.none(), st.integers(0, 5)),
+    st.one_of(st.none(), st.integers(0, 999).map(lambda c: c / 100)),
+    st.one_of(st.none(), st.integers(0, 99).map(lambda c: c / 10))), max_size=25)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ad_rows)
+def test_daily_ad_fact_matches_brute_force(spark, data):
+    """AGG-1 against a plain-Python version of the source's semantics."""
+    from decimal import Decimal
+
+    from marketlens.operators.aggregate import daily_ad_fact
+
+    base = dt.datetime(2024, 3, 1, 8)
+    flat_rows = [(base + dt.timedelta(days=d, hours=h), nm, adv, name, views, money, ratio)
+                 for d, nm, adv, h, name, views, money, ratio in data]
+    df = spark.createDataFrame(flat_rows, "date timestamp_ntz, nmId int, advertId int, name string, views bigint, "
+                                          "sum double, ctr double")
+    df = df.select("*", *[F.lit(None).cast("bigint").alias(c) for c in ("clicks", "atbs", "orders", "shks")],
+                   F.lit(None).cast("double").alias("sum_price"), F.col("ctr").alias("cpc"),
+                   F.col("ctr").alias("cr"))
+    got = {(r.day, r.nmId, r.advertId): (r.date, r.name, r.views, r.sum, r.ctr)
+           for r in daily_ad_fact(df, keys=(), order_cols=("date",)).collect()}
+    groups = {}
+    for ts, nm, adv, name, views, money, ratio in flat_rows:
+        if nm is None:
+            continue  # null keys are dropped
+        groups.setdefault((ts.date(), nm, adv), []).append((ts, name, views, money, ratio))
+    expected = {}
+    for k, g in groups.items():
+        named = sorted((ts, n) for ts, n, *_ in g if n is not None)
+        ratios = [r for *_, r in g if r is not None]
+        expected[k] = (min(ts for ts, *_ in g), named[0][1] if named else None,
+                       sum(v for _, _, v, _, _ in g if v is not None),
+                       float(sum((Decimal(str(m)) for _, _, _, m, _ in g if m is not None), Decimal(0))),
+                       round(sum(ratios) / len(ratios), 6) if ratios else None)
+    assert got == expected
