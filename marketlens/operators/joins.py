@@ -55,31 +55,18 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataF
     return df.join(keys.select(*on), list(on), "left_semi")
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = 1_000_000,
-                     buckets: int = 64) -> DataFrame:
+def split_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """LEFT JOIN that stays balanced when a key of the *right* side is hot.
 
-    AQE splits a skewed partition only on the side it streams (the left of a left outer join), so a key
-    holding a large share of the right side would land whole in one task. Here keys with at least
-    ``hot_rows`` right rows (found by a partial-aggregated count; there are at most rows / ``hot_rows`` of
-    them; AQE broadcasts that set after measuring it, without a hint or a separate sizing job) are salted:
-    their right rows are spread over ``buckets`` by a hash of the row, and the left rows of those keys are
-    repeated once per bucket. Other keys keep salt 0 and are not repeated. Matches come from an inner join on
-    (keys, salt); left rows without any match are added back by an anti join on the right side's keys, so
-    the result equals ``left.join(right, on, "left")``. The price is extra passes over the right side that
-    read only its key columns (the key counts and the anti join).
+    AQE splits a skewed partition of a left outer join only on its preserved (left) side, so a key holding a
+    large share of the right side would be buffered whole by one task. Written as an inner join (where AQE
+    can split a skewed partition on either side) plus the left rows whose key has no right row (an anti join
+    against the right side's distinct keys, pre-aggregated before their shuffle), the result is exactly
+    ``left.join(right, on, "left")`` and no task holds a hot key whole. The price is one extra pass over the
+    right side's key columns.
     """
     on = list(on)
-    key_counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    hot = key_counts.filter(F.col("__n") >= hot_rows).select(*on, F.lit(True).alias("__hot"))
-    r = right.join(hot, on, "left")
-    r = r.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]),
-                                                              F.lit(buckets))).otherwise(F.lit(0))).drop("__hot")
-    left_cols = left.columns
-    l_ = left.join(hot, on, "left")
-    l_ = l_.withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                            .otherwise(F.array(F.lit(0))))).drop("__hot")
-    matched = l_.join(r, [*on, "__salt"], "inner").drop("__salt")
-    unmatched = left.join(key_counts.select(*on), on, "left_anti")
     right_only = [c for c in right.columns if c not in on]
-    return matched.select(*left_cols, *right_only).unionByName(unmatched, allowMissingColumns=True)
+    matched = left.join(right, on, "inner").select(*left.columns, *right_only)
+    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

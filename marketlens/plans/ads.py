@@ -20,7 +20,7 @@ from ..functions.dates import reload_days
 from ..operators.aggregate import daily_ad_fact
 from ..operators.filters import year_at_least
 from ..operators.flatten import explode_positions, explode_with_meta, select_paths
-from ..operators.joins import DIM_BROADCAST_MAX_ROWS, left_join, restrict_to_keys, salted_left_join
+from ..operators.joins import DIM_BROADCAST_MAX_ROWS, left_join, restrict_to_keys, split_left_join
 from ..operators.project import conform
 from ..schemas import CAMPAIGN_DATA_WB, CAMPAIGN_DATA_WB_PERIOD
 from ..sinks import writers
@@ -161,15 +161,15 @@ def ad_orders_fact(facts_with_campaign: DataFrame, product_day_orders: DataFrame
 
 # ------------------------------------------------------------------------------------------- JOB-5
 def product_first_fact(product_day_orders: DataFrame, facts_with_campaign: DataFrame,
-                       null_safe: bool = False, hot_rows: int | None = 1_000_000) -> DataFrame:
+                       null_safe: bool = False) -> DataFrame:
     """JOB-5 (JON-3): every product-day with orders, with its ad rows where they exist (ad columns null
-    otherwise). The ad side is the right side of this left join, where AQE cannot split a hot product-day,
-    so product-days with at least ``hot_rows`` ad rows are salted (``joins.salted_left_join``);
-    ``hot_rows=None`` uses the plain join, ``null_safe`` joins null keys to null keys (pandas parity)."""
+    otherwise). The ad side is the non-preserved side of this left join, where AQE cannot split a hot
+    product-day, so the join is written as inner join + anti join (``joins.split_left_join``);
+    ``null_safe`` joins null keys to null keys instead (pandas parity)."""
     ads = facts_with_campaign.drop(*[c for c in ORDER_METRICS if c in facts_with_campaign.columns])
-    if null_safe or hot_rows is None:
-        return left_join(product_day_orders, ads, ["nmId", "day"], null_safe=null_safe)
-    return salted_left_join(product_day_orders, ads, ["nmId", "day"], hot_rows=hot_rows)
+    if null_safe:
+        return left_join(product_day_orders, ads, ["nmId", "day"], null_safe=True)
+    return split_left_join(product_day_orders, ads, ["nmId", "day"])
 
 
 # ------------------------------------------------------------------------------------------- JOB-7

@@ -12,7 +12,7 @@ from ..functions.dates import (calendar, date_parts, day_end_text, day_start_tex
 from ..functions.labels import MARKETPLACE_WB, REALIZATION_SOURCE
 from ..operators.aggregate import distinct_count, filtered_total, regroup_sum, total
 from ..operators.filters import equals
-from ..operators.joins import bounded_broadcast, left_join
+from ..operators.joins import bounded_broadcast, left_join, split_left_join
 from ..operators.partitioning import spread
 from ..operators.project import conform
 from ..operators.quality import rows_per_project
@@ -205,7 +205,7 @@ def q_stock_by_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_supplier = regroup_sum(li, ["p_partkey", "l_suppkey"], money=["l_quantity"], keep_decimal=True)
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     stocked = per_supplier.join(supplier, "l_suppkey")
-    rows = left_join(part, stocked, ["p_partkey"])
+    rows = split_left_join(part, stocked, ["p_partkey"])
     wh = F.struct(F.col("s_name").alias("warehouseName"), F.col("l_quantity").cast("int").alias("quantity"))
     warehouses = F.when(F.col("s_name").isNull(), F.filter(F.array(wh), lambda x: F.lit(False))).otherwise(F.array(wh))
     payload = F.struct(F.lower("p_brand").alias("brand"), F.col("p_type").alias("subjectName"),
@@ -246,7 +246,7 @@ def q_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.struct(F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("name"),
                     F.col("l_partkey").cast("string").alias("sku"))
     pages = standins.nest_pages(li, ["l_orderkey"], item, ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"])
-    ops = left_join(o, pages.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"])
+    ops = split_left_join(o, pages.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"])
     when_text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     op = F.struct(
         F.col("o_orderkey").cast("string").alias("operation_id"), F.col("o_orderstatus").alias("operation_type"),
