@@ -227,3 +227,16 @@ def test_report_folder_with_json_and_csv(spark, tmp_path):
     (d / "c2.csv").write_text("views,campaignId,date\n7,2,2024-03-01\n")
     out = performance.performance_stats(read_report_folder(spark, str(tmp_path / "reports")))
     assert rows(out, "campaignId", "views") == [("1", 5.0), ("2", 7.0)]
+
+
+def test_numbers_sent_as_json_numbers_or_text_both_survive(spark, landed):
+    """Fields that may arrive as text are declared string: a JSON number read into a string field keeps its
+    value, where a bigint field would turn the text form into null (the trap the schema avoids)."""
+    ops = [{"result": {"operations": [
+        {"operation_id": 123, "operation_type": "a", "amount": 10.5, "items": [{"name": "x", "sku": 77}]},
+        {"operation_id": "124", "operation_type": "b", "amount": "11.25", "items": [{"name": "y", "sku": "78"}]}]}}]
+    out = finance.finance_operations(landed(ops, schemas.FINANCE_OPERATIONS, multi_line=True))
+    assert rows(out, "operation_type", "operation_id", "amount", "item_sku") == [("a", 123, 10.5, 77),
+                                                                              ("b", 124, 11.25, 78)]
+    as_bigint = landed([{"v": "7"}, {"v": 8}], "v bigint")
+    assert sorted((r.v for r in as_bigint.collect()), key=lambda x: (x is None, x)) == [8, None]
