@@ -98,9 +98,14 @@ def nest_pages(children: DataFrame, parent: Sequence[str], item: Column, order:
     """
     parent = list(parent)
     counts = children.groupBy(*parent).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select(*[F.col(c).alias(f"__p_{c}") for c in parent], "__n")
     pages = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(page_size)))
     h = F.xxhash64(*[F.col(c) for c in children.columns])
-    paged = (children.join(counts, parent)
+    same_parent = None
+    for c in parent:  # null-safe: children of a null parent are nested too, not dropped
+        term = F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+        same_parent = term if same_parent is None else same_parent & term
+    paged = (children.join(counts, same_parent).drop(*[f"__p_{c}" for c in parent])
              .withColumn("__page", F.when(pages > 1, F.pmod(h, pages)).otherwise(F.lit(0))))
     # collect_list gains nothing from a map-side partial step (it keeps every row), so shuffle the rows by
     # (parent, page) first: the collect then runs after the only shuffle, in parallel, and a hot parent's

@@ -11,7 +11,8 @@ from marketlens.operators import flatten, joins, project, window
 from marketlens.plans.standins import nest_pages
 from marketlens.sources.landed import parse_json_text
 
-child = st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5)), st.text("абвxyz", max_size=4))
+child = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(-5, 5)),
+                  st.text("абвxyz", max_size=4))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
