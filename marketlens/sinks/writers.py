@@ -197,8 +197,13 @@ def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> tuple[
     values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()] if len(parts) == 1 else None
     simple = (values is not None and len(values) <= MAX_TOUCHED_PARTITIONS and values
               and all(isinstance(v, (dt.date, int)) and not isinstance(v, bool) for v in values))
-    if not simple:
-        return read(spark, target).join(touched, parts, "left_semi"), True
+    if not simple:  # null-safe, so rows stored under a null partition value are merged too
+        t = touched.select(*[F.col(c).alias(f"__t_{c}") for c in parts])
+        cond = None
+        for c in parts:
+            term = F.col(c).eqNullSafe(F.col(f"__t_{c}"))
+            cond = term if cond is None else cond & term
+        return read(spark, target).join(t, cond, "left_semi"), True
     glob = f"{target.path.rstrip('/')}/{parts[0]}={{{','.join(str(v) for v in values)}}}"
     try:
         found = spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)

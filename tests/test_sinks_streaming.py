@@ -98,3 +98,13 @@ def test_catalog_registration_sees_partitions(spark, tmp_path):
     got = spark.sql("SELECT id, day FROM ml_test_cat WHERE day = DATE'2024-01-02'").collect()
     assert [tuple(r) for r in got] == [(2, dt.date(2024, 1, 2))]
     assert [c.name for c in spark.catalog.listColumns("ml_test_cat") if c.isPartition] == ["day"]
+
+
+def test_upsert_merges_rows_under_a_null_partition(spark, tmp_path):
+    t = writers.Target(str(tmp_path / "n"), [("k", "bigint"), ("ver", "int"), ("day", "date")], ("day",))
+    writers.create_table(spark, t)
+    first = spark.createDataFrame([(1, 1, None), (2, 1, dt.date(2024, 1, 1))], "k bigint, ver int, day date")
+    writers.upsert_latest(spark, first, t, ["k", "day"], "ver")
+    second = spark.createDataFrame([(1, 2, None)], "k bigint, ver int, day date")
+    writers.upsert_latest(spark, second, t, ["k", "day"], "ver")
+    assert rows(writers.read(spark, t)) == [(1, 2, None), (2, 1, dt.date(2024, 1, 1))]
