@@ -25,6 +25,7 @@ from ..operators.project import conform
 from ..schemas import CAMPAIGN_DATA_WB, CAMPAIGN_DATA_WB_PERIOD
 from ..sinks import writers
 
+# The tenant columns, and the product-day order metrics attached to the ad fact.
 TENANT = ("Project", "Marketplace")
 ORDER_METRICS = ["ordersCount", "ordersSumRub", "addToCartCount"]
 

@@ -18,6 +18,7 @@ from ..sinks import writers
 from ..operators.window import period_change
 from ..schemas import STOCKS, WAREHOUSE_DATA_WB
 
+# The product columns kept beside each warehouse row.
 WAREHOUSE_META = ["brand", "subjectName", "vendorCode", "inWayToClient", "inWayFromClient",
                   "quantityWarehousesFull"]
 
