@@ -1,0 +1 @@
+"""DataFrame operators: flattening, projection, filters, joins, aggregation, windows, sorts, unions, checks."""

@@ -1,0 +1 @@
+"""Structured Streaming runners (the incremental order log)."""
