@@ -199,3 +199,14 @@ def test_split_left_join_equals_left_join_with_hot_keys(spark):
     assert rows(split) == rows(joins.left_join(left, right, ["k"])) and split.columns == ["k", "l", "r"]
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "LeftOuter" not in plan  # only inner and anti joins, both of which AQE can split or pre-reduce
+
+
+join_side = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=25)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(join_side, join_side)
+def test_split_left_join_matches_left_join(spark, left_rows, right_rows):
+    left = spark.createDataFrame(left_rows, "k int, a int")
+    right = spark.createDataFrame(right_rows, "k int, b int")
+    assert rows(joins.split_left_join(left, right, ["k"])) == rows(joins.left_join(left, right, ["k"]))
