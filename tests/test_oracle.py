@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from marketlens.plans.catalog import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -31,10 +32,10 @@ def canon(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_cols = df.columns
