@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from marketlens.llm import byte_bpe
+from marketlens.llm import byte_bpe, token_files
 
 QUERIES = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
+    "op5_token_files": token_files.op5_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}

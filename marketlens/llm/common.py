@@ -124,7 +124,7 @@ class ChunkEncoder:
     ``encode`` takes a list of chunk texts and returns their ids end to end and each one's number of ids.
     """
 
-    MOST_CHUNKS, MOST_CHARS = 300_000, 16_000_000
+    MOST_CHUNKS, MOST_CHARS = 800_000, 16_000_000
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  split: Callable[[str], list[str]] = space_chunks, text_of: Callable[[str], str] = chunk_text) -> None:
@@ -157,8 +157,7 @@ class ChunkEncoder:
         return flat, per_chunk[starts(counts)]
 
 
-def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """``encode`` for a ChunkEncoder by the tokenizers library; special tokens' strings are ordinary text."""
+def _library(path: str):
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -166,15 +165,62 @@ def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.nda
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def _flat(encodings: list) -> tuple[np.ndarray, np.ndarray]:
+    ids = [e.ids for e in encodings]
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter((i for own in ids for i in own), np.uint32, int(lengths.sum())), lengths
+
+
+def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """``encode`` for a ChunkEncoder by the tokenizers library; special tokens' strings are ordinary text."""
+    tokenizer = _library(path)
+    return lambda texts: _flat(tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+
+def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """``library_encoder`` for a byte-level vocabulary and chunks of ``space_chunks``.
+
+    Chunks that begin with one space or line end are encoded ``together`` as one text; the tokens' lengths in bytes tell
+    where each chunk ends.
+    """
+    tokenizer = _library(path)
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    widths = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():
+        widths[i] = len(token)  # a byte-level token has one character for each byte
+    joins = re.compile(r"[ \n]\S+\Z")
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for own in ids for i in own), np.uint32, int(lengths.sum()))
-        return flat, lengths
+        plain = np.fromiter((joins.match(t) is not None for t in texts), bool, len(texts))
+        joined = [t for t, p in zip(texts, plain.tolist(), strict=True) if p]
+        flat, lengths = _flat(tokenizer.encode_batch_fast(
+            ["".join(joined[i:i + together]) for i in range(0, len(joined), together)], add_special_tokens=False))
+        ends = np.cumsum(np.fromiter((len(t.encode()) for t in joined), np.int64, len(joined)))
+        cuts = np.searchsorted(np.cumsum(widths[flat]), ends) + 1
+        if plain.all():
+            return flat, np.diff(cuts, prepend=0)
+        odd, odd_lengths = _flat(tokenizer.encode_batch_fast([t for t, p in zip(texts, plain.tolist(), strict=True) if not p],
+                                                             add_special_tokens=False))
+        lengths = np.empty(len(texts), np.int64)
+        lengths[plain], lengths[~plain] = np.diff(cuts, prepend=0), odd_lengths
+        # Both kinds end to end, then back in the order of the texts.
+        own = np.concatenate([np.diff(cuts, prepend=0), odd_lengths])
+        order = np.empty(len(texts), np.int64)
+        order[plain], order[~plain] = np.arange(len(joined)), np.arange(len(joined), len(texts))
+        return ragged_take(np.concatenate([flat, odd]), starts(own), order), lengths
 
     return encode
 
 
-def arrow_schema(*fields: tuple[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(fields))
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def library_chunks(path: str, byte_level: bool = True) -> ChunkEncoder:
+    """The tokenizer file's ChunkEncoder, kept by the Python worker from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = (ChunkEncoder(byte_level_encoder(path)) if byte_level else
+                           ChunkEncoder(library_encoder(path), lambda t: t.split(" "), lambda c: c))
+    return _ENCODERS[path]
