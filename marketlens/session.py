@@ -8,7 +8,9 @@ local mode (a laptop or a test) do we pick a local folder ourselves; on a cluste
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -83,3 +85,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for one written table."""
     return os.path.join(shared_dir(spark), "marketlens", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, where neither PYTHONPATH nor the working folder already gives it to them.
+
+    Jobs submitted with ``--py-files`` or an installed package need no such call.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, name = os.path.split(package)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.path.abspath(os.getcwd()) == root:
+        return
+    if any(os.path.basename(p) == f"{name}.zip" for p in getattr(spark.sparkContext, "_python_includes", [])):
+        return
+    folder = tempfile.mkdtemp(prefix="marketlens-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # tasks fetch the file when they first run
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", root, name))
