@@ -118,13 +118,27 @@ def chunk_text(key: str) -> str:
     return key if key[0] == "\n" else " " + key
 
 
+_WIDE = re.compile("[^\x00-\u024f]")
+
+
+def word_chunks(text: str) -> list[str]:
+    """Cut a text at spaces and line ends, for a tokenizer that lower-cases and drops white space.
+
+    Lower case comes first, to have fewer distinct chunks, unless the text holds characters beyond Latin, whose lower case may
+    hang together with their neighbours.
+    """
+    if not _WIDE.search(text):
+        text = text.lower()
+    return text.replace("\n", " ").split(" ")
+
+
 class ChunkEncoder:
     """Token ids of whole texts: chunks are encoded once by ``encode`` and remembered, up to a bound.
 
     ``encode`` takes a list of chunk texts and returns their ids end to end and each one's number of ids.
     """
 
-    MOST_CHUNKS, MOST_CHARS = 800_000, 16_000_000
+    MOST_CHUNKS, MOST_CHARS = 1_200_000, 24_000_000
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  split: Callable[[str], list[str]] = space_chunks, text_of: Callable[[str], str] = chunk_text) -> None:
@@ -222,5 +236,5 @@ def library_chunks(path: str, byte_level: bool = True) -> ChunkEncoder:
     """The tokenizer file's ChunkEncoder, kept by the Python worker from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = (ChunkEncoder(byte_level_encoder(path)) if byte_level else
-                           ChunkEncoder(library_encoder(path), lambda t: t.split(" "), lambda c: c))
+                           ChunkEncoder(library_encoder(path), word_chunks, lambda c: c))
     return _ENCODERS[path]
