@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, token_files
+from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pq_dedup, segment_search, token_files
 
 QUERIES = {
+    "op1_segment_search": segment_search.op1_segment_search,
     "op2_language_id": language_id.op2_language_id,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_minhash_dedup": minhash.op4_minhash_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
+    "op9_pq_dedup": pq_dedup.op9_pq_dedup,
     "op10_packing": packing.op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_segment_search": segment_search.OP1_SQL}
