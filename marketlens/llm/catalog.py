@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pq_dedup, segment_search, token_files
+from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pii, pq_dedup, segment_search, token_files
 
 QUERIES = {
     "op1_segment_search": segment_search.op1_segment_search,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_minhash_dedup": minhash.op4_minhash_dedup,
     "op5_token_files": token_files.op5_token_files,
+    "op6_pii_pseudonyms": pii.op6_pii_pseudonyms,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op9_pq_dedup": pq_dedup.op9_pq_dedup,
     "op10_packing": packing.op10_packing,
