@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pii, pq_dedup, segment_search, token_files
+from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pii, pq_dedup, segment_search, token_files, warc_audit
 
 QUERIES = {
     "op1_segment_search": segment_search.op1_segment_search,
@@ -12,8 +12,12 @@ QUERIES = {
     "op5_token_files": token_files.op5_token_files,
     "op6_pii_pseudonyms": pii.op6_pii_pseudonyms,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
+    "op8_warc_audit": warc_audit.op8_warc_audit,
     "op9_pq_dedup": pq_dedup.op9_pq_dedup,
     "op10_packing": packing.op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_segment_search": segment_search.OP1_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_segment_search": segment_search.OP1_SQL,
+    "op8_warc_audit": warc_audit.OP8_SQL,
+}
