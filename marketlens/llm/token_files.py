@@ -218,21 +218,28 @@ def _group_tables() -> tuple[np.ndarray, np.ndarray]:
 
 SEGMENTS = pa.schema([("part", pa.int32()), ("start_in_part", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                       ("doc_lengths", pa.list_(pa.int64())), ("block_lengths", pa.list_(pa.int32())),
-                      ("block_sizes", pa.list_(pa.int32())), ("block_crc32", pa.list_(pa.int64())), ("payload", pa.binary())])
+                      ("block_sizes", pa.list_(pa.int32())), ("coded_crc32", pa.list_(pa.int64())),
+                      ("block_crc32", pa.list_(pa.int64())), ("payload", pa.binary())])
 SEGMENTS_DDL = ("part int, start_in_part long, doc_ids array<long>, doc_lengths array<long>, block_lengths array<int>, "
-                "block_sizes array<int>, block_crc32 array<long>, payload binary")
+                "block_sizes array<int>, coded_crc32 array<long>, block_crc32 array<long>, payload binary")
 
 
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _coded_crcs(payload: bytes, sizes: np.ndarray) -> list[int]:
+    view, edges = memoryview(payload), starts(sizes).tolist()
+    return [zlib.crc32(view[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
 def segment_row(part: int, start: int, doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     """One row of the file format."""
     payload, sizes = encode_blocks(ids)
     cuts = [*range(0, len(ids), BLOCK_IDS), len(ids)] if len(ids) else [0]
     blocks = [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-    columns = [part, start, doc_ids, lengths.tolist(), [len(b) for b in blocks], sizes.tolist(), [_crc(b) for b in blocks], payload]
+    columns = [part, start, doc_ids, lengths.tolist(), [len(b) for b in blocks], sizes.tolist(), _coded_crcs(payload, sizes),
+               [_crc(b) for b in blocks], payload]
     return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, SEGMENTS, strict=True)], schema=SEGMENTS)
 
 
@@ -272,7 +279,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0
 def read_files(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
     """Per document: ``doc_id``, ``start`` (ids before it in all files), ``n_tokens`` and ``ids``, or with ``digests`` ``ids_crc32``.
 
-    Every block's checksum is compared; a difference raises an error that names the block.
+    Every block's checksums (of its coded bytes and of its ids) are compared; a difference raises an error that names the block.
     """
     files = spark.read.schema(SEGMENTS_DDL).parquet(path)
     # One row a part: their number is that of the partitions written, whatever the documents.
@@ -284,11 +291,14 @@ def read_files(spark: SparkSession, path: str, digests: bool = False) -> DataFra
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.array(row["block_lengths"], np.int64)
+                coded = _coded_crcs(row["payload"], np.array(row["block_sizes"], np.int64))
+                if bad := [k for k, (x, y) in enumerate(zip(coded, row["coded_crc32"], strict=True)) if x != y]:
+                    raise ValueError(f"blocks {bad} of the segment at {row['start']} are damaged")
                 ids = decode_blocks(row["payload"], np.array(row["block_sizes"], np.int64), lengths)
                 edges = starts(lengths)
                 for k, crc in enumerate(row["block_crc32"]):
                     if _crc(ids[edges[k]:edges[k + 1]]) != crc:
-                        raise ValueError(f"block {k} of the segment at {row['start']} is damaged")
+                        raise ValueError(f"block {k} of the segment at {row['start']} is damaged: its ids have another checksum")
                 own = starts(np.array(row["doc_lengths"], np.int64))
                 each = [ids[a:b] for a, b in zip(own, own[1:], strict=False)]
                 last = pa.array([_crc(x) for x in each], pa.int64()) if digests else pa.array(each, pa.list_(pa.uint32())).cast(pa.list_(pa.int32()))
@@ -297,7 +307,7 @@ def read_files(spark: SparkSession, path: str, digests: bool = False) -> DataFra
                     ["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"])
 
     return (files.join(before, "part").withColumn("start", F.col("before") + F.col("start_in_part"))
-            .select("start", "doc_ids", "doc_lengths", "block_lengths", "block_sizes", "block_crc32", "payload")
+            .select("start", "doc_ids", "doc_lengths", "block_lengths", "block_sizes", "coded_crc32", "block_crc32", "payload")
             .mapInArrow(run, f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digests else 'ids array<int>'}"))
 
 
