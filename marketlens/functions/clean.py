@@ -50,11 +50,15 @@ def tolerant_doubles(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: to_double(c) for c in present}) if present else df
 
 
+def to_long(c: ColumnOrName) -> Column:
+    """Whole numbers exactly (ids beyond 2**53 too); other numbers with the fraction cut; bad text null."""
+    text = _c(c).cast("string")
+    return F.coalesce(text.try_cast("bigint"), to_double(text).try_cast("bigint"))
+
+
 # SCA-4: tolerant cast, then 0, then int64 (fraction truncated) or float64.
 def to_long_or_zero(c: ColumnOrName) -> Column:
-    # try_cast('12.7' AS BIGINT) is null; go through double, whose cast to bigint truncates the fraction
-    # (and is null on overflow).
-    return F.coalesce(to_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(to_long(c), F.lit(0).cast("bigint"))
 
 
 def to_double_or_zero(c: ColumnOrName) -> Column:

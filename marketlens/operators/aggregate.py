@@ -13,13 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """Order-independent money sum: summed as decimal(18, scale), returned as double.
+# Decimal places that a summed value keeps: whatever a double near 1 can hold of a price or a rate.
+SUM_SCALE = 10
 
-    A double sum depends on row order (hence on partitioning); a decimal sum does not.
-    """
+
+def exact_decimal(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """The value as a decimal(38, scale), for sums that do not depend on the order of the rows."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    return c.cast(f"decimal(38,{scale})")
+
+
+def exact_sum(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """Order-independent sum: values as decimals, returned as double. A double sum depends on row order (hence on partitioning)."""
+    return F.sum(exact_decimal(c, scale)).cast("double")
 
 
 def sum_or_zero(c: str | Column) -> Column:
@@ -28,7 +34,7 @@ def sum_or_zero(c: str | Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
 
 
-def money_sum_or_zero(c: str | Column, scale: int = 2) -> Column:
+def money_sum_or_zero(c: str | Column, scale: int = SUM_SCALE) -> Column:
     return F.coalesce(exact_sum(c, scale), F.lit(0.0))
 
 
@@ -51,7 +57,7 @@ AD_MEAN_METRICS = ["ctr", "cpc", "cr"]
 
 
 def daily_ad_fact(flat: DataFrame, keys: Sequence[str] = ("Project", "Marketplace"),
-                  order_cols: Sequence[str] = ("date",), money_scale: int = 2,
+                  order_cols: Sequence[str] = ("date",), money_scale: int = SUM_SCALE,
                   mean_digits: int = 6, ratio_of_sums: bool = False) -> DataFrame:
     """AGG-1: group flat ad statistics by (keys, day of ``date``, nmId, advertId).
 
@@ -96,14 +102,9 @@ def distinct_values(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-# AGG-8: rows per group.
-def rows_per(df: DataFrame, column: str, alias: str = "n_rows") -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias(alias))
-
-
 # AGG-9 / AGG-10: regroup finer rows to a coarser key with sums.
 def regroup_sum(df: DataFrame, keys: Sequence[str | Column], counts: Sequence[str] = (),
-                money: Sequence[str] = (), money_scale: int = 2, row_count: str | None = None,
+                money: Sequence[str] = (), money_scale: int = SUM_SCALE, row_count: str | None = None,
                 keep_decimal: bool = False) -> DataFrame:
     """Sum counts (0 for all-null) and money (decimal) per key. ``keep_decimal`` leaves money sums as
     decimals so a later regroup of these partial sums is still exact; cast to double at the last stage."""

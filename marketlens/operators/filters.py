@@ -67,3 +67,11 @@ def after_high_water_mark(df: DataFrame, column: str, hwm, inclusive: bool = Tru
         return df
     c = F.col(column)
     return df.filter(c >= F.lit(hwm) if inclusive else c > F.lit(hwm))
+
+
+def after_group_mark(df: DataFrame, marks: DataFrame, group: str, column: str) -> DataFrame:
+    """FLT-11 with a mark for each group (``marks``: ``group``, ``mark``; a row a group): rows at or after their own group's mark.
+    Rows of a group without a mark, and rows whose ``column`` is null, are kept."""
+    own = marks.select(F.col(group).alias("__group"), "mark")
+    return (df.join(own, F.col(group).eqNullSafe(F.col("__group")), "left")
+            .filter(F.col("mark").isNull() | F.col(column).isNull() | (F.col(column) >= F.col("mark"))).drop("__group", "mark"))

@@ -42,52 +42,45 @@ def select_paths(df: DataFrame, paths: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(p).alias(name) for name, p in paths.items()])
 
 
-def leaf_paths(schema: T.StructType, sep: str = "_", prefix: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
-    out: list[tuple[str, ...]] = []
-    for f in schema.fields:
-        path = (*prefix, f.name)
-        if isinstance(f.dataType, T.StructType):
-            out.extend(leaf_paths(f.dataType, sep, path))
-        else:
-            out.append(path)
-    return out
+def _field(name: str):
+    return lambda x: x.getField(name)
 
 
 def measured_array_sizes(df: DataFrame) -> dict[str, int]:
-    """Largest size of every top-level or nested-in-struct array column, in one aggregate job."""
-    arrays = [p for p in leaf_paths(df.schema) if isinstance(_type_at(df.schema, p), T.ArrayType)]
-    if not arrays:
-        return {}
-    row = df.agg(*[F.max(F.size(_col_at(p))).alias("_".join(p)) for p in arrays]).first()
-    return {k: int(v or 0) for k, v in row.asDict().items()}
-
-
-def _type_at(schema: T.StructType, path: tuple[str, ...]) -> T.DataType:
-    t: T.DataType = schema
-    for name in path:
-        t = t[name].dataType  # type: ignore[index]
-    return t
+    """Largest size of every array, arrays inside arrays and structs too, in one aggregate job. Keys are the names of ``recursive_flatten`` without
+    indexes: ``rows_vals`` for ``rows[].vals``, ``m_`` for the inner arrays of ``m[][]``."""
+    found: dict[str, Column] = {}
 
+    def walk(c: Column, t: T.DataType, name: str, spread_out: bool) -> None:
+        # spread_out: c is an array with a value for each element above it
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                own = F.transform(c, _field(f.name)) if spread_out else c.getField(f.name)
+                walk(own, f.dataType, f"{name}_{f.name}", spread_out)
+        elif isinstance(t, T.ArrayType):
+            found[name] = F.coalesce(F.array_max(F.transform(c, F.size)), F.lit(0)) if spread_out else F.size(c)
+            inner = F.flatten(F.filter(c, lambda x: x.isNotNull())) if spread_out else c
+            walk(inner, t.elementType, f"{name}_" if isinstance(t.elementType, T.ArrayType) else name, True)
 
-def _col_at(path: tuple[str, ...]) -> Column:
-    c = F.col(path[0])
-    for name in path[1:]:
-        c = c.getField(name)
-    return c
+    for f in df.schema.fields:
+        walk(F.col(f"`{f.name}`"), f.dataType, f.name, False)
+    if not found:
+        return {}
+    row = df.agg(*[F.max(c).alias(k) for k, c in found.items()]).first()
+    return {k: max(int(v or 0), 0) for k, v in row.asDict().items()}
 
 
-def recursive_flatten(df: DataFrame, array_sizes: Mapping[str, int] | None = None, sep: str = "_") -> DataFrame:
+def recursive_flatten(df: DataFrame, array_sizes: Mapping[str, int] | None = None, sep: str = "_", max_columns: int = 10_000) -> DataFrame:
     """PRJ-8: every leaf becomes a column named by its path joined with ``sep``; an array becomes one column
-    per index (``name_0``, ``name_1``, ...) up to its declared size (or the measured maximum when not
-    declared); struct elements of arrays are walked further. Element access is ``get`` (null past the end).
+    per index (``name_0``, ``name_1``, ...) up to the largest size in the data, at any depth; struct elements of arrays are walked
+    further. Element access is ``get`` (null past the end).
 
-    Only the schema is walked on the driver; the data never leaves the executors.
+    ``array_sizes`` (keys as in ``measured_array_sizes``) can only add columns: a declared size below the data's is raised to it, so no
+    value is lost. More than ``max_columns`` columns raise an error. Only the schema is walked on the driver.
     """
-    sizes = dict(array_sizes or {})
-    missing = [("_".join(p)) for p in leaf_paths(df.schema)
-               if isinstance(_type_at(df.schema, p), T.ArrayType) and "_".join(p) not in sizes]
-    if missing:
-        sizes.update({k: v for k, v in measured_array_sizes(df).items() if k in missing})
+    sizes = measured_array_sizes(df)
+    for k, n in (array_sizes or {}).items():
+        sizes[k] = max(n, sizes.get(k, 0))
     cols: list[Column] = []
 
     def walk(c: Column, t: T.DataType, name: str, size_key: str) -> None:
@@ -95,13 +88,16 @@ def recursive_flatten(df: DataFrame, array_sizes: Mapping[str, int] | None = Non
             for f in t.fields:
                 walk(c.getField(f.name), f.dataType, f"{name}{sep}{f.name}", f"{size_key}_{f.name}")
         elif isinstance(t, T.ArrayType):
+            below = f"{size_key}_" if isinstance(t.elementType, T.ArrayType) else size_key
             for i in range(sizes.get(size_key, 0)):
-                walk(F.get(c, i), t.elementType, f"{name}{sep}{i}", f"{size_key}_{i}")
+                walk(F.get(c, i), t.elementType, f"{name}{sep}{i}", below)
         else:
+            if len(cols) == max_columns:
+                raise ValueError(f"more than {max_columns} columns: explode the longest arrays ({sizes}) instead")
             cols.append(c.alias(name))
 
     for f in df.schema.fields:
-        walk(F.col(f.name), f.dataType, f.name, f.name)
+        walk(F.col(f"`{f.name}`"), f.dataType, f.name, f.name)
     return df.select(*cols)
 
 

@@ -1,9 +1,7 @@
 """Joins (JON-1 to JON-6). Every join the source makes is a left equi-join; JON-6 is a semi join.
 
-Broadcast policy: a broadcast hint is added only after a bounded count proves the side has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many rows). Anything larger, or
-unchecked, is left to Catalyst and AQE, which broadcast on measured runtime size or else sort-merge join
-with skew splitting.
+Broadcast policy: no hint unless a side is bounded by construction (a k-row top list, a calendar); everything else is left to
+Catalyst and AQE, which broadcast on measured size or else sort-merge join with skew splitting.
 """
 
 from __future__ import annotations
@@ -13,24 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIM_BROADCAST_MAX_ROWS = 100_000  # a campaign dimension is thousands of rows; beyond this, AQE decides
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def left_join(facts: DataFrame, other: DataFrame, on: Sequence[str], broadcast_max_rows: int | None = None,
-              null_safe: bool = False) -> DataFrame:
+def left_join(facts: DataFrame, other: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Facts LEFT JOIN other on equal key names (JON-1/2/3).
 
-    ``null_safe`` joins null keys to null keys (pandas ``merge`` parity); the default is SQL semantics.
+    ``null_safe`` joins null keys to null keys (pandas ``merge`` parity); the default is SQL semantics. AQE splits a skewed key of
+    the left side; a right side with many rows for a key belongs pre-aggregated to that key.
     """
     on = list(on)
-    if broadcast_max_rows is not None:
-        other = bounded_broadcast(other, broadcast_max_rows)
     if not null_safe:
         return facts.join(other, on, "left")
     right = other.select(*[F.col(k).alias(f"__r_{k}") for k in on],
@@ -42,31 +30,13 @@ def left_join(facts: DataFrame, other: DataFrame, on: Sequence[str], broadcast_m
     return facts.join(right, cond, "left").drop(*[f"__r_{k}" for k in on])
 
 
-def left_join_renamed(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
-                      broadcast_max_rows: int | None = None) -> DataFrame:
+def left_join_renamed(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> DataFrame:
     """JON-4: keys with different names. The right keys are renamed to the left names before the join, so
     the result has one copy of each key."""
     renamed = right.withColumnsRenamed(dict(zip(right_on, left_on)))
-    return left_join(left, renamed, left_on, broadcast_max_rows)
+    return left_join(left, renamed, left_on)
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """JON-6: keep rows of ``df`` whose key occurs in ``keys`` (left semi join; no duplication)."""
     return df.join(keys.select(*on), list(on), "left_semi")
-
-
-def split_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """LEFT JOIN that stays balanced when a key of the *right* side is hot.
-
-    AQE splits a skewed partition of a left outer join only on its preserved (left) side, so a key holding a
-    large share of the right side would be buffered whole by one task. Written as an inner join (where AQE
-    can split a skewed partition on either side) plus the left rows whose key has no right row (an anti join
-    against the right side's distinct keys, pre-aggregated before their shuffle), the result is exactly
-    ``left.join(right, on, "left")`` and no task holds a hot key whole. The price is one extra pass over the
-    right side's key columns.
-    """
-    on = list(on)
-    right_only = [c for c in right.columns if c not in on]
-    matched = left.join(right, on, "inner").select(*left.columns, *right_only)
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)

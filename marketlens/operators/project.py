@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import to_double, to_long
+
 
 def keep(df: DataFrame, columns: Sequence[str]) -> DataFrame:  # PRJ-12
     return df.select(*columns)
@@ -21,17 +22,6 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:  # PRJ-14
     return df.withColumnsRenamed(dict(mapping))
 
 
-def add_literals(df: DataFrame, values: Mapping[str, object]) -> DataFrame:  # PRJ-15
-    return df.withColumns({k: F.lit(v) for k, v in values.items()})
-
-
-def add_load_time(df: DataFrame, column: str, now: dt.datetime | str, only_if_absent: bool = False) -> DataFrame:
-    """PRJ-16: stamp the load time. ``now`` is fixed once per job by the caller (not read per row)."""
-    if only_if_absent and column in df.columns:
-        return df
-    return df.withColumn(column, F.lit(str(now)).cast("timestamp_ntz"))
-
-
 def conform(df: DataFrame, contract: Sequence[tuple[str, str]], cast_present: bool | str = False) -> DataFrame:
     """PRJ-17/18: reorder to the contract; absent columns are added as typed nulls. With ``cast_present``
     present columns are also converted to the contract type: tolerantly (``True``: bad values become null)
@@ -50,6 +40,15 @@ def conform(df: DataFrame, contract: Sequence[tuple[str, str]], cast_present: bo
     return df.select(*cols)
 
 
+def typed(df: DataFrame, types: Sequence[tuple[str, str]]) -> DataFrame:
+    """SCA-3 by a list of (column, type): numeric columns that are present as text are cast tolerantly (a fraction in a whole-number
+    column is cut, bad text becomes null); other columns stay as they are."""
+    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    whole = {"bigint", "int", "tinyint"}
+    return df.withColumns({c: to_double(c) if t == "double" else to_long(c).try_cast(t)
+                           for c, t in types if c in text and (t == "double" or t in whole)})
+
+
 def row_to_json(df: DataFrame, column: str = "metadata_json", timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss",
                 columns: Sequence[str] | None = None) -> DataFrame:
     """PRJ-19: serialise the row to JSON text. Nulls are written (``ignoreNullFields=false``); timestamps

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import status_label
 from ..functions.labels import AUDIT_ERROR, AUDIT_OK
 
 
@@ -49,11 +50,14 @@ def load_audit(responses: DataFrame, loaded_at: dt.datetime | str, api_col: str
     code = F.col(code_col)
     return responses.select(
         F.col(api_col).cast("string").alias("API"), code.cast("int").alias("Status Code"),
-        F.when(code == ok_code, F.lit(AUDIT_OK)).otherwise(F.lit(AUDIT_ERROR)).alias("Status"),
+        status_label(code, ok_code, AUDIT_OK, AUDIT_ERROR).alias("Status"),
         F.col(text_col).cast("string").alias("Response Text"),
         F.lit(str(loaded_at)).cast("timestamp_ntz").alias("Date"))
 
 
-def all_successful(audit: DataFrame) -> bool:
-    """Precondition for all-or-nothing loads: true when no response failed (reads at most one row)."""
-    return audit.filter(F.col("Status") != AUDIT_OK).limit(1).count() == 0
+def all_successful(audit: DataFrame, expected: Sequence[str]) -> bool:
+    """Precondition for all-or-nothing loads: every expected project has a response and none of all responses failed.
+
+    An empty audit, or one that lacks a project, does not pass. Reads a row for each project."""
+    by_api = {r["API"]: r["ok"] for r in audit.groupBy("API").agg(F.bool_and(F.col("Status") == AUDIT_OK).alias("ok")).collect()}
+    return bool(expected) and all(by_api.get(p) for p in expected) and all(by_api.values())

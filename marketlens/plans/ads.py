@@ -2,7 +2,7 @@
 
 Plan shape of the full job (``ad_orders_fact``): Parquet/JSON scan -> Generate x3 (narrow) -> partial
 aggregate -> shuffle on the fact key -> final aggregate -> left join with the campaign dimension (broadcast
-after a bounded size check) -> left join with product-day orders (sort-merge on (nmId, day), or broadcast
+when AQE measures it small) -> left join with product-day orders (sort-merge on (nmId, day), or broadcast
 when AQE measures that side small) -> projection. Two shuffles for the facts; everything else is narrow.
 """
 
@@ -20,9 +20,10 @@ from ..functions.dates import reload_days
 from ..operators.aggregate import daily_ad_fact
 from ..operators.filters import year_at_least
 from ..operators.flatten import explode_positions, explode_with_meta, select_paths
-from ..operators.joins import DIM_BROADCAST_MAX_ROWS, left_join, restrict_to_keys, split_left_join
-from ..operators.project import conform
-from ..schemas import CAMPAIGN_DATA_WB, CAMPAIGN_DATA_WB_PERIOD
+from ..operators.joins import left_join, restrict_to_keys
+from ..operators.project import conform, typed
+from ..schemas import (AD_STATS_NM, CAMPAIGN_DATA_WB, CAMPAIGN_DATA_WB_PERIOD, CAMPAIGN_DETAIL_FIELDS,
+                       PRODUCT_HISTORY_DAY, flat_types)
 from ..sinks import writers
 
 # The tenant columns, and the product-day order metrics attached to the ad fact.
@@ -41,6 +42,7 @@ def campaign_list(counts: DataFrame, keep: Sequence[str] = TENANT, min_year: int
     groups = explode_with_meta(counts, "adverts", keep=[c for c in keep if c in counts.columns])
     ids = explode_with_meta(groups, "advert_list", meta=["type", "status", "count"],
                             keep=[c for c in keep if c in groups.columns])
+    ids = typed(ids, [("type", "int"), ("status", "int"), ("count", "int"), ("advertId", "bigint")])
     return year_at_least(ids.withColumn("changeTime", to_wall_clock("changeTime")), "changeTime", min_year)
 
 
@@ -54,6 +56,8 @@ def campaign_dim(details: DataFrame, status_labels: Mapping = labels.CAMPAIGN_ST
     if listed is not None:
         details = restrict_to_keys(details, listed, ["advertId"])
     tenant = [c for c in TENANT if c in details.columns]
+    if "advertId" in details.columns and dict(details.dtypes).get("status") == "string":  # as landed
+        details = typed(details, flat_types(CAMPAIGN_DETAIL_FIELDS))
     return details.select(
         *[F.to_date(parse_timestamp_formats(c, CAMPAIGN_TIME_FORMATS)).alias(c)
           for c in ("endTime", "createTime", "startTime")],
@@ -72,6 +76,7 @@ def flatten_ad_stats(stats: DataFrame, keep: Sequence[str] = TENANT) -> DataFram
     days = explode_with_meta(stats, "days", meta=["advertId"], keep=keep)
     apps = explode_positions(days, "apps", "app_pos", [*keep, "advertId", "date"])
     nms = explode_positions(apps, "nm", "nm_pos", [*keep, "advertId", "date", "app_pos", "appType"])
+    nms = typed(nms, [("advertId", "bigint"), *flat_types(AD_STATS_NM)])
     return nms.withColumn("date", to_wall_clock("date"))
 
 
@@ -82,14 +87,13 @@ def ad_daily_fact(flat_stats: DataFrame, order_cols: Sequence[str] = ("date", "a
 
 
 # ------------------------------------------------------------------------------------------- JOB-6
-def ad_facts_with_campaign(facts: DataFrame, dim: DataFrame,
-                           dim_max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def ad_facts_with_campaign(facts: DataFrame, dim: DataFrame) -> DataFrame:
     """JON-1 + PRJ-13/14: facts LEFT JOIN campaign dimension on ``advertId``; the per-row ratios are
     dropped and the two ``name`` columns are renamed before the join (not suffixed after it)."""
     f = facts.drop("ctr", "cpc", "cr").withColumnRenamed("name", "name_product")
     d = dim.select("advertId", "endTime", "createTime", "startTime", F.col("name").alias("name_campaign"),
                    "status", "type")
-    return left_join(f, d, ["advertId"], broadcast_max_rows=dim_max_rows)
+    return left_join(f, d, ["advertId"])
 
 
 def ad_period_fact(facts: DataFrame, dim: DataFrame) -> DataFrame:
@@ -107,7 +111,8 @@ def flatten_history(history: DataFrame, keep: Sequence[str] = TENANT) -> DataFra
     if "error" in history.columns:
         ok = ok.filter(~F.coalesce(F.col("error"), F.lit(False)))
     products = explode_with_meta(ok, "data", keep=keep)
-    return explode_with_meta(products, "history", meta=["nmID", "imtName", "vendorCode"], keep=keep)
+    rows = explode_with_meta(products, "history", meta=["nmID", "imtName", "vendorCode"], keep=keep)
+    return typed(rows, [("nmID", "bigint"), *flat_types(PRODUCT_HISTORY_DAY)])
 
 
 def product_day_orders_from_history(history_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -116,6 +121,13 @@ def product_day_orders_from_history(history_rows: DataFrame, keep: Sequence[str]
                                *ORDER_METRICS)
 
 
+# The numeric columns of a flat card.
+FUNNEL_TYPES = [("nmID", "bigint"), ("objectID", "int"), ("stocksMp", "int"), ("stocksWb", "int"),
+                *[(c, "int") for c in ("openCardCount", "addToCartCount", "ordersCount", "buyoutsCount", "cancelCount")],
+                *[(c, "double") for c in ("ordersSumRub", "buyoutsSumRub", "cancelSumRub", "avgOrdersCountPerDay", "avgPriceRub",
+                                          "addToCartPercent", "cartToOrderPercent", "buyoutsPercent")]]
+
+
 def flatten_funnel_cards(pages: DataFrame, keep: Sequence[str] = TENANT) -> DataFrame:
     """PRJ-5: funnel cards (pages concatenated) -> 22 flat columns from struct paths."""
     keep = [c for c in keep if c in pages.columns]
@@ -136,7 +148,7 @@ def flatten_funnel_cards(pages: DataFrame, keep: Sequence[str] = TENANT) -> Data
         "buyoutsPercent": f"{sp}.conversions.buyoutsPercent",
         "stocksMp": "stocks.stocksMp", "stocksWb": "stocks.stocksWb",
     })
-    return select_paths(cards, paths)
+    return typed(select_paths(cards, paths), FUNNEL_TYPES)
 
 
 def product_day_orders_from_cards(card_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -164,13 +176,10 @@ def ad_orders_fact(facts_with_campaign: DataFrame, product_day_orders: DataFrame
 def product_first_fact(product_day_orders: DataFrame, facts_with_campaign: DataFrame,
                        null_safe: bool = False) -> DataFrame:
     """JOB-5 (JON-3): every product-day with orders, with its ad rows where they exist (ad columns null
-    otherwise). The ad side is the non-preserved side of this left join, where AQE cannot split a hot
-    product-day, so the join is written as inner join + anti join (``joins.split_left_join``);
-    ``null_safe`` joins null keys to null keys instead (pandas parity)."""
+    otherwise). Both sides are aggregates: the ad side has at most a row for each campaign of a product-day, so no key is
+    hot. ``null_safe`` joins null keys to null keys (pandas parity)."""
     ads = facts_with_campaign.drop(*[c for c in ORDER_METRICS if c in facts_with_campaign.columns])
-    if null_safe:
-        return left_join(product_day_orders, ads, ["nmId", "day"], null_safe=True)
-    return split_left_join(product_day_orders, ads, ["nmId", "day"])
+    return left_join(product_day_orders, ads, ["nmId", "day"], null_safe=null_safe)
 
 
 # ------------------------------------------------------------------------------------------- JOB-7

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import text_after_last
 from ..operators.flatten import explode_with_meta
+from ..operators.project import typed
 
 # Sink column -> path in a profit row (missing intermediate objects give null).
 ERP_PROFIT_PATHS = {
@@ -16,6 +17,7 @@ ERP_PROFIT_PATHS = {
     "sell_cost_sum": "sellCostSum", "return_quantity": "returnQuantity", "return_sum": "returnSum",
     "profit": "profit", "margin": "margin", "sales_margin": "salesMargin",
 }
+ERP_PROFIT_NUMBERS = ["sell_quantity", "sell_price", "sell_sum", "sell_cost_sum", "return_quantity", "return_sum", "profit", "margin", "sales_margin"]
 UUID_MARKER = "id="
 
 
@@ -26,4 +28,4 @@ def erp_profit(payload: DataFrame) -> DataFrame:
     rows = explode_with_meta(payload, "rows")
     cols = [F.col(p).alias(n) for n, p in ERP_PROFIT_PATHS.items()]
     cols.insert(5, text_after_last(F.col("assortment.meta.uuidHref"), UUID_MARKER).alias("product_uuid"))
-    return rows.select(*cols)
+    return typed(rows.select(*cols), [(c, "double") for c in ERP_PROFIT_NUMBERS])

@@ -14,7 +14,7 @@ from ..functions.dates import unpadded_date_text
 from ..functions.labels import REALIZATION_SOURCE
 from ..operators.filters import successful_payloads
 from ..operators.flatten import explode_with_meta, first_element_fields, prefixed_struct, recursive_flatten
-from ..operators.project import conform
+from ..operators.project import conform, typed
 from ..schemas import (OZON_FINANCE, REALIZATION_BOOL_COLUMNS, REALIZATION_DATE_COLUMNS, REALIZATION_NULLABLE_TEXT,
                        WB_FINANCE)
 
@@ -34,7 +34,7 @@ def realization_clean(rows: DataFrame, now: dt.datetime | str, project: str | No
     out = out.withColumns({c: to_wall_clock(c) for c in REALIZATION_DATE_COLUMNS if c in out.columns})
     out = out.withColumns({c: bool_to_int(c) for c in REALIZATION_BOOL_COLUMNS if c in out.columns})
     out = empty_strings_to_null(out, [c for c in REALIZATION_NULLABLE_TEXT if c in out.columns])
-    return conform(out, contract)
+    return conform(typed(out, contract), contract)
 
 
 # Operation fields kept as they are, and the numeric ones.
@@ -69,7 +69,7 @@ def finance_operations(payload: DataFrame, project: str | None = None, all_items
         "operation_date": to_wall_clock("operation_date"),
         "posting_order_date": to_wall_clock("posting_order_date"),
     })
-    return conform(rows, OZON_FINANCE)
+    return conform(typed(rows, OZON_FINANCE), OZON_FINANCE)
 
 
 def realization_by_day(payloads: DataFrame, day_col: str = "day", array_sizes: dict | None = None) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import date_or_sentinel, to_wall_clock
 from ..functions.labels import MARKETPLACE_WB
-from ..operators.filters import after_high_water_mark
-from ..operators.project import conform
+from ..operators.filters import after_group_mark
+from ..operators.project import conform, typed
 from ..schemas import ORDERS_WB, ORDERS_WB_KEY, ORDERS_WB_VERSION
+from ..session import shared_dir
 from ..sinks import writers
 
 
@@ -26,7 +27,7 @@ def prepare_orders(landed: DataFrame, project: str | None = None, marketplace: s
     })
     if project is not None:
         rows = rows.withColumn("Project", F.lit(project))
-    return conform(rows, ORDERS_WB, cast_present=True)
+    return conform(typed(rows, ORDERS_WB), ORDERS_WB, cast_present=True)
 
 
 ORDERS_WB_TABLE = [*ORDERS_WB, ("day", "date")]
@@ -37,16 +38,32 @@ def orders_target(path: str) -> writers.Target:
     return writers.Target(path, ORDERS_WB_TABLE, ("day",))
 
 
-def high_water_mark(spark: SparkSession, target: writers.Target) -> object:
-    """FLT-11: the last ``lastChangeDate`` already loaded (one scalar; None for an empty table)."""
-    return writers.read(spark, target).agg(F.max(ORDERS_WB_VERSION)).first()[0]
+MARKS = [("Project", "string"), ("mark", "timestamp_ntz")]
+
+
+def marks_target(target: writers.Target) -> writers.Target:
+    """The small table beside ``target`` that holds what each load reached: a row for each project and load."""
+    return writers.Target(f"{target.path.rstrip('/')}__marks", MARKS)
+
+
+def high_water_marks(spark: SparkSession, target: writers.Target) -> DataFrame:
+    """FLT-11: the last ``lastChangeDate`` loaded of each project (``Project``, ``mark``), without a scan of the orders."""
+    marks = marks_target(target)
+    writers.create_table(spark, marks)
+    return writers.read(spark, marks).groupBy("Project").agg(F.max("mark").alias("mark"))
 
 
 def orders_upsert(spark: SparkSession, landed: DataFrame, target: writers.Target, project: str | None = None) -> None:
-    """JOB-11: rows at or after the table's high-water mark, upserted with latest-version-wins per
+    """JOB-11: rows at or after their own project's high-water mark, upserted with latest-version-wins per
     (date, srid, nmId) (SNK-3 applies WIN-1 to the stored rows and the batch together, which also removes a
-    boundary row the source returned twice). The table is partitioned by ``day`` = the order date, which
-    the key determines."""
-    rows = prepare_orders(landed, project)
-    rows = after_high_water_mark(rows, ORDERS_WB_VERSION, high_water_mark(spark, target))
-    writers.upsert_latest(spark, rows.withColumn("day", F.to_date("date")), target, ORDERS_WB_KEY, ORDERS_WB_VERSION)
+    boundary row the source returned twice). Rows whose ``lastChangeDate`` does not parse are kept; any parsed version of
+    their key replaces them. The table is partitioned by ``day`` = the order date, which the key determines.
+
+    The marks are written after the orders: a crash in between makes the next run load the batch again, to the same result.
+    """
+    shared_dir(spark)
+    rows = after_group_mark(prepare_orders(landed, project), high_water_marks(spark, target), "Project", ORDERS_WB_VERSION)
+    rows = rows.withColumn("day", F.to_date("date")).checkpoint(eager=True)
+    writers.upsert_latest(spark, rows, target, ORDERS_WB_KEY, ORDERS_WB_VERSION)
+    reached = rows.groupBy("Project").agg(F.max(ORDERS_WB_VERSION).alias("mark")).filter("mark is not null")
+    writers.append(spark, reached, marks_target(target))

@@ -48,12 +48,27 @@ def typed_report(report: DataFrame, metrics: Sequence[str] = PRODUCT_STATS_METRI
     return tolerant_doubles(report, metrics)
 
 
-def performance_stats(report: DataFrame, metrics: Sequence[str] = PRODUCT_STATS_METRICS,
-                      campaign_col: str = "campaignId", date_col: str = "date", money_scale: int = 2) -> DataFrame:
-    """JOB-17 grouped: the typed report (SCA-3; absent metric columns are skipped) grouped by campaign and
-    day (AGG-10, the grouping the source asks its API for) with order-independent sums and a row count."""
-    present = [m for m in metrics if m in report.columns]
-    typed = typed_report(report, present).select(F.col(campaign_col), F.to_date(to_wall_clock(date_col)).alias("day"),
-                                                 *present)
-    return (typed.groupBy(campaign_col, "day")
-            .agg(*[exact_sum(m, money_scale).alias(m) for m in present], F.count(F.lit(1)).alias("n_rows")))
+# The metrics that add up over rows, and the ratios with their parts (percent, or per 1000 for the last one).
+ADDITIVE = ["spending", "views", "clicks", "addToCart", "ordersCount", "ordersSum"]
+BUDGETS = ["dailyBudget", "weeklyBudget"]
+RATIOS = {"ctr": ("clicks", "views", 100.0), "averageClickPrice": ("spending", "clicks", 1.0), "drr": ("spending", "ordersSum", 100.0),
+          "average1000ViewsPrice": ("spending", "views", 1000.0)}
+
+
+def performance_stats(report: DataFrame, campaign_col: str = "campaignId", date_col: str = "date", digits: int = 6) -> DataFrame:
+    """JOB-17 grouped: the typed report (SCA-3; absent metrics are skipped) grouped by campaign and day (AGG-10, the grouping the source
+    asks its API for), with a row count.
+
+    Only metrics that add up are summed (as exact decimals, cut to doubles at the end). Ratios come from the sums (null over 0). A budget is
+    a property of the campaign: its largest value of the day; ``averageRate`` is the mean of the rows that have one.
+    """
+    metrics = [m for m in PRODUCT_STATS_METRICS if m in report.columns]
+    typed = typed_report(report, metrics).select(F.col(campaign_col), F.to_date(to_wall_clock(date_col)).alias("day"), *metrics)
+    aggs = [exact_sum(m).alias(m) for m in ADDITIVE if m in metrics] + [F.max(m).alias(m) for m in BUDGETS if m in metrics]
+    if "averageRate" in metrics:
+        aggs.append(F.round(exact_sum("averageRate") / F.count("averageRate"), digits).alias("averageRate"))
+    out = typed.groupBy(campaign_col, "day").agg(*aggs, F.count(F.lit(1)).alias("n_rows"))
+    for name, (part, whole, scale) in RATIOS.items():
+        if {name, part, whole} <= set(metrics):
+            out = out.withColumn(name, F.round(F.try_divide(F.col(part) * scale, F.nullif(whole, F.lit(0.0))), digits))
+    return out.select(campaign_col, "day", *[m for m in metrics if m in out.columns], "n_rows")

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.clean import label_map, label_or_null
-from ..operators.joins import bounded_broadcast, restrict_to_keys
-from ..operators.partitioning import spread
+from ..operators.joins import restrict_to_keys
 from ..operators.quality import reconcile_totals
 from ..schemas import PERFORMANCE_CAMPAIGNS
 from ..sources.landed import parse_json_text
@@ -57,7 +56,7 @@ def q_campaign_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2 (JOB-2: SCA-1, SCA-6/8, PRJ-12/14): campaign details -> dimension with labelled status and type,
     unknown codes kept as text. Stand-in details: advertId = supplier key, name = supplier name,
     status code = nation key, type code = region key; no times are known (null)."""
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), 10_000)
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     details = (table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                .select(F.col("s_suppkey").alias("advertId"), F.col("s_name").alias("name"),
                        F.col("s_nationkey").alias("status"), F.col("n_regionkey").alias("type"),
@@ -240,23 +239,41 @@ def q_array_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------------------------- B36
 REPORT_BY_DATE_SQL = """
-SELECT event_type AS campaignId, CAST(ts AS DATE) AS day,
-       CAST(SUM(CAST(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS views,
-       CAST(SUM(CAST(CAST(1 AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS clicks,
-       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spending,
-       COUNT(*) AS n_rows
-FROM events GROUP BY event_type, CAST(ts AS DATE)
+WITH r AS (
+  SELECT event_type AS campaignId, CAST(ts AS DATE) AS day, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS views,
+         CAST(1 AS DOUBLE) AS clicks, value AS spending, user_id % 3 AS addToCart, user_id % 2 AS ordersCount, value * 2 AS ordersSum,
+         CAST(100 + user_id % 7 AS DOUBLE) AS dailyBudget, CASE WHEN user_id % 5 = 0 THEN NULL ELSE CAST(user_id % 5 AS DOUBLE) END AS averageRate
+  FROM events
+), s AS (
+  SELECT campaignId, day, MAX(dailyBudget) AS dailyBudget, MAX(dailyBudget) * 7 AS weeklyBudget,
+         CAST(SUM(CAST(spending AS DECIMAL(38,10))) AS DOUBLE) AS spending, CAST(SUM(CAST(views AS DECIMAL(38,10))) AS DOUBLE) AS views,
+         CAST(SUM(CAST(clicks AS DECIMAL(38,10))) AS DOUBLE) AS clicks, CAST(SUM(CAST(addToCart AS DECIMAL(38,10))) AS DOUBLE) AS addToCart,
+         ROUND(CAST(SUM(CAST(averageRate AS DECIMAL(38,10))) AS DOUBLE) / COUNT(averageRate), 6) AS averageRate,
+         CAST(SUM(CAST(ordersCount AS DECIMAL(38,10))) AS DOUBLE) AS ordersCount, CAST(SUM(CAST(ordersSum AS DECIMAL(38,10))) AS DOUBLE) AS ordersSum,
+         COUNT(*) AS n_rows
+  FROM r GROUP BY campaignId, day
+)
+SELECT campaignId, day, dailyBudget, weeklyBudget, spending, views, clicks, addToCart, averageRate,
+       ROUND(spending * 1000.0::DOUBLE / NULLIF(views, 0), 6) AS average1000ViewsPrice, ROUND(clicks * 100.0::DOUBLE / NULLIF(views, 0), 6) AS ctr,
+       ROUND(spending * 1.0::DOUBLE / NULLIF(clicks, 0), 6) AS averageClickPrice, ordersCount, ordersSum,
+       ROUND(spending * 100.0::DOUBLE / NULLIF(ordersSum, 0), 6) AS drr, n_rows
+FROM s
 """
 
 
 @register("report_by_date", REPORT_BY_DATE_SQL)
 def q_report_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B36 (JOB-17: SCA-3, AGG-10): a text-valued statistics report, cast tolerantly and grouped by
-    campaign and day. Stand-in report rows: campaign = event type, metrics as the source sends them (text)."""
+    """B36 (JOB-17: SCA-3, AGG-10): a text-valued statistics report with all 13 metrics, cast tolerantly and grouped by
+    campaign and day: additive metrics summed, ratios from the sums, budgets by their largest value. Stand-in report rows:
+    campaign = event type, metrics as the source sends them (text; the row's own ratios are noise, as they must not be used)."""
     ev = table(spark, sf_dir, "events")
-    report = ev.select(F.col("event_type").alias("campaignId"), F.col("ts").cast("string").alias("date"),
-                       F.get_json_object("props", "$.k").alias("views"), F.lit("1").alias("clicks"),
-                       F.col("value").cast("string").alias("spending"))
+    user, text = F.col("user_id"), lambda c: c.cast("string")
+    report = ev.select(F.col("event_type").alias("campaignId"), text(F.col("ts")).alias("date"),
+                       F.get_json_object("props", "$.k").alias("views"), F.lit("1").alias("clicks"), text(F.col("value")).alias("spending"),
+                       text(user % 3).alias("addToCart"), text(user % 2).alias("ordersCount"), text(F.col("value") * 2).alias("ordersSum"),
+                       text(100 + user % 7).alias("dailyBudget"), text((100 + user % 7) * 7).alias("weeklyBudget"),
+                       F.when(user % 5 == 0, F.lit("n/a")).otherwise(text(user % 5)).alias("averageRate"),
+                       *[F.lit("12.5").alias(m) for m in ("ctr", "drr", "averageClickPrice", "average1000ViewsPrice")])
     return performance.performance_stats(report)
 
 
@@ -298,7 +315,7 @@ def q_performance_campaign_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     source's labels (unknown codes null), the placement array mapped element-wise (unknown kept) and joined,
     then only campaigns created on or after a day (ISO text compare). Stand-in: one campaign per order, its
     codes taken from the order's status and priority through the fixed code tables above."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = standins.by_record(table(spark, sf_dir, "orders"), "o_orderkey")
     camp = F.struct(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
         _code("o_orderstatus", STATE_CODE_OF_STATUS).alias("state"),

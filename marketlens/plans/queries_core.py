@@ -12,8 +12,7 @@ from ..functions.dates import (calendar, date_parts, day_end_text, day_start_tex
 from ..functions.labels import MARKETPLACE_WB, REALIZATION_SOURCE
 from ..operators.aggregate import distinct_count, filtered_total, regroup_sum, total
 from ..operators.filters import equals
-from ..operators.joins import bounded_broadcast, left_join, split_left_join
-from ..operators.partitioning import spread
+from ..operators.joins import left_join
 from ..operators.project import conform
 from ..operators.quality import rows_per_project
 from ..operators.setops import union_projects
@@ -33,7 +32,7 @@ NOW = "2024-02-01 06:00:00"
 
 def _json_payload(df: DataFrame, payload, schema: str, keep=()) -> DataFrame:
     """Serialise a built struct to JSON text and read it back with the landed schema (the typed reader).
-    Both steps are CPU-heavy and narrow; callers building payloads straight from a scan ``spread`` it first."""
+    Both steps are CPU-heavy and narrow."""
     return parse_json_text(df.select(*keep, F.to_json(payload).alias("payload")), "payload", schema, keep)
 
 
@@ -80,7 +79,7 @@ def q_flatten_nested_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     text and flattened through three ``inline`` levels. Stand-in: one payload per line (advertId = order,
     date = ship date as text with a +03:00 offset, one app with the line as product, a second app with an
     empty product list, which must vanish)."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = standins.by_record(table(spark, sf_dir, "lineitem"), "l_orderkey")
     nm = F.struct(F.col("l_partkey").alias("nmId"), F.concat("l_returnflag", "l_linestatus").alias("name"),
                   F.col("l_quantity").cast("bigint").alias("views"), F.col("l_linenumber").cast("bigint").alias("clicks"),
                   F.col("l_discount").alias("ctr"), F.col("l_tax").alias("cpc"), F.col("l_extendedprice").alias("sum"),
@@ -102,10 +101,10 @@ FLATTEN_HISTORY_SQL = """
 SELECT o_custkey AS nmID, 'customer-' || CAST(o_custkey AS VARCHAR) AS imtName, CAST(NULL AS VARCHAR) AS vendorCode,
        strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(1 AS INTEGER) AS openCardCount,
        CAST(NULL AS INTEGER) AS addToCartCount, CAST(NULL AS DOUBLE) AS addToCartConversion,
-       CAST(1 AS INTEGER) AS ordersCount, CAST(trunc(o_totalprice) AS BIGINT) AS ordersSumRub,
+       CAST(1 AS INTEGER) AS ordersCount, o_totalprice AS ordersSumRub,
        CAST(NULL AS DOUBLE) AS cartToOrderConversion,
        CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS buyoutsCount,
-       CAST(CASE WHEN o_orderstatus = 'F' THEN trunc(o_totalprice) ELSE 0 END AS BIGINT) AS buyoutsSumRub,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS DOUBLE) AS buyoutsSumRub,
        CAST(NULL AS DOUBLE) AS buyoutPercent
 FROM orders
 """
@@ -119,9 +118,9 @@ def q_flatten_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     fin = F.col("o_orderstatus") == "F"
     entry = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"), F.lit(1).alias("openCardCount"),
-                     F.lit(1).alias("ordersCount"), F.col("o_totalprice").cast("bigint").alias("ordersSumRub"),
+                     F.lit(1).alias("ordersCount"), F.col("o_totalprice").alias("ordersSumRub"),
                      F.when(fin, 1).otherwise(0).alias("buyoutsCount"),
-                     F.when(fin, F.col("o_totalprice").cast("bigint")).otherwise(0).cast("bigint").alias("buyoutsSumRub"))
+                     F.when(fin, F.col("o_totalprice")).otherwise(0).cast("string").alias("buyoutsSumRub"))
     pages = standins.nest_pages(o, ["o_custkey"], entry, ["o_orderdate", "o_orderkey"])
     product = F.struct(F.col("o_custkey").alias("nmID"),
                        F.concat(F.lit("customer-"), F.col("o_custkey").cast("string")).alias("imtName"),
@@ -139,9 +138,9 @@ FUNNEL_SQL = f"""
 SELECT p_partkey AS nmID, p_name AS vendorCode, upper(lower(p_brand)) AS brandName, p_size AS objectID,
        p_type AS objectName, TIMESTAMP '{FUNNEL_BEGIN}' AS begin, CAST(n AS INTEGER) AS openCardCount,
        CAST(trunc(q) AS INTEGER) AS addToCartCount, CAST(n AS INTEGER) AS ordersCount,
-       CAST(trunc(r) AS BIGINT) AS ordersSumRub, CAST(NULL AS INTEGER) AS buyoutsCount,
-       CAST(NULL AS BIGINT) AS buyoutsSumRub, CAST(NULL AS INTEGER) AS cancelCount,
-       CAST(NULL AS BIGINT) AS cancelSumRub, p_size AS stocksMp, CAST(NULL AS INTEGER) AS stocksWb,
+       CAST(r AS DOUBLE) AS ordersSumRub, CAST(NULL AS INTEGER) AS buyoutsCount,
+       CAST(NULL AS DOUBLE) AS buyoutsSumRub, CAST(NULL AS INTEGER) AS cancelCount,
+       CAST(NULL AS DOUBLE) AS cancelSumRub, p_size AS stocksMp, CAST(NULL AS INTEGER) AS stocksWb,
        'parts' AS Project, 'Wildberries' AS Marketplace
 FROM part LEFT JOIN (SELECT l_partkey, COUNT(*) AS n, SUM(CAST(l_quantity AS DECIMAL(18,2))) AS q,
                             SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS r
@@ -163,7 +162,7 @@ def q_flatten_struct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     period = F.struct(F.lit(FUNNEL_BEGIN).alias("begin"), F.col("n").cast("int").alias("openCardCount"),
                       F.col("l_quantity").cast("int").alias("addToCartCount"),
                       F.col("n").cast("int").alias("ordersCount"),
-                      F.col("l_extendedprice").cast("bigint").alias("ordersSumRub"))
+                      F.col("l_extendedprice").cast("double").alias("ordersSumRub"))
     card = F.struct(F.col("p_partkey").alias("nmID"), F.col("p_name").alias("vendorCode"),
                     F.lower("p_brand").alias("brandName"),
                     F.struct(F.col("p_size").alias("id"), F.col("p_type").alias("name")).alias("object"),
@@ -205,7 +204,7 @@ def q_stock_by_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_supplier = regroup_sum(li, ["p_partkey", "l_suppkey"], money=["l_quantity"], keep_decimal=True)
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     stocked = per_supplier.join(supplier, "l_suppkey")
-    rows = split_left_join(part, stocked, ["p_partkey"])
+    rows = left_join(part, stocked, ["p_partkey"])
     wh = F.struct(F.col("s_name").alias("warehouseName"), F.col("l_quantity").cast("int").alias("quantity"))
     warehouses = F.when(F.col("s_name").isNull(), F.filter(F.array(wh), lambda x: F.lit(False))).otherwise(F.array(wh))
     payload = F.struct(F.lower("p_brand").alias("brand"), F.col("p_type").alias("subjectName"),
@@ -240,13 +239,15 @@ FROM orders LEFT JOIN first_line f ON o_orderkey = f.l_orderkey
 def q_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B14 (JOB-13: PRJ-9/10, SCA-4/5): finance-operation payloads read from JSON text; the first item of
     each operation (null when it has none), posting fields prefixed, text numbers cast with 0 for bad text.
-    Stand-in: an order is an operation, its lines are the items in line order (pages of bounded size)."""
+    Stand-in: an order is an operation; its items are its earliest line's part and then that line's supplier."""
     o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    item = F.struct(F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("name"),
-                    F.col("l_partkey").cast("string").alias("sku"))
-    pages = standins.nest_pages(li, ["l_orderkey"], item, ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"])
-    ops = split_left_join(o, pages.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"])
+    item = lambda name, sku: F.struct(name.alias("name"), sku.cast("string").alias("sku"))
+    items = F.array(item(F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey"), F.col("l_partkey")),
+                    item(F.concat(F.lit("supplier-"), F.col("l_suppkey").cast("string")), F.col("l_suppkey")))
+    li = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+          .agg(F.min(F.struct("l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")).alias("line"))
+          .select("o_orderkey", "line.*").select("o_orderkey", items.alias("items")))
+    ops = left_join(o, li, ["o_orderkey"])
     when_text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     op = F.struct(
         F.col("o_orderkey").cast("string").alias("operation_id"), F.col("o_orderstatus").alias("operation_type"),
@@ -279,7 +280,7 @@ def q_recursive_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B15 (JOB-14: PRJ-8, FLT-10, SCA-19/20): realization-by-day payloads read from JSON text; every leaf
     becomes a ``_``-joined column, the declared 2-element price array becomes ``prices_0``/``prices_1``;
     ``date`` is the request day as unpadded text. Stand-in: one report row per part."""
-    part = spread(table(spark, sf_dir, "part"))
+    part = table(spark, sf_dir, "part")
     row = F.struct(
         F.struct(F.col("p_name").alias("offer_id"), F.col("p_type").alias("name"),
                  F.col("p_partkey").alias("sku")).alias("item"),
@@ -366,7 +367,7 @@ def q_row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B20 (JOB-10: PRJ-7, PRJ-19, SCA-6): ERP stock payloads flattened, renamed to underscore names, the
     whole item serialised to JSON with nulls written; the JSON is checked by parsing fields back (all 15
     keys present, nulls included). Stand-in: one stock item per nation."""
-    nation = spread(table(spark, sf_dir, "nation"))
+    nation = table(spark, sf_dir, "nation")
     item = F.struct(
         F.lit(NOW.replace(" ", "T")).alias("moment"),
         F.struct(F.lit("nation").alias("type"), F.col("n_nationkey").cast("string").alias("code"),
@@ -404,7 +405,7 @@ def q_calendar_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = ev.filter(F.col("day").between(F.date_sub(F.lit(CAL_END).cast("date"), CAL_DAYS - 1),
                                         F.lit(CAL_END).cast("date")))
     daily = regroup_sum(ev.withColumnRenamed("value", "spend"), ["day"], money=["spend"], row_count="n_events")
-    out = left_join(cal, daily, ["day"], broadcast_max_rows=CAL_DAYS)
+    out = left_join(cal, F.broadcast(daily), ["day"])
     return fill_zero(out, ["n_events", "spend"]).select("day", "n_events", "spend")
 
 
@@ -585,7 +586,7 @@ def q_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     the top-k, so only k rows meet the part table (k rows: a proven broadcast bound)."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
     revenue = regroup_sum(li, ["p_partkey"], money=["l_extendedprice"]).withColumnRenamed("l_extendedprice", "revenue")
-    top = bounded_broadcast(top_k(revenue, "revenue", TOP_K, ["p_partkey"]), TOP_K)
+    top = F.broadcast(top_k(revenue, "revenue", TOP_K, ["p_partkey"]))
     return table(spark, sf_dir, "part").select("p_partkey", "p_name").join(top, "p_partkey").select(
         "p_partkey", "p_name", "revenue")
 
@@ -678,7 +679,7 @@ def q_realization_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     '' to null, dates parsed with the offset dropped, flags to 0/1, fixed load time, project and source,
     absent columns null. Stand-in rows: a line is a report row; brand '' for unreturned lines; dates as
     text with +03:00 / Z offsets; empty date_from text."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = standins.by_record(table(spark, sf_dir, "lineitem"), "l_orderkey")
     rows = li.select(
         F.col("l_orderkey").alias("realizationreport_id"), F.col("l_linenumber").cast("bigint").alias("rrd_id"),
         F.col("l_partkey").alias("nm_id"), F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -723,7 +724,7 @@ FROM part
 def q_erp_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-18 (PRJ-6, SCA-18): ERP profit rows read from JSON text, nested paths flattened with absent keys
     null, the uuid taken after the last 'id='. Stand-in: one profit row per part."""
-    part = spread(table(spark, sf_dir, "part"))
+    part = table(spark, sf_dir, "part")
     row = F.struct(
         F.struct(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("code"),
                  F.col("p_type").alias("article"), F.struct(F.lit("pcs").alias("name")).alias("uom"),

@@ -87,6 +87,12 @@ FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE)
 """
 
 
+def by_record(df: DataFrame, *keys: str) -> DataFrame:
+    """Source rows dealt by the key of the record they become, as a landing zone holds them: many records in each of many parts,
+    whatever number of row groups the supplied file has."""
+    return df.repartition(*[F.col(k) for k in keys])
+
+
 def nest_pages(children: DataFrame, parent: Sequence[str], item: Column, order: Sequence[str],
                page_size: int = 256) -> DataFrame:
     """Nest child rows under their parent as pages of about ``page_size`` items: one record per

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clean import to_double, to_wall_clock, upper_or_empty
 from ..functions.labels import MARKETPLACE_WB
 from ..operators.filters import falling_sales, out_of_stock
 from ..operators.flatten import explode_with_meta
-from ..operators.project import conform
+from ..operators.project import conform, typed
 from ..operators.quality import all_successful
 from ..sinks import writers
 from ..operators.window import period_change
@@ -24,10 +25,10 @@ WAREHOUSE_META = ["brand", "subjectName", "vendorCode", "inWayToClient", "inWayF
 
 
 def load_stock_snapshot(spark: SparkSession, remains: DataFrame, audit: DataFrame, target: writers.Target,
-                        now: dt.datetime | str) -> bool:
-    """JOB-9 with the source's all-or-nothing rule: the snapshot is appended only when every project's
+                        now: dt.datetime | str, projects: Sequence[str]) -> bool:
+    """JOB-9 with the source's all-or-nothing rule: the snapshot is appended only when every expected project's
     report response succeeded (SNK-11 audit); otherwise nothing is loaded. Returns whether it loaded."""
-    if not all_successful(audit):
+    if not all_successful(audit, projects):
         return False
     writers.append(spark, stock_snapshot(remains, now), target)
     return True
@@ -41,7 +42,7 @@ def stock_snapshot(remains: DataFrame, now: dt.datetime | str, marketplace: str
     rows = explode_with_meta(remains, "warehouses", meta=WAREHOUSE_META, keep=keep)
     rows = rows.withColumns({"Date": F.lit(str(now)).cast("timestamp_ntz"), "Marketplace": F.lit(marketplace),
                              "brand": upper_or_empty("brand")})
-    return conform(rows, WAREHOUSE_DATA_WB)
+    return conform(typed(rows, WAREHOUSE_DATA_WB), WAREHOUSE_DATA_WB)
 
 
 # ERP stock column names after flattening (dotted path -> sink column).
@@ -57,15 +58,28 @@ ERP_STOCK_PATHS = {
 
 def erp_stock_snapshot(payload: DataFrame) -> DataFrame:
     """JOB-10: ``stocks[]`` -> one row per item (PRJ-7: struct paths renamed to underscore names), the whole
-    flattened item serialised to ``metadata_json`` with its dotted keys and nulls written (PRJ-19), and
-    ``moment`` parsed (SCA-6), in the ``stocks`` contract."""
+    item, with every key the source sent, as dotted keys and nulls in ``metadata_json`` (PRJ-19), and
+    ``moment`` parsed (SCA-6), in the ``stocks`` contract.
+
+    ``payload`` has ``stocks`` as an array of structs; keys beyond the contract's (from an inferred or wider schema) go into the JSON too.
+    """
     items = explode_with_meta(payload, "stocks")
-    flat_cols = [F.col("moment")] + [F.col(p).alias(p) for p in ERP_STOCK_PATHS]
-    meta = F.to_json(F.struct(*flat_cols), {"ignoreNullFields": "false"})
-    rows = items.select(to_wall_clock("moment").alias("moment"),
-                        *[F.col(p).alias(n) for p, n in ERP_STOCK_PATHS.items()],
-                        meta.alias("metadata_json"))
-    return conform(rows, STOCKS)
+    meta = F.to_json(F.struct(*[c.alias(n) for n, c in _dotted(items.schema)]), {"ignoreNullFields": "false"})
+    paths = [F.col(p).alias(n) for p, n in ERP_STOCK_PATHS.items()]
+    rows = items.select(to_wall_clock("moment").alias("moment"), *paths, meta.alias("metadata_json"))
+    return conform(typed(rows, STOCKS), STOCKS)
+
+
+def _dotted(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, Column]]:
+    """Every leaf of a row's structs with its dotted name (arrays count as leaves)."""
+    out: list[tuple[str, Column]] = []
+    for f in schema.fields:
+        own = (*path, f.name)
+        if isinstance(f.dataType, T.StructType):
+            out += _dotted(f.dataType, own)
+        else:
+            out.append((".".join(own), F.col(".".join(f"`{x}`" for x in own))))
+    return out
 
 
 def stock_alert_out_of_stock(sheet: DataFrame, stock_col: str = "fbo_stock_end") -> DataFrame:

@@ -1,43 +1,58 @@
 """Landed-JSON read schemas and sink table contracts.
 
 Read schemas are Spark DDL strings, used by ``spark.read.schema(...)`` and ``from_json``. Numbers that the
-source may send as text are declared ``string`` and cast later with ``try_cast`` (a JSON ``"7"`` read as
-``bigint`` silently becomes null). Timestamps are text on the wire.
+source sends are read as ``string`` and cast later (a JSON ``"7"`` or ``12.5`` read as ``bigint`` silently becomes null).
+Timestamps are text on the wire.
 
 Contracts are ordered ``(column, type)`` lists: the column order of each sink table.
 """
 
 from __future__ import annotations
 
+import re
+
 # ---------------------------------------------------------------------------------------------------
 # Landed read schemas (one JSON document per file, or one per line).
 # ---------------------------------------------------------------------------------------------------
 
-CAMPAIGN_COUNTS = (
+def as_text(schema: str) -> str:
+    """The schema with every number read as text: JSON numbers and numbers in quotes both arrive, whatever their digits."""
+    return re.sub(r"\b(bigint|int|double)\b", "string", schema)
+
+
+def flat_types(fields: str) -> list[tuple[str, str]]:
+    """(name, type) of the plain fields of a struct's field list, for ``operators.project.typed``."""
+    plain = re.sub(r"\w+:(struct|array)<.*>", "", fields)
+    return [(n.strip(), t.strip()) for n, t in re.findall(r"(\w+)[: ]\s*(bigint|int|double|string|boolean)\b", plain)]
+
+
+CAMPAIGN_COUNTS = as_text(
     "adverts array<struct<type:int, status:int, count:int,"
     " advert_list:array<struct<advertId:bigint, changeTime:string>>>>"
 )
 
-CAMPAIGN_DETAILS = (
+CAMPAIGN_DETAIL_FIELDS = (
     "advertId bigint, name string, status int, type int,"
     " createTime string, startTime string, endTime string"
 )
 
+CAMPAIGN_DETAILS = as_text(CAMPAIGN_DETAIL_FIELDS)
+
 AD_STATS_NM = (
     "nmId:bigint, name:string, views:bigint, clicks:bigint, ctr:double, cpc:double, sum:double,"
     " atbs:bigint, orders:bigint, cr:double, shks:bigint, sum_price:double"
 )
-AD_STATS = (
+AD_STATS = as_text(
     "advertId bigint, days array<struct<date:string,"
     f" apps:array<struct<appType:int, nm:array<struct<{AD_STATS_NM}>>>>>>"
 )
 
 PRODUCT_HISTORY_DAY = (
     "dt:string, openCardCount:int, addToCartCount:int, addToCartConversion:double, ordersCount:int,"
-    " ordersSumRub:bigint, cartToOrderConversion:double, buyoutsCount:int, buyoutsSumRub:bigint,"
+    " ordersSumRub:double, cartToOrderConversion:double, buyoutsCount:int, buyoutsSumRub:double,"
     " buyoutPercent:double"
 )
-PRODUCT_HISTORY = (
+PRODUCT_HISTORY = as_text(
     "error boolean, errorText string, data array<struct<nmID:bigint, imtName:string, vendorCode:string,"
     f" history:array<struct<{PRODUCT_HISTORY_DAY}>>>>"
 )
@@ -45,20 +60,20 @@ PRODUCT_HISTORY = (
 FUNNEL_CARD = (
     "nmID:bigint, vendorCode:string, brandName:string, object:struct<id:int, name:string>,"
     " statistics:struct<selectedPeriod:struct<begin:string, end:string, openCardCount:int,"
-    " addToCartCount:int, ordersCount:int, ordersSumRub:bigint, buyoutsCount:int, buyoutsSumRub:bigint,"
-    " cancelCount:int, cancelSumRub:bigint, avgOrdersCountPerDay:double, avgPriceRub:double,"
+    " addToCartCount:int, ordersCount:int, ordersSumRub:double, buyoutsCount:int, buyoutsSumRub:double,"
+    " cancelCount:int, cancelSumRub:double, avgOrdersCountPerDay:double, avgPriceRub:double,"
     " conversions:struct<addToCartPercent:double, cartToOrderPercent:double, buyoutsPercent:double>>>,"
     " stocks:struct<stocksMp:int, stocksWb:int>"
 )
-FUNNEL_PAGE = f"data struct<page:int, isNextPage:boolean, cards:array<struct<{FUNNEL_CARD}>>>"
+FUNNEL_PAGE = as_text(f"data struct<page:int, isNextPage:boolean, cards:array<struct<{FUNNEL_CARD}>>>")
 
-WAREHOUSE_REMAINS = (
+WAREHOUSE_REMAINS = as_text(
     "brand string, subjectName string, vendorCode string, inWayToClient int, inWayFromClient int,"
     " quantityWarehousesFull int, warehouses array<struct<warehouseName:string, quantity:int>>"
 )
 
 # Supplier orders: the 28 source columns of the order log; dates are text, flags are JSON booleans.
-SUPPLIER_ORDERS = (
+SUPPLIER_ORDERS = as_text(
     "date string, lastChangeDate string, warehouseName string, warehouseType string, countryName string,"
     " oblastOkrugName string, regionName string, supplierArticle string, nmId bigint, barcode string,"
     " category string, subject string, brand string, techSize string, incomeID bigint, isSupply boolean,"
@@ -99,11 +114,10 @@ REALIZATION_NULLABLE_TEXT = [
 REALIZATION_BOOL_COLUMNS = ["srv_dbs", "is_legal_entity"]
 
 # Types of the realization columns are our choice (the source names keys, not types).
-_REALIZATION_LONG = {"realizationreport_id", "rrd_id", "gi_id", "nm_id", "quantity", "sale_percent", "shk_id",
-                     "delivery_amount", "return_amount", "rid", "ppvz_office_id", "ppvz_supplier_id",
+_REALIZATION_LONG = {"realizationreport_id", "rrd_id", "gi_id", "nm_id", "quantity", "shk_id", "rid", "ppvz_office_id", "ppvz_supplier_id",
                      "assembly_id", "report_type"}
 _REALIZATION_DOUBLE = {"dlv_prc", "retail_price", "retail_amount", "commission_percent",
-                       "retail_price_withdisc_rub", "delivery_rub", "product_discount_for_report",
+                       "retail_price_withdisc_rub", "delivery_rub", "sale_percent", "delivery_amount", "return_amount", "product_discount_for_report",
                        "supplier_promo", "ppvz_spp_prc", "ppvz_kvw_prc_base", "ppvz_kvw_prc",
                        "sup_rating_prc_up", "is_kgvp_v2", "ppvz_sales_commission", "ppvz_for_pay",
                        "ppvz_reward", "acquiring_fee", "acquiring_percent", "ppvz_vw", "ppvz_vw_nds",
@@ -112,10 +126,8 @@ _REALIZATION_DOUBLE = {"dlv_prc", "retail_price", "retail_amount", "commission_p
 
 
 def _realization_type(c: str, landed: bool) -> str:
-    if c in _REALIZATION_LONG:
-        return "bigint"
-    if c in _REALIZATION_DOUBLE:
-        return "double"
+    if c in _REALIZATION_LONG or c in _REALIZATION_DOUBLE:
+        return "string" if landed else "bigint" if c in _REALIZATION_LONG else "double"
     if c in REALIZATION_BOOL_COLUMNS:
         return "boolean" if landed else "int"
     if c in REALIZATION_DATE_COLUMNS:
@@ -125,7 +137,7 @@ def _realization_type(c: str, landed: bool) -> str:
 
 REALIZATION_REPORT = ", ".join(f"{c} {_realization_type(c, True)}" for c in REALIZATION_SOURCE_COLUMNS)
 
-FINANCE_OPERATIONS = (
+FINANCE_OPERATIONS = as_text(
     "result struct<operations:array<struct<operation_id:string, operation_type:string,"
     " operation_date:string, operation_type_name:string, delivery_charge:string,"
     " return_delivery_charge:string, accruals_for_sale:string, sale_commission:string, amount:string,"
@@ -156,14 +168,14 @@ PRODUCT_STATS_METRICS = ["dailyBudget", "weeklyBudget", "spending", "views", "cl
 PRODUCT_STATS_COLUMNS = ["campaignId", "date", *PRODUCT_STATS_METRICS]
 PRODUCT_STATS = ", ".join(f"{m} string" for m in PRODUCT_STATS_COLUMNS)
 
-ERP_PROFIT = (
+ERP_PROFIT = as_text(
     "rows array<struct<assortment:struct<name:string, code:string, article:string, uom:struct<name:string>,"
     " meta:struct<href:string, uuidHref:string>>, sellQuantity:double, sellPrice:double, sellSum:double,"
     " sellCostSum:double, returnQuantity:double, returnSum:double, profit:double, margin:double,"
     " salesMargin:double>>"
 )
 
-ERP_STOCK = (
+ERP_STOCK = as_text(
     "stocks array<struct<moment:string, assortment:struct<type:string, code:string, name:string,"
     " gtin:string, brand:string, state:string, folder:string, volume:double>,"
     " stock:struct<stock:double, transit:double, reserve:double, quantity:double, days:double, cost:double>>>"
@@ -173,7 +185,7 @@ MONTHLY_SALES_SHEET = ("product_code string, ProductName string, ordered string,
                        " fbo_stock_end string")
 
 # ---------------------------------------------------------------------------------------------------
-# Sink table contracts: ordered (column, type).
+# Sink table contracts: ordered (column, type). The column names and their order are the source's sink tables'.
 # ---------------------------------------------------------------------------------------------------
 
 CAMPAIGN_DATA_WB = [
@@ -189,8 +201,8 @@ CAMPAIGN_DATA_WB_PERIOD = CAMPAIGN_DATA_WB[:19]
 ORDER_HISTORY_WB = [
     ("nmID", "bigint"), ("vendorCode", "string"), ("brandName", "string"), ("objectID", "int"),
     ("objectName", "string"), ("begin", "timestamp_ntz"), ("openCardCount", "int"),
-    ("addToCartCount", "int"), ("ordersCount", "int"), ("ordersSumRub", "bigint"), ("buyoutsCount", "int"),
-    ("buyoutsSumRub", "bigint"), ("cancelCount", "int"), ("cancelSumRub", "bigint"), ("stocksMp", "int"),
+    ("addToCartCount", "int"), ("ordersCount", "int"), ("ordersSumRub", "double"), ("buyoutsCount", "int"),
+    ("buyoutsSumRub", "double"), ("cancelCount", "int"), ("cancelSumRub", "double"), ("stocksMp", "int"),
     ("stocksWb", "int"), ("Project", "string"), ("Marketplace", "string"),
 ]
 

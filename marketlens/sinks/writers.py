@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +25,14 @@ from ..schemas import ddl
 from ..session import shared_dir
 
 
-MAX_TOUCHED_PARTITIONS = 100_000
-
-
 @dataclass(frozen=True)
 class Target:
+    """``files_per_partition``: tasks that write one partition value in parallel (raise it for tables whose days are large)."""
+
     path: str
     contract: Sequence[tuple[str, str]]
     partition_by: Sequence[str] = field(default_factory=tuple)
+    files_per_partition: int = 1
 
     @property
     def schema(self) -> str:
@@ -72,11 +71,16 @@ def register_catalog_table(spark: SparkSession, target: Target, name: str) -> No
 
 
 def _prepared(df: DataFrame, target: Target) -> DataFrame:
-    """Contract order and types (absent columns null, a value that does not fit its type fails the write);
-    before a partitioned write, rows of one partition value are
-    grouped into few tasks (few files per day) while AQE still splits an oversized value across tasks."""
+    """Contract order and types (absent columns null, a value that does not fit its type fails the write). Before a partitioned
+    write, rows are dealt by partition value, so a day is written by ``files_per_partition`` tasks and many small days by many tasks."""
     out = conform(df, target.contract, cast_present="strict")
-    return out.hint("rebalance", *target.partition_by) if target.partition_by else out
+    if not target.partition_by:
+        return out
+    keys = [F.col(f"`{c}`") for c in target.partition_by]
+    if target.files_per_partition > 1:
+        rest = [F.col(f"`{c}`") for c in target.columns if c not in target.partition_by]
+        keys.append(F.pmod(F.xxhash64(*rest), F.lit(target.files_per_partition)))
+    return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
@@ -88,34 +92,14 @@ def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
     return w
 
 
-@contextmanager
-def _parallel_partition_write(spark: SparkSession, target: Target):
-    """During a partitioned write, keep the rebalance's partition count instead of letting AQE coalesce it
-    by bytes. Rows are hashed by the partition columns, so this adds no files (a day goes to few tasks and
-    empty tasks write nothing); it only lets many small days be written in parallel instead of by one task.
-    AQE still splits an oversized day."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    if not target.partition_by:
-        yield
-        return
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def append(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name."""
-    with _parallel_partition_write(spark, target):
-        _writer(_prepared(df, target), target, "append").parquet(target.path)
+    _writer(_prepared(df, target), target, "append").parquet(target.path)
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """Replace exactly the partitions that occur in ``df`` (dynamic partition overwrite)."""
-    with _parallel_partition_write(spark, target):
-        _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
+    _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
 
 
 def empty_partition(spark: SparkSession, target: Target, values: dict) -> None:
@@ -130,86 +114,76 @@ def reload_window(spark: SparkSession, df: DataFrame, target: Target, first: dt.
     """SNK-2: replace the days ``first..last`` with ``df``'s rows for those days; other days stay.
 
     Window days present in ``df`` are replaced by a dynamic partition overwrite; window days absent from
-    ``df`` are emptied, as the source's delete-then-insert does. ``df`` is evaluated once (checkpointed).
-    Re-running is idempotent.
+    ``df`` are emptied first, as the source's delete-then-insert does. ``df`` is evaluated once (checkpointed).
+    Re-running is idempotent; after a crash in between, the reload must be run again.
     """
     first_d = dt.date.fromisoformat(str(first))
     last_d = dt.date.fromisoformat(str(last))
     in_window = F.col(part_col).between(F.lit(str(first_d)).cast("date"), F.lit(str(last_d)).cast("date"))
-    days = [first_d + dt.timedelta(days=i) for i in range((last_d - first_d).days + 1)]
     # The new rows are computed once: checkpointed in the shared folder, then both listed (which window days
     # received rows: a handful of dates) and written, instead of running the upstream job twice.
     shared_dir(spark)
     window = conform(df.filter(in_window), target.contract, cast_present="strict").checkpoint(eager=True)
     written = {r[0] for r in window.select(part_col).distinct().collect()}
-    overwrite_partitions(spark, window, target)
-    for day in sorted(_days_present(spark, target, part_col, days) - written):
+    for day in sorted(_days_present(spark, target, part_col, first_d, last_d) - written):
         empty_partition(spark, target, {part_col: day.isoformat()})
+    overwrite_partitions(spark, window, target)
 
 
-def _days_present(spark: SparkSession, target: Target, part_col: str, days: list[dt.date]) -> set[dt.date]:
-    """Which of ``days`` have rows, listing only those day directories (not the whole table's history)."""
+def _days_present(spark: SparkSession, target: Target, part_col: str, first: dt.date, last: dt.date) -> set[dt.date]:
+    """Which days from ``first`` to ``last`` have rows (partition pruning: other days' files are not read)."""
+    window = F.col(part_col).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+    return {r[0] for r in _stored(spark, target).filter(window).select(part_col).distinct().collect()}
+
+
+def _stored(spark: SparkSession, target: Target) -> DataFrame:
+    """The table's rows; none if its folder does not exist yet. Any other failure to read is raised."""
     from pyspark.errors import AnalysisException
 
-    glob = f"{target.path.rstrip('/')}/{part_col}={{{','.join(d.isoformat() for d in days)}}}"
     try:
-        found = (spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)
-                 .select(part_col).distinct().collect())
-    except AnalysisException:  # none of the days exists yet
-        return set()
-    return {r[0] for r in found}
+        return read(spark, target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], target.schema)
 
 
 def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Sequence[str], version: str) -> None:
     """SNK-3: versioned upsert, latest ``version`` wins per key (replacing-merge semantics).
 
-    Only partitions that receive new rows are touched: their current rows are read (only those partition
-    directories), unioned with the batch, reduced to the latest version per key (which also removes
-    duplicates inside the batch), checkpointed when the plan reads the target, then written back with a
-    dynamic partition overwrite. The key must determine the partition columns, so every version of a key
+    Only partitions that receive new rows are touched: their current rows are read (only those partitions' files),
+    unioned with the batch, reduced to the latest version per key (which also removes duplicates inside the batch),
+    checkpointed, then written back with a dynamic partition overwrite. The key must determine the partition columns, so every version of a key
     lives in one partition.
     """
-    new = conform(df, target.contract, cast_present="strict")
-    # Listing the batch's partition values reads only the partition columns (column pruning), so the batch
-    # is not materialised for it; the merge below is the one full evaluation.
-    current, reads_target = _read_touched(spark, target, new)
-    merged = latest_version(current.unionByName(new), key, version)
-    if reads_target:  # the overwrite would delete files this plan still reads: cut the lineage first
-        shared_dir(spark)
-        merged = merged.checkpoint(eager=True)
-    overwrite_partitions(spark, merged, target)
-
-
-def _read_touched(spark: SparkSession, target: Target, new: DataFrame) -> tuple[DataFrame, bool]:
-    """The target's rows in the partitions ``new`` touches, and whether that frame reads the target.
-
-    A batch touches few partitions (a day's orders touch a few days), so their values are a small, bounded
-    list: with one date or integer partition column only those directories are listed and read (a path
-    glob), so the cost does not grow with the table's history. Otherwise (several partition columns, null
-    values, or more than ``MAX_TOUCHED_PARTITIONS`` values) it falls back to a semi join on the values.
-    """
-    from pyspark.errors import AnalysisException
+    shared_dir(spark)
+    # The batch is evaluated once: its partition values and the merge both read the checkpoint.
+    new = conform(df, target.contract, cast_present="strict").checkpoint(eager=True)
+    merged = latest_version(_touched(spark, target, new).unionByName(new), key, version)
+    # The overwrite deletes files that the merge reads: cut the lineage first.
+    overwrite_partitions(spark, merged.checkpoint(eager=True), target)
 
-    parts = list(target.partition_by)
-    if not parts:
-        return read(spark, target), True
-    touched = new.select(*parts).distinct()
-    values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()] if len(parts) == 1 else None
-    simple = (values is not None and len(values) <= MAX_TOUCHED_PARTITIONS and values
-              and all(isinstance(v, (dt.date, int)) and not isinstance(v, bool) for v in values))
-    if not simple:  # null-safe, so rows stored under a null partition value are merged too
-        t = touched.select(*[F.col(c).alias(f"__t_{c}") for c in parts])
-        cond = None
+
+def _touched(spark: SparkSession, target: Target, new: DataFrame) -> DataFrame:
+    """The stored rows in the partitions that ``new`` has rows for.
+
+    The values of each partition column (a folder each, so as many as the write makes anyway) filter a normal read, so other partitions' files are
+    not read; with several columns a null-safe semi join then keeps the exact combinations.
+    """
+    stored, parts = _stored(spark, target), list(target.partition_by)
+    for c in parts:
+        kind = stored.schema[c].dataType
+        values = [r[0] for r in new.select(F.col(f"`{c}`").cast("string")).distinct().collect()]
+        known = [F.lit(v).cast(kind) for v in values if v is not None]
+        wanted = F.col(f"`{c}`").isin(*known) if known else F.lit(False)
+        stored = stored.filter(wanted | F.col(f"`{c}`").isNull() if None in values else wanted)
+    if len(parts) > 1:
+        combinations = new.select(*(F.col(f"`{c}`").alias(f"__t_{c}") for c in parts)).distinct()
+        same = F.lit(True)
         for c in parts:
-            term = F.col(c).eqNullSafe(F.col(f"__t_{c}"))
-            cond = term if cond is None else cond & term
-        return read(spark, target).join(t, cond, "left_semi"), True
-    glob = f"{target.path.rstrip('/')}/{parts[0]}={{{','.join(str(v) for v in values)}}}"
-    try:
-        found = spark.read.schema(target.schema).option("basePath", target.path).parquet(glob)
-    except AnalysisException:  # none of the touched partitions exists yet
-        return spark.createDataFrame([], target.schema), False
-    return found.select(*[F.col(f"`{c}`") for c in target.columns]), True
+            same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__t_{c}"))
+        stored = stored.join(combinations, same, "left_semi")
+    return stored
 
 
 def backfill_with_default(spark: SparkSession, source: DataFrame, target: Target, day_col: str,

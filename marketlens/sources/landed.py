@@ -12,15 +12,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import PRODUCT_STATS_COLUMNS
 
 
-def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True,
+                keep_corrupt: bool = False) -> DataFrame:
     """SRC-1..16: one JSON document per file (``multi_line``) or one per line. ``project=``/``day=``
-    directories below ``path`` become columns by partition discovery (and are pruned by filters)."""
-    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
-    return reader.json(path if isinstance(path, str) else list(path))
+    directories below ``path`` become columns by partition discovery (and are pruned by filters).
+
+    A document that does not parse (a truncated page) stops the read. With ``keep_corrupt`` it becomes a row with its text in
+    ``_corrupt_record`` instead, for ``split_corrupt`` and the load audit.
+    """
+    if not keep_corrupt:
+        reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+        return reader.json(path if isinstance(path, str) else list(path))
+    raw = spark.read.option("wholetext", multi_line).text(path if isinstance(path, str) else list(path))
+    one = T.StructType([*T.StructType.fromDDL(schema), T.StructField(CORRUPT, T.StringType())])
+    text, options = F.trim("value"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    docs = F.when(text.startswith("["), F.from_json(text, T.ArrayType(one), options)).otherwise(F.array(F.from_json(text, one, options)))
+    kept = [c for c in raw.columns if c != "value"]
+    rows = raw.filter(text != "").select("value", *kept, docs.alias("__docs"))
+    # Text that gives no documents at all is one damaged document; an empty list is none.
+    rows = rows.select("value", *kept, F.explode(F.coalesce("__docs", F.array(F.lit(None).cast(one)))).alias("__doc"))
+    damaged = F.when(F.col("__doc").isNull(), F.col("value")).otherwise(F.col(f"__doc.{CORRUPT}"))
+    return rows.select(*[F.col(f"__doc.{f.name}").alias(f.name) for f in one if f.name != CORRUPT], damaged.alias(CORRUPT), *kept)
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sound documents without the corrupt-record column, and the texts of the damaged ones with the other scalar columns."""
+    simple = [f.name for f in df.schema if f.dataType.typeName() not in ("array", "struct", "map")]
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(*simple)
 
 
 def parse_json_text(df: DataFrame, text_col: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -53,12 +79,8 @@ def read_report_folder(spark: SparkSession, path: str, columns: Sequence[str] =
     """SRC-13 on a landed folder that holds both kinds of responses: ``*.json`` and ``*.csv`` files are read
     with their own reader (selected by ``pathGlobFilter``, recursively) and unioned by name."""
     def has(glob: str) -> bool:
-        from pyspark.errors import AnalysisException
-        try:
-            spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path).limit(1).count()
-            return True
-        except AnalysisException:
-            return False
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path"))
+        return not files.limit(1).isEmpty()
 
     frames = []
     if has("*.json"):
@@ -89,9 +111,3 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet",
         return conform(raw, contract, cast_present=True) if contract else raw
     df = spark.read.parquet(path)
     return conform(df, contract) if contract else df
-
-
-def read_target(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """SRC-18: scan of a sink table (catalog name); column pruning reaches the Parquet reader."""
-    df = spark.table(table)
-    return df.select(*columns) if columns else df

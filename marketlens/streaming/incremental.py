@@ -20,9 +20,10 @@ from ..sinks import writers
 
 
 def orders_stream(spark: SparkSession, landed_dir: str, target: writers.Target, checkpoint_location: str,
-                  project: str | None = None, max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Start a catch-up run over new landed order files; returns the query (call ``awaitTermination``)."""
+                  project: str | None = None, max_files_per_trigger: int = 1000, multi_line: bool = True) -> StreamingQuery:
+    """A file is a page as ``sources.landed.read_landed`` reads it (``multi_line``); a page that does not parse stops the run. Start a catch-up run over new landed order files; returns the query (call ``awaitTermination``)."""
     source = (spark.readStream.schema(SUPPLIER_ORDERS)
+              .option("multiLine", multi_line).option("mode", "FAILFAST")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .json(landed_dir))
 

@@ -3,14 +3,15 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from marketlens import schemas
 from marketlens.operators.quality import all_successful, load_audit
-from marketlens.plans import erp, finance, orders, performance, stock
+from marketlens.plans import ads, erp, finance, orders, performance, stock
 from marketlens.sinks import writers
-from marketlens.sources.landed import read_report
+from marketlens.sources.landed import read_landed, read_report, split_corrupt
 
 NOW = "2024-03-05 06:00:00"
 
@@ -39,10 +40,12 @@ def test_stock_load_is_all_or_nothing(spark, landed, tmp_path):
     target = writers.Target(str(tmp_path / "warehouse_data_wb"), schemas.WAREHOUSE_DATA_WB)
     writers.create_table(spark, target)
     resp = spark.createDataFrame([("P1", 200, "ok"), ("P2", 500, "fail")], "project string, status_code int, text string")
-    assert not stock.load_stock_snapshot(spark, remains, load_audit(resp, NOW), target, NOW)
+    assert not stock.load_stock_snapshot(spark, remains, load_audit(resp, NOW), target, NOW, ["P1", "P2"])
     assert writers.read(spark, target).count() == 0
     ok = load_audit(resp.filter("status_code = 200"), NOW)
-    assert stock.load_stock_snapshot(spark, remains, ok, target, NOW)
+    assert not stock.load_stock_snapshot(spark, remains, ok, target, NOW, ["P1", "P2"])  # P2 has no response
+    assert not stock.load_stock_snapshot(spark, remains, ok.limit(0), target, NOW, ["P1"])
+    assert stock.load_stock_snapshot(spark, remains, ok, target, NOW, ["P1"])
     assert writers.read(spark, target).count() == 1
 
 
@@ -139,7 +142,9 @@ def test_realization_by_day_recursive(spark, landed):
     assert (r.item_offer_id, r.delivery_commission_bonus, r.return_commission_quantity) == ("O1", 5.0, None)
     assert (r.prices_0, r.prices_2, r.date) == (10.0, 30.0, "2024-3-5")
     declared = finance.realization_by_day(df, array_sizes={"prices": 2})
-    assert "prices_2" not in declared.columns and "prices_1" in declared.columns
+    assert declared.first().prices_2 == 30.0  # a declared size adds columns, it never cuts data
+    wider = finance.realization_by_day(df, array_sizes={"prices": 5})
+    assert "prices_4" in wider.columns and wider.first().prices_4 is None
 
 
 def test_performance_campaign_dim_and_objects(spark, landed):
@@ -208,7 +213,9 @@ def test_load_audit(spark):
     audit = load_audit(resp, NOW)
     assert audit.columns == schemas.names(schemas.LOAD_AUDIT)
     assert rows(audit, "API", "Status Code", "Status") == [("P1", 200, "Successful"), ("P2", 429, "Error")]
-    assert not all_successful(audit) and all_successful(audit.filter("API = 'P1'"))
+    one = audit.filter("API = 'P1'")
+    assert not all_successful(audit, ["P1", "P2"]) and all_successful(one, ["P1"])
+    assert not all_successful(one, ["P1", "P2"]) and not all_successful(audit.limit(0), ["P1"]) and not all_successful(one, [])
 
 
 def test_history_csv_binds_by_header(spark, tmp_path):
@@ -238,5 +245,64 @@ def test_numbers_sent_as_json_numbers_or_text_both_survive(spark, landed):
     out = finance.finance_operations(landed(ops, schemas.FINANCE_OPERATIONS, multi_line=True))
     assert rows(out, "operation_type", "operation_id", "amount", "item_sku") == [("a", 123, 10.5, 77),
                                                                               ("b", 124, 11.25, 78)]
-    as_bigint = landed([{"v": "7"}, {"v": 8}], "v bigint")
-    assert sorted((r.v for r in as_bigint.collect()), key=lambda x: (x is None, x)) == [8, None]
+    history = [{"error": False, "data": [{"nmID": "5", "history": [{"dt": "2024-03-01", "ordersCount": "3", "ordersSumRub": 1234.5},
+                                                                   {"dt": "2024-03-02", "ordersCount": 2.0, "ordersSumRub": "n/a"}]}]}]
+    got = ads.flatten_history(landed(history, schemas.PRODUCT_HISTORY))
+    assert rows(got, "nmID", "dt", "ordersCount", "ordersSumRub") == [(5, "2024-03-01", 3, 1234.5), (5, "2024-03-02", 2, None)]
+    report = landed([{"rrd_id": 2**60 + 1, "quantity": 2.0, "sale_percent": 12.5, "srv_dbs": True}], schemas.REALIZATION_REPORT)
+    (r,) = finance.realization_clean(report, NOW).collect()
+    assert (r.rrd_id, r.quantity, r.sale_percent, r.srv_dbs) == (2**60 + 1, 2, 12.5, 1)
+
+
+def test_truncated_page_stops_the_load_or_reaches_the_audit(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"list": [{"id": "1"}, {"id": "2"}]}')
+    (tmp_path / "b.json").write_text('{"list": [{"id": "3"}, {"id')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_landed(spark, str(tmp_path), schemas.CAMPAIGN_OBJECTS).collect()
+    sound, damaged = split_corrupt(read_landed(spark, str(tmp_path), schemas.CAMPAIGN_OBJECTS, keep_corrupt=True))
+    assert [[x.id for x in r.list] for r in sound.collect()] == [["1", "2"]]
+    assert [r[0] for r in damaged.collect()] == ['{"list": [{"id": "3"}, {"id']
+    (tmp_path / "c.json").write_text('[{"list": [{"id": "5"}]}, {"list": null}]')
+    (tmp_path / "d.json").write_text('[{"list": [')
+    (tmp_path / "e.json").write_text("[]")
+    sound, damaged = split_corrupt(read_landed(spark, str(tmp_path), schemas.CAMPAIGN_OBJECTS, keep_corrupt=True))
+    assert sound.count() == 3 and sorted(r[0] for r in damaged.collect()) == ['[{"list": [', '{"list": [{"id": "3"}, {"id']
+
+
+def test_performance_stats_sum_only_what_adds_up(spark):
+    report = spark.createDataFrame([("1", "2024-03-01", "100", "10", "50", "10.5", "0.004", "100"), ("1", "2024-03-01", "300", "30", "90", "12", "0.004", None)],
+                                   "campaignId string, date string, views string, clicks string, spending string, averageClickPrice string, drr string, dailyBudget string")
+    (r,) = performance.performance_stats(report).collect()
+    assert (r.views, r.clicks, r.spending, r.averageClickPrice, r.dailyBudget, r.n_rows) == (400, 40, 140, 3.5, 100, 2)
+    assert "drr" not in r  # without the order sum there is no ratio to give
+
+
+def test_erp_json_keeps_keys_beyond_the_contract(spark):
+    schema = schemas.ERP_STOCK.replace("struct<moment:string,", "struct<moment:string, uom:string, prices:array<string>,")
+    payload = spark.createDataFrame(['{"stocks": [{"moment": "2024-03-01 10:00:00", "uom": "pcs", "prices": [1, 2.5], "assortment": {"code": "A"}}]}'], "string")
+    out = stock.erp_stock_snapshot(payload.select(F.from_json("value", schema).alias("d")).select("d.*"))
+    meta = json.loads(out.first().metadata_json)
+    assert meta["uom"] == "pcs" and meta["prices"] == ["1", "2.5"] and meta["assortment.code"] == "A" and meta["stock.cost"] is None
+
+
+def test_orders_upsert_keeps_a_mark_for_each_project(spark, landed, tmp_path):
+    target = orders.orders_target(str(tmp_path / "orders_wb"))
+    writers.create_table(spark, target)
+    row = lambda srid, changed, price=1.0: {"date": "2024-02-01T10:00:00", "lastChangeDate": changed, "srid": srid, "nmId": 1, "totalPrice": price}
+    load = lambda recs, project: orders.orders_upsert(spark, landed(recs, schemas.SUPPLIER_ORDERS), target, project=project)
+    load([row("a", "2024-02-02T00:00:00"), row("bad", "not a date")], "A")
+    load([row("b", "2024-02-01T00:00:00")], "B")  # older than A's mark
+    load([row("a", "2024-02-01T12:00:00", 9.0), row("a2", "2024-02-03T00:00:00"), row("bad2", None)], "A")
+    load([row("b", "2024-02-01T00:00:00")], "B")  # repeated
+    got = rows(writers.read(spark, target), "Project", "srid", "totalPrice")
+    assert got == [("A", "a", 1.0), ("A", "a2", 1.0), ("A", "bad", 1.0), ("A", "bad2", 1.0), ("B", "b", 1.0)]
+    assert rows(orders.high_water_marks(spark, target), "Project") == [("A",), ("B",)]
+    scans = writers.read(spark, orders.marks_target(target))
+    assert scans.count() == 4
+
+
+def test_first_item_of_an_operation_with_many_items(spark, landed):
+    items = [{"name": f"i{k}", "sku": str(k)} for k in range(1000)]
+    ops = [{"result": {"operations": [{"operation_id": 1, "items": items}, {"operation_id": 2, "items": []}]}}]
+    out = finance.finance_operations(landed(ops, schemas.FINANCE_OPERATIONS))
+    assert rows(out, "operation_id", "item_name", "item_sku") == [(1, "i0", 0), (2, None, 0)]

@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -45,7 +46,19 @@ def test_recursive_flatten_measures_and_declares(spark):
     out = flatten.recursive_flatten(df)
     assert out.columns == ["a_x", "a_b_y", "a_b_z", "t_0", "t_1", "t_2"]
     assert rows(out) == [(1, 2.5, None, 1, 2, 3), (None, None, None, None, None, None)]
-    assert flatten.recursive_flatten(df, {"t": 1}).columns[-1] == "t_0"
+    assert flatten.recursive_flatten(df, {"t": 1}).columns[-1] == "t_2"  # never below the data
+    assert flatten.recursive_flatten(df, {"t": 4}).columns[-1] == "t_3"
+    with pytest.raises(ValueError, match="more than 2 columns"):
+        flatten.recursive_flatten(df, max_columns=2)
+
+
+def test_recursive_flatten_arrays_in_arrays(spark):
+    df = spark.createDataFrame([([(1, [1, 2, 3]), (2, [])], [[1], [2, 3]], None), ([(3, [9])], None, ([["x"]],))],
+                               "r array<struct<n:int, vals:array<int>>>, m array<array<int>>, s struct<d:array<array<string>>>")
+    out = flatten.recursive_flatten(df)
+    assert out.columns == ["r_0_n", "r_0_vals_0", "r_0_vals_1", "r_0_vals_2", "r_1_n", "r_1_vals_0", "r_1_vals_1", "r_1_vals_2",
+                           "m_0_0", "m_0_1", "m_1_0", "m_1_1", "s_d_0_0"]
+    assert rows(out) == [(1, 1, 2, 3, 2, None, None, None, 1, None, 2, 3, None), (3, 9, *[None] * 10, "x")]
 
 
 def test_first_element_and_prefixed_struct(spark):
@@ -69,14 +82,6 @@ def test_latest_version_ties_and_nulls(spark):
     assert rows(window.latest_version(df, ["k"], "v")) == [(1, 2, "b"), (2, 1, "c")]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    plan = big.join(joins.bounded_broadcast(small, 10), "k")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    assert joins.bounded_broadcast(big, 10) is big  # above the bound: no hint, the planner decides
-
-
 def test_null_safe_left_join(spark):
     left = spark.createDataFrame([(None, 1), (2, 2)], "k int, a int")
     right = spark.createDataFrame([(None, "n"), (2, "t")], "k int, b string")
@@ -189,24 +194,3 @@ def test_daily_ad_fact_matches_brute_force(spark, data):
                        float(sum((Decimal(str(m)) for _, _, _, m, _ in g if m is not None), Decimal(0))),
                        round(sum(ratios) / len(ratios), 6) if ratios else None)
     assert got == expected
-
-
-def test_split_left_join_equals_left_join_with_hot_keys(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (1, "a2")], "k int, l string")
-    right = spark.range(200).select(F.when(F.col("id") < 150, F.lit(1)).when(F.col("id") < 160, F.lit(2))
-                                    .otherwise(F.lit(9)).alias("k"), F.col("id").alias("r"))
-    split = joins.split_left_join(left, right, ["k"])
-    assert rows(split) == rows(joins.left_join(left, right, ["k"])) and split.columns == ["k", "l", "r"]
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "LeftOuter" not in plan  # only inner and anti joins, both of which AQE can split or pre-reduce
-
-
-join_side = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=25)
-
-
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(join_side, join_side)
-def test_split_left_join_matches_left_join(spark, left_rows, right_rows):
-    left = spark.createDataFrame(left_rows, "k int, a int")
-    right = spark.createDataFrame(right_rows, "k int, b int")
-    assert rows(joins.split_left_join(left, right, ["k"])) == rows(joins.left_join(left, right, ["k"]))

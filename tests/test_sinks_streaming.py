@@ -3,6 +3,9 @@
 import datetime as dt
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 
 from conftest import rows
 from marketlens import schemas
@@ -79,11 +82,11 @@ def test_orders_stream_catch_up_runs(spark, tmp_path):
     base = {"date": "2024-03-01T10:00:00", "nmId": 1, "srid": "s1", "totalPrice": 100.0}
     land("p1.json", [{**base, "lastChangeDate": "2024-03-01T12:00:00"},
                      {**base, "srid": "s2", "lastChangeDate": "2024-03-01T12:00:00"}])
-    q = orders_stream(spark, str(landing), target, ckpt, project="P1")
+    q = orders_stream(spark, str(landing), target, ckpt, project="P1", multi_line=False)
     q.awaitTermination(120)
     assert writers.read(spark, target).count() == 2
     land("p2.json", [{**base, "lastChangeDate": "2024-03-02T08:00:00", "totalPrice": 80.0}])
-    q = orders_stream(spark, str(landing), target, ckpt, project="P1")
+    q = orders_stream(spark, str(landing), target, ckpt, project="P1", multi_line=False)
     q.awaitTermination(120)
     got = {r.srid: r.totalPrice for r in writers.read(spark, target).collect()}
     assert got == {"s1": 80.0, "s2": 100.0}  # p1.json was not read again; s1 took its newer version
@@ -108,3 +111,33 @@ def test_upsert_merges_rows_under_a_null_partition(spark, tmp_path):
     second = spark.createDataFrame([(1, 2, None)], "k bigint, ver int, day date")
     writers.upsert_latest(spark, second, t, ["k", "day"], "ver")
     assert rows(writers.read(spark, t)) == [(1, 2, None), (2, 1, dt.date(2024, 1, 1))]
+
+
+def test_orders_stream_reads_multi_line_pages(spark, tmp_path):
+    landing = tmp_path / "pages"
+    landing.mkdir()
+    page = [{"date": "2024-03-01T10:00:00", "nmId": 1, "srid": s, "totalPrice": 1.5, "lastChangeDate": "2024-03-01T12:00:00"} for s in "ab"]
+    (landing / "p1.json").write_text(json.dumps(page, indent=2))
+    target = orders.orders_target(str(tmp_path / "orders_pages"))
+    writers.create_table(spark, target)
+    orders_stream(spark, str(landing), target, str(tmp_path / "ckpt-pages"), project="P1").awaitTermination(120)
+    assert sorted((r.srid, r.totalPrice) for r in writers.read(spark, target).collect()) == [("a", 1.5), ("b", 1.5)]
+
+
+def test_upsert_keeps_stored_rows_for_any_partition_type(spark, tmp_path):
+    for n, (kind, value) in enumerate([("timestamp_ntz", "2024-01-01 00:00:00"), ("timestamp_ntz", "2024-01-01 10:30:00"), ("string", "a b/c=d"), ("int", "7"),
+                                       ("date", "2024-01-01"), ("string", None)]):
+        t = writers.Target(str(tmp_path / f"up{n}"), [("k", "int"), ("v", "int"), ("day", kind)], ("day",))
+        writers.create_table(spark, t)
+        for k in (1, 2, 1):
+            df = spark.createDataFrame([(k, k * 10)], "k int, v int").withColumn("day", F.lit(value).cast(kind))
+            writers.upsert_latest(spark, df, t, ["k"], "v")
+        assert sorted((r.k, r.v) for r in writers.read(spark, t).collect()) == [(1, 10), (2, 20)], (kind, value)
+
+
+def test_unreadable_table_is_not_taken_for_an_empty_one(spark, tmp_path):
+    t = writers.Target(str(tmp_path / "none"), [("k", "int"), ("day", "date")], ("day",))
+    assert writers._stored(spark, t).count() == 0
+    bad = writers.Target(str(tmp_path / "none"), [("k", "no_such_type"), ("day", "date")], ("day",))
+    with pytest.raises(Exception):
+        writers._stored(spark, bad)

@@ -72,4 +72,5 @@ def test_union_and_aggregates(spark):
     assert aggregate.total(money, "m", "t", 2).first().t == 0.3
     assert aggregate.distinct_count(money, "g", "n").first().n == 2
     assert rows(aggregate.distinct_values(money, ["g"])) == [("g",), ("h",)]
-    assert rows(aggregate.rows_per(money, "g")) == [("g", 2), ("h", 1)]
+    tiny = spark.createDataFrame([(0.004,)] * 3, "m double")
+    assert aggregate.total(tiny, "m", "t", aggregate.SUM_SCALE).first().t == 0.012
