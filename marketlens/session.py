@@ -81,9 +81,21 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared folder for one written table."""
-    return os.path.join(shared_dir(spark), "marketlens", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique location under the shared folder for one written table; ``drop_scratch`` removes them."""
+    path = os.path.join(shared_dir(spark), "marketlens", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this process has written to scratch locations so far. Call it when no DataFrame that reads them is used any more."""
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ pass over the data, and a missing key becomes null.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,49 +56,33 @@ def parse_json_text(df: DataFrame, text_col: str, schema: str, keep: Sequence[st
 
 
 def read_report(spark: SparkSession, json_path: str | None = None, csv_path: str | None = None,
-                columns: Sequence[str] = PRODUCT_STATS_COLUMNS) -> DataFrame:
-    """SRC-13/14: a text-valued report landed as JSON or as header CSV (the source decides by content type).
-    Both are bound to ``columns`` by name (a CSV read with a schema would bind by position and ignore the
-    header), absent columns are null, and the two are unioned."""
+                columns: Sequence[str] = PRODUCT_STATS_COLUMNS, multi_line: bool = True, **options) -> DataFrame:
+    """SRC-13/14: a text-valued report landed as JSON (one document a file with ``multi_line``, else one a line) or as header CSV (the source
+    decides by content type). Both are bound to ``columns`` by name (a CSV read with a schema would bind by position and ignore the
+    header), absent columns are null, and the two are unioned. ``options`` go to both readers."""
     frames = []
     if json_path:
         schema = ", ".join(f"`{c}` string" for c in columns)
-        frames.append(spark.read.schema(schema).option("multiLine", True).json(json_path))
+        frames.append(spark.read.options(**options.get("json", {})).schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(json_path))
     if csv_path:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
+        raw = spark.read.options(**options.get("csv", {})).option("header", True).option("inferSchema", False).csv(csv_path)
         frames.append(raw.select(*[F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string").alias(c)
                                    for c in columns]))
     if not frames:
-        raise ValueError("read_report needs json_path or csv_path")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        raise ValueError("a report needs a JSON or a CSV path")
+    return reduce(DataFrame.unionByName, frames)
 
 
-def read_report_folder(spark: SparkSession, path: str, columns: Sequence[str] = PRODUCT_STATS_COLUMNS) -> DataFrame:
-    """SRC-13 on a landed folder that holds both kinds of responses: ``*.json`` and ``*.csv`` files are read
-    with their own reader (selected by ``pathGlobFilter``, recursively) and unioned by name."""
+def read_report_folder(spark: SparkSession, path: str, columns: Sequence[str] = PRODUCT_STATS_COLUMNS, multi_line: bool = True) -> DataFrame:
+    """SRC-13 on a landed folder that holds both kinds of responses: ``*.json`` and ``*.csv`` files, at any depth."""
+    def only(glob: str) -> dict:
+        return {"pathGlobFilter": glob, "recursiveFileLookup": True}
+
     def has(glob: str) -> bool:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path"))
-        return not files.limit(1).isEmpty()
+        return not spark.read.format("binaryFile").options(**only(glob)).load(path).select("path").limit(1).isEmpty()
 
-    frames = []
-    if has("*.json"):
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        frames.append(spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json")
-                      .option("recursiveFileLookup", True).json(path))
-    if has("*.csv"):
-        raw = (spark.read.option("header", True).option("inferSchema", False).option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", True).csv(path))
-        frames.append(raw.select(*[F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string").alias(c)
-                                   for c in columns]))
-    if not frames:
-        raise ValueError(f"no JSON or CSV report under {path}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return read_report(spark, path if has("*.json") else None, path if has("*.csv") else None, columns, multi_line,
+                       json=only("*.json"), csv=only("*.csv"))
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet",
