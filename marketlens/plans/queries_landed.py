@@ -35,7 +35,7 @@ NOW = "2024-02-01 06:00:00"
 def land(df: DataFrame, stem: str, page: Column) -> str:
     """Write a page of JSON text for each row, one a line, under ``project=/day=`` folders; returns the root."""
     path = scratch_path(df.sparkSession, f"landed-{stem}")
-    df.select("project", "day", page.alias("value")).write.partitionBy("project", "day").text(path)
+    df.select("project", "day", page.alias("value")).repartition("project", "day").write.partitionBy("project", "day").text(path)
     return path
 
 
@@ -178,7 +178,7 @@ def q_orders_from_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------------------ SRC-1, SRC-2, JOB-2, PRJ-1, JON-6, FLT-8
-CHANGED_FROM = 1995
+CHANGED_FROM = 1997
 CAMPAIGNS_SQL = f"""
 SELECT CAST(NULL AS DATE) AS endTime, CAST(o_orderdate AS DATE) AS createTime, CAST(o_orderdate AS DATE) AS startTime,
        o_orderpriority AS name, o_orderkey AS advertId, '9000' AS status, '8000' AS type
