@@ -291,7 +291,7 @@ def q_realization_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").cast("string").alias("retail_price"),
                     F.col("l_discount").alias("sale_percent"), F.col("l_returnflag").alias("doc_type_name"), F.lit("").alias("brand_name"),
                     F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("rr_dt"))
-    rows = li.withColumns({"project": F.concat("l_returnflag", "l_linestatus"), "day": F.to_date(F.trunc("l_shipdate", "week"))})
+    rows = li.withColumns({"project": F.col("l_linestatus"), "day": F.to_date(F.trunc("l_shipdate", "week"))})
     pages = read_landed(spark, land(rows, "realization", F.to_json(body)), REALIZATION_REPORT, multi_line=False)
     week = filters.day_between(pages, "day", WEEK_FIRST, WEEK_LAST).drop("day")
     target = writers.Target(scratch_path(spark, "wb-realization-reports"), WB_REALIZATION_REPORTS)
