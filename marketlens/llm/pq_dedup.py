@@ -85,12 +85,15 @@ class Index:
         return own, codes.astype(np.uint8), error, [np.flatnonzero(w) for w in wanted]
 
     def table_distances(self, query: np.ndarray, list_no: int, codes: np.ndarray) -> np.ndarray:
-        """Distances of queries to coded members of a list, from tables of each query's residual to the codewords."""
+        """Squared distances (members x queries) of queries to coded members of a list, from tables of each query's residual to the codewords."""
         residual = query - self.centres[list_no]
-        total = np.zeros((len(query), len(codes)), np.float32)
+        total = np.zeros((len(codes), len(query)), np.float32)
+        part = np.empty_like(total)
         for k, (a, b) in enumerate(zip(self.cuts, self.cuts[1:], strict=False)):
-            total += _distances(residual[:, a:b], self.words[k]).astype(np.float32)[:, codes[:, k]]
-        return np.sqrt(total)
+            # A row of the table for each codeword: a member copies its codeword's row.
+            table = np.ascontiguousarray(_distances(self.words[k], residual[:, a:b]), np.float32)
+            total += np.take(table, codes[:, k], axis=0, out=part, mode="clip")
+        return total
 
 
 def _units(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -190,13 +193,12 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "ve
         units = np.frombuffer(b"".join(frame["unit"]), np.float64).reshape(-1, d)
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         codes = np.frombuffer(b"".join(frame["codes"].iloc[m]), np.uint8).reshape(len(m), -1)
-        error = frame["error"].to_numpy(np.float64)[m].astype(np.float32)
+        within = ((reach + 1e-4 + frame["error"].to_numpy(np.float64)[m]) ** 2).astype(np.float32)[:, None]
         links = np.zeros(len(names), np.int64)
         a, b = [], []
         for s in range(0, len(q) if len(m) else 0, 512):
             own = q[s:s + 512]
-            near = index.table_distances(units[own], list_no, codes) <= np.float32(reach + 1e-4) + error
-            i, j = np.nonzero(near)
+            j, i = np.nonzero(index.table_distances(units[own], list_no, codes) <= within)
             # In its own list a vector meets every pair twice: once is enough.
             once = (frame["home"].to_numpy()[own[i]] != list_no) | (number[own[i]] < number[m[j]])
             i, j = own[i[once]], m[j[once]]
