@@ -6,10 +6,12 @@ number of buckets, so that what the tasks send and read does not grow with the c
 shingles too; seen as a share of all documents that floor is the same at every size.)
 
 A sketch has one sample for each of ``BANDS * ROWS`` draws; two documents agree in a draw with a probability equal to their weighted
-Jaccard similarity. Documents that agree in all rows of a band meet in a bucket. In a bucket all are compared with one centre; those not
-alike, and those that could still link to them by the triangle inequality of the Jaccard distance, go on with the next
-centre until none is left. So a group of copies costs one comparison a member, and no list of pairs is made. Every link is verified by exact
-weighted Jaccard similarity. Texts with the same words are one node from the start.
+Jaccard similarity. Documents that agree in all rows of a band meet in a bucket. In a bucket all are compared with one centre first, the one that
+meets most others, which joins a group of copies with one comparison a member; buckets that still hold several components get a
+few more centres, against the other components. What is left is compared in blocks of bounded size,
+each pair in the first band it shares and only across components, so no link that could join two groups is left out and no list of
+pairs is made. Every link is verified by exact weighted Jaccard similarity. Texts with the same words are one node from the
+start.
 """
 
 from __future__ import annotations
@@ -32,10 +34,16 @@ WORDS = 5
 THRESHOLD = 0.8
 # A pair at the threshold is missed with a probability of (1 - 0.8^3)^12, about 2 in 10,000.
 BANDS, ROWS = 12, 3
+# Share of the documents below which frequencies hardly differ in weight. Passages that a good part of all documents hold lose weight;
+# the shingles of a text with many copies are not to lose so much that its near copies fall under the threshold.
+SMOOTHING = 0.05
 BUCKET_BITS = 21
 SLAB = 1 << 14
 SHINGLE_BITS = 44
 SLICE_CHARS = 4_000_000
+STAR_ROUNDS = 3
+# Members that a group of the second comparison holds: a chunk against a slice.
+CHUNK, SLICE = 128, 1024
 
 U64 = np.uint64
 
@@ -123,8 +131,8 @@ def _uncolumns(raw: bytes) -> np.ndarray:
 
 
 def inverse_frequencies(frequencies: np.ndarray, rows: int) -> np.ndarray:
-    """Smoothed: 1 + ln((1 + documents) / (1 + frequency)); at least 1."""
-    return np.maximum(1 + np.log((1 + rows) / (1 + frequencies)), 1).astype(np.float32)
+    """1 + ln((1 + documents) / (1 + frequency + SMOOTHING * documents)), as a share of documents alike at every size."""
+    return np.maximum(1 + np.log((1 + rows) / (1 + frequencies + SMOOTHING * rows)), 0.1).astype(np.float32)
 
 
 class Sampler:
@@ -257,38 +265,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = written(sketches.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.count("*").alias("copies")), "minhash-nodes")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = written(banded.join(shared, "band"), "minhash-members")
+    # Who meets most others is nearest to the middle of a group of copies: it makes the best centre.
+    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    members = written(members.select("band", "node").join(degrees, "node"), "minhash-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     texts = wanted.join(slim.where("doc_id is not null"), "doc_id").select("node", "text")
     no_id = wanted.where("doc_id is null").join(_without_id(slim), "node").select("node", "text")
     # An id may have several texts; only the one with the node's words is it.
     packed = written(packed_shingles(_with_words(texts.unionByName(no_id))), "minhash-shingles")
 
-    links: list[DataFrame] = []
-    near, far = 1 - threshold, 2 * (1 - threshold)
-    while not members.isEmpty():
-        centres = members.groupBy("band").agg(F.min("node").alias("centre"))
-        judged = members.join(centres, "band").where("node != centre")
-        sims = written(similarities(judged.select("node", "centre").distinct(), packed, idf), "minhash-sims")
-        links.append(sims.where(F.col("sim") >= threshold).selectExpr("node as a", "centre as b"))
-        # Distances to the centre: who is not linked goes on, and with it who may be linked to such a one.
-        at = written(judged.join(sims.selectExpr("node", "centre", "1 - sim as d"), ["node", "centre"]).select("band", "node", "d"), "minhash-rest")
-        open_ = at.where(F.col("d") > near).groupBy("band").agg(F.min("d").alias("least"), F.count("*").alias("n"))
-        members = written(at.join(open_, "band").where(
-            ((F.col("d") > near) & ((F.col("n") > 1) | (F.col("least") <= far + 1e-9)))
-            | ((F.col("d") <= near) & (F.col("least") <= far + 1e-9) & (F.col("d") >= F.col("least") - near - 1e-9)))
-            .select("band", "node"), "minhash-members")
-        alone = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        members = members.join(alone, "band")
-
-    if links:
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        found = connected_components(every)
-    else:
-        found = nodes.selectExpr("node", "node as component").limit(0)
+    centres = members.groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("centre"))
+    links = _verified(members.join(centres, "band").where("node != centre"), packed, idf, threshold)
+    for _ in range(STAR_ROUNDS - 1):
+        found = connected_components(links)
+        mixed = _mixed(members, found)
+        centres = mixed.where("component != main").groupBy("band").agg(
+            F.max_by(F.struct("node", "component"), F.struct("degree", "node")).alias("c")).selectExpr("band", "c.node as centre", "c.component as own")
+        more = _verified(mixed.join(centres, "band").where("component != own"), packed, idf, threshold)
+        links = found.selectExpr("node as a", "component as b").unionByName(more)
+    found = connected_components(links)
+    across = written(_links_across(_mixed(members, found), nodes.select("node", "bands"), packed, idf, threshold), "minhash-across")
+    found = connected_components(found.selectExpr("node as a", "component as b").unionByName(across))
     # Classes of the nodes that stand for several rows; all other rows are their own class.
     grouped = nodes.join(found, "node", "left").selectExpr("node", "coalesce(component, node) as component", "doc_id", "copies")
     of_component = written(grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("size")), "minhash-classes")
@@ -298,6 +297,66 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .withColumn("kept", F.col("class_id").eqNullSafe(F.col("doc_id"))))
 
 
+def _verified(pairs: DataFrame, packed: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links ``a`` - ``b`` among pairs of ``node`` and ``centre``, by exact similarity."""
+    alike = similarities(pairs.select("node", "centre").distinct(), packed, idf).where(F.col("sim") >= threshold)
+    return written(alike.selectExpr("node as a", "centre as b"), "minhash-links")
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the bands that hold several components, with their component and the band's largest one (``main``), its size ``most`` and
+    the band's size ``n``."""
+    labelled = written(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "minhash-labelled")
+    parts = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
+    bands = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
+                                      F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
+    return written(labelled.join(bands.drop("parts"), "band"), "minhash-mixed")
+
+
+def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links ``a`` - ``b`` between nodes of different components that share a band; one for each two components of a block.
+
+    In a bucket, the members outside its largest component are cut into chunks, all its members into slices; a group is a chunk and a slice.
+    """
+    inside = mixed.select("band", "node", "component", (F.col("component") != F.col("main")).alias("outer"),
+                          F.ceil((F.col("n") - F.col("most")) / CHUNK).alias("chunks"), F.ceil(F.col("n") / SLICE).alias("slices"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    one = lambda n: F.pmod(F.xxhash64("node", "band"), F.col(n))
+    asking = inside.where("outer").select("band", one("chunks").alias("chunk"), every("slices").alias("slice"), "node", "component", "outer", F.lit(True).alias("asks"))
+    asked = inside.select("band", every("chunks").alias("chunk"), one("slices").alias("slice"), "node", "component", "outer", F.lit(False).alias("asks"))
+    rows = asking.unionByName(asked).join(bands, "node").join(packed, "node")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        names, number = np.unique(frame["node"].to_numpy(object), return_inverse=True)
+        component = np.unique(frame["component"].to_numpy(object), return_inverse=True)[1]
+        own = np.stack(frame["bands"].to_numpy())
+        at = int(np.flatnonzero(own[0] == frame["band"].iloc[0])[0])
+        asks, outer = frame["asks"].to_numpy(bool), frame["outer"].to_numpy(bool)
+        data, weights = frame["packed"].tolist(), [_total(p, idf.value) for p in frame["packed"]]
+        weights = np.array(weights)
+        joined = np.arange(component.max() + 1)  # components that links of this block have joined
+        q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
+        a, b = [], []
+        for i in q.tolist():
+            some = m[(component[m] != component[i]) & ~(outer[m] & (number[m] < number[i]))
+                     & (np.minimum(weights[m], weights[i]) >= threshold * np.maximum(weights[m], weights[i]))]
+            some = some[(own[some, :at] != own[i, :at]).all(axis=1)]
+            for j in some.tolist():
+                x, y = joined[component[i]], joined[component[j]]
+                if x != y and weighted_jaccard(data[i], data[j], idf.value) >= threshold:
+                    a.append(names[number[i]])
+                    b.append(names[number[j]])
+                    joined[joined == max(x, y)] = min(x, y)
+        return pd.DataFrame({"a": a, "b": b}, dtype=object)
+
+    return rows.groupBy("band", "chunk", "slice").applyInPandas(compare, "a binary, b binary")
+
+
+def _total(packed: bytes, idf: np.ndarray) -> float:
+    hashes, counts = _unpacked(packed)
+    return float((idf[_bucket(hashes.astype(U64))] * counts).sum())
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with the key of their words, null without words."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
