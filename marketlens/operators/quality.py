@@ -23,7 +23,7 @@ def reconcile_totals(before: DataFrame, after: DataFrame, columns: Mapping[str,
               .unionByName(after.select(F.lit(1).alias("__side"), *cols)))
     aggs = []
     for c, scale in columns.items():
-        typ = "bigint" if scale is None else f"decimal(18,{scale})"
+        typ = "bigint" if scale is None else f"decimal(38,{scale})"
         v = F.col(c).cast(typ)
         for side, suffix in ((0, "before"), (1, "after")):
             total = F.sum(F.when(F.col("__side") == side, v))

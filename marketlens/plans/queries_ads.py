@@ -10,6 +10,7 @@ from ..functions.clean import label_map, label_or_null
 from ..operators.joins import restrict_to_keys
 from ..operators.quality import reconcile_totals
 from ..schemas import PERFORMANCE_CAMPAIGNS
+from ..session import shared_dir
 from ..sources.landed import parse_json_text
 from ..sources.tables import table
 from . import ads, performance, standins
@@ -194,14 +195,14 @@ def q_restrict_to_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------- B8
+_TOTALS = ("SELECT CAST(SUM(ordersCount) AS BIGINT) AS c, SUM(CAST(ordersSumRub AS DECIMAL(18,2))) AS s,"
+           " CAST(SUM(addToCartCount) AS BIGINT) AS t FROM")
 RECONCILE_SQL = f"""
-WITH b AS (SELECT CAST(SUM(ordersCount) AS BIGINT) AS c, SUM(CAST(ordersSumRub AS DECIMAL(18,2))) AS s
-           FROM ({standins.PRODUCT_DAY_HISTORY_SQL}) o),
-     a AS (SELECT CAST(SUM(ordersCount) AS BIGINT) AS c, SUM(CAST(ordersSumRub AS DECIMAL(18,2))) AS s
-           FROM ({AD_ORDERS_FACT_SQL}) f)
+WITH b AS ({_TOTALS} ({standins.PRODUCT_DAY_HISTORY_SQL}) o), a AS ({_TOTALS} ({AD_ORDERS_FACT_SQL}) f)
 SELECT b.c AS ordersCount_before, a.c AS ordersCount_after, a.c - b.c AS ordersCount_diff,
        CAST(b.s AS DOUBLE) AS ordersSumRub_before, CAST(a.s AS DOUBLE) AS ordersSumRub_after,
-       CAST(a.s - b.s AS DOUBLE) AS ordersSumRub_diff
+       CAST(a.s - b.s AS DOUBLE) AS ordersSumRub_diff,
+       b.t AS addToCartCount_before, a.t AS addToCartCount_after, a.t - b.t AS addToCartCount_diff
 FROM a, b
 """
 
@@ -209,9 +210,12 @@ FROM a, b
 @register("reconcile_orders", RECONCILE_SQL)
 def q_reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B8 (AGG-7): order totals before and after the attribution join, and their difference (the join
-    repeats a product-day's orders on each of its campaign rows)."""
-    return reconcile_totals(product_day_orders(spark, sf_dir), orders_fact(spark, sf_dir),
-                            {"ordersCount": None, "ordersSumRub": 2})
+    repeats a product-day's orders on each of its campaign rows). Both sides read one frame of product-day orders, which is
+    checkpointed, so the events are scanned once for it and once for the facts."""
+    shared_dir(spark)
+    orders = product_day_orders(spark, sf_dir).checkpoint(eager=True)
+    return reconcile_totals(orders, ads.ad_orders_fact(facts_with_campaign(spark, sf_dir), orders),
+                            {"ordersCount": None, "ordersSumRub": 2, "addToCartCount": None})
 
 
 # --------------------------------------------------------------------------------------------- B19

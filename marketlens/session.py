@@ -105,7 +105,8 @@ def ship_package(spark: SparkSession) -> None:
     """
     package = os.path.dirname(os.path.abspath(__file__))
     root, name = os.path.split(package)
-    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.path.abspath(os.getcwd()) == root:
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or (local and os.path.abspath(os.getcwd()) == root):
         return
     if any(os.path.basename(p) == f"{name}.zip" for p in getattr(spark.sparkContext, "_python_includes", [])):
         return
