@@ -11,7 +11,6 @@ from ..operators.joins import restrict_to_keys
 from ..operators.quality import reconcile_totals
 from ..schemas import PERFORMANCE_CAMPAIGNS
 from ..session import shared_dir
-from ..sources.landed import parse_json_text
 from ..sources.tables import table
 from . import ads, performance, standins
 from .catalog import register
@@ -315,7 +314,7 @@ FROM c WHERE createdAt >= {lit(CREATED_FROM)}
 
 @register("performance_campaign_dim", PERFORMANCE_DIM_SQL)
 def q_performance_campaign_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-15 (SCA-2, SCA-17, FLT-5): campaign lists read from JSON text; five code columns mapped with the
+    """SRC-11, JOB-15 (SCA-2, SCA-17, FLT-5): campaign lists read from landed files; five code columns mapped with the
     source's labels (unknown codes null), the placement array mapped element-wise (unknown kept) and joined,
     then only campaigns created on or after a day (ISO text compare). Stand-in: one campaign per order, its
     codes taken from the order's status and priority through the fixed code tables above."""
@@ -327,8 +326,7 @@ def q_performance_campaign_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.coalesce(_code("o_orderpriority", PLACEMENT_CODE_OF_PRIORITY), F.col("o_orderpriority")),
                 F.lit("PLACEMENT_PDP")).alias("placement"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"))
-    text = o.select(F.to_json(F.struct(F.array(camp).alias("list"))).alias("payload"))
-    lists = parse_json_text(text, "payload", PERFORMANCE_CAMPAIGNS)
+    lists = standins.landed(o, "campaigns", F.to_json(F.struct(F.array(camp).alias("list"))), PERFORMANCE_CAMPAIGNS)
     out = performance.performance_campaign_dim(lists, created_from=CREATED_FROM)
     return out.select("id", "title", "state", "advObjectType", "PaymentType", "productCampaignMode",
                       "productAutopilotStrategy", "placement", "createdAt")

@@ -237,7 +237,7 @@ FROM orders LEFT JOIN first_line f ON o_orderkey = f.l_orderkey
 
 @register("first_item", FIRST_ITEM_SQL)
 def q_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B14 (JOB-13: PRJ-9/10, SCA-4/5): finance-operation payloads read from JSON text; the first item of
+    """B14 (SRC-9, JOB-13: PRJ-9/10, SCA-4/5): finance-operation payloads read from landed files; the first item of
     each operation (null when it has none), posting fields prefixed, text numbers cast with 0 for bad text.
     Stand-in: an order is an operation; its items are its earliest line's part and then that line's supplier."""
     o = table(spark, sf_dir, "orders")
@@ -260,7 +260,7 @@ def q_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("o_custkey").alias("warehouse_id")).alias("posting"),
         F.col("items").alias("items"))
     payload = F.struct(F.struct(F.array(op).alias("operations")).alias("result"))
-    return finance.finance_operations(_json_payload(ops, payload, FINANCE_OPERATIONS), project="orders")
+    return finance.finance_operations(standins.landed(ops, "operations", F.to_json(payload), FINANCE_OPERATIONS), project="orders")
 
 
 # --------------------------------------------------------------------------------------------- B15
@@ -364,7 +364,7 @@ FROM nation
 
 @register("row_to_json", ROW_JSON_SQL)
 def q_row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B20 (JOB-10: PRJ-7, PRJ-19, SCA-6): ERP stock payloads flattened, renamed to underscore names, the
+    """B20 (SRC-16, JOB-10: PRJ-7, PRJ-19, SCA-6): ERP stock payloads from landed files flattened, renamed to underscore names, the
     whole item serialised to JSON with nulls written; the JSON is checked by parsing fields back (all 15
     keys present, nulls included). Stand-in: one stock item per nation."""
     nation = table(spark, sf_dir, "nation")
@@ -376,7 +376,8 @@ def q_row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("n_nationkey").cast("double").alias("stock"), F.lit(0.0).alias("transit"),
                  F.lit(0.0).alias("reserve"), F.col("n_nationkey").cast("double").alias("quantity"),
                  F.col("n_regionkey").cast("double").alias("cost")).alias("stock"))
-    snap = stock.erp_stock_snapshot(_json_payload(nation, F.struct(F.array(item).alias("stocks")), ERP_STOCK))
+    page = F.to_json(F.struct(F.array(item).alias("stocks")))
+    snap = stock.erp_stock_snapshot(standins.landed(nation, "erp-stock", page, ERP_STOCK))
     parsed = F.from_json("metadata_json", "moment string, `assortment.name` string, `assortment.code` string")
     return snap.select("*", parsed.getField("assortment.name").alias("json_name"),
                        parsed.getField("assortment.code").alias("json_code"),
@@ -699,13 +700,13 @@ OBJECTS_SQL = "SELECT CAST(o_custkey AS VARCHAR) AS campaign_id, CAST(o_orderkey
 
 @register("campaign_objects", OBJECTS_SQL)
 def q_campaign_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-16 (PRJ-11): per-campaign object lists read from JSON text and exploded to (campaign, object).
+    """SRC-12, JOB-16 (PRJ-11): per-campaign object lists read from landed files and exploded to (campaign, object).
     Stand-in: a customer is a campaign, its orders are its objects (pages of bounded size)."""
     o = table(spark, sf_dir, "orders")
     pages = standins.nest_pages(o, ["o_custkey"], F.struct(F.col("o_orderkey").cast("string").alias("id")),
                                 ["o_orderkey"])
-    lists = _json_payload(pages.withColumn("campaign_id", F.col("o_custkey").cast("string")),
-                          F.struct(F.col("items").alias("list")), CAMPAIGN_OBJECTS, ["campaign_id"])
+    page = F.to_json(F.struct(F.col("o_custkey").cast("string").alias("campaign_id"), F.col("items").alias("list")))
+    lists = standins.landed(pages, "objects", page, f"campaign_id string, {CAMPAIGN_OBJECTS}")
     return performance.campaign_objects(lists)
 
 
@@ -722,7 +723,7 @@ FROM part
 
 @register("erp_profit", ERP_PROFIT_SQL)
 def q_erp_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-18 (PRJ-6, SCA-18): ERP profit rows read from JSON text, nested paths flattened with absent keys
+    """SRC-15, JOB-18 (PRJ-6, SCA-18): ERP profit rows read from landed files, nested paths flattened with absent keys
     null, the uuid taken after the last 'id='. Stand-in: one profit row per part."""
     part = table(spark, sf_dir, "part")
     row = F.struct(
@@ -732,4 +733,4 @@ def q_erp_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.concat(F.lit("https://erp.example/app/#good/edit?id="),
                                    F.col("p_partkey").cast("string")).alias("uuidHref")).alias("meta")).alias("assortment"),
         F.col("p_size").cast("double").alias("sellQuantity"), F.col("p_retailprice").alias("sellPrice"))
-    return erp.erp_profit(_json_payload(part, F.struct(F.array(row).alias("rows")), ERP_PROFIT))
+    return erp.erp_profit(standins.landed(part, "erp-profit", F.to_json(F.struct(F.array(row).alias("rows"))), ERP_PROFIT))

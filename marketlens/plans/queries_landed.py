@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import nan_to_null, with_default
@@ -27,23 +27,12 @@ from ..sources.tables import table
 from . import ads, finance, funnel, performance, standins, stock
 from .catalog import register
 from .orders import orders_target, orders_upsert
-from .queries_sinks import ORDERS_WB_TABLE, _orders_upsert_sql
+from .queries_sinks import _orders_upsert_sql
+from .standins import land, land_text
 
 NOW = "2024-02-01 06:00:00"
 
 
-def land(df: DataFrame, stem: str, page: Column) -> str:
-    """Write a page of JSON text for each row, one a line, under ``project=/day=`` folders; returns the root."""
-    path = scratch_path(df.sparkSession, f"landed-{stem}")
-    df.select("project", "day", page.alias("value")).repartition("project", "day").write.partitionBy("project", "day").text(path)
-    return path
-
-
-def land_text(spark: SparkSession, path: str, project: str, day: str, text: str) -> None:
-    """One more page, as it came."""
-    spark.createDataFrame([(text,)], "value string").write.mode("append").text(f"{path}/project={project}/day={day}")
-
-
 # ------------------------------------------------------------------------------- SRC-3, SET-3, FLT-9, FLT-10
 STATS_FIRST, STATS_LAST = "2024-01-05", "2024-01-20"
 LANDED_STATS_SQL = f"""
@@ -328,6 +317,32 @@ def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*PRODUCT_STATS_COLUMNS)
 
 
+# ------------------------------------------------------------------------------------------ SRC-10, JOB-14, SNK-10 with the data's own keys
+BY_DAY_SQL = """
+SELECT p_name AS item_offer_id, CAST(p_partkey AS VARCHAR) AS item_sku, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS extra_fee_amount,
+       CAST(p_size AS VARCHAR) AS counts_0, CASE WHEN p_partkey % 3 = 0 THEN '7' END AS counts_1, '2024-3-5' AS date
+FROM part
+"""
+
+
+@register("landed_by_day", BY_DAY_SQL)
+def q_landed_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10, JOB-14 (PRJ-8, FLT-10, SCA-19), SNK-10: realization-by-day pages whose keys are not known beforehand: the schema is read from the files
+    (numbers as text), so a key that only some rows have becomes a column too; a failed page is skipped; dumped as JSON lines and read back."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    fee = F.when(key % 2 == 0, F.struct(F.struct(F.col("p_size").alias("amount")).alias("fee")))
+    counts = F.when(key % 3 == 0, F.array(F.col("p_size"), F.lit(7))).otherwise(F.array(F.col("p_size")))
+    row = F.struct(F.struct(F.col("p_name").alias("offer_id"), key.alias("sku")).alias("item"), fee.alias("extra"), counts.alias("counts"))
+    pages = standins.nest_pages(part, ["p_brand"], row, ["p_partkey"]).withColumns({"project": F.lit("p"), "day": F.lit("2024-03-05")})
+    path = land(pages, "by-day", F.to_json(F.struct(F.col("items").alias("rows"))))
+    land_text(spark, path, "p", "2024-03-05", '{"error": "limit", "message": "try later"}')
+    rows = finance.realization_by_day(read_landed(spark, path, None, multi_line=False))
+    out = scratch_path(spark, "by-day-dump")
+    writers.dump_json(rows, out)
+    return spark.read.schema(rows.schema).json(out)
+
+
 # ------------------------------------------------------------------------------------------ PRJ-8 on arrays in arrays
 NESTED_SQL = """
 SELECT p_partkey AS id, p_name AS rows_0_name, p_size AS rows_0_vals_0, CAST(p_size + 1 AS INTEGER) AS rows_0_vals_1, p_type AS rows_1_name,

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import to_long_or_zero
 from ..functions.labels import MARKETPLACE_WB
+from ..session import scratch_path
+from ..sources.landed import read_landed
 
 
 def json_metric(text_col: str, key: str) -> Column:
@@ -93,6 +95,25 @@ def by_record(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*[F.col(k) for k in keys])
 
 
+def land(df: DataFrame, stem: str, page: Column) -> str:
+    """Write a page of JSON text for each row, one a line, under ``project=/day=`` folders of the shared folder; returns the root."""
+    path = scratch_path(df.sparkSession, f"landed-{stem}")
+    df.select("project", "day", page.alias("value")).repartition("project", "day").write.partitionBy("project", "day").text(path)
+    return path
+
+
+def land_text(spark: SparkSession, path: str, project: str, day: str, text: str) -> None:
+    """One more page, as it came."""
+    spark.createDataFrame([(text,)], "value string").write.mode("append").text(f"{path}/project={project}/day={day}")
+
+
+def landed(df: DataFrame, stem: str, page: Column, schema: str) -> DataFrame:
+    """Pages written as files of one project and day, one page a line and as many files as ``df`` has parts, and read back typed."""
+    path = scratch_path(df.sparkSession, f"landed-{stem}")
+    df.select(page.alias("value")).write.text(f"{path}/project=p/day=2024-02-01")
+    return read_landed(df.sparkSession, path, schema, multi_line=False).drop("project", "day")
+
+
 def nest_pages(children: DataFrame, parent: Sequence[str], item: Column, order: Sequence[str],
                page_size: int = 256) -> DataFrame:
     """Nest child rows under their parent as pages of about ``page_size`` items: one record per

@@ -21,17 +21,23 @@ from ..schemas import PRODUCT_STATS_COLUMNS
 CORRUPT = "_corrupt_record"
 
 
-def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True,
+def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str | None, multi_line: bool = True,
                 keep_corrupt: bool = False) -> DataFrame:
     """SRC-1..16: one JSON document per file (``multi_line``) or one per line. ``project=``/``day=``
     directories below ``path`` become columns by partition discovery (and are pruned by filters).
 
+    Without a ``schema`` (sources whose keys are not fixed) it is read from the data in a pass of its own, every key that any
+    document has, with numbers as text.
+
     A document that does not parse (a truncated page) stops the read. With ``keep_corrupt`` it becomes a row with its text in
     ``_corrupt_record`` instead, for ``split_corrupt`` and the load audit.
     """
     if not keep_corrupt:
-        reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+        reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+        reader = reader.schema(schema) if schema else reader.option("primitivesAsString", True)
         return reader.json(path if isinstance(path, str) else list(path))
+    if not schema:
+        raise ValueError("keep_corrupt needs a schema")
     raw = spark.read.option("wholetext", multi_line).text(path if isinstance(path, str) else list(path))
     one = T.StructType([*T.StructType.fromDDL(schema), T.StructField(CORRUPT, T.StringType())])
     text, options = F.trim("value"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
