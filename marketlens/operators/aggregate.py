@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import day_of
+
 
 # Decimal places that a summed value keeps: whatever a double near 1 can hold of a price or a rate.
 SUM_SCALE = 10
@@ -67,7 +69,7 @@ def daily_ad_fact(flat: DataFrame, keys: Sequence[str] = ("Project", "Marketplac
     clicks / views * 100 from the sums (null when there are no views), the ratio a reader usually means.
     """
     group = [*keys, "day", "nmId", "advertId"]
-    src = flat.withColumn("day", F.to_date("date")).dropna(subset=group)
+    src = flat.withColumn("day", day_of("date")).dropna(subset=group)
     aggs = [F.min("date").alias("date"), first_non_null("name", order_cols).alias("name")]
     aggs += [sum_or_zero(m).alias(m) for m in AD_SUM_METRICS]
     aggs += [money_sum_or_zero(m, money_scale).alias(m) for m in AD_MONEY_METRICS]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.clean import fill_zero, label_or_code, parse_timestamp_formats, to_wall_clock
-from ..functions.dates import reload_days
+from ..functions.dates import day_as_timestamp, reload_days
 from ..operators.aggregate import daily_ad_fact
 from ..operators.filters import year_at_least
 from ..operators.flatten import explode_positions, explode_with_meta, select_paths
@@ -98,7 +98,7 @@ def ad_facts_with_campaign(facts: DataFrame, dim: DataFrame) -> DataFrame:
 
 def ad_period_fact(facts: DataFrame, dim: DataFrame) -> DataFrame:
     """JOB-6: ad facts with campaign attributes in the 19-column period contract."""
-    return conform(ad_facts_with_campaign(facts, dim).withColumn("day", F.col("day").cast("timestamp_ntz")),
+    return conform(ad_facts_with_campaign(facts, dim).withColumn("day", day_as_timestamp("day")),
                    CAMPAIGN_DATA_WB_PERIOD)
 
 
@@ -169,7 +169,7 @@ def ad_orders_fact(facts_with_campaign: DataFrame, product_day_orders: DataFrame
     key = ["nmId", "day", *(["Project"] if by_project else [])]
     orders = product_day_orders.select(*key, *ORDER_METRICS)
     joined = fill_zero(left_join(facts_with_campaign, orders, key), ORDER_METRICS)
-    return conform(joined.withColumn("day", F.col("day").cast("timestamp_ntz")), CAMPAIGN_DATA_WB)
+    return conform(joined.withColumn("day", day_as_timestamp("day")), CAMPAIGN_DATA_WB)
 
 
 # ------------------------------------------------------------------------------------------- JOB-5
