@@ -82,7 +82,7 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-class _Numbering(dict):
+class Numbering(dict):
     """Numbers unseen keys upwards and remembers them, in order, in ``new``."""
 
     def __init__(self) -> None:
@@ -146,7 +146,7 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.chars = _Numbering(), 0
+        self.known, self.chars = Numbering(), 0
         self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

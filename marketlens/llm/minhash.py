@@ -16,9 +16,9 @@ start.
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import ragged_take, read_table, starts, text_slices, written
+from marketlens.llm.common import Numbering, read_table, starts, text_slices, written
 from marketlens.llm.components import connected_components
 
 WORDS = 5
@@ -59,21 +59,23 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
 
     A text of one to four words has one shingle, all of its words; a text without words has none.
     """
-    numbers: dict[str, int] = {}
+    numbers = Numbering()
     words = [t.lower().split() for t in texts]
     keys = [xxhash.xxh128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
     n_words = np.fromiter(map(len, words), np.int64, len(words))
-    seq = np.fromiter((numbers.setdefault(w, len(numbers)) for own in words for w in own), np.int64, int(n_words.sum()))
+    seq = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
     hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in numbers), U64, len(numbers))[seq]
     edge = starts(n_words)
     n_shingles = np.where(n_words > 0, np.maximum(n_words - WORDS + 1, 1), 0)
     first = np.repeat(edge[:-1] - starts(n_shingles)[:-1], n_shingles) + np.arange(int(n_shingles.sum()))
-    last = np.repeat(edge[1:], n_shingles)
+    # A polynomial of the words' hashes, mixed once; a text of fewer words has fewer terms.
+    short = np.repeat(np.where(n_words < WORDS, n_words, WORDS), n_shingles) if (n_words < WORDS).any() else None
+    padded = np.concatenate([hashes, np.zeros(WORDS, U64)])
     gram = np.zeros(len(first), U64)
     for k in range(WORDS):
-        at = first + k
-        inside = at < last
-        gram = np.where(inside, _mix(gram * U64(0x9E3779B97F4A7C15) + hashes[np.where(inside, at, 0)]), gram) if len(hashes) else gram
+        term = padded[first + k]
+        gram = gram * U64(0x9E3779B97F4A7C15) + (term if short is None else np.where(k < short, term, U64(0)))
+    gram = _mix(gram)
     gram >>= U64(64 - SHINGLE_BITS)
     out, counts, per_text = [], [], np.zeros(len(texts), np.int64)
     # Sorted as (text, shingle) in one word of 64 bits, so many texts at a time as fit in the upper bits.
@@ -150,7 +152,7 @@ class Sampler:
         self.inverse_r = 1 / self.r
         self.salts = (rng.integers(1, 2**63, draws).astype(U64) << U64(1)) | U64(1)
 
-    def sketches(self, hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, piece: int = 1 << 15) -> np.ndarray:
+    def sketches(self, hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
         """Samples (texts x draws, uint32) of texts with shingles; 0 for a text without."""
         out = np.zeros((len(offsets) - 1, len(self.salts)), np.uint32)
         full = np.flatnonzero(offsets[1:] > offsets[:-1])
@@ -171,14 +173,14 @@ class Sampler:
                 x = h * salt
                 x ^= x >> U64(32)
                 x *= U64(0xD6E8FEB86659FD93)
-                x ^= x >> U64(32)
-                i = (x & mask).astype(np.intp)
-                r, beta = self.r[i], self.b[((x >> U64(16)) & mask).astype(np.intp)]
+                x ^= x >> U64(29)
+                i = (x & mask).view(np.int64)
+                beta = self.b[((x >> U64(16)) & mask).view(np.int64)]
                 t = np.floor(lw * self.inverse_r[i] + beta)
-                rank = self.log_c[((x >> U64(32)) & mask).astype(np.intp)] - r * (t - beta + np.float32(1))
-                # Rank as 31 bits of fixed point over (-96, 32), then the sample's own 32 bits, which also settle ties.
-                fixed = ((np.clip(rank, -95.9, 31.9) + np.float32(96)) * np.float32(1 << 24)).astype(U64)
-                sample = (x + t.astype(np.int64).astype(U64) * U64(0x9E3779B97F4A7C15)) * U64(0xFF51AFD7ED558CCD) >> U64(32)
+                rank = self.log_c[((x >> U64(32)) & mask).view(np.int64)] - self.r[i] * (t - beta + np.float32(1))
+                # Rank as fixed point over (-96, 32), then the sample's own 32 bits, which also settle ties.
+                fixed = (np.maximum(rank, np.float32(-95.9)) * np.float32(1 << 24) + np.float32(96 << 24)).astype(np.int64).view(U64)
+                sample = (x + t.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)) * U64(0xFF51AFD7ED558CCD) >> U64(32)
                 out[rows, j] = np.minimum.reduceat(fixed << U64(32) | sample, at) & U64(0xFFFFFFFF)
         return out
 
@@ -221,25 +223,38 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = len(packed) // 10
     wide = np.zeros((n, 8), np.uint8)
     wide[:, :6] = np.frombuffer(packed, np.uint8, 6 * n).reshape(n, 6)
-    return wide.view("<u8").ravel(), np.frombuffer(packed, "<u4", n, 6 * n).astype(np.int64)
+    return wide.view(U64).ravel(), np.frombuffer(packed, "<u4", n, 6 * n).astype(np.int64)
+
+
+def weighed(packed: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingles (ascending), their TF-IDF weights, and the sum of these."""
+    hashes, counts = _unpacked(packed)
+    weights = idf[_bucket(hashes)].astype(np.float64) * counts
+    return hashes, weights, float(weights.sum())
 
 
-def weighted_jaccard(left: bytes, right: bytes, idf: np.ndarray) -> float:
-    """Sum of the smaller over sum of the larger TF-IDF weights of two packed shingle sets."""
-    (a, ca), (b, cb) = _unpacked(left), _unpacked(right)
-    every = np.union1d(a, b)
-    x, y = np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
-    x[np.searchsorted(every, a)], y[np.searchsorted(every, b)] = ca, cb
-    w = idf[_bucket(every.astype(U64))].astype(np.float64)
-    most = float((w * np.maximum(x, y)).sum())
-    return float((w * np.minimum(x, y)).sum()) / most if most else 0.0
+def weighted_jaccard(left: tuple[np.ndarray, np.ndarray, float], right: tuple[np.ndarray, np.ndarray, float]) -> float:
+    """Sum of the smaller over sum of the larger weights of two ``weighed`` shingle sets."""
+    (a, x, total_a), (b, y, total_b) = (left, right) if len(left[0]) <= len(right[0]) else (right, left)
+    if not len(a):
+        return 0.0
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    same = b[at] == a
+    shared = float(np.minimum(x[same], y[at[same]]).sum())
+    return shared / (total_a + total_b - shared)
 
 
 def similarities(pairs: DataFrame, packed: DataFrame, idf) -> DataFrame:
     """``node``, ``centre`` and their exact weighted Jaccard similarity ``sim``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, centre = None, None
         for batch in batches:
-            sim = [weighted_jaccard(x, y, idf.value) for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True)]
+            sim = []
+            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
+                if y != last:  # the join leaves a centre's rows together
+                    last, centre = y, weighed(y, idf.value)
+                sim.append(weighted_jaccard(weighed(x, idf.value), centre))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("centre"), pa.array(sim, pa.float64())],
                                              ["node", "centre", "sim"])
 
@@ -332,8 +347,8 @@ def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, th
         own = np.stack(frame["bands"].to_numpy())
         at = int(np.flatnonzero(own[0] == frame["band"].iloc[0])[0])
         asks, outer = frame["asks"].to_numpy(bool), frame["outer"].to_numpy(bool)
-        data, weights = frame["packed"].tolist(), [_total(p, idf.value) for p in frame["packed"]]
-        weights = np.array(weights)
+        data = [weighed(p, idf.value) for p in frame["packed"]]
+        weights = np.array([w for _, _, w in data])
         joined = np.arange(component.max() + 1)  # components that links of this block have joined
         q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
         a, b = [], []
@@ -343,7 +358,7 @@ def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, th
             some = some[(own[some, :at] != own[i, :at]).all(axis=1)]
             for j in some.tolist():
                 x, y = joined[component[i]], joined[component[j]]
-                if x != y and weighted_jaccard(data[i], data[j], idf.value) >= threshold:
+                if x != y and weighted_jaccard(data[i], data[j]) >= threshold:
                     a.append(names[number[i]])
                     b.append(names[number[j]])
                     joined[joined == max(x, y)] = min(x, y)
@@ -352,11 +367,6 @@ def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, th
     return rows.groupBy("band", "chunk", "slice").applyInPandas(compare, "a binary, b binary")
 
 
-def _total(packed: bytes, idf: np.ndarray) -> float:
-    hashes, counts = _unpacked(packed)
-    return float((idf[_bucket(hashes.astype(U64))] * counts).sum())
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with the key of their words, null without words."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
