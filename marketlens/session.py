@@ -32,6 +32,8 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # Rows of whole documents go to Python in small batches: a batch is held by the JVM and by the worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Checkpoints written by reload/upsert are deleted once their DataFrames are garbage-collected.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -58,7 +60,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_job_conf(spark: SparkSession) -> None:
     """Runtime SQL settings the jobs rely on (strict writes need ANSI casts); safe to call on a session someone else built."""
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.coalescePartitions.enabled"):
+              "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.coalescePartitions.enabled"):
         spark.conf.set(k, BASE_CONF[k])
 
 
