@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm import language_id, minhash, packing, pii
 from marketlens.llm.common import written
+from marketlens.session import apply_job_conf
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text stays if the language that the model predicts for it is at least this probable.
@@ -25,6 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The model learns from the labelled rows of ``docs`` that are not held out. A document whose language is certain stays,
     whatever its own label says.
     """
+    apply_job_conf(spark)
     docs = docs.select(*COLUMNS)
     model = language_id.train(language_id.training_rows(docs))
     judged = language_id.predict(docs, model)
@@ -36,6 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share an id are one document: they stay or go together. Rows without an id cannot be named, so they stay.
     """
+    apply_job_conf(spark)
     docs = docs.select(*COLUMNS)
     gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -51,6 +54,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Operator 10: the documents' pieces, packed into sequences of at most 4096 tokens."""
     import public_tokenizers
 
+    apply_job_conf(spark)
     return packing.pack(written(packing.tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pipeline-pieces"))
 
 

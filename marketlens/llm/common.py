@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import scratch_path
 
-# A part of a batch of texts that is handled at once in Python: bounds a worker's memory whatever Arrow's batch size is.
-SLICE_CHARS = 8_000_000
+# A part of a batch of texts (in bytes) that is handled at once in Python: bounds a worker's memory whatever Arrow's batch size is.
+SLICE_CHARS = 2_500_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -39,19 +44,27 @@ def held_out(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(id_crc32(column) % modulus == remainder, F.lit(False))
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker goes on to other tasks and would keep its peak."""
+    gc.collect()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def text_slices(batches: Iterable[pa.RecordBatch], column: str | int = "text",
                 chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut Arrow batches into slices of at most about ``chars`` characters (one row at least); null text is ''."""
+    """Cut Arrow batches into slices of at most about ``chars`` bytes of text (one row at least); null text is ''."""
+    give_back()
     for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > chars:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start, n = 0, batch.num_rows
+        while start < n:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(int(np.searchsorted(ends, before + chars, side="right")), start + 1)
+            part = batch.slice(start, stop - start)
+            yield part, [t or "" for t in part.column(column).to_pylist()]
+            start = stop
 
 
 def starts(lengths: np.ndarray) -> np.ndarray:
@@ -138,7 +151,7 @@ class ChunkEncoder:
     ``encode`` takes a list of chunk texts and returns their ids end to end and each one's number of ids.
     """
 
-    MOST_CHUNKS, MOST_CHARS = 1_200_000, 24_000_000
+    MOST_CHUNKS, MOST_CHARS = 500_000, 12_000_000
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  split: Callable[[str], list[str]] = space_chunks, text_of: Callable[[str], str] = chunk_text) -> None:
@@ -171,9 +184,8 @@ class ChunkEncoder:
         return flat, per_chunk[starts(counts)]
 
 
+@functools.cache
 def _library(path: str):
-    import os
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -229,12 +241,8 @@ def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]],
     return encode
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def library_chunks(path: str, byte_level: bool = True) -> ChunkEncoder:
-    """The tokenizer file's ChunkEncoder, kept by the Python worker from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = (ChunkEncoder(byte_level_encoder(path)) if byte_level else
-                           ChunkEncoder(library_encoder(path), word_chunks, lambda c: c))
-    return _ENCODERS[path]
+    """A ChunkEncoder for a tokenizer file; what it remembers goes with the task."""
+    if byte_level:
+        return ChunkEncoder(byte_level_encoder(path))
+    return ChunkEncoder(library_encoder(path), word_chunks, lambda c: c)

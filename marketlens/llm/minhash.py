@@ -40,7 +40,7 @@ SMOOTHING = 0.05
 BUCKET_BITS = 21
 SLAB = 1 << 14
 SHINGLE_BITS = 44
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_500_000
 STAR_ROUNDS = 3
 # Members that a group of the second comparison holds: a chunk against a slice.
 CHUNK, SLICE = 128, 1024
