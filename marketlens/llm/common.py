@@ -12,13 +12,14 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import scratch_path
 
 # A part of a batch of texts (in bytes) that is handled at once in Python: bounds a worker's memory whatever Arrow's batch size is.
-SLICE_CHARS = 2_500_000
+SLICE_CHARS = 4_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -44,8 +45,19 @@ def held_out(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(id_crc32(column) % modulus == remainder, F.lit(False))
 
 
+# What a Python worker keeps from task to task: encoders of the stage it works on, by tokenizer file.
+_KEPT: dict = {}
+
+
+def _stage() -> int | None:
+    context = TaskContext.get()
+    return context.stageId() if context else None
+
+
 def give_back() -> None:
-    """Return freed memory to the system: a Python worker goes on to other tasks and would keep its peak."""
+    """Drop another stage's encoders and return freed memory to the system: a Python worker goes on to other tasks and would keep its peak."""
+    if _KEPT.get("stage") != _stage():
+        _KEPT.clear()
     gc.collect()
     libc = ctypes.CDLL(None)
     if hasattr(libc, "malloc_trim"):
@@ -151,7 +163,7 @@ class ChunkEncoder:
     ``encode`` takes a list of chunk texts and returns their ids end to end and each one's number of ids.
     """
 
-    MOST_CHUNKS, MOST_CHARS = 500_000, 12_000_000
+    MOST_CHUNKS, MOST_CHARS = 1_100_000, 24_000_000
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  split: Callable[[str], list[str]] = space_chunks, text_of: Callable[[str], str] = chunk_text) -> None:
@@ -242,7 +254,10 @@ def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]],
 
 
 def library_chunks(path: str, byte_level: bool = True) -> ChunkEncoder:
-    """A ChunkEncoder for a tokenizer file; what it remembers goes with the task."""
-    if byte_level:
-        return ChunkEncoder(byte_level_encoder(path))
-    return ChunkEncoder(library_encoder(path), word_chunks, lambda c: c)
+    """A ChunkEncoder for a tokenizer file; what it remembers serves the worker's further tasks of the same stage."""
+    if _KEPT.get("stage") != _stage() or path not in _KEPT:
+        _KEPT.clear()
+        encoder = (ChunkEncoder(byte_level_encoder(path)) if byte_level else
+                   ChunkEncoder(library_encoder(path), word_chunks, lambda c: c))
+        _KEPT.update({"stage": _stage(), path: encoder})
+    return _KEPT[path]
