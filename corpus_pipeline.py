@@ -21,16 +21,20 @@ LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents without a letter, or of no language with a probability of LEAST_SCORE or more, go.
+    """Operator 2: documents without a letter, of no language with a probability of LEAST_SCORE or more, or unlike the language go.
 
-    The model learns from the labelled rows of ``docs`` that are not held out. A document whose language is certain stays,
-    whatever its own label says.
+    The model learns from the labelled rows of ``docs`` that are not held out, and so does the least fit of each language, which all
+    these rows have. A document whose language is certain and that fits it stays, whatever its own label says.
     """
     apply_job_conf(spark)
     docs = docs.select(*COLUMNS)
-    model = language_id.train(language_id.training_rows(docs))
-    judged = language_id.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    rows = language_id.training_rows(docs)
+    model = language_id.train(rows)
+    least = F.lit(None).cast("double")
+    for lang, fit in language_id.least_fits(rows, model).items():
+        least = F.when(F.col("lang_pred") == lang, fit).otherwise(least)
+    judged = language_id.predict(docs, model, with_fit=True)
+    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE) & (F.col("fit") >= least)).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,9 @@ Texts are lower-cased, and every run of characters that are not letters becomes
 features are the n-grams of one to three characters inside such words, hashed to a fixed number of buckets. Training counts
 cover all labelled rows that are not held out; the log-probability matrix (buckets x languages) is broadcast, its size
 being bounded by the two parameters. Scoring gathers the rows of a batch's features and sums them by document.
+
+The posterior only compares the languages learned, and is near 1 for any long text. Whether a text is of its best language at all
+is told by its fit, the mean log-probability of its n-grams, which does not grow with the length.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ ALPHA = 0.5
 MAX_LANGUAGES = 256
 SLICE_CHARS = 1_000_000
 UNKNOWN = "und"
+# Few n-grams scatter: a text of n gets SHORT / sqrt(n) added to its fit. A new text may fit by MARGIN less than any training text.
+SHORT, MARGIN = 5.0, 0.5
 
 _FOLD: list[np.ndarray] = []
 
@@ -127,41 +132,54 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text") -> t
     return langs, log_p, np.log(np.maximum(rows, 1) / max(rows.sum(), 1))
 
 
-def score_texts(texts: list[str], log_p: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best language (-1: no letter) and its posterior probability for each text."""
+def score_texts(texts: list[str], log_p: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language (-1: no letter), its posterior probability and the fit to it for each text."""
     parts = [_parts(t, SLICE_CHARS) for t in texts]
     buckets, offsets = features([p for own in parts for p in own])
     offsets = offsets[starts(np.fromiter(map(len, parts), np.int64, len(parts)))]
     logs = segment_sums(log_p[buckets], offsets) + prior
     best = logs.argmax(axis=1)
     post = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-    none = offsets[1:] == offsets[:-1]
-    return np.where(none, -1, best), np.where(none, 0.0, post)
+    n = np.diff(offsets)
+    some = np.maximum(n, 1)
+    fit = (logs - prior)[np.arange(len(best)), best] / some + SHORT / np.sqrt(some)
+    return np.where(n == 0, -1, best), np.where(n == 0, 0.0, post), np.where(n == 0, -np.inf, fit)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred`` and ``score``; a column of such a name is replaced.
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text",
+            with_fit: bool = False) -> DataFrame:
+    """All columns of ``docs`` with ``lang_pred`` and ``score``, and ``with_fit`` also ``fit``; a column of such a name is replaced.
 
-    A text that is null or has no letter, or a model without languages, gives "und" and score 0. Only the text is looked at.
-    Ties go to the language that comes first.
+    A text that is null or has no letter, or a model without languages, gives "und", score 0 and an endless negative fit. Only the
+    text is looked at. Ties go to the language that comes first.
     """
     langs, log_p, prior = model
     shared = docs.sparkSession.sparkContext.broadcast((log_p, prior))
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    new = ["lang_pred", "score", "fit"][:3 if with_fit else 2]
+    kept = [c for c in docs.columns if c not in new]
     slim = docs.select(*(F.col(f"`{c}`") for c in kept))
     at = kept.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*langs, UNKNOWN]
         for rows, texts in text_slices(batches, at, SLICE_CHARS):
-            best, post = score_texts(texts, *shared.value) if langs else (np.full(len(texts), -1), np.zeros(len(texts)))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([names[i] for i in best.tolist()], pa.string()),
-                                              pa.array(post, pa.float64())], [*rows.schema.names, "lang_pred", "score"])
+            best, post, fit = (score_texts(texts, *shared.value) if langs else
+                               (np.full(len(texts), -1), np.zeros(len(texts)), np.full(len(texts), -np.inf)))
+            own = [pa.array([names[i] for i in best.tolist()], pa.string()), pa.array(post, pa.float64()), pa.array(fit, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *own[:len(new)]], [*rows.schema.names, *new])
 
-    schema = T.StructType([*slim.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*slim.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("fit", T.DoubleType())][:len(kept) + len(new)])
     return slim.mapInArrow(run, schema)
 
 
+def least_fits(rows: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text") -> dict[str, float]:
+    """For each language that a training row is taken for, the fit that a text of it must have: MARGIN below the poorest of all these rows."""
+    judged = predict(rows.select(F.col(f"`{text_col}`").alias("text")), model, with_fit=True).where(F.col("fit") > float("-inf"))
+    # At most MAX_LANGUAGES rows.
+    return {r.lang_pred: r.least - MARGIN for r in judged.groupBy("lang_pred").agg(F.min("fit").alias("least")).collect()}
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """Labelled rows that are not held out (crc32 of the id as text, mod 5, is not 0)."""
     return docs.where(~held_out("doc_id", 5, 0) & F.col("lang").isNotNull())

@@ -59,6 +59,25 @@ def test_language_odd_rows(spark):
     assert language_id.predict(empty_docs(spark), model).collect() == []
 
 
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神对待。",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Hyvää päivää", "Привет", "你好", "qxzjk", "xqzv kjwq zzxk qqpw vbnm xcvk jhgf", "QWxhZGRpbjpvcGVuIHNlc2FtZQ dGhpcyBpcyBhIHRlc3Q",
+    " ".join("".join(np.random.default_rng(8).choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(3000))]
+CLEAN = ["Von.", "That it.", "the", "de la", "Des enberge die enver.", "Pachque çaneux et.", "Of anntre erthnd, thlyre to the.", "Osiebo | armici. |"]
+
+
+def test_language_stage_rejects_foreign_and_noise(spark):
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    labelled = {r.doc_id for r in docs.collect()}
+    new = [(10**9 + i, t, None, "new", len(t)) for i, t in enumerate([*FOREIGN, *CLEAN])]
+    got = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.union(spark.createDataFrame(new, docs.schema)), BIG).collect()}
+    assert labelled <= got
+    assert got - labelled == {10**9 + len(FOREIGN) + i for i in range(len(CLEAN))}
+
+
 # Operator 4
 
 def classes(spark, texts, ids=None):
