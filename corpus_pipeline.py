@@ -59,7 +59,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     import public_tokenizers
 
     apply_job_conf(spark)
-    return packing.pack(written(packing.tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pipeline-pieces"))
+    pieces = packing.tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
+    return packing.pack(written(pieces, "pipeline-pieces"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -123,13 +123,13 @@ class Numbering(dict):
 _IRREGULAR = re.compile(r"[ \n](?:\s|\Z)|\A\n")
 
 
-def space_chunks(text: str) -> list[str]:
+def space_chunks(text: str, whole: tuple[str, ...] = ()) -> list[str]:
     """Cut a text before single spaces and line ends, where the byte-level pattern always has a boundary.
 
     The chunks are keys: one that begins with a space stands for the rest of it (it opened the text), one that begins with
-    a line end for itself, any other for itself after a space. A text with a run of white space stays whole.
+    a line end for itself, any other for itself after a space. A text with a run of white space or with a string of ``whole`` stays whole.
     """
-    if _IRREGULAR.search(text):
+    if _IRREGULAR.search(text) or any(w in text for w in whole):
         return [" " + text]
     chunks = text.replace("\n", " \n").split(" ")
     chunks[0] = " " + chunks[0]
@@ -146,14 +146,17 @@ def chunk_text(key: str) -> str:
 _WIDE = re.compile("[^\x00-\u024f]")
 
 
-def word_chunks(text: str) -> list[str]:
+def word_chunks(text: str, whole: tuple[str, ...] = ()) -> list[str]:
     """Cut a text at spaces and line ends, for a tokenizer that lower-cases and drops white space.
 
     Lower case comes first, to have fewer distinct chunks, unless the text holds characters beyond Latin, whose lower case may
-    hang together with their neighbours.
+    hang together with their neighbours. A text with a string of ``whole``, in whatever case, stays whole and in its own case.
     """
+    own = text
     if not _WIDE.search(text):
         text = text.lower()
+    if any(w in text or w.lower() in text for w in whole):
+        return [own]
     return text.replace("\n", " ").split(" ")
 
 
@@ -197,12 +200,13 @@ class ChunkEncoder:
 
 
 @functools.cache
-def _library(path: str):
+def _library(path: str, added_tokens: bool = False):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if not added_tokens:
+        tokenizer.encode_special_tokens = True
     return tokenizer
 
 
@@ -212,19 +216,25 @@ def _flat(encodings: list) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for own in ids for i in own), np.uint32, int(lengths.sum())), lengths
 
 
-def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """``encode`` for a ChunkEncoder by the tokenizers library; special tokens' strings are ordinary text."""
-    tokenizer = _library(path)
+def added_strings(path: str) -> tuple[str, ...]:
+    """The strings of a tokenizer file's added tokens, which the library looks for before it normalises or cuts a text."""
+    return tuple(sorted({t.content for t in _library(path, True).get_added_tokens_decoder().values()}))
+
+
+def library_encoder(path: str, added_tokens: bool = False) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """``encode`` for a ChunkEncoder by the tokenizers library; special tokens' strings are ordinary text without ``added_tokens``."""
+    tokenizer = _library(path, added_tokens)
     return lambda texts: _flat(tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
 
-def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+def byte_level_encoder(path: str, together: int = 200, added_tokens: bool = False) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """``library_encoder`` for a byte-level vocabulary and chunks of ``space_chunks``.
 
     Chunks that begin with one space or line end are encoded ``together`` as one text; the tokens' lengths in bytes tell
-    where each chunk ends.
+    where each chunk ends. Texts with an added token's string are encoded by themselves.
     """
-    tokenizer = _library(path)
+    tokenizer = _library(path, added_tokens)
+    whole = added_strings(path) if added_tokens else ()
     vocab = tokenizer.get_vocab(with_added_tokens=True)
     widths = np.zeros(max(vocab.values()) + 1, np.int64)
     for token, i in vocab.items():
@@ -232,7 +242,7 @@ def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]],
     joins = re.compile(r"[ \n]\S+\Z")
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((joins.match(t) is not None for t in texts), bool, len(texts))
+        plain = np.fromiter((joins.match(t) is not None and not any(w in t for w in whole) for t in texts), bool, len(texts))
         joined = [t for t, p in zip(texts, plain.tolist(), strict=True) if p]
         flat, lengths = _flat(tokenizer.encode_batch_fast(
             ["".join(joined[i:i + together]) for i in range(0, len(joined), together)], add_special_tokens=False))
@@ -253,11 +263,16 @@ def byte_level_encoder(path: str, together: int = 200) -> Callable[[list[str]],
     return encode
 
 
-def library_chunks(path: str, byte_level: bool = True) -> ChunkEncoder:
-    """A ChunkEncoder for a tokenizer file; what it remembers serves the worker's further tasks of the same stage."""
-    if _KEPT.get("stage") != _stage() or path not in _KEPT:
+def library_chunks(path: str, byte_level: bool = True, added_tokens: bool = False) -> ChunkEncoder:
+    """A ChunkEncoder for a tokenizer file; what it remembers serves the worker's further tasks of the same stage.
+
+    With ``added_tokens`` the string of an added token (such as <|endoftext|>) in a text becomes its one id, which is the library's
+    default; without, it is ordinary text.
+    """
+    if _KEPT.get("stage") != _stage() or (path, added_tokens) not in _KEPT:
         _KEPT.clear()
-        encoder = (ChunkEncoder(byte_level_encoder(path)) if byte_level else
-                   ChunkEncoder(library_encoder(path), word_chunks, lambda c: c))
-        _KEPT.update({"stage": _stage(), path: encoder})
-    return _KEPT[path]
+        whole = added_strings(path) if added_tokens else ()
+        encoder = (ChunkEncoder(byte_level_encoder(path, added_tokens=added_tokens), functools.partial(space_chunks, whole=whole)) if byte_level else
+                   ChunkEncoder(library_encoder(path, added_tokens), functools.partial(word_chunks, whole=whole), lambda c: c))
+        _KEPT.update({"stage": _stage(), (path, added_tokens): encoder})
+    return _KEPT[path, added_tokens]

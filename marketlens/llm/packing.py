@@ -29,14 +29,14 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_file: str, end_id: int = 1, max_tokens: int = MAX_TOKENS,
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Documents as pieces of at most ``max_tokens`` ids, the end id included; only longer documents are cut.
 
     A null text counts as empty: one piece that holds the end id. Rows are kept one for one, null and repeated ids too.
-    ``with_ids`` adds the ids of each piece.
+    ``with_ids`` adds the ids of each piece; ``added_tokens`` as in ``library_chunks``.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_chunks(tokenizer_file, byte_level=False)
+        encoder = library_chunks(tokenizer_file, byte_level=False, added_tokens=added_tokens)
         for rows, texts in text_slices(batches):
             ids, offsets = encoder(texts)
             ids = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
@@ -137,4 +137,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return pack(written(tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "op10-pieces"))
+    return pack(written(tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True), "op10-pieces"))

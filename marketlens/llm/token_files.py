@@ -244,14 +244,15 @@ def segment_row(part: int, start: int, doc_ids: list, lengths: np.ndarray, ids:
 
 
 def write_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0, id_col: str = "doc_id",
-                text_col: str = "text") -> None:
+                text_col: str = "text", added_tokens: bool = False) -> None:
     """Encode the documents, append ``end_id`` to each, and write the ids in ascending id order to ``path``.
 
     A null text counts as empty (its ids are the end id alone); a null id comes first; rows with the same id are
-    ordered by their text. Documents are dealt by ranges of the id, so a file holds a stretch of the order.
+    ordered by their text. Documents are dealt by ranges of the id, so a file holds a stretch of the order. ``added_tokens`` as in
+    ``library_chunks``.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_chunks(tokenizer_file)
+        encoder = library_chunks(tokenizer_file, added_tokens=added_tokens)
         part, start = TaskContext.get().partitionId(), 0
         doc_ids: list = []
         waiting: list[np.ndarray] = []
@@ -316,5 +317,5 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch_path(spark, "op5-token-files")
-    write_files(read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    write_files(read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), path, added_tokens=True)
     return read_files(spark, path, digests=True)

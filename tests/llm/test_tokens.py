@@ -93,6 +93,33 @@ def test_chunked_library_ids(name, byte_level):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == want
 
 
+MARKED = ["one doc.<|endoftext|>next doc", "<|endoftext|>", " <|endoftext|>", "a <|endoftext|> b", "\n<|endoftext|>\n", "<|startoftext|>A b<|endoftext|>",
+          "<|ENDOFTEXT|> Up", "<|endoftext|><|endoftext|> x", "<|endof text|>", "<|endoftext|", "漢<|endoftext|>Σ İ", "  <|endoftext|>  x", "plain text"]
+
+
+@pytest.mark.parametrize(("name", "byte_level"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_chunked_ids_of_added_tokens(name, byte_level):
+    texts = [*MARKED, *(t or "" for t in odd_texts()), *(" ".join(["Some", t, "End"]) for t in MARKED)]
+    ids, offsets = library_chunks(P.path(name), byte_level, added_tokens=True)(texts)
+    want = [Tokenizer.from_file(P.path(name)).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == want
+    assert len(want[0]) == 6
+
+
+def test_queries_encode_added_tokens_as_the_library(spark, tmp_path):
+    rows = list(enumerate([*MARKED, *odd_texts()]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    word, byte = (Tokenizer.from_file(P.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    ids = {d: [*byte.encode(t or "", add_special_tokens=False).ids, 0] for d, t in rows}
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.op5_token_files(spark, str(tmp_path)).collect()}
+    at = starts(np.array([len(ids[d]) for d, _ in rows])).tolist()
+    assert got == {d: (at[d], len(ids[d]), zlib.crc32(np.array(ids[d], "<u4").tobytes())) for d, _ in rows}
+    packed = {}
+    for r in packing.op10_packing(spark, str(tmp_path)).collect():
+        packed[r.doc_id] = packed.get(r.doc_id, 0) + r.length
+    assert packed == {d: len(word.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in rows}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, token_files.MOST_ID), max_size=400), st.integers(1, 4), st.sampled_from([1, 7, 64, 2048]))
 def test_range_coder_round_trip(ids, repeat, block):
