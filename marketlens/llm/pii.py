@@ -18,15 +18,18 @@ from marketlens.llm.common import read_table
 
 ROUNDS = 10
 
-# Possessive parts and looks behind keep each pattern linear in the text.
+# Possessive parts and looks behind keep each pattern linear in the text. Of a domain's labels (a name has 127 at most), the last that begins
+# with an alphabetic one ends the address, so that hyphens, dots and digits after it cost no match.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)*+(?<=\.[A-Za-z]{2,24})"
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IPV4 = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)"
-DATE = (r"(?<![\d./\-])(?:(?:1[7-9]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
-        r"|(?:0?[1-9]|[12]\d|3[01])(?<sep>[./])(?:0?[1-9]|[12]\d|3[01])\k<sep>(?:1[7-9]|20)\d\d)(?![\d\-/]|\.\d)")
+DATE = (r"(?<![\d./\-])(?:(?:1[7-9]|20)\d\d(?<ymd>[./\-])(?:0[1-9]|1[0-2])\k<ymd>(?:0[1-9]|[12]\d|3[01])"
+        r"|(?:0?[1-9]|[12]\d|3[01])(?<sep>[./\-])(?:0?[1-9]|[12]\d|3[01])\k<sep>(?:1[7-9]|20)\d\d)(?![\d\-/]|\.\d)")
 SSN = r"(?<![\d\-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])"
-PHONE = (r"(?<![\d+])\+(?:\d{1,3}[ .\-]?\(\d{1,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d{1,3}(?:[ \-]\d{2,4}){2,4}|\d{7,15})(?!\.?\d)"
-         r"|(?<![\d.\-(])(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d.\-]?\d)")
+PHONE = (rf"(?<![\d+])\+(?:\d{{1,3}}[ .\-]?\(0\)[ .\-]?\d{{2,4}}(?:[ .\-]?\d{{2,4}}){{1,3}}"
+         rf"|\d{{1,3}}[ .\-]?\(\d{{1,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}|\d{{1,3}}(?:[ \-]\d{{2,4}}){{2,4}}"
+         rf"|(?!{_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d))\d{{1,3}}(?:\.\d{{2,4}}){{2,4}}|\d{{7,15}})(?!\.?\d)"
+         r"|(?<![\d.\-(])(?:1[ .\-]|1(?=\())?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d.\-]?\d)")
 # In one run of digits, or in groups with the same separator: a looser pattern would run on into a number that follows.
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?<gap>[ \-])\d{4}\k<gap>\d{4}\k<gap>\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)"
 # The order decides between kinds that start at the same place.
@@ -140,10 +143,10 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Country code and layout stay. Null unless the number has 7 to 15 digits."""
+    """Country code, a (0) after it and the layout stay. Null unless the number has 7 to 15 digits."""
     def body(d: Column) -> Column:
-        code = F.regexp_extract(m, r"^\+(\d{1,3})(?!\d)", 1)
-        kept = F.when(~m.startswith("+"), F.lit("")).when(code != "", code).otherwise(F.substr(d, F.lit(1), F.lit(1)))
+        code = F.concat(F.regexp_extract(m, r"^\+(\d{1,3})(?!\d)", 1), F.regexp_extract(m, r"^\+\d{1,3}[ .\-]?\((0)\)", 1))
+        kept = F.when(m.rlike(r"^1[ .\-(]"), F.lit("1")).when(~m.startswith("+"), F.lit("")).when(code != "", code).otherwise(F.substr(d, F.lit(1), F.lit(1)))
         return F.when(F.length(d).between(7, 15), _let(kept, lambda k: _refill(m, F.concat(k, _permute_digits(
             F.substr(d, F.length(k) + 1, F.length(d)), F.concat(F.lit("phone"), k), key)))))
 
@@ -169,26 +172,27 @@ def _ipv4(m: Column, key: str) -> Column:
 
 def _date(m: Column, key: str) -> Column:
     """A day of 1700 to 2099 in the same notation (year first; day first, else month first). Null if there is no such day."""
-    slashed = F.regexp_replace(m, r"\.", "/")
-    iso = m.contains("-")
+    slashed = F.regexp_replace(m, r"[.\-]", "/")
+    year_first = m.rlike(r"^\d{4}")
     day_first = F.try_to_date(slashed, "d/M/y")
 
     def body(day: Column) -> Column:
         n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
         pair = _feistel(F.floor(n / DAYS_LOW), n % DAYS_LOW, F.lit(DAYS_HIGH), F.lit(DAYS_LOW), F.lit("date"), key)
-        padded = (F.length(m) == 10) | m.rlike("^0|[./]0")
+        padded = (F.length(m) == 10) | m.rlike(r"^0|[./\-]0")
         shape = F.when(padded, F.when(day_first.isNotNull(), F.lit("dd/MM/yyyy")).otherwise(F.lit("MM/dd/yyyy"))).otherwise(
             F.when(day_first.isNotNull(), F.lit("d/M/yyyy")).otherwise(F.lit("M/d/yyyy")))
 
         def written_out(new: Column) -> Column:
             us = F.when(shape == "dd/MM/yyyy", F.date_format(new, "dd/MM/yyyy")).when(shape == "MM/dd/yyyy", F.date_format(new, "MM/dd/yyyy")).when(
                 shape == "d/M/yyyy", F.date_format(new, "d/M/yyyy")).otherwise(F.date_format(new, "M/d/yyyy"))
-            return F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(m.contains("."), F.translate(us, "/", ".")).otherwise(us)
+            own = F.when(year_first, F.date_format(new, "yyyy/MM/dd")).otherwise(us)
+            return F.when(m.contains("."), F.translate(own, "/", ".")).when(m.contains("-"), F.translate(own, "/", "-")).otherwise(own)
 
         moved = _let(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["high"] * DAYS_LOW + p["low"]).cast("int")))
         return F.when(day.isNotNull(), _let(moved, written_out))
 
-    return _let(F.when(iso, F.try_to_date(m, "yyyy-MM-dd")).otherwise(F.coalesce(day_first, F.try_to_date(slashed, "M/d/y"))), body)
+    return _let(F.when(year_first, F.try_to_date(slashed, "yyyy/MM/dd")).otherwise(F.coalesce(day_first, F.try_to_date(slashed, "M/d/y"))), body)
 
 
 def _email(m: Column, key: str) -> Column:

@@ -232,6 +232,34 @@ def test_neighbours_are_found_apart(spark):
     assert n == [4, 2]
 
 
+MISSED = ["bob@example.com- hi", "bob@example.com--thanks", "bob@example.com-based", "bob@example.com.2", "bob@my-site.example.co.uk-", "1-800-555-1234",
+          "1.555.123.4567", "1 (800) 555-1234", "+1.555.123.4567", "+44 (0)20 7946 0958", "+44 (0) 20 7946 0958", "2024/03/05", "2024.03.05", "05-03-2024",
+          "12-31-1999", "5-3-2024"]
+
+
+def test_more_notations_are_found(spark):
+    got, n = pseudonyms(spark, [f"a {v} b" for v in MISSED])
+    assert n == [1] * len(MISSED)
+    for old, new in zip(MISSED, (g[2:-2] for g in got), strict=True):
+        assert "bob@" not in new and new != old and new.partition("@")[2] == old.partition("@")[2]
+        if "@" not in old and old != "5-3-2024":
+            assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", old)
+    by_old = dict(zip(MISSED, (g[2:-2] for g in got), strict=True))
+    assert by_old["1-800-555-1234"].startswith("1-") and by_old["1.555.123.4567"].startswith("1.") and by_old["+44 (0)20 7946 0958"].startswith("+44 (0)")
+    for old in MISSED[:4]:  # the address is the same, so its pseudonym is
+        assert by_old[old].startswith(pseudonyms(spark, ["bob@example.com"])[0][0])
+    assert re.fullmatch(r"(1[7-9]|20)\d\d/(0[1-9]|1[0-2])/([0-2]\d|3[01])", by_old["2024/03/05"])
+    assert re.fullmatch(r"([0-2]\d|3[01])-(0[1-9]|1[0-2])-(1[7-9]|20)\d\d", by_old["05-03-2024"])
+    assert by_old["2024/03/05"] == by_old["2024.03.05"].replace(".", "/")
+
+
+def test_more_notations_keep_their_bounds(spark):
+    texts = ["2001/02/30", "31-31-1999", "2024/03-05", "a@b.c-", "a@b.2", "a@" + "b." * 50_000 + "1", "a@" + "b-" * 50_000, "+44.161.181.40"]
+    got, n = pseudonyms(spark, texts)
+    assert got[:-1] == texts[:-1] and n == [0] * 7 + [1]
+    assert got[-1][1:] == pseudonyms(spark, ["44.161.181.40"])[0][0]
+
+
 def test_pii_odd_rows(spark):
     docs = odd_docs(spark)
     out = pii.pseudonymize(docs, "k")
