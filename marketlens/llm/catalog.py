@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from marketlens.llm import byte_bpe, language_id, lm_scoring, minhash, packing, pii, pq_dedup, segment_search, token_files, warc_audit
+from marketlens.llm import (byte_bpe, language_id, license_scan, lm_scoring, minhash, packing, pii, pq_dedup, run_detection, segment_search,
+                            token_alignment, token_files, warc_audit)
 
 QUERIES = {
     "op1_segment_search": segment_search.op1_segment_search,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_warc_audit": warc_audit.op8_warc_audit,
     "op9_pq_dedup": pq_dedup.op9_pq_dedup,
     "op10_packing": packing.op10_packing,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_run_detection": run_detection.op12_run_detection,
+    "op13_license_scan": license_scan.op13_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
