@@ -38,10 +38,15 @@ def label_or_null(c: ColumnOrName, mapping: Mapping) -> Column:
     return label_map(mapping)[_c(c)]
 
 
+# What any text that casts to a number begins with. A failed cast to double costs an exception, so other text is not tried.
+NUMBER_START = r"^[\x00-\x20]*[+\-]?[0-9.iInN]"
+
+
 # SCA-3: tolerant numeric cast. Text "NaN" parses to NaN in Spark; it is made null, so that the 0-filling
 # of SCA-4 applies to it as to any other non-number.
 def to_double(c: ColumnOrName) -> Column:
-    return F.nanvl(_c(c).cast("string").try_cast("double"), F.lit(None).cast("double"))
+    text = _c(c).cast("string")
+    return F.nanvl(F.when(text.rlike(NUMBER_START), text.try_cast("double")), F.lit(None).cast("double"))
 
 
 def tolerant_doubles(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_of
 
 
-# Decimal places that a summed value keeps: whatever a double near 1 can hold of a price or a rate.
+# Decimal places that a summed value keeps; a value is rounded to them before the sum, so a sum of n values is within n * 0.5e-10 of the exact one.
 SUM_SCALE = 10
 
 
@@ -118,3 +118,17 @@ def regroup_sum(df: DataFrame, keys: Sequence[str | Column], counts: Sequence[st
     if row_count:
         aggs.append(F.count(F.lit(1)).alias(row_count))
     return df.groupBy(*keys).agg(*aggs)
+
+
+def regroup_switches(df: DataFrame, switches: dict[str, str], counts: Sequence[str] = (), money: Sequence[str] = ()) -> DataFrame:
+    """AGG-9 for every subset of the switches at once: ``switches`` maps a switch (``groupByBrand``) to the column that it groups by.
+
+    GROUPING SETS over all subsets: the rows are read and shuffled once (a partial aggregate for each set before the shuffle). A row
+    tells by its switches (booleans) which grouping it belongs to; a column that is not grouped by is null, as it may also be in the data.
+    """
+    columns = list(switches.values())
+    sets = [[c for k, c in enumerate(columns) if mask >> k & 1] for mask in range(1 << len(columns))]
+    aggs = [sum_or_zero(c).alias(c) for c in counts] + [money_sum_or_zero(c).alias(c) for c in money]
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        *[(F.grouping(c) == 0).alias(s) for s, c in switches.items()], *aggs)
+    return grouped.select(*switches, *columns, *counts, *money)

@@ -101,6 +101,28 @@ def recursive_flatten(df: DataFrame, array_sizes: Mapping[str, int] | None = Non
     return df.select(*cols)
 
 
+def variant_leaves(df: DataFrame, json_col: str, keep: Sequence[str] = (), sep: str = "_", max_depth: int = 12) -> DataFrame:
+    """PRJ-8 in long form, for documents of any width: a row (``keep``, ``path``, ``value``) for each leaf of a JSON text, in one pass.
+
+    Paths and leaves are those of ``recursive_flatten``: names and indexes joined with ``sep``, empty objects and arrays vanish. The text is parsed once
+    to a VARIANT; each level of nesting is one generator in the same stage, so the number of paths has no limit. ``value`` is the leaf's text
+    (null for a JSON null). Text that is no JSON gives no rows; a leaf deeper than ``max_depth`` raises an error, nothing is dropped.
+    """
+    spark = df.sparkSession
+    level = df.select(*keep, F.lit("").alias("path"), F.try_parse_json(F.col(json_col)).alias("v")).filter(F.col("v").isNotNull())
+    step = (f"SELECT {''.join(f'`{c}`, ' for c in keep)} t.v AS up, e.pos AS pos, e.value AS below, "
+            "CASE WHEN e.pos IS NULL THEN t.path ELSE concat(t.path, if(t.path = '', '', :sep), coalesce(e.key, cast(e.pos AS string))) END AS path "
+            "FROM {level} t, LATERAL variant_explode_outer(t.v) e")
+    for _ in range(max_depth):
+        level = spark.sql(step, args={"sep": sep}, level=level).select(*keep, "path", F.when(F.col("pos").isNull(), F.col("up")).otherwise(F.col("below")).alias("v"))
+    text = F.expr("try_variant_get(v, '$', 'string')")
+    kind = F.schema_of_variant("v")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    empty = text.isin("{}", "[]")
+    deep = F.raise_error(F.concat(F.lit(f"nested deeper than {max_depth} levels: "), F.col("path")))
+    return level.filter(~(nested & empty)).select(*keep, "path", F.when(nested, deep.cast("string")).otherwise(text).alias("value"))
+
+
 def first_element_fields(array_col: str, fields: Mapping[str, str]) -> list[Column]:
     """PRJ-9: fields of the first array element, null when the array is empty or null. ``get`` never
     raises, where ``arr[0]`` does under ANSI on an empty array."""

@@ -55,6 +55,20 @@ def load_audit(responses: DataFrame, loaded_at: dt.datetime | str, api_col: str
         F.lit(str(loaded_at)).cast("timestamp_ntz").alias("Date"))
 
 
+def response_audit(responses: DataFrame, loaded_at: dt.datetime | str, api_col: str = "project", keep: Sequence[str] = ("day",)) -> DataFrame:
+    """SNK-11 over ``sources.landed.landed_responses``: a row for each landed file with the number of its sound pages (200), and one for each text
+    of a damaged page in it (500), with the columns ``keep``. All comes from the responses themselves: nothing is joined.
+
+    Sound pages of a file are counted on every map task before the shuffle, so a file with a third of all pages is no hot key.
+    """
+    rows = responses.groupBy(api_col, *keep, "file", "bytes", "landed_at", "text").agg(F.count(F.lit(1)).alias("Pages"))
+    code = F.when(F.col("text").isNull(), 200).otherwise(500)
+    return rows.select(F.col(api_col).cast("string").alias("API"), *keep, F.col("file").alias("File"), F.col("bytes").alias("Bytes"),
+                       F.col("landed_at").alias("Landed At"), "Pages", code.alias("Status Code"),
+                       status_label(code, 200, AUDIT_OK, AUDIT_ERROR).alias("Status"), F.col("text").alias("Response Text"),
+                       F.lit(str(loaded_at)).cast("timestamp_ntz").alias("Date"))
+
+
 def all_successful(audit: DataFrame, expected: Sequence[str]) -> bool:
     """Precondition for all-or-nothing loads: every expected project has a response and none of all responses failed.
 

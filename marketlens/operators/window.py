@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,3 +40,36 @@ def period_change(df: DataFrame, entity: Sequence[str], period: str, value: str,
     out = df.withColumn("prev_" + value, F.when(prev_p == previous_period(F.col(period)), prev_v))
     prev = F.col("prev_" + value)
     return out.withColumn("change", F.round(F.when(prev != 0, F.col(value) / prev - 1), digits))
+
+
+def rolling_periods(df: DataFrame, entity: Sequence[str], day: str, value: str, n_days: int, digits: int = 6) -> DataFrame:
+    """WIN-2 for every day: the sum of ``value`` over the ``n_days`` days that end on it, over the ``n_days`` before those, and the change.
+
+    ``df`` is reduced to a row for each entity and day first, so a window holds one entity's days whatever its rows. The frames are
+    ranges of days, not of rows: a gap counts as no sales and is not bridged. A period without any row is null, and so is the change.
+    """
+    daily = df.groupBy(*entity, F.to_date(day).alias(day)).agg(F.sum(F.col(value).cast("decimal(38,10)")).alias("__v"))
+    w = Window.partitionBy(*entity).orderBy(F.unix_date(day))
+    now, before = F.sum("__v").over(w.rangeBetween(-(n_days - 1), 0)), F.sum("__v").over(w.rangeBetween(-(2 * n_days - 1), -n_days))
+    sums = daily.select(*entity, day, now.cast("double").alias("selected"), before.cast("double").alias("previous"))
+    return sums.withColumn("change", _change(digits))
+
+
+def selected_and_previous(df: DataFrame, entity: Sequence[str], day: str, value: str, begin: dt.date | str, end: dt.date | str,
+                          digits: int = 6) -> DataFrame:
+    """WIN-2 for one selected period ``begin`` to ``end`` against the one of equal length right before it, for each entity with a row in either.
+
+    Both sums are taken in one aggregation; days outside both are not read further. A period without any row is null."""
+    first, last = (d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in (begin, end))
+    if last < first:
+        raise ValueError("the period ends before it begins")
+    start = first - (last - first) - dt.timedelta(days=1)
+    d, v = F.to_date(day), F.col(value).cast("decimal(38,10)")
+    from_, mid, to = (F.lit(str(x)).cast("date") for x in (start, first, last))
+    return (df.filter(d.between(from_, to)).groupBy(*entity).agg(
+        F.sum(F.when(d >= mid, v)).cast("double").alias("selected"), F.sum(F.when(d < mid, v)).cast("double").alias("previous"))
+        .withColumn("change", _change(digits)))
+
+
+def _change(digits: int) -> Column:
+    return F.round(F.when(F.col("previous") != 0, F.col("selected") / F.col("previous") - 1), digits)

@@ -18,6 +18,7 @@ from ..functions import labels
 from ..functions.clean import fill_zero, label_or_code, parse_timestamp_formats, to_wall_clock
 from ..functions.dates import day_as_timestamp, reload_days
 from ..operators.aggregate import daily_ad_fact
+from ..operators.coverage import with_coverage
 from ..operators.filters import year_at_least
 from ..operators.flatten import explode_positions, explode_with_meta, select_paths
 from ..operators.joins import left_join, restrict_to_keys
@@ -158,20 +159,37 @@ def product_day_orders_from_cards(card_rows: DataFrame, keep: Sequence[str] = ()
 
 
 def ad_orders_fact(facts_with_campaign: DataFrame, product_day_orders: DataFrame,
-                   by_project: bool = False) -> DataFrame:
+                   by_project: bool = False, coverage: DataFrame | None = None) -> DataFrame:
     """JOB-3/JOB-4 (JON-2 + SCA-13): attach product-day orders to every ad row of that product and day,
     0 where there are none, in the 22-column contract.
 
     The key is (nmId, day), as in the source; ``by_project=True`` adds Project to it. A product-day's orders
     repeat on each of its campaign rows, so totals after the join can exceed those before (see
     ``operators.quality.reconcile_totals``).
+
+    With ``coverage`` (Project, first_day, last_day: the days whose orders were landed, see ``operators.coverage``) a missing row means 0
+    only on covered days; on the others the orders are unknown and stay null.
     """
     key = ["nmId", "day", *(["Project"] if by_project else [])]
     orders = product_day_orders.select(*key, *ORDER_METRICS)
-    joined = fill_zero(left_join(facts_with_campaign, orders, key), ORDER_METRICS)
+    joined = left_join(facts_with_campaign, orders, key)
+    if coverage is None:
+        joined = fill_zero(joined, ORDER_METRICS)
+    else:
+        joined = with_coverage(joined, coverage).withColumns(
+            {c: F.when(F.col("covered") & F.col(c).isNull(), F.lit(0)).otherwise(F.col(c)) for c in ORDER_METRICS})
+    types = dict(CAMPAIGN_DATA_WB)
+    joined = joined.withColumns({c: F.col(c).cast(types[c]) for c in ORDER_METRICS})
     return conform(joined.withColumn("day", day_as_timestamp("day")), CAMPAIGN_DATA_WB)
 
 
+def ad_orders_fact_orders_first(facts: DataFrame, dim: DataFrame, product_day_orders: DataFrame) -> DataFrame:
+    """JON-5: the two joins of ``ad_orders_fact`` the other way round: orders on the plain facts first, campaigns after; the same rows."""
+    orders = product_day_orders.select("nmId", "day", *ORDER_METRICS)
+    joined = fill_zero(left_join(facts, orders, ["nmId", "day"]), ORDER_METRICS)
+    return conform(ad_facts_with_campaign(joined, dim).withColumn("day", day_as_timestamp("day")), CAMPAIGN_DATA_WB)
+
+
 # ------------------------------------------------------------------------------------------- JOB-5
 def product_first_fact(product_day_orders: DataFrame, facts_with_campaign: DataFrame,
                        null_safe: bool = False) -> DataFrame:

@@ -48,12 +48,16 @@ def finance_operations(payload: DataFrame, project: str | None = None, all_items
     as ``posting_*`` columns (PRJ-10), the first item and first service (PRJ-9; null when absent), numbers
     cast tolerantly with 0 for bad values (SCA-4), dates parsed (SCA-5), in the ``ozon_finance`` contract.
 
-    ``all_items=True`` is the lossless variant: one row per item instead of the first item only.
+    ``all_items=True`` is the lossless variant: items and services laid side by side, a row for each place, the shorter list padded with
+    nulls. The operation's own amounts stand in its first row and are 0 in the others, so all amounts add up to the payload's.
     """
     keep = [c for c in ("project",) if c in payload.columns]
     ops = explode_with_meta(payload, "result.operations", keep=keep)
     if all_items:
-        ops = ops.select("*", F.explode_outer("items").alias("__item")).withColumn("items", F.array("__item"))
+        ops = ops.select("*", F.posexplode_outer(F.arrays_zip(
+            F.coalesce("items", F.array()).alias("item"), F.coalesce("services", F.array()).alias("service"))).alias("__place", "__both"))
+        ops = ops.withColumns({"items": F.array("__both.item"), "services": F.array("__both.service"),
+                               **{c: F.when(F.coalesce("__place", F.lit(0)) == 0, F.col(c)).otherwise("0") for c in OPERATION_MONEY}})
     cols = [*keep, *OPERATION_FIELDS,
             *prefixed_struct("posting", ["delivery_schema", "order_date", "posting_number", "warehouse_id"],
                              "posting_"),

@@ -42,8 +42,8 @@ MARKS = [("Project", "string"), ("mark", "timestamp_ntz")]
 
 
 def marks_target(target: writers.Target) -> writers.Target:
-    """The small table beside ``target`` that holds what each load reached: a row for each project and load."""
-    return writers.Target(f"{target.path.rstrip('/')}__marks", MARKS)
+    """The small table beside ``target`` that holds what the loads reached: a row for each project."""
+    return writers.Target(f"{target.path.rstrip('/')}__marks", MARKS, ("Project",))
 
 
 def high_water_marks(spark: SparkSession, target: writers.Target) -> DataFrame:
@@ -66,4 +66,4 @@ def orders_upsert(spark: SparkSession, landed: DataFrame, target: writers.Target
     rows = rows.withColumn("day", F.to_date("date")).checkpoint(eager=True)
     writers.upsert_latest(spark, rows, target, ORDERS_WB_KEY, ORDERS_WB_VERSION)
     reached = rows.groupBy("Project").agg(F.max(ORDERS_WB_VERSION).alias("mark")).filter("mark is not null")
-    writers.append(spark, reached, marks_target(target))
+    writers.upsert_latest(spark, reached, marks_target(target), ["Project"], "mark")

@@ -17,12 +17,12 @@ from ..operators import filters, setops, sort
 from ..operators.aggregate import distinct_values
 from ..operators.flatten import recursive_flatten
 from ..operators.project import row_to_json
-from ..operators.quality import load_audit
+from ..operators.quality import load_audit, response_audit
 from ..schemas import (AD_STATS, CAMPAIGN_COUNTS, CAMPAIGN_DETAILS, FUNNEL_PAGE, LOAD_AUDIT, ORDER_HISTORY_WB, PRODUCT_HISTORY,
                        PRODUCT_STATS_COLUMNS, REALIZATION_REPORT, SUPPLIER_ORDERS, WAREHOUSE_DATA_WB, WAREHOUSE_REMAINS, WB_REALIZATION_REPORTS)
 from ..session import scratch_path
 from ..sinks import writers
-from ..sources.landed import parse_json_text, read_landed, read_report_folder, split_corrupt
+from ..sources.landed import landed_responses, parse_json_text, read_landed, read_report_folder, split_corrupt
 from ..sources.tables import table
 from . import ads, finance, funnel, performance, standins, stock
 from .catalog import register
@@ -70,27 +70,37 @@ def q_landed_ad_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.ad_daily_fact(flat).select("Project", "day", "nmId", "advertId", "views", "clicks", "sum", "orders", "sum_price")
 
 
+# Damaged pages by project and day: several on one day, and one on a day that has no sound page.
+DAMAGED = [("shop-a", "2024-01-06", '{"advertId": 99, "days": [{"date": "2024-01-06T00:0'), ("shop-a", "2024-01-06", "<html>502</html>"),
+           ("shop-b", "2024-03-10", '{"advertId": 7, "days": ['), ("shop-b", "2024-12-31", "too many requests")]
+SHOP_B_SHIFT = 60  # days by which the second project's days lie later
 LANDED_AUDIT_SQL = f"""
-SELECT 'events' AS API, CAST(day AS DATE) AS day, CASE WHEN day = DATE '2024-01-06' THEN 500 ELSE 200 END AS "Status Code",
-       CASE WHEN day = DATE '2024-01-06' THEN '{AUDIT_ERROR}' ELSE '{AUDIT_OK}' END AS "Status",
-       CASE WHEN day = DATE '2024-01-06' THEN '{{"advertId": 99, "days": [{{"date": "2024-01-06T00:0' END AS "Response Text",
+SELECT project AS API, day, CAST(COUNT(*) AS BIGINT) AS "Pages", 200 AS "Status Code", '{AUDIT_OK}' AS "Status", CAST(NULL AS VARCHAR) AS "Response Text",
        TIMESTAMP '{NOW}' AS "Date"
-FROM (SELECT CAST(ts AS DATE) AS day FROM events UNION SELECT DATE '2024-01-06') d
+FROM (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'shop-a' ELSE 'shop-b' END AS project,
+             CAST(CAST(ts AS DATE) + CASE WHEN event_type IN ('click', 'view') THEN 0 ELSE {SHOP_B_SHIFT} END AS DATE) AS day FROM events) e
+GROUP BY project, day
+UNION ALL
+SELECT c1, CAST(c2 AS DATE), CAST(1 AS BIGINT), 500, '{AUDIT_ERROR}', c3, TIMESTAMP '{NOW}' FROM (VALUES {", ".join(f"('{p}', '{d}', '{t}')" for p, d, t in DAMAGED)}) v(c1, c2, c3)
 """
 
 
 @register("landed_audit", LANDED_AUDIT_SQL)
 def q_landed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-11, SCA-24, FLT-10: the load audit of the landed ad statistics: a response a day, an error with the text of its damaged page
-    where one did not parse."""
-    pages = read_landed(spark, landed_stats(spark, sf_dir), AD_STATS, multi_line=False, keep_corrupt=True)
-    bad = F.col("_corrupt_record")
-    days = pages.groupBy(F.col("project"), "day").agg(F.max(bad).alias("text"))
-    responses = days.withColumn("status_code", F.when(F.col("text").isNull(), 200).otherwise(500))
-    audit = load_audit(responses, NOW)
-    keyed = responses.select("day", F.col("text").alias("Response Text"), F.col("status_code").alias("Status Code"))
-    return audit.join(keyed.distinct(), (audit["Response Text"].eqNullSafe(keyed["Response Text"])) & (audit["Status Code"] == keyed["Status Code"])
-                      ).select("API", "day", audit["Status Code"], "Status", audit["Response Text"], "Date").distinct()
+    """SNK-11, SCA-24, FLT-10: the load audit of the landed ad statistics of two projects with different days: the sound pages of each file, and
+    each damaged page with its text. Project, day and file come from the responses themselves. The files of a day are added up here, as
+    their number depends on how a folder was written."""
+    own = F.col("event_type").isin("click", "view")
+    rows = standins.ad_stats_rows(table(spark, sf_dir, "events")).withColumn("event_type", F.col("advertId"))
+    day = F.date_add(F.to_date("date"), F.when(own, 0).otherwise(SHOP_B_SHIFT))
+    nm = F.struct("nmId", "name", "views", "clicks", F.col("sum").cast("string").alias("sum"), "orders", "sum_price")
+    apps = F.array(F.struct(F.lit(1).alias("appType"), F.array(nm).alias("nm")))
+    body = F.to_json(F.struct(F.ascii("advertId").alias("advertId"), F.array(F.struct(F.col("date").cast("string").alias("date"), apps.alias("apps"))).alias("days")))
+    path = land(rows.withColumns({"project": F.when(own, "shop-a").otherwise("shop-b"), "day": day}), "ad-stats-projects", body)
+    for project, at, text in DAMAGED:
+        land_text(spark, path, project, at, text)
+    audit = response_audit(landed_responses(spark, path, AD_STATS, multi_line=False), NOW)
+    return audit.groupBy("API", "day", "Status Code", "Status", "Response Text", "Date").agg(F.sum("Pages").alias("Pages"))
 
 
 # -------------------------------------------------------------------------------------------- SRC-4, JOB-3, FLT-10
@@ -275,7 +285,7 @@ def _weekly_sql() -> str:
 def q_realization_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-8, JOB-12, SCA-22, FLT-9, SNK-1: report rows of several projects in ``project=/day=`` folders; only the previous calendar week's folders are
     read, cleaned and appended to the 75-column ``wb_realization_reports``. Stand-in: a line is a report row, its ship week its folder."""
-    li = standins.by_record(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    li = table(spark, sf_dir, "lineitem")
     body = F.struct(F.col("l_orderkey").cast("string").alias("realizationreport_id"), F.col("l_linenumber").alias("rrd_id"), F.col("l_partkey").alias("nm_id"),
                     F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").cast("string").alias("retail_price"),
                     F.col("l_discount").alias("sale_percent"), F.col("l_returnflag").alias("doc_type_name"), F.lit("").alias("brand_name"),

@@ -89,16 +89,12 @@ FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE)
 """
 
 
-def by_record(df: DataFrame, *keys: str) -> DataFrame:
-    """Source rows dealt by the key of the record they become, as a landing zone holds them: many records in each of many parts,
-    whatever number of row groups the supplied file has."""
-    return df.repartition(*[F.col(k) for k in keys])
-
-
 def land(df: DataFrame, stem: str, page: Column) -> str:
-    """Write a page of JSON text for each row, one a line, under ``project=/day=`` folders of the shared folder; returns the root."""
+    """Write a page of JSON text for each row, one a line, under ``project=/day=`` folders of the shared folder; returns the root. Rows are
+    dealt by folder, and a folder above the advisory partition size is written by several tasks."""
     path = scratch_path(df.sparkSession, f"landed-{stem}")
-    df.select("project", "day", page.alias("value")).repartition("project", "day").write.partitionBy("project", "day").text(path)
+    pages = df.select("project", "day", page.alias("value")).hint("rebalance", F.col("project"), F.col("day"))
+    pages.write.partitionBy("project", "day").text(path)
     return path
 
 

@@ -8,6 +8,9 @@ Partition bookkeeping stays in the file system: there is no per-partition catalo
 of days costs one write job, not thousands of metadata updates. Reads of the target that feed a write into
 the same target are materialised first with a reliable ``checkpoint()`` in the shared folder, so the
 overwrite never deletes files its own input still needs, and a lost executor recomputes from the checkpoint.
+
+Rows are dealt by partition value with a REBALANCE hint: many small days share a task, and a day above the advisory partition size is
+split over several by its bytes as measured, whatever share of the load it has.
 """
 
 from __future__ import annotations
@@ -15,8 +18,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.project import conform
@@ -27,12 +31,9 @@ from ..session import shared_dir
 
 @dataclass(frozen=True)
 class Target:
-    """``files_per_partition``: tasks that write one partition value in parallel (raise it for tables whose days are large)."""
-
     path: str
     contract: Sequence[tuple[str, str]]
     partition_by: Sequence[str] = field(default_factory=tuple)
-    files_per_partition: int = 1
 
     @property
     def schema(self) -> str:
@@ -71,16 +72,9 @@ def register_catalog_table(spark: SparkSession, target: Target, name: str) -> No
 
 
 def _prepared(df: DataFrame, target: Target) -> DataFrame:
-    """Contract order and types (absent columns null, a value that does not fit its type fails the write). Before a partitioned
-    write, rows are dealt by partition value, so a day is written by ``files_per_partition`` tasks and many small days by many tasks."""
+    """Contract order and types (absent columns null, a value that does not fit its type fails the write), dealt by partition value."""
     out = conform(df, target.contract, cast_present="strict")
-    if not target.partition_by:
-        return out
-    keys = [F.col(f"`{c}`") for c in target.partition_by]
-    if target.files_per_partition > 1:
-        rest = [F.col(f"`{c}`") for c in target.columns if c not in target.partition_by]
-        keys.append(F.pmod(F.xxhash64(*rest), F.lit(target.files_per_partition)))
-    return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return out.hint("rebalance", *[F.col(f"`{c}`") for c in target.partition_by]) if target.partition_by else out
 
 
 def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
@@ -93,10 +87,56 @@ def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
 
 
 def append(spark: SparkSession, df: DataFrame, target: Target) -> None:
-    """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name."""
+    """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name. Run twice, it adds them twice;
+    ``append_once`` does not."""
     _writer(_prepared(df, target), target, "append").parquet(target.path)
 
 
+LOADS = [("load_id", "string"), ("unit", "string"), ("rows", "bigint"), ("loaded_at", "timestamp_ntz")]
+LOAD_ID = "load_id"
+
+
+def once_target(path: str, contract: Sequence[tuple[str, str]], unit: Sequence[str]) -> Target:
+    """A table for ``append_once``: the contract's columns and the load's id, partitioned by the load and its units (such as project and day)."""
+    return Target(path, [*contract, (LOAD_ID, "string")], (LOAD_ID, *unit))
+
+
+def ledger_target(target: Target) -> Target:
+    """The table of finished units beside ``target``: load id, unit, its rows and when it was loaded."""
+    return Target(f"{target.path.rstrip('/')}__loads", LOADS)
+
+
+def _unit(target: Target) -> Column:
+    """A unit's partition values as JSON text, nulls kept."""
+    units = [F.col(f"`{c}`").cast("string").alias(c) for c in target.partition_by if c != LOAD_ID]
+    return F.to_json(F.struct(*units), {"ignoreNullFields": "false"})
+
+
+def append_once(spark: SparkSession, df: DataFrame, target: Target, load_id: str, now: dt.datetime | str) -> None:
+    """SNK-1 that may be run again: the rows of ``df`` as load ``load_id`` of a ``once_target``; units that the ledger lists for this load stay.
+
+    The other units' folders (which only this load writes) are overwritten and then entered in the ledger. After a crash in between the
+    folders hold rows that the ledger does not know: ``read_loaded`` does not see them, and the next run of the load overwrites them.
+    A unit is written whole, so run a load with all rows of its units. Units with a third of the rows are split by REBALANCE.
+    """
+    ledger = ledger_target(target)
+    create_table(spark, ledger)
+    done = read(spark, ledger).filter(F.col("load_id") == load_id).select(F.col("unit").alias("__unit"))
+    rows = conform(df.withColumn(LOAD_ID, F.lit(load_id)), target.contract, cast_present="strict")
+    overwrite_partitions(spark, rows.join(done, _unit(target) == F.col("__unit"), "left_anti"), target)
+    # What the folders of this load now hold and the ledger lacks: a row for each unit, counted from the files written.
+    held = (_stored(spark, target).filter(F.col(LOAD_ID) == load_id).groupBy(_unit(target).alias("unit")).agg(F.count(F.lit(1)).alias("rows"))
+            .join(done, F.col("unit") == F.col("__unit"), "left_anti"))
+    append(spark, held.select(F.lit(load_id).alias("load_id"), "unit", "rows", F.lit(str(now)).cast("timestamp_ntz").alias("loaded_at")), ledger)
+
+
+def read_loaded(spark: SparkSession, target: Target) -> DataFrame:
+    """The contract's rows of all units that the ledger lists."""
+    done = read(spark, ledger_target(target)).select(F.col("load_id").alias("__load"), F.col("unit").alias("__unit")).distinct()
+    rows = _stored(spark, target)
+    return rows.join(done, (rows[LOAD_ID] == F.col("__load")) & (_unit(target) == F.col("__unit")), "left_semi").drop(LOAD_ID)
+
+
 def overwrite_partitions(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """Replace exactly the partitions that occur in ``df`` (dynamic partition overwrite)."""
     _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
@@ -165,25 +205,23 @@ def upsert_latest(spark: SparkSession, df: DataFrame, target: Target, key: Seque
 
 
 def _touched(spark: SparkSession, target: Target, new: DataFrame) -> DataFrame:
-    """The stored rows in the partitions that ``new`` has rows for.
+    """The stored rows in the partitions that ``new`` has rows for; other partitions' files are not read.
 
-    The values of each partition column (a folder each, so as many as the write makes anyway) filter a normal read, so other partitions' files are
-    not read; with several columns a null-safe semi join then keeps the exact combinations.
+    The batch's partition values (a folder each, so as many as the write makes anyway) are broadcast to a semi join, whose values
+    prune the scan's folders while it runs (dynamic partition pruning); none come to the driver. Values with a null in them
+    join null-safely, after a plain filter to the folders that hold nulls.
     """
     stored, parts = _stored(spark, target), list(target.partition_by)
-    for c in parts:
-        kind = stored.schema[c].dataType
-        values = [r[0] for r in new.select(F.col(f"`{c}`").cast("string")).distinct().collect()]
-        known = [F.lit(v).cast(kind) for v in values if v is not None]
-        wanted = F.col(f"`{c}`").isin(*known) if known else F.lit(False)
-        stored = stored.filter(wanted | F.col(f"`{c}`").isNull() if None in values else wanted)
-    if len(parts) > 1:
-        combinations = new.select(*(F.col(f"`{c}`").alias(f"__t_{c}") for c in parts)).distinct()
-        same = F.lit(True)
-        for c in parts:
-            same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__t_{c}"))
-        stored = stored.join(combinations, same, "left_semi")
-    return stored
+    if not parts:
+        return stored
+    known = reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in parts])
+    renamed = [F.col(f"`{c}`").alias(f"__t_{c}") for c in parts]
+    # The filter on the count marks this side as selective, which is what makes the optimizer prune.
+    values = new.groupBy(*[F.col(f"`{c}`") for c in parts]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 0")
+    same = reduce(Column.__and__, [F.col(f"`{c}`") == F.col(f"__t_{c}") for c in parts])
+    same_null = reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.col(f"__t_{c}")) for c in parts])
+    return (stored.join(F.broadcast(values.filter(known).select(*renamed)), same, "left_semi")
+            .unionByName(stored.filter(~known).join(F.broadcast(values.filter(~known).select(*renamed)), same_null, "left_semi")))
 
 
 def backfill_with_default(spark: SparkSession, source: DataFrame, target: Target, day_col: str,

@@ -38,7 +38,7 @@ def read_landed(spark: SparkSession, path: str | Sequence[str], schema: str | No
         return reader.json(path if isinstance(path, str) else list(path))
     if not schema:
         raise ValueError("keep_corrupt needs a schema")
-    raw = spark.read.option("wholetext", multi_line).text(path if isinstance(path, str) else list(path))
+    raw = spark.read.text(path if isinstance(path, str) else list(path), wholetext=multi_line)
     one = T.StructType([*T.StructType.fromDDL(schema), T.StructField(CORRUPT, T.StringType())])
     text, options = F.trim("value"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     docs = F.when(text.startswith("["), F.from_json(text, T.ArrayType(one), options)).otherwise(F.array(F.from_json(text, one, options)))
@@ -56,6 +56,24 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(*simple)
 
 
+def landed_responses(spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True) -> DataFrame:
+    """A row for each landed response (a file with ``multi_line``, else a line): the folder columns, ``file``, ``bytes`` and ``landed_at`` of its
+    file (from the file source's hidden metadata), and ``text``: null for a response that parses, else the whole of it.
+
+    A page is damaged if any of its documents is. Blank lines are no responses, and Spark's file sources pass over empty files: what was
+    not answered shows by its absence, which ``all_successful`` and ``page_problems`` look for.
+    """
+    raw = spark.read.text(path if isinstance(path, str) else list(path), wholetext=multi_line)
+    one = T.StructType([*T.StructType.fromDDL(schema), T.StructField(CORRUPT, T.StringType())])
+    body, options = F.trim("value"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    docs = F.when(body.startswith("["), F.from_json(body, T.ArrayType(one), options)).otherwise(F.array(F.from_json(body, one, options)))
+    sound = F.coalesce(F.forall(docs, lambda d: d.isNotNull() & d[CORRUPT].isNull()), F.lit(False)) & (body != "")
+    folders = [c for c in raw.columns if c != "value"]
+    rows = raw if multi_line else raw.filter(body != "")
+    return rows.select(*folders, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+                       F.col("_metadata.file_modification_time").alias("landed_at"), F.when(~sound, F.col("value")).alias("text"))
+
+
 def parse_json_text(df: DataFrame, text_col: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """The same typed read for payloads that arrive as a text column (a message, a staging table)."""
     return df.select(*keep, F.from_json(F.col(text_col), schema).alias("__doc")).select(*keep, "__doc.*")

@@ -298,7 +298,7 @@ def test_orders_upsert_keeps_a_mark_for_each_project(spark, landed, tmp_path):
     assert got == [("A", "a", 1.0), ("A", "a2", 1.0), ("A", "bad", 1.0), ("A", "bad2", 1.0), ("B", "b", 1.0)]
     assert rows(orders.high_water_marks(spark, target), "Project") == [("A",), ("B",)]
     scans = writers.read(spark, orders.marks_target(target))
-    assert scans.count() == 4
+    assert scans.count() == 2  # a row for each project, whatever the number of loads
 
 
 def test_first_item_of_an_operation_with_many_items(spark, landed):
