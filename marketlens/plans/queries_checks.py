@@ -24,13 +24,14 @@ from .standins import land
 
 # ------------------------------------------------------------------------------------------------ SRC-5, SET-3
 LAST_PAGE = 9
-# A brand's pages are its parts' sizes mod 9; some are lost, some come twice, some say too early that they are the last, and the last
-# pages of some brands are lost, so that the highest one left says that another follows.
+# A brand's pages are its parts' sizes mod 9. Of brands with an odd first digit some pages are lost, some come twice, some say too early that they are
+# the last, and some last pages are lost, so that the highest one left says that another follows.
 _PAGES_SQL = f"""
-SELECT project, DATE '2024-01-02' AS day, page, CASE WHEN (b + page) % 13 = 0 THEN FALSE ELSE page < {LAST_PAGE} END AS more,
-       CASE WHEN (b + page) % 11 = 0 THEN 2 ELSE 1 END AS copies, nm
-FROM (SELECT p_brand AS project, ascii(substr(p_brand, 8, 1)) AS b, p_size % {LAST_PAGE} + 1 AS page, MIN(p_partkey) AS nm FROM part GROUP BY ALL) p
-WHERE (b + page) % 7 <> 0
+SELECT project, DATE '2024-01-02' AS day, page, CASE WHEN odd AND (b + page) % 13 = 0 THEN FALSE ELSE page < {LAST_PAGE} END AS more,
+       CASE WHEN odd AND (b + page) % 11 = 0 THEN 2 ELSE 1 END AS copies, nm
+FROM (SELECT p_brand AS project, ascii(substr(p_brand, 7, 1)) % 2 = 1 AS odd, ascii(substr(p_brand, 8, 1)) AS b, p_size % {LAST_PAGE} + 1 AS page,
+             MIN(p_partkey) AS nm FROM part GROUP BY ALL) p
+WHERE NOT (odd AND (b + page) % 7 = 0)
 """
 PAGE_PROBLEMS_SQL = f"""
 WITH p AS ({_PAGES_SQL}),
@@ -45,9 +46,9 @@ UNION ALL SELECT project, day, '{pages.EARLY_END}', page, page FROM n WHERE afte
 def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed funnel pages of several projects with the faults of ``_PAGES_SQL``."""
     parts = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("project"), (F.col("p_size") % LAST_PAGE + 1).alias("page")).agg(F.min("p_partkey").alias("nm"))
-    b = F.ascii(F.substring("project", 8, 1))
-    found = parts.filter((b + F.col("page")) % 7 != 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when((b + F.col("page")) % 11 == 0, 2).otherwise(1))))
-    more = F.when((b + F.col("page")) % 13 == 0, F.lit(False)).otherwise(F.col("page") < LAST_PAGE)
+    at, odd = F.ascii(F.substring("project", 8, 1)) + F.col("page"), F.ascii(F.substring("project", 7, 1)) % 2 == 1
+    found = parts.filter(~(odd & (at % 7 == 0))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(odd & (at % 11 == 0), 2).otherwise(1))))
+    more = F.when(odd & (at % 13 == 0), F.lit(False)).otherwise(F.col("page") < LAST_PAGE)
     card = F.struct(F.col("nm").alias("nmID"), F.struct(F.struct(F.lit("2024-01-02").alias("begin"), F.lit(1).alias("ordersCount")).alias("selectedPeriod")).alias("statistics"))
     body = F.to_json(F.struct(F.struct("page", more.alias("isNextPage"), F.array(card).alias("cards")).alias("data")))
     path = land(found.withColumn("day", F.lit("2024-01-02")), "numbered-pages", body)
@@ -226,8 +227,8 @@ def q_rolling_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECTED = ("1997-03-10", "1997-05-04")
 SELECTED_SQL = f"""
 SELECT o_custkey, selected, previous, ROUND(CASE WHEN previous <> 0 THEN selected / previous - 1 END, 6) AS change FROM (
-  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,10))) FILTER (CAST(o_orderdate AS DATE) >= DATE '{SELECTED[0]}') AS DOUBLE) AS selected,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(38,10))) FILTER (CAST(o_orderdate AS DATE) < DATE '{SELECTED[0]}') AS DOUBLE) AS previous
+  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (CAST(o_orderdate AS DATE) >= DATE '{SELECTED[0]}') AS DOUBLE) AS selected,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (CAST(o_orderdate AS DATE) < DATE '{SELECTED[0]}') AS DOUBLE) AS previous
   FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{SELECTED[0]}' - CAST(DATE '{SELECTED[1]}' - DATE '{SELECTED[0]}' + 1 AS INTEGER) AND DATE '{SELECTED[1]}'
   GROUP BY o_custkey) x
 """

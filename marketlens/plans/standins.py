@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import to_long_or_zero
 from ..functions.labels import MARKETPLACE_WB
-from ..session import scratch_path
+from ..session import scratch_path, spread_small
 from ..sources.landed import read_landed
 
 
@@ -94,7 +94,8 @@ def land(df: DataFrame, stem: str, page: Column) -> str:
     dealt by folder, and a folder above the advisory partition size is written by several tasks."""
     path = scratch_path(df.sparkSession, f"landed-{stem}")
     pages = df.select("project", "day", page.alias("value")).hint("rebalance", F.col("project"), F.col("day"))
-    pages.write.partitionBy("project", "day").text(path)
+    with spread_small(pages):
+        pages.write.partitionBy("project", "day").text(path)
     return path
 
 

@@ -13,8 +13,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job assumes. ANSI stays on (Spark 4 default): landed text is cast with try_cast.
 BASE_CONF = {
@@ -83,6 +85,27 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+ADVISORY, COALESCE = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+@contextmanager
+def spread_small(df: DataFrame) -> Iterator[None]:
+    """While it lasts, a REBALANCE of a frame too small to give every core a partition of the advisory size (64 MB) is not drawn together into a
+    few tasks: these would write many small folders one after the other. Large partitions are split by size either way."""
+    spark = df.sparkSession
+    known = spark.conf.get(ADVISORY, "64m")
+    full = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(known)) * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(COALESCE)
+    small = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < full
+    if small:
+        spark.conf.set(COALESCE, "false")
+    try:
+        yield
+    finally:
+        if small:
+            spark.conf.set(COALESCE, before)
+
+
 _SCRATCH: list[str] = []
 
 

@@ -10,7 +10,7 @@ the same target are materialised first with a reliable ``checkpoint()`` in the s
 overwrite never deletes files its own input still needs, and a lost executor recomputes from the checkpoint.
 
 Rows are dealt by partition value with a REBALANCE hint: many small days share a task, and a day above the advisory partition size is
-split over several by its bytes as measured, whatever share of the load it has.
+split over several by its bytes as measured, whatever share of the load it has. The partitions of small loads stay apart, so that all cores write.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.project import conform
 from ..operators.window import latest_version
 from ..schemas import ddl
-from ..session import shared_dir
+from ..session import shared_dir, spread_small
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,9 @@ def _writer(df: DataFrame, target: Target, mode: str, dynamic: bool = False):
 def append(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """SNK-1 / SNK-8: append rows in the contract's columns (missing ones null), bound by name. Run twice, it adds them twice;
     ``append_once`` does not."""
-    _writer(_prepared(df, target), target, "append").parquet(target.path)
+    rows = _prepared(df, target)
+    with spread_small(rows):
+        _writer(rows, target, "append").parquet(target.path)
 
 
 LOADS = [("load_id", "string"), ("unit", "string"), ("rows", "bigint"), ("loaded_at", "timestamp_ntz")]
@@ -139,7 +141,9 @@ def read_loaded(spark: SparkSession, target: Target) -> DataFrame:
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, target: Target) -> None:
     """Replace exactly the partitions that occur in ``df`` (dynamic partition overwrite)."""
-    _writer(_prepared(df, target), target, "overwrite", dynamic=True).parquet(target.path)
+    rows = _prepared(df, target)
+    with spread_small(rows):
+        _writer(rows, target, "overwrite", dynamic=True).parquet(target.path)
 
 
 def empty_partition(spark: SparkSession, target: Target, values: dict) -> None:
