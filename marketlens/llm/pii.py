@@ -1,8 +1,9 @@
 """Operator 6 [native]: format-preserving pseudonyms for personal data.
 
-E-mail addresses, IPv4 addresses, card numbers (Luhn), phone numbers, US social security numbers and dates are found by patterns and
-validated; each is replaced by another value of the same format, by a keyed Feistel permutation of the values of that format. Equal
-values get equal pseudonyms in every document, different ones different pseudonyms, and whoever has the key can undo it.
+E-mail addresses, IPv4 addresses, card numbers (Luhn), IBANs (mod 97), phone numbers, US social security numbers and dates are found by
+patterns and validated; each is replaced by another value of the same format, by a keyed Feistel permutation of the values of that format.
+Equal values get equal pseudonyms in every document, in whatever notation they stand (a phone number with spaces or without, a day written
+year, day or month first), different ones different pseudonyms, and whoever has the key can undo it.
 
 Everything is DataFrame functions: the text is split at the matches, the matches are transformed, and both are joined again.
 """
@@ -21,23 +22,34 @@ ROUNDS = 10
 # Possessive parts and looks behind keep each pattern linear in the text. Of a domain's labels (a name has 127 at most), the last that begins
 # with an alphabetic one ends the address, so that hyphens, dots and digits after it cost no match.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
+# A local part has 64 characters at most: longer ones are no address.
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IPV4 = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)"
 DATE = (r"(?<![\d./\-])(?:(?:1[7-9]|20)\d\d(?<ymd>[./\-])(?:0[1-9]|1[0-2])\k<ymd>(?:0[1-9]|[12]\d|3[01])"
         r"|(?:0?[1-9]|[12]\d|3[01])(?<sep>[./\-])(?:0?[1-9]|[12]\d|3[01])\k<sep>(?:1[7-9]|20)\d\d)(?![\d\-/]|\.\d)")
 SSN = r"(?<![\d\-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])"
-PHONE = (rf"(?<![\d+])\+(?:\d{{1,3}}[ .\-]?\(0\)[ .\-]?\d{{2,4}}(?:[ .\-]?\d{{2,4}}){{1,3}}"
-         rf"|\d{{1,3}}[ .\-]?\(\d{{1,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}|\d{{1,3}}(?:[ \-]\d{{2,4}}){{2,4}}"
-         rf"|(?!{_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d))\d{{1,3}}(?:\.\d{{2,4}}){{2,4}}|\d{{7,15}})(?!\.?\d)"
+_INTER = r"(?:\+|00[ .\-]?)(?=[1-9])"
+PHONE = (rf"(?<![\d+])(?:{_INTER}1[ .\-]?(?:\(\d{{3}}\)|\d{{3}})[ .\-]?\d{{3}}[ .\-]?\d{{4}}"
+         rf"|{_INTER}\d{{1,3}}[ .\-]?\(0\)[ .\-]?\d{{2,4}}(?:[ .\-]?\d{{2,4}}){{1,3}}"
+         rf"|{_INTER}\d{{1,3}}[ .\-]?\(\d{{1,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}|{_INTER}\d{{1,3}}(?:[ \-]\d{{2,4}}){{2,4}}(?![ \-]?\d)"
+         rf"|{_INTER}\d{{1,3}}[ \-]\d{{1,5}}[ \-]\d{{4,9}}|{_INTER}\d{{1,3}}(?:[ \-]\d{{2,4}}){{2,4}}"
+         rf"|\+(?!{_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d))\d{{1,3}}(?:\.\d{{2,4}}){{2,4}}|\+\d{{7,15}})(?!\.?\d)"
          r"|(?<![\d.\-(])(?:1[ .\-]|1(?=\())?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d.\-]?\d)")
+# The country calling codes of two digits. 1 and 7 stand alone, all others have three; no code begins another.
+TWO_DIGIT_CODES = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+                   "90 91 92 93 94 95 98").split()
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 # In one run of digits, or in groups with the same separator: a looser pattern would run on into a number that follows.
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?<gap>[ \-])\d{4}\k<gap>\d{4}\k<gap>\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)"
 # The order decides between kinds that start at the same place.
-KINDS = {"email": EMAIL, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
+KINDS = {"email": EMAIL, "iban": IBAN, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
 
-# The 400 years of the Gregorian cycle from here on hold 146,097 days, 189 times 773.
+# The 400 years of the Gregorian cycle from here on have 4,800 months: 57,600 days of the month 1 to 12 (240 times 240), and 88,497 later
+# ones (9 times 9,833). Each part is permuted in itself: only the later days can be told as month first, so a date written month first
+# is again one, and a day has the same pseudonym in every notation.
 FIRST_DAY = "1700-01-01"
-DAYS_HIGH, DAYS_LOW = 189, 773
+EARLY_DAYS = 12
+EARLY_SIZES, LATE_SIZES = (240, 240), (9, 9833)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -143,16 +155,57 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Country code, a (0) after it and the layout stay. Null unless the number has 7 to 15 digits."""
+    """The prefix (+ or 00), the country code, a (0) after it and the layout stay; the national digits are permuted by the country code, so
+    that a number has one pseudonym however it is written. Numbers without prefix are North American. Null unless it has 7 to 15 digits."""
     def body(d: Column) -> Column:
-        code = F.concat(F.regexp_extract(m, r"^\+(\d{1,3})(?!\d)", 1), F.regexp_extract(m, r"^\+\d{1,3}[ .\-]?\((0)\)", 1))
-        kept = F.when(m.rlike(r"^1[ .\-(]"), F.lit("1")).when(~m.startswith("+"), F.lit("")).when(code != "", code).otherwise(F.substr(d, F.lit(1), F.lit(1)))
-        return F.when(F.length(d).between(7, 15), _let(kept, lambda k: _refill(m, F.concat(k, _permute_digits(
-            F.substr(d, F.length(k) + 1, F.length(d)), F.concat(F.lit("phone"), k), key)))))
+        zeros = m.startswith("00")
+        inter = m.startswith("+") | zeros
+        e = F.when(zeros, F.substr(d, F.lit(3), F.length(d))).otherwise(d)
+        code = F.when(~inter, F.lit("1")).when(e.rlike("^[17]"), F.substring(e, 1, 1)).when(
+            F.substring(e, 1, 2).isin(*TWO_DIGIT_CODES), F.substring(e, 1, 2)).otherwise(F.substring(e, 1, 3))
+
+        def with_code(c: Column) -> Column:
+            trunk = F.when(inter & m.contains("(0)") & (F.substr(e, F.length(c) + 1, F.lit(1)) == "0"), F.lit("0")).otherwise(F.lit(""))
+            kept = F.when(inter, F.concat(F.when(zeros, F.lit("00")).otherwise(F.lit("")), c, trunk)).when(
+                m.rlike(r"^1[ .\-(]"), F.lit("1")).otherwise(F.lit(""))
+
+            def with_kept(k: Column) -> Column:
+                national = F.substr(d, F.length(k) + 1, F.length(d))
+                return F.when((F.length(national) >= 4) & (F.length(c) + F.length(national)).between(7, 15),
+                              _refill(m, F.concat(k, _permute_digits(national, F.concat(F.lit("phone"), c), key))))
+
+            return _let(kept, with_kept)
+
+        return _let(code, with_code)
 
     return _let(_digits_of(m), body)
 
 
+def _mod97(s: Column) -> Column:
+    """Remainder by 97 of a text of digits and capital letters, these as 10 to 35."""
+    return F.aggregate(F.split(s, ""), F.lit(0).cast("long"), lambda acc, c: F.when(c == "", acc).when(c.between("0", "9"), (acc * 10 + F.ascii(c) - 48) % 97)
+                       .otherwise((acc * 100 + F.ascii(c) - 55) % 97))
+
+
+def _iban(m: Column, key: str) -> Column:
+    """Country, layout and the places of letters and digits stay; the check digits are right. Null if the number fails the mod 97 test."""
+    def body(n: Column) -> Column:
+        country, account = F.substring(n, 1, 2), F.substr(n, F.lit(5), F.length(n))
+        letters, digits = F.lower(F.regexp_replace(account, "[^A-Z]", "")), _digits_of(account)
+        tweak = F.concat(F.lit("iban"), country, F.regexp_replace(F.regexp_replace(account, "[A-Z]", "A"), "[0-9]", "0"))
+        moved = _let(F.struct(_in_blocks(digits, 18, _permute_digits, tweak, key).alias("d"), _in_blocks(letters, 12, _permute_letters, tweak, key).alias("l")),
+                     lambda new: _refill(account, new["d"], new["l"]))
+
+        def checked(a: Column) -> Column:
+            check = F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0")
+            digits = F.concat(check, _digits_of(a))
+            return F.concat(country, _refill(F.substr(m, F.lit(3), F.length(m)), digits, F.lower(F.regexp_replace(a, "[^A-Z]", ""))))
+
+        return F.when(F.length(n).between(15, 34) & (_mod97(F.concat(account, F.substring(n, 1, 4))) == 1), _let(moved, checked))
+
+    return _let(F.replace(m, F.lit(" "), F.lit("")), body)
+
+
 def _ssn(m: Column, key: str) -> Column:
     """Area 001-899 but 666, group 01-99 and serial 0001-9999 are numbered through and permuted."""
     area, group, serial = (F.substring(m, a, n).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
@@ -170,6 +223,34 @@ def _ipv4(m: Column, key: str) -> Column:
         F.floor(p["high"] / 256), p["high"] % 256, F.floor(p["low"] / 256), p["low"] % 256))))
 
 
+def _month_start(month: Column) -> Column:
+    """Days from FIRST_DAY to the first of a month, by its number from there."""
+    return F.datediff(F.add_months(F.lit(FIRST_DAY).cast("date"), month.cast("int")), F.lit(FIRST_DAY).cast("date")).cast("long")
+
+
+def _permute_day(day: Column, key: str) -> Column:
+    """Another day of 1700 to 2099; days up to EARLY_DAYS of their month, and later ones, are permuted among themselves."""
+    month = ((F.year(day) - 1700) * 12 + F.month(day) - 1).cast("long")
+
+    def feistel(rank: Column, sizes: tuple[int, int], tweak: str) -> Column:
+        pair = _feistel(F.floor(rank / sizes[1]), rank % sizes[1], F.lit(sizes[0]), F.lit(sizes[1]), F.lit(tweak), key)
+        return _let(pair, lambda p: p["high"] * sizes[1] + p["low"])
+
+    def early(r: Column) -> Column:
+        return F.date_add(F.lit(FIRST_DAY).cast("date"), (_month_start(F.floor(r / EARLY_DAYS)) + r % EARLY_DAYS).cast("int"))
+
+    def late(r: Column) -> Column:
+        # Months before number k have _month_start(k) - 12 k later days; the month is the last one that leaves r of them or fewer.
+        before = lambda k: _month_start(k) - EARLY_DAYS * k
+        guess = F.floor(r * 4800 / (LATE_SIZES[0] * LATE_SIZES[1]))
+        near = F.filter(F.sequence(F.greatest(guess - 3, F.lit(0).cast("long")), guess + 3), lambda k: before(k) <= r)
+        return _let(F.array_max(near), lambda k: F.date_add(F.lit(FIRST_DAY).cast("date"), (_month_start(k) + EARLY_DAYS + r - before(k)).cast("int")))
+
+    n = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
+    return F.when(F.dayofmonth(day) <= EARLY_DAYS, _let(feistel(month * EARLY_DAYS + F.dayofmonth(day) - 1, EARLY_SIZES, "early day"), early)).otherwise(
+        _let(feistel(n - EARLY_DAYS * (month + 1), LATE_SIZES, "late day"), late))
+
+
 def _date(m: Column, key: str) -> Column:
     """A day of 1700 to 2099 in the same notation (year first; day first, else month first). Null if there is no such day."""
     slashed = F.regexp_replace(m, r"[.\-]", "/")
@@ -177,8 +258,6 @@ def _date(m: Column, key: str) -> Column:
     day_first = F.try_to_date(slashed, "d/M/y")
 
     def body(day: Column) -> Column:
-        n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        pair = _feistel(F.floor(n / DAYS_LOW), n % DAYS_LOW, F.lit(DAYS_HIGH), F.lit(DAYS_LOW), F.lit("date"), key)
         padded = (F.length(m) == 10) | m.rlike(r"^0|[./\-]0")
         shape = F.when(padded, F.when(day_first.isNotNull(), F.lit("dd/MM/yyyy")).otherwise(F.lit("MM/dd/yyyy"))).otherwise(
             F.when(day_first.isNotNull(), F.lit("d/M/yyyy")).otherwise(F.lit("M/d/yyyy")))
@@ -189,8 +268,7 @@ def _date(m: Column, key: str) -> Column:
             own = F.when(year_first, F.date_format(new, "yyyy/MM/dd")).otherwise(us)
             return F.when(m.contains("."), F.translate(own, "/", ".")).when(m.contains("-"), F.translate(own, "/", "-")).otherwise(own)
 
-        moved = _let(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["high"] * DAYS_LOW + p["low"]).cast("int")))
-        return F.when(day.isNotNull(), _let(moved, written_out))
+        return F.when(day.isNotNull(), _let(_permute_day(day, key), written_out))
 
     return _let(F.when(year_first, F.try_to_date(slashed, "yyyy/MM/dd")).otherwise(F.coalesce(day_first, F.try_to_date(slashed, "M/d/y"))), body)
 
@@ -205,7 +283,7 @@ def _email(m: Column, key: str) -> Column:
         lambda new: _refill(local, new["d"], new["l"])), F.lit("@"), F.substring_index(m, "@", -1))
 
 
-PSEUDONYM = {"email": _email, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
+PSEUDONYM = {"email": _email, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
 def pattern(kinds: tuple[str, ...] | None = None) -> str:
@@ -240,9 +318,15 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", kinds: tuple
     return step.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept), count.alias("n_pseudonyms"))
 
 
-KEY = "training-data pseudonyms"
+# Whoever knows the key can undo the pseudonyms: a real job sets KEY_SETTING (from its secret store, and redacts it in spark.redaction.regex).
+KEY_SETTING, TEST_KEY = "spark.marketlens.pseudonym.key", "training-data pseudonyms"
+
+
+def key_of(spark: SparkSession) -> str:
+    """The key in the session's settings; the test key where none is set."""
+    return spark.conf.get(KEY_SETTING, None) or TEST_KEY
 
 
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts of all documents with pseudonyms for personal data. (A real job takes the key from a secret store.)"""
-    return pseudonymize(read_table(spark, sf_dir, "documents", "doc_id", "text"), KEY)
+    """Whole texts of all documents with pseudonyms for personal data."""
+    return pseudonymize(read_table(spark, sf_dir, "documents", "doc_id", "text"), key_of(spark))

@@ -1,13 +1,17 @@
 """Operators 2, 4, 6, 7 and the pipeline: held-out accuracy, brute force, round trips, odd rows."""
 
 import collections
+import datetime
+import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketlens.llm import language_id, lm_scoring, minhash, pii
@@ -46,6 +50,43 @@ def test_features_stay_within_their_text():
     assert sorted(whole.tolist()) == sorted(parts.tolist())
 
 
+def plain_buckets(text):
+    """Counts of the hashed n-grams of a text, one at a time."""
+    out, mask = collections.Counter(), 2**64 - 1
+    for w in re.sub(r"[\W\d_]+", " ", text.lower()).split():
+        codes = [32, *map(ord, w), 32]
+        for n in (1, 2, 3):
+            for i in range(len(codes) - n + 1):
+                if n == 1 and codes[i] == 32:
+                    continue
+                mixed = 0
+                for order, c in enumerate(codes[i:i + n], 1):
+                    mixed = (mixed * 0x100000001B3 + c + order) & mask
+                out[((mixed * 0x9E3779B97F4A7C15) & mask) >> (64 - language_id.BUCKET_BITS)] += 1
+    return out
+
+
+def test_op2_equals_plain_naive_bayes(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    features = {r.doc_id: plain_buckets(r.text) for r in rows}
+    train = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None]
+    langs = sorted({r.lang for r in train})
+    counts = {x: sum((features[r.doc_id] for r in train if r.lang == x), collections.Counter()) for x in langs}
+    prior = {x: math.log(sum(r.lang == x for r in train) / len(train)) for x in langs}
+    size = 2**language_id.BUCKET_BITS
+    total = {x: sum(c.values()) + language_id.ALPHA * size for x, c in counts.items()}
+    got = {r.doc_id: r for r in language_id.op2_language_id(spark, SF).collect()}
+    assert got.keys() == features.keys()
+    for doc_id, own in features.items():
+        logs = {x: prior[x] + sum(n * math.log((counts[x][b] + language_id.ALPHA) / total[x]) for b, n in own.items()) for x in langs}
+        best = max(langs, key=lambda x: logs[x])
+        if not own:
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0)
+            continue
+        post = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+        assert got[doc_id].lang_pred == best and abs(got[doc_id].score - post) < 1e-3
+
+
 def test_language_odd_rows(spark):
     docs = odd_docs(spark)
     model = language_id.train(language_id.training_rows(docs))
@@ -260,6 +301,88 @@ def test_more_notations_keep_their_bounds(spark):
     assert got[-1][1:] == pseudonyms(spark, ["44.161.181.40"])[0][0]
 
 
+# The permutations written anew in plain Python.
+def plain_feistel(high, low, high_size, low_size, tweak, key="k"):
+    for i in range(10):
+        add = int(hashlib.sha256(f"{key}:{tweak}:{i}:{low if i % 2 == 0 else high}:{key}".encode()).hexdigest()[:15], 16)
+        high, low = ((high + add) % high_size, low) if i % 2 == 0 else (high, (low + add) % low_size)
+    return high, low
+
+
+def plain_digits(s, tweak):
+    u = len(s) // 2
+    v = len(s) - u
+    high, low = plain_feistel(int(s[:u] or 0), int(s[u:]), 10**u, 10**v, tweak)
+    return (f"{high:0{u}d}" if u else "") + f"{low:0{v}d}"
+
+
+def plain_day(day):
+    first = datetime.date(1700, 1, 1)
+    days = [first + datetime.timedelta(days=i) for i in range(146_097)]
+    parts = [d for d in days if d.day <= 12], [d for d in days if d.day > 12]
+    part, sizes, tweak = (parts[0], (240, 240), "early day") if day.day <= 12 else (parts[1], (9, 9833), "late day")
+    rank = part.index(day)
+    high, low = plain_feistel(rank // sizes[1], rank % sizes[1], *sizes, tweak)
+    return part[high * sizes[1] + low]
+
+
+def refill(template, digits):
+    digits = iter(digits)
+    return "".join(next(digits) if c.isdigit() else c for c in template)
+
+
+def test_pseudonyms_equal_plain_python(spark):
+    phones = {"+44 20 7946 0958": "44", "+442079460958": "44", "+1 (755) 555-9729": "1", "+7 495 123 45 67": "7", "+972 3 1234567": "972", "+49 30 901820": "49"}
+    days = ["2024-03-05", "1700-01-01", "2099-12-31", "2000-02-29", "1999-10-13"]
+    want = [refill(old, code + plain_digits(re.sub(r"\D", "", old)[len(code):], "phone" + code)) for old, code in phones.items()]
+    want += [str(plain_day(datetime.date.fromisoformat(d))) for d in days]
+    a, b = plain_feistel(44 * 256 + 161, 181 * 256 + 40, 65536, 65536, "ipv4")
+    card = "4" + plain_digits("11111111111111", "card416")
+    check = next(c for c in "0123456789" if luhn(card + c))
+    assert pseudonyms(spark, [*phones, *days, "44.161.181.40", "4111111111111111"])[0] == [*want, f"{a // 256}.{a % 256}.{b // 256}.{b % 256}", card + check]
+
+
+def test_one_value_has_one_pseudonym_in_every_notation(spark):
+    same = [["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "0044 20 7946 0958", "+44-20-7946-0958"],
+            ["(755) 555-9729", "+1 755 555 9729", "1-755-555-9729", "755.555.9729", "+1 (755) 555-9729", "+17555559729", "755 555 9729"],
+            ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000"]]
+    dates = ["2024-03-05", "05/03/2024", "5/3/2024", "2024-03-25", "25.03.2024", "03/25/2024", "3-25-2024"]
+    got, n = pseudonyms(spark, [x for group in [*same, dates] for x in group])
+    assert set(n) == {1}
+    for group in same:
+        own, got = got[:len(group)], got[len(group):]
+        assert len({g.replace(" ", "") if g.startswith("DE") else re.sub(r"\D", "", g)[-10:] for g in own}) == 1 and set(own).isdisjoint(group)
+    as_day = [datetime.datetime.strptime(re.sub(r"[.-]", "/", g), f).date() for g, f in zip(got, ["%Y/%m/%d", *["%d/%m/%Y"] * 2, "%Y/%m/%d", "%d/%m/%Y", *["%m/%d/%Y"] * 2], strict=True)]
+    assert len(set(as_day[:3])) == 1 and len(set(as_day[3:])) == 1 and as_day[0] != as_day[3]
+
+
+def test_every_day_has_a_pseudonym_of_its_own(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1700-01-01', DATE'2099-12-31')) AS d")
+    moved = days.select("d", pii._permute_day(F.col("d"), "k").alias("p"))
+    assert moved.filter("p is null or (day(d) <= 12) <> (day(p) <= 12)").isEmpty() and moved.select("p").distinct().count() == 146_097
+    # Day first and month first together: no two strings of different days meet.
+    texts = days.filter("year(d) in (1700, 1771, 2000, 2080)").selectExpr("d", "explode(array_distinct(array(date_format(d, 'dd/MM/yyyy'), if(day(d) > 12, date_format(d, 'MM/dd/yyyy'), "
+                                                                        "date_format(d, 'dd/MM/yyyy'))))) AS text")
+    out = pii.pseudonymize(texts, "k")
+    assert out.filter("n_pseudonyms <> 1").isEmpty() and out.select("text").distinct().count() == texts.count()
+
+
+def test_what_is_no_iban_or_address_stays_and_long_matches_are_linear(spark):
+    texts = ["DE89 3704 0044 0532 0130 01", "XX00 0000 0000 0000 0000", "a" * 65 + "@example.com", "x" * 1_000_000 + "@example.com", "+44 (0) 1", "+000 12 34"]
+    began = time.monotonic()
+    got, n = pseudonyms(spark, [*texts, "a" * 64 + "@example.com"])
+    assert got[:-1] == texts and n == [0] * len(texts) + [1] and time.monotonic() - began < 120
+
+
+def test_the_key_is_a_setting(spark):
+    assert pii.key_of(spark) == pii.TEST_KEY
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        assert pii.key_of(spark) == "another"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_pii_odd_rows(spark):
     docs = odd_docs(spark)
     out = pii.pseudonymize(docs, "k")
