@@ -50,7 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: personal data in the texts become pseudonyms; n_chars follows the new text, where it was known."""
-    clean = pii.pseudonymize(docs.select(*COLUMNS), pii.KEY)
+    clean = pii.pseudonymize(docs.select(*COLUMNS), pii.key_of(spark))
     return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
 
 
