@@ -498,3 +498,39 @@ def test_pipeline_stages_on_odd_and_empty_rows(spark):
         assert got <= {r.doc_id for r in docs.collect()}
         if docs.count():
             assert {4, 6, 7, 11, None} <= got and not got & {0, 1, 2, 3, 5, 12}
+
+
+# Operator 7 on lanes and hot rows
+
+def test_lanes_carry_the_state_of_one_walk(monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(list("abcde"), rng.integers(0, 60)))) for i in range(40)]
+    texts = [t for _, t in rows]
+    for order in (2, 3, 4):
+        t = lm_scoring.Tokens(texts, order)
+        counts = [np.bincount(p[p >= 0], minlength=len(g)) for p, g in zip(t.place, t.grams, strict=True)]
+        machine = lm_scoring.Automaton(t, counts, int(counts[0].sum()), len(counts[0]), len(texts), order, lm_scoring.PRIOR)
+        want = [s[-1] for s in brute_scores([(x, False) for x in texts], order)]
+        assert machine.walk(t.offsets) == pytest.approx(want, rel=1e-9)
+        with monkeypatch.context() as m:
+            m.setattr(lm_scoring, "LANE_TOKENS", 5)
+            assert machine.walk(t.offsets) == pytest.approx(want, rel=1e-9)
+        # The weights of a state and its failure arcs sum to one.
+        for state in (0, 1, machine.start, len(machine.passed) - 1):
+            _, w = machine.step(np.full(machine.width, state), np.arange(machine.width))
+            unknown = 1 / (counts[0].sum() + len(counts[0]) + 1) * 10.0 ** sum(_failures(machine, state))
+            assert (10.0 ** w).sum() + unknown == pytest.approx(1)
+
+
+def _failures(machine, state):
+    while state:
+        yield machine.fail_weight[state]
+        state = machine.fail_to[state]
+
+
+def test_equal_rows_are_dealt_to_all_blocks(spark):
+    docs = spark.createDataFrame([(None, "the same text again")] * 900 + [(i, f"text {i}") for i in range(900)], "doc_id long, text string").withColumn("held_out", F.lit(False))
+    got = lm_scoring.score_documents(docs.repartition(3), block_chars=10_000)
+    assert got.count() == 1800 and got.filter("doc_id is null").select("score").distinct().count() == 1
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "monotonically_increasing_id" in plan
