@@ -2,7 +2,9 @@
 
 Unit vectors fall into coarse lists (nearest centroid); in a list they are held by codes of their residual, one of 256 codewords for
 each subspace. The index is fitted on a bounded sample; every vector is indexed and every one asks. A vector
-probes all lists that could hold a neighbour: those whose border with its own list is within the linking distance. In a list, distances
+probes the lists of the PROBES nearest centroids, so the work grows with the vectors and not with their pairs; a pair is found if either
+end probes the other's list. With ``probes=None`` it probes all lists that could hold a neighbour, those whose border with its own list is
+within the linking distance, and no link is missed. In a list, distances
 come from tables of the query's residual to the codewords. As each code's own error is kept, a candidate is
 passed over only if the triangle inequality rules it out; the rest are compared by exact cosine.
 
@@ -27,9 +29,10 @@ from marketlens.llm.components import connected_components
 from marketlens.llm.vectors import by_dimension, sound
 
 COSINE = 0.95
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, SAMPLE_A_LIST = 20_000, 16  # the sample has the larger of the first number and the second for each list: 65,536 rows at most
 LIST_ROWS = 1024
-LISTS = (8, 1024)  # least and most
+LISTS = (8, 4096)  # least and most
+PROBES = 8
 SUBSPACES, CODEWORDS = 8, 256
 BLOCK, CHUNK = 2048, 8192
 SLACK = 1e-6
@@ -70,19 +73,24 @@ class Index:
         self.cuts = np.linspace(0, d, min(SUBSPACES, d) + 1).astype(int)
         self.words = [_kmeans(residual[:, a:b], CODEWORDS, 6, rng) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
 
-    def assign(self, unit: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """List, codes, error of the code, and the lists to probe (those not before its own: a pair is found from its lower list)."""
+    def assign(self, unit: np.ndarray, reach: float, probes: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """List, codes, error of the code, and the lists to probe: the nearest ones, or all within reach that do not come before its own."""
         square = _distances(unit, self.centres)
         own = square.argmin(axis=1)
         at = np.arange(len(unit))
-        margin = (square - square[at, own][:, None]) / (2 * self.gaps[own])
-        margin[at, own] = 0
+        if probes is None:
+            margin = (square - square[at, own][:, None]) / (2 * self.gaps[own])
+            margin[at, own] = 0
+            wanted = [np.flatnonzero(w) for w in (margin <= reach + SLACK) & (np.arange(len(self.centres)) >= own[:, None])]
+        else:
+            square[at, own] = -1  # its own list comes first, whatever ties there are
+            k = min(probes, len(self.centres))
+            wanted = list(np.argpartition(square, k - 1, axis=1)[:, :k])
         residual = unit - self.centres[own]
         codes = np.stack([_nearest(residual[:, a:b], w) for a, b, w in zip(self.cuts, self.cuts[1:], self.words, strict=False)], axis=1)
         decoded = np.concatenate([w[c] for w, c in zip(self.words, codes.T, strict=True)], axis=1)
         error = np.linalg.norm(residual - decoded, axis=1)
-        wanted = (margin <= reach + SLACK) & (np.arange(len(self.centres)) >= own[:, None])
-        return own, codes.astype(np.uint8), error, [np.flatnonzero(w) for w in wanted]
+        return own, codes.astype(np.uint8), error, wanted
 
     def table_distances(self, query: np.ndarray, list_no: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances (members x queries) of queries to coded members of a list, from tables of each query's residual to the codewords."""
@@ -131,8 +139,8 @@ def _local_links(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding",
-                   sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``vectors``.
+                   sample_rows: int = SAMPLE_ROWS, probes: int | None = PROBES) -> DataFrame:
+    """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``vectors``; with ``probes=None`` no link is missed.
 
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing and are their own component; vectors
     of different lengths do not link. Equal rows are linked like any others. A null id takes part, but is never a component's
@@ -146,10 +154,10 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "ve
     nodes = written(keyed.where("node is not null").groupBy("node").agg(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")), "pq-nodes")
     count = nodes.count()
-    share = int(2**32 * min(1.0, sample_rows / max(count, 1)))
-    # About sample_rows rows.
-    sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(2**32)) < share).select("embedding").toArrow().combine_chunks()
     lists = min(max(count // LIST_ROWS, LISTS[0]), LISTS[1])
+    # About so many rows: 65,536 at most by default.
+    share = int(2**32 * min(1.0, max(sample_rows, SAMPLE_A_LIST * lists) / max(count, 1)))
+    sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(2**32)) < share).select("embedding").toArrow().combine_chunks()
     parts = _units(sample.column("embedding").combine_chunks()) if sample.num_rows else []
     model = spark.sparkContext.broadcast({v.shape[1]: Index(v, min(lists, max(1, len(v) // 8))) for _, v in parts})
 
@@ -161,11 +169,11 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "ve
         for batch in batches:
             for rows, unit in _units(batch.column("embedding")):
                 d = unit.shape[1]
-                own, codes, error, probes = index_of(d).assign(unit, reach)
+                own, codes, error, wanted = index_of(d).assign(unit, reach, probes)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("node").take(pa.array(rows)), batch.column("copies").take(pa.array(rows)),
                     pa.array([u.tobytes() for u in unit], pa.binary()), pa.array([d] * len(rows), pa.int32()), pa.array(own, pa.int32()),
-                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(probes, pa.list_(pa.int32()))],
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(wanted, pa.list_(pa.int32()))],
                     ["node", "copies", "unit", "dim", "list", "codes", "error", "probes"])
 
     placed = written(nodes.select("node", "copies", "embedding").mapInArrow(
@@ -178,11 +186,12 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "ve
     spread = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     members = (placed.join(cut, ["dim", "list"]).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
                .select("dim", "list", spread("block", "blocks").alias("block"), "chunk", "node", "copies", "unit", "codes", "error",
-                       F.lit(None).cast("int").alias("home")))
+                       F.lit(None).cast("int").alias("home"), "probes"))
     asked = (asking.select("dim", F.col("probe").alias("list"), F.col("list").alias("home"), "node", "copies", "unit").join(cut, ["dim", "list"])
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("dim", "list", "block", spread("chunk", "chunks").alias("chunk"), "node", "copies", "unit",
-                     F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "home"))
+                     F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "home",
+                     F.lit(None).cast("array<int>").alias("probes")))
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
         d, list_no = int(frame["dim"].iloc[0]), int(frame["list"].iloc[0])
@@ -193,14 +202,20 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "ve
         units = np.frombuffer(b"".join(frame["unit"]), np.float64).reshape(-1, d)
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         codes = np.frombuffer(b"".join(frame["codes"].iloc[m]), np.uint8).reshape(len(m), -1)
+        own_lists = frame["probes"].iloc[m].tolist()
+        asks = np.full((len(m), max(map(len, own_lists), default=0)), -1)  # the lists that each member asks itself
+        for k, own in enumerate(own_lists):
+            asks[k, :len(own)] = own
+        home = frame["home"].fillna(-1).to_numpy(np.int64)
         within = ((reach + 1e-4 + frame["error"].to_numpy(np.float64)[m]) ** 2).astype(np.float32)[:, None]
         links = np.zeros(len(names), np.int64)
         a, b = [], []
         for s in range(0, len(q) if len(m) else 0, 512):
             own = q[s:s + 512]
             j, i = np.nonzero(index.table_distances(units[own], list_no, codes) <= within)
-            # In its own list a vector meets every pair twice: once is enough.
-            once = (frame["home"].to_numpy()[own[i]] != list_no) | (number[own[i]] < number[m[j]])
+            # A pair is met twice in a list that both are of, and where both probe the other's list: then from the lower one.
+            asker = home[own[i]]
+            once = np.where(asker == list_no, number[own[i]] < number[m[j]], (asker < list_no) | ~(asks[j] == asker[:, None]).any(axis=1))
             i, j = own[i[once]], m[j[once]]
             hit = np.einsum("nd,nd->n", units[i], units[j]) >= cosine
             a.append(i[hit])

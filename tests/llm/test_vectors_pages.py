@@ -115,6 +115,19 @@ def test_links_equal_brute_force(spark, monkeypatch, block, sample):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_few_probes_find_nine_links_in_ten_and_none_twice(spark, monkeypatch):
+    monkeypatch.setattr(pq_dedup, "LIST_ROWS", 10)
+    rng = np.random.default_rng(3)
+    vectors = spark.createDataFrame([r for g in range(60) for r in near(rng, rng.normal(size=16), 10, 100 * g, 0.04)], VECTORS)
+    exact = {r.vec_id: r.n_links for r in pq_dedup.linked_vectors(vectors, probes=None).collect()}
+    assert sorted((str(k), n) for k, n in exact.items()) == [(i, n) for i, n, _ in brute_links(vectors.collect())]
+    for probes in (1, 3):
+        got = {r.vec_id: r.n_links for r in pq_dedup.linked_vectors(vectors, probes=probes).collect()}
+        assert all(got[k] <= n for k, n in exact.items())
+        if probes == 3:
+            assert sum(got.values()) >= 0.9 * sum(exact.values()) > 0
+
+
 def test_links_empty(spark):
     assert pq_dedup.linked_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
