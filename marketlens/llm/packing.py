@@ -101,11 +101,12 @@ def best_fit(demands: np.ndarray, capacities: np.ndarray, weights: np.ndarray, r
 
 
 def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, max_documents: int | None = None,
-         max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6), rule: str = "norm",
+         max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), rule: str = "norm",
          group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (with a column ``length``) with ``sequence_id`` and ``offset`` (the place in the sequence, gapless from 0).
 
-    Unset capacities never bind: as many documents as tokens, and the square of the tokens as attention cost. A piece longer
+    Unset capacities never bind: as many documents as tokens, and the square of the tokens as attention cost; what is left of them still
+    counts in the choice between sequences with room. A piece longer
     than ``max_tokens`` or costlier than ``max_attention`` raises an error; a null or negative length too. Other columns pass
     through. ``pieces`` is read twice (once to count), so pass a written table.
     """
