@@ -273,7 +273,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0
             yield segment_row(part, start, doc_ids, np.concatenate(lengths), np.concatenate(waiting))
 
     (docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+     .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
      .mapInArrow(run, SEGMENTS_DDL).write.mode("errorifexists").parquet(path))
 
 
@@ -307,7 +307,8 @@ def read_files(spark: SparkSession, path: str, digests: bool = False) -> DataFra
                     pa.array(row["doc_ids"], pa.int64()), pa.array(own[:-1] + row["start"]), pa.array(np.diff(own)), last],
                     ["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"])
 
-    return (files.join(before, "part").withColumn("start", F.col("before") + F.col("start_in_part"))
+    # A row for each part written: joined by a hint, as a shuffle would move all coded bytes.
+    return (files.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("start_in_part"))
             .select("start", "doc_ids", "doc_lengths", "block_lengths", "block_sizes", "coded_crc32", "block_crc32", "payload")
             .mapInArrow(run, f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digests else 'ids array<int>'}"))
 
