@@ -248,7 +248,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0
     """Encode the documents, append ``end_id`` to each, and write the ids in ascending id order to ``path``.
 
     A null text counts as empty (its ids are the end id alone); a null id comes first; rows with the same id are
-    ordered by their text. Documents are dealt by ranges of the id, so a file holds a stretch of the order. ``added_tokens`` as in
+    ordered by a hash of their text, so that many of them are several ranges. Documents are dealt by ranges of the id, so a file holds a stretch of the order. ``added_tokens`` as in
     ``library_chunks``.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,8 +272,9 @@ def write_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0
         if doc_ids:
             yield segment_row(part, start, doc_ids, np.concatenate(lengths), np.concatenate(waiting))
 
-    (docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-     .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Ranges are cut by a sample of their keys, which comes to the driver: a hash stands for the text in it.
+    (docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text", f"xxhash64(cast(`{text_col}` as string)) as hash")
+     .repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
      .mapInArrow(run, SEGMENTS_DDL).write.mode("errorifexists").parquet(path))
 
 
