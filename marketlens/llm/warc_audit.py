@@ -3,7 +3,8 @@
 Each record is hashed; the hashes of the records that start in one stretch of an archive's bytes make a node, FANOUT neighbouring nodes make one
 of the next level, up to a root for the archive, and the archives' roots make the replica's root. Two replicas are compared from the
 root down: only children of nodes that differ are looked at, so what is read beyond the roots grows with the damage.
-A stretch holds a bounded number of records, whatever the size of an archive.
+A stretch holds a bounded number of records, whatever the size of an archive, as long as offsets differ. Records that share an offset (or have
+none) may be any number: equal ones are counted before they are moved, and a stretch is first hashed by parts, dealt by the records' digests.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from marketlens.llm.common import read_table, written
 STRETCH = 64 * 1024
 FANOUT = 16
 SLOTS = 4096
+RECORD = ["archive", "offset", "length", "digest"]
 
 
 def manifest(records: DataFrame) -> DataFrame:
@@ -44,10 +46,24 @@ def levels_of(*manifests: DataFrame) -> int:
     return levels
 
 
+def _stretch() -> Column:
+    return F.floor(F.coalesce(F.col("offset"), F.lit(0)) / STRETCH)
+
+
+def dealt(leaves: DataFrame) -> DataFrame:
+    """Different records with their ``copies``, the ``node`` they belong to and the ``part`` of it, one of SLOTS * SLOTS by the digest."""
+    return leaves.groupBy(*RECORD).agg(F.count("*").alias("copies")).select(
+        *RECORD, "copies", _stretch().alias("node"), F.pmod(F.crc32("digest"), F.lit(SLOTS * SLOTS)).alias("part"))
+
+
 def tree(leaves: DataFrame, levels: int) -> list[DataFrame]:
-    """Nodes of each level from the lowest to the archives' roots: ``archive``, ``node`` (number of the stretch) and ``hash``."""
-    nodes = leaves.groupBy("archive", F.floor(F.coalesce(F.col("offset"), F.lit(0)) / STRETCH).alias("node")).agg(
-        _combined("offset", "length", "digest").alias("hash"))
+    """Nodes of each level from the lowest to the archives' roots: ``archive``, ``node`` (number of the stretch) and ``hash``.
+
+    The lowest nodes are hashed in three steps: parts, groups of SLOTS parts, the stretch.
+    """
+    nodes = dealt(leaves).groupBy("archive", "node", "part").agg(_combined("offset", "length", "digest", "copies").alias("hash"))
+    nodes = nodes.groupBy("archive", "node", F.floor(F.col("part") / SLOTS).alias("group")).agg(_combined("part", "hash").alias("hash"))
+    nodes = nodes.groupBy("archive", "node").agg(_combined("group", "hash").alias("hash"))
     out = [nodes]
     for _ in range(levels - 1):
         nodes = nodes.groupBy("archive", F.floor(F.col("node") / FANOUT).alias("node")).agg(_combined("node", "hash").alias("hash"))
@@ -62,11 +78,10 @@ def replica_root(roots: DataFrame) -> str:
     return slots.agg(_combined("slot", "hash").alias("hash")).first()["hash"]
 
 
-def audit(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Records in which two manifests differ: ``archive``, ``offset``, ``status`` and both lengths and digests.
+def compared_records(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The records under the stretches in which two manifests differ: RECORD, ``left_copies`` and ``right_copies``.
 
-    ``status`` is "corrupt" where both have a record there but not the same, "missing" where only ``left`` has one, "extra" where only
-    ``right`` has. Equal replicas give no rows, and no more than the roots is compared. Records repeated at an offset are compared as one list. The manifests are read several times, so pass written tables.
+    Equal replicas give no rows, and no more than the roots is compared. The manifests are read several times, so pass written tables.
     """
     levels = levels_of(left, right)
     trees = tree(left, levels), tree(right, levels)
@@ -79,12 +94,25 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
                 a, b = (_below(x, differ, F.floor(F.col("node") / FANOUT)) for x in (a, b))
             key = ["archive", "node"]
             differ = written(_outer(a, b, key, ["hash"]).where("not (l_hash <=> r_hash)").select(*key), "warc-differ")
-        left, right = (_below(m, differ, F.floor(F.coalesce(F.col("offset"), F.lit(0)) / STRETCH)) for m in (left, right))
-    lists = [m.groupBy("archive", "offset").agg(F.array_sort(F.collect_list(F.struct("length", "digest"))).alias("records")) for m in (left, right)]
-    rows = _outer(*lists, ["archive", "offset"], ["records"]).where("not (l_records <=> r_records)")
-    status = F.when(F.col("r_records").isNull(), "missing").when(F.col("l_records").isNull(), "extra").otherwise("corrupt")
-    return rows.select("archive", "offset", status.alias("status"), F.col("l_records.length").alias("left_lengths"), F.col("r_records.length").alias("right_lengths"),
-                       F.col("l_records.digest").alias("left_digests"), F.col("r_records.digest").alias("right_digests"))
+        left, right = (_below(m, differ, _stretch()) for m in (left, right))
+    rows = left.select(*RECORD, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(*RECORD, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    return rows.groupBy(*RECORD).agg(F.sum("l").alias("left_copies"), F.sum("r").alias("right_copies"))
+
+
+def audit(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Places in which two manifests differ: ``archive``, ``offset``, ``status``, ``left_records`` and ``right_records`` (how many each has
+    there), and of each side ``length`` and ``digest`` of a record that it has more often than the other (the smallest; null if none).
+
+    ``status`` is "corrupt" where both have a record there but not the same, "missing" where only ``left`` has one, "extra" where only
+    ``right`` has. Records repeated at an offset count with their copies; ``compared_records`` tells them apart.
+    """
+    of = lambda more, less: F.min(F.when(F.col(f"{more}_copies") > F.col(f"{less}_copies"), F.struct("length", "digest"))).alias(more)
+    places = compared_records(left, right).groupBy("archive", "offset").agg(
+        F.sum("left_copies").alias("left_records"), F.sum("right_copies").alias("right_records"), of("left", "right"), of("right", "left"))
+    status = F.when(F.col("right_records") == 0, "missing").when(F.col("left_records") == 0, "extra").otherwise("corrupt")
+    return places.where("left is not null or right is not null").select(
+        "archive", "offset", status.alias("status"), "left_records", "right_records",
+        *(F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("left", "right") for c in ("length", "digest")))
 
 
 def _below(nodes: DataFrame, parents: DataFrame, parent: Column) -> DataFrame:

@@ -1,6 +1,8 @@
 """Operators 1, 8 and 9: SQL oracles, brute force, odd rows."""
 
+import hashlib
 import math
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -178,6 +180,37 @@ def test_audit_odd_rows(spark):
     assert audit(spark, rows, []) == [("", -1, "missing"), ("a", 0, "missing"), ("b", -1, "missing")]
 
 
+def test_audit_against_counts(spark, monkeypatch):
+    """A third of the records without an offset, most of them alike, others at a few places: audited as counting all of them says."""
+    monkeypatch.setattr(warc_audit, "STRETCH", 512)
+    monkeypatch.setattr(warc_audit, "SLOTS", 8)
+    rng = np.random.default_rng(4)
+    left = [["a", None, b"same", 1] for _ in range(300)] + [["a", None, b"r%d" % i, 1] for i in range(400)]
+    left += [[f"a{i % 3}", int(rng.integers(0, 4000)), b"x%d" % (i % 50), 1] for i in range(1400)]
+    right = [list(r) for r in left if rng.random() > 0.01]
+    for r in right:
+        if rng.random() < 0.01:
+            r[2] += b"!"
+    kept = [Counter((a, o, len(d), hashlib.sha256(d).hexdigest()) for a, o, d, _ in x) for x in (left, right)]
+    places = [Counter((k[0], k[1]) for k in x.elements()) for x in kept]
+    want = {}
+    for k in kept[0].keys() | kept[1].keys():
+        if kept[0][k] != kept[1][k]:
+            here, there = (p[k[:2]] for p in places)
+            want[k[:2]] = ("corrupt" if here and there else "missing" if here else "extra", here, there)
+    a, b = (warc_audit.manifest(spark.createDataFrame([tuple(r) for r in x], RECORDS)) for x in (left, right))
+    got = warc_audit.audit(a, b).collect()
+    assert {(r.archive, r.offset): (r.status, r.left_records, r.right_records) for r in got} == want and len(got) == len(want)
+    for r in got:
+        for side, (more, less) in {"left": kept, "right": kept[::-1]}.items():
+            most = sorted(k[2:] for k in more if k[:2] == (r.archive, r.offset) and more[k] > less[k])
+            assert (r[f"{side}_length"], r[f"{side}_digest"]) == (most[0] if most else (None, None))
+    # No group that is hashed at once holds the records of the hot place: copies are one row, the others lie in many parts.
+    rows = warc_audit.dealt(a)
+    assert rows.where("offset is null").agg({"copies": "max"}).first()[0] == 300
+    assert rows.groupBy("archive", "node", "part").count().agg({"count": "max"}).first()[0] < 40
+
+
 def test_records_of_odd_pages(spark):
     pages = spark.createDataFrame([(1, "http://a", "<p>"), (None, None, None), (2, None, "é"), (2, None, "é")], "page_id long, url string, html string")
     got = warc_audit.page_records(pages).orderBy("archive", "offset").collect()
