@@ -44,6 +44,9 @@ SLICE_CHARS = 2_500_000
 STAR_ROUNDS = 3
 # Members that a group of the second comparison holds: a chunk against a slice.
 CHUNK, SLICE = 128, 1024
+# Rows of a band that a task of a join on bands takes; a band is split where it has more, and more than this share of the nodes. As a node has
+# BANDS bands, at most BANDS / SPLIT_SHARE bands are split.
+SPLIT_ROWS, SPLIT_SHARE = 512, 0.001
 
 U64 = np.uint64
 
@@ -279,26 +282,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Copies of a text have the same bands.
     nodes = written(sketches.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.count("*").alias("copies")), "minhash-nodes")
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(banded.join(shared, "band"), "minhash-members")
+    members = written(_members(nodes), "minhash-members")
     # Who meets most others is nearest to the middle of a group of copies: it makes the best centre.
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    members = written(members.select("band", "node").join(degrees, "node"), "minhash-members")
+    members = written(members.drop("n").join(degrees, "node"), "minhash-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     texts = wanted.join(slim.where("doc_id is not null"), "doc_id").select("node", "text")
     no_id = wanted.where("doc_id is null").join(_without_id(slim), "node").select("node", "text")
     # An id may have several texts; only the one with the node's words is it.
     packed = written(packed_shingles(_with_words(texts.unionByName(no_id))), "minhash-shingles")
 
-    centres = members.groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("centre"))
-    links = _verified(members.join(centres, "band").where("node != centre"), packed, idf, threshold)
+    centres = members.groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("centre"), F.max("parts").alias("parts"))
+    links = _verified(_join_bands(members, centres).where("node != centre"), packed, idf, threshold)
     for _ in range(STAR_ROUNDS - 1):
         found = connected_components(links)
         mixed = _mixed(members, found)
         centres = mixed.where("component != main").groupBy("band").agg(
-            F.max_by(F.struct("node", "component"), F.struct("degree", "node")).alias("c")).selectExpr("band", "c.node as centre", "c.component as own")
-        more = _verified(mixed.join(centres, "band").where("component != own"), packed, idf, threshold)
+            F.max_by(F.struct("node", "component"), F.struct("degree", "node")).alias("c"), F.max("parts").alias("parts"))
+        centres = centres.selectExpr("band", "parts", "c.node as centre", "c.component as own")
+        more = _verified(_join_bands(mixed, centres).where("component != own"), packed, idf, threshold)
         links = found.selectExpr("node as a", "component as b").unionByName(more)
     found = connected_components(links)
     across = written(_links_across(_mixed(members, found), nodes.select("node", "bands"), packed, idf, threshold), "minhash-across")
@@ -312,6 +314,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .withColumn("kept", F.col("class_id").eqNullSafe(F.col("doc_id"))))
 
 
+def _members(nodes: DataFrame) -> DataFrame:
+    """``band``, ``node`` and the band's size ``n`` for the bands of two nodes or more, with the ``parts`` that a band is split into and the part
+    (``salt``) of this row."""
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    shared = written(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "minhash-bands")
+    split = F.col("n") > max(SPLIT_ROWS, int(nodes.count() * SPLIT_SHARE))
+    shared = shared.withColumn("parts", F.when(split, F.ceil(F.col("n") / SPLIT_ROWS)).otherwise(1))
+    # A list of BANDS / SPLIT_SHARE rows at most, whatever the number of nodes.
+    hot = shared.where("parts > 1").selectExpr("band", "parts as own")
+    salted = banded.join(F.broadcast(hot), "band", "left").select("node", "band", F.coalesce(F.pmod(F.xxhash64("node"), "own"), F.lit(0).cast("long")).alias("salt"))
+    return _join_bands(salted, shared)
+
+
+def _join_bands(rows: DataFrame, bands: DataFrame) -> DataFrame:
+    """Rows of ``band`` and ``salt`` with the row of their band, which is repeated for each of the band's ``parts``."""
+    each = bands.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return rows.drop("parts").join(each, ["band", "salt"])
+
+
 def _verified(pairs: DataFrame, packed: DataFrame, idf, threshold: float) -> DataFrame:
     """Links ``a`` - ``b`` among pairs of ``node`` and ``centre``, by exact similarity."""
     alike = similarities(pairs.select("node", "centre").distinct(), packed, idf).where(F.col("sim") >= threshold)
@@ -322,10 +343,10 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the bands that hold several components, with their component and the band's largest one (``main``), its size ``most`` and
     the band's size ``n``."""
     labelled = written(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "minhash-labelled")
-    parts = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
-    bands = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
-                                      F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-    return written(labelled.join(bands.drop("parts"), "band"), "minhash-mixed")
+    sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("n"), F.max("parts").alias("parts"))
+    bands = sizes.groupBy("band").agg(F.count("*").alias("components"), F.sum("n").alias("n"), F.max("n").alias("most"), F.max("parts").alias("parts"),
+                                      F.max_by("component", F.struct("n", "component")).alias("main")).where("components > 1")
+    return written(_join_bands(labelled, bands.drop("components")), "minhash-mixed")
 
 
 def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, threshold: float) -> DataFrame:

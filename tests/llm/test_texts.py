@@ -166,6 +166,8 @@ def brute_classes(spark, docs):
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(minhash, "CHUNK", chunk)
     monkeypatch.setattr(minhash, "SLICE", chunk)
+    monkeypatch.setattr(minhash, "SPLIT_ROWS", chunk)  # with 2, every band of three nodes or more is split over tasks
+    monkeypatch.setattr(minhash, "SPLIT_SHARE", 0)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = minhash.op4_minhash_dedup(spark, SF).collect()
     assert {r.doc_id: r.class_id for r in got} == brute_classes(spark, docs)
