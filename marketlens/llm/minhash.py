@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlens.llm.common import Numbering, read_table, starts, text_slices, written
 from marketlens.llm.components import connected_components
@@ -272,8 +273,38 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``docs`` has doc_id and text; other columns are ignored. Groups are the connected components of the verified links. Texts
     without words (null, empty, white space) are in no group: their class is their own id and they are kept. A null id belongs
     to its text's group but stands for it only if no row of the group has an id; a class without ids is null. Rows
-    with the same id and words are all marked alike.
+    with the same id and words are all marked alike; ``representatives`` keeps one of them.
     """
+    sketches, classes = _classes(docs, threshold)
+    return (sketches.select("doc_id", "node").join(classes, "node", "left")
+            .select("doc_id", F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+            .withColumn("kept", F.col("class_id").eqNullSafe(F.col("doc_id"))))
+
+
+def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each group of near-duplicates, and every row without words, with all columns of ``docs``.
+
+    The row with the smallest id stands for its group (one without id only where the group has none). Decisions are taken by row: of rows that
+    are equal in id and words the least in all columns stays, and another text under the id of a dropped one is not dropped with it. The columns of
+    ``docs`` must be orderable, and none be named ``__node``.
+    """
+    sketches, classes = _classes(docs, threshold)
+    heads = classes.where("node = head").selectExpr("node", "class_id")
+    again = written(sketches.select("doc_id", "node").join(heads, "node").where("doc_id <=> class_id").groupBy("node").agg(F.count("*").alias("n"))
+                    .where("n > 1").select("node"), "minhash-again")
+    keyed = _keyed(docs).join(classes.select(F.col("node").alias("__node"), "head", "class_id"), "__node", "left")
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col("class_id"))
+    kept = keyed.where(F.col("head").isNull() | ((F.col("head") == F.col("__node")) & own)).select("__node", *docs.columns)
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    again = again.withColumnRenamed("node", "__node")
+    one = kept.join(again, "__node", "left_semi").groupBy("__node").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return kept.join(again, "__node", "left_anti").select(*docs.columns).unionByName(one)
+
+
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``doc_id`` and ``node`` (null without words), and for the nodes of groups of several rows ``node``, ``class_id`` (smallest id, null
+    where the group has none) and ``head`` (the node that this id belongs to)."""
     spark = docs.sparkSession
     slim = docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text")
     frequencies, rows = document_frequencies(slim)
@@ -307,11 +338,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = connected_components(found.selectExpr("node as a", "component as b").unionByName(across))
     # Classes of the nodes that stand for several rows; all other rows are their own class.
     grouped = nodes.join(found, "node", "left").selectExpr("node", "coalesce(component, node) as component", "doc_id", "copies")
-    of_component = written(grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("size")), "minhash-classes")
-    classes = written(grouped.select("node", "component").join(of_component.where("size > 1"), "component").select("node", "class_id", "size"), "minhash-of")
-    return (sketches.select("doc_id", "node").join(classes, "node", "left")
-            .select("doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
-            .withColumn("kept", F.col("class_id").eqNullSafe(F.col("doc_id"))))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("first")
+    of_component = written(grouped.groupBy("component").agg(first, F.sum("copies").alias("size")).where("size > 1")
+                           .selectExpr("component", "first.doc_id as class_id", "first.node as head"), "minhash-classes")
+    return sketches, written(grouped.select("node", "component").join(of_component, "component").select("node", "class_id", "head"), "minhash-of")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -389,18 +419,20 @@ def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, th
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with the key of their words, null without words."""
+    """Rows with ``__node``, the key of their words, null without words."""
+    place, names = docs.columns.index("text"), [*docs.columns, "__node"]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_slices(batches, "text", SLICE_CHARS):
+        for rows, texts in text_slices(batches, place, SLICE_CHARS):
             keys = [xxhash.xxh128_digest(" ".join(w).encode("utf-8", "surrogatepass")) if (w := t.lower().split()) else None for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), rows.column("text")], ["node", "text"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary())], names)
 
-    return docs.select("text").mapInArrow(run, "node binary, text string")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.BinaryType())]))
 
 
 def _without_id(slim: DataFrame) -> DataFrame:
     """A text for each node among the rows without id."""
-    return _keyed(slim.where("doc_id is null")).groupBy("node").agg(F.first("text").alias("text"))
+    return _keyed(slim.where("doc_id is null")).groupBy(F.col("__node").alias("node")).agg(F.first("text").alias("text"))
 
 
 def _with_words(texts: DataFrame) -> DataFrame:

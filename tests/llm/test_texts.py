@@ -207,6 +207,21 @@ def test_near_duplicates_odd_rows(spark):
     assert minhash.near_duplicates(empty_docs(spark)).collect() == []
 
 
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    base, other = " ".join(words), " ".join(reversed(words))
+    rows = [(1, base, "a"), (1, base, "b"), (1, other, "c"), (2, base.upper(), "d"), (3, " ".join([*words[:-1], "end"]), "e"),  # two texts under id 1
+            (None, base, "f"), (None, "no id at all here", "g"), (None, "no  id at all here", "h"), (4, None, "i"), (4, " ", "j"), (None, None, "k"),
+            (9, "text of its own", "l"), (9, "text of its own", "l"), (8, "a repeated text under two ids", "m"), (7, "a repeated text under two ids", "n")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, node string")  # a clashing name
+    got = minhash.representatives(docs)
+    assert got.columns == docs.columns
+    assert sorted(r.node for r in got.collect()) == list("achijkln")  # h: two spaces come before one
+    plain = docs.where("node in ('d', 'e', 'l')").dropDuplicates()  # no repeated rows: the other branch
+    assert sorted(r.node for r in minhash.representatives(plain).collect()) == ["d", "l"]
+    assert minhash.representatives(docs.limit(0)).collect() == []
+
+
 def test_samples_agree_as_often_as_weighted_sets_are_alike():
     rng = np.random.default_rng(6)
     sampler = minhash.Sampler(draws=3000)
