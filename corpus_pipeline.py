@@ -38,14 +38,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each group of near-duplicates the document with the smallest id stays.
+    """Operator 4: of each group of near-duplicates the row with the smallest id stays, a row without id only where the group has no id.
 
-    Rows that share an id are one document: they stay or go together. Rows without an id cannot be named, so they stay.
+    Decisions are taken by row: of rows that share id and words one stays, and different texts under one id stay or go each for itself.
     """
     apply_job_conf(spark)
-    docs = docs.select(*COLUMNS)
-    gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return minhash.representatives(docs.select(*COLUMNS))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
