@@ -325,17 +325,20 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 
     centres = members.groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("centre"), F.max("parts").alias("parts"))
     links = _verified(_join_bands(members, centres).where("node != centre"), packed, idf, threshold)
+    found = connected_components(links)
+    mixed = _mixed(members, found)
     for _ in range(STAR_ROUNDS - 1):
-        found = connected_components(links)
-        mixed = _mixed(members, found)
+        if mixed.isEmpty():  # no band holds two components: nothing is left to compare
+            break
         centres = mixed.where("component != main").groupBy("band").agg(
             F.max_by(F.struct("node", "component"), F.struct("degree", "node")).alias("c"), F.max("parts").alias("parts"))
         centres = centres.selectExpr("band", "parts", "c.node as centre", "c.component as own")
         more = _verified(_join_bands(mixed, centres).where("component != own"), packed, idf, threshold)
-        links = found.selectExpr("node as a", "component as b").unionByName(more)
-    found = connected_components(links)
-    across = written(_links_across(_mixed(members, found), nodes.select("node", "bands"), packed, idf, threshold), "minhash-across")
-    found = connected_components(found.selectExpr("node as a", "component as b").unionByName(across))
+        found = connected_components(found.selectExpr("node as a", "component as b").unionByName(more))
+        mixed = _mixed(members, found)
+    if not mixed.isEmpty():
+        across = written(_links_across(mixed, nodes.select("node", "bands"), packed, idf, threshold), "minhash-across")
+        found = connected_components(found.selectExpr("node as a", "component as b").unionByName(across))
     # Classes of the nodes that stand for several rows; all other rows are their own class.
     grouped = nodes.join(found, "node", "left").selectExpr("node", "coalesce(component, node) as component", "doc_id", "copies")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("first")
