@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.llm.common import Numbering, read_table, starts, text_slices, written
+from marketlens.llm.common import read_table, starts, text_slices, written
 from marketlens.llm.components import connected_components
 
 WORDS = 5
@@ -45,6 +45,8 @@ SLICE_CHARS = 2_500_000
 STAR_ROUNDS = 3
 # Members that a group of the second comparison holds: a chunk against a slice.
 CHUNK, SLICE = 128, 1024
+# Parts that the shingles of a text are dealt to by their hash, for a bound on what two texts share.
+PARTS = 256
 # Rows of a band that a task of a join on bands takes; a band is split where it has more, and more than this share of the nodes. As a node has
 # BANDS bands, at most BANDS / SPLIT_SHARE bands are split.
 SPLIT_ROWS, SPLIT_SHARE = 512, 0.001
@@ -58,17 +60,23 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(33))
 
 
+def _word_hashes(words: list[list[str]], n: int) -> np.ndarray:
+    """Hash of each of the ``n`` words, end to end. Most words of a slice differ, so none is looked up."""
+    try:
+        return np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(words)), U64, n)
+    except UnicodeEncodeError:  # a lone surrogate
+        return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in chain.from_iterable(words)), U64, n)
+
+
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """Distinct shingle hashes of each text (ascending, 44 bits), their counts, the texts' offsets, and a 128-bit key of the words.
 
     A text of one to four words has one shingle, all of its words; a text without words has none.
     """
-    numbers = Numbering()
     words = [t.lower().split() for t in texts]
     keys = [xxhash.xxh128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
     n_words = np.fromiter(map(len, words), np.int64, len(words))
-    seq = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in numbers), U64, len(numbers))[seq]
+    hashes = _word_hashes(words, int(n_words.sum()))
     edge = starts(n_words)
     n_shingles = np.where(n_words > 0, np.maximum(n_words - WORDS + 1, 1), 0)
     first = np.repeat(edge[:-1] - starts(n_shingles)[:-1], n_shingles) + np.arange(int(n_shingles.sum()))
@@ -153,7 +161,6 @@ class Sampler:
         self.r = (-np.log(rng.random(65536)) - np.log(rng.random(65536))).astype(np.float32)
         self.log_c = np.log(-np.log(rng.random(65536)) - np.log(rng.random(65536))).astype(np.float32)
         self.b = rng.random(65536).astype(np.float32)
-        self.inverse_r = 1 / self.r
         self.salts = (rng.integers(1, 2**63, draws).astype(U64) << U64(1)) | U64(1)
 
     def sketches(self, hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
@@ -173,19 +180,35 @@ class Sampler:
             rows = full[a:b]
             lo, hi = offsets[rows[0]], offsets[rows[-1] + 1]
             h, lw, at = hashes[lo:hi], log_w[lo:hi], offsets[rows] - lo
+            lengths = np.diff(np.append(at, hi - lo))
+            x, y, z = (np.empty(hi - lo, U64) for _ in range(3))
             for j, salt in enumerate(self.salts):
-                x = h * salt
-                x ^= x >> U64(32)
+                np.multiply(h, salt, out=x)
+                np.right_shift(x, U64(32), out=y)
+                x ^= y
                 x *= U64(0xD6E8FEB86659FD93)
-                x ^= x >> U64(29)
-                i = (x & mask).view(np.int64)
-                beta = self.b[((x >> U64(16)) & mask).view(np.int64)]
-                t = np.floor(lw * self.inverse_r[i] + beta)
-                rank = self.log_c[((x >> U64(32)) & mask).view(np.int64)] - self.r[i] * (t - beta + np.float32(1))
+                np.right_shift(x, U64(29), out=y)
+                x ^= y
+                r = self.r[np.bitwise_and(x, mask, out=y).view(np.int64)]
+                np.right_shift(x, U64(16), out=y)
+                beta = self.b[np.bitwise_and(y, mask, out=y).view(np.int64)]
+                np.right_shift(x, U64(32), out=z)
+                rank = self.log_c[np.bitwise_and(z, mask, out=z).view(np.int64)]
+                t = np.divide(np.float32(1), r)
+                t *= lw
+                t += beta
+                np.floor(t, out=t)
+                np.subtract(t, beta, out=beta)
+                beta += np.float32(1)
+                beta *= r
+                rank -= beta
+                # Only what is level with a text's least rank, far beyond the steps of the fixed point, can be its sample.
+                least = np.maximum(np.minimum.reduceat(rank, at), np.float32(-95.9)) + np.float32(1e-3)
+                near = np.flatnonzero(rank <= np.repeat(least, lengths))
                 # Rank as fixed point over (-96, 32), then the sample's own 32 bits, which also settle ties.
-                fixed = (np.maximum(rank, np.float32(-95.9)) * np.float32(1 << 24) + np.float32(96 << 24)).astype(np.int64).view(U64)
-                sample = (x + t.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)) * U64(0xFF51AFD7ED558CCD) >> U64(32)
-                out[rows, j] = np.minimum.reduceat(fixed << U64(32) | sample, at) & U64(0xFFFFFFFF)
+                fixed = (np.maximum(rank[near], np.float32(-95.9)) * np.float32(1 << 24) + np.float32(96 << 24)).astype(np.int64).view(U64)
+                sample = (x[near] + t[near].astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)) * U64(0xFF51AFD7ED558CCD) >> U64(32)
+                out[rows, j] = np.minimum.reduceat(fixed << U64(32) | sample, np.searchsorted(near, at)) & U64(0xFFFFFFFF)
         return out
 
 
@@ -395,30 +418,71 @@ def _links_across(mixed: DataFrame, bands: DataFrame, packed: DataFrame, idf, th
     asked = inside.select("band", every("chunks").alias("chunk"), one("slices").alias("slice"), "node", "component", "outer", F.lit(False).alias("asks"))
     rows = asking.unionByName(asked).join(bands, "node").join(packed, "node")
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        names, number = np.unique(frame["node"].to_numpy(object), return_inverse=True)
-        component = np.unique(frame["component"].to_numpy(object), return_inverse=True)[1]
-        own = np.stack(frame["bands"].to_numpy())
-        at = int(np.flatnonzero(own[0] == frame["band"].iloc[0])[0])
-        asks, outer = frame["asks"].to_numpy(bool), frame["outer"].to_numpy(bool)
-        data = [weighed(p, idf.value) for p in frame["packed"]]
-        weights = np.array([w for _, _, w in data])
-        joined = np.arange(component.max() + 1)  # components that links of this block have joined
-        q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
-        a, b = [], []
-        for i in q.tolist():
-            some = m[(component[m] != component[i]) & ~(outer[m] & (number[m] < number[i]))
-                     & (np.minimum(weights[m], weights[i]) >= threshold * np.maximum(weights[m], weights[i]))]
-            some = some[(own[some, :at] != own[i, :at]).all(axis=1)]
-            for j in some.tolist():
-                x, y = joined[component[i]], joined[component[j]]
-                if x != y and weighted_jaccard(data[i], data[j]) >= threshold:
-                    a.append(names[number[i]])
-                    b.append(names[number[j]])
-                    joined[joined == max(x, y)] = min(x, y)
-        return pd.DataFrame({"a": a, "b": b}, dtype=object)
-
-    return rows.groupBy("band", "chunk", "slice").applyInPandas(compare, "a binary, b binary")
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["band", "chunk", "slice"]):
+            links = block_links(table, idf.value, threshold)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in links], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    # Most groups have two or three rows: they go to Python many at a time.
+    return (rows.repartition("band", "chunk", "slice").sortWithinPartitions("band", "chunk", "slice")
+            .select("band", "chunk", "slice", "node", "component", "outer", "asks", "bands", "packed").mapInArrow(compare, "a binary, b binary"))
+
+
+def _whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, which lie together in the order of the batches; groups may go over several batches."""
+    held: list[pa.Table] = []  # of the group that the last batch ended in
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        rows = np.stack([batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys])
+        cuts = [0, *(np.flatnonzero((rows[:, 1:] != rows[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        if held and any(held[0].column(k)[0].as_py() != own for k, own in zip(keys, rows[:, 0].tolist(), strict=True)):
+            yield pa.concat_tables(held)
+            held = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            held.append(table.slice(a, b - a))
+            if b < batch.num_rows:
+                yield pa.concat_tables(held)
+                held = []
+    if held:
+        yield pa.concat_tables(held)
+
+
+def block_links(rows: pa.Table, idf: np.ndarray, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links between the members of a block that ask and those asked; one for each two components.
+
+    Shingles of two texts that are the same fall in the same of ``PARTS`` parts: the sum over the parts of the smaller weights bounds what the texts
+    share, and only pairs that can reach the threshold by it are compared exactly.
+    """
+    names = rows.column("node").to_pylist()
+    in_order = {k: i for i, k in enumerate(sorted(set(names)))}
+    number = np.array([in_order[k] for k in names])
+    of_component: dict = {}
+    component = np.array([of_component.setdefault(k, len(of_component)) for k in rows.column("component").to_pylist()])
+    own = np.array(rows.column("bands").to_pylist(), np.int64)
+    at = int(np.flatnonzero(own[0] == rows.column("band")[0].as_py())[0])
+    asks, outer = (rows.column(k).to_numpy() for k in ("asks", "outer"))
+    data = [weighed(p, idf) for p in rows.column("packed").to_pylist()]
+    weights = np.array([w for _, _, w in data])
+    by_part = np.stack([np.bincount((h & U64(PARTS - 1)).astype(np.int64), w, PARTS) for h, w, _ in data])
+    joined = np.arange(len(of_component))  # components that links of this block have joined
+    q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
+    links = []
+    for i in q.tolist():
+        some = m[(joined[component[m]] != joined[component[i]]) & ~(outer[m] & (number[m] < number[i]))
+                 & (np.minimum(weights[m], weights[i]) >= threshold * np.maximum(weights[m], weights[i]))]
+        some = some[(own[some, :at] != own[i, :at]).all(axis=1)]
+        most = np.minimum(by_part[some], by_part[i]).sum(axis=1)
+        # A little less than the threshold, as both sums are rounded.
+        some = some[most * (1 + threshold) >= threshold * (weights[some] + weights[i]) * (1 - 1e-9)]
+        for j in some.tolist():
+            x, y = joined[component[i]], joined[component[j]]
+            if x != y and weighted_jaccard(data[i], data[j]) >= threshold:
+                links.append((names[i], names[j]))
+                joined[joined == max(x, y)] = min(x, y)
+    return links
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

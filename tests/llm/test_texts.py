@@ -10,6 +10,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +223,53 @@ def test_one_row_of_each_group_stays(spark):
     assert minhash.representatives(docs.limit(0)).collect() == []
 
 
+def test_pairs_of_a_block_that_cannot_be_alike_are_not_compared(monkeypatch):
+    rng = np.random.default_rng(10)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(900)], 100)) for _ in range(40)]
+    texts[30] = " ".join(["other", *texts[3].split()[1:]])
+    hashes, counts, offsets, _ = minhash.shingles(texts)
+    cut = list(zip(offsets, offsets[1:], strict=False))
+    packed = [hashes[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + counts[a:b].astype("<u4").tobytes() for a, b in cut]
+    names = [b"%02d" % i for i in range(40)]
+    rows = pa.table({"band": [7] * 80, "node": names * 2, "component": names * 2, "outer": [True] * 80, "asks": [True] * 40 + [False] * 40,
+                     "packed": packed * 2, "bands": [[7, i] for i in range(40)] * 2})
+    compared = []
+    exact = minhash.weighted_jaccard
+    monkeypatch.setattr(minhash, "weighted_jaccard", lambda x, y: compared.append(1) or exact(x, y))
+    got = minhash.block_links(rows, np.ones(1 << minhash.BUCKET_BITS, np.float32), 0.8)
+    assert got == [(b"03", b"30")]
+    assert len(compared) == 1  # of 780 pairs
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_groups_are_whole_whatever_the_batches(size):
+    keys = [(1, 0), (1, 0), (1, 1), (2, 0), (2, 0), (2, 0), (2, 0), (3, 1), (3, 2)]
+    rows = pa.table({"a": [k[0] for k in keys], "b": [k[1] for k in keys], "n": range(9)})
+    batches = [pa.RecordBatch.from_pylist([], rows.schema), *rows.to_batches(max_chunksize=size)]
+    got = [t.column("n").to_pylist() for t in minhash._whole_groups(batches, ["a", "b"])]
+    assert got == [[0, 1], [2], [3, 4, 5, 6], [7], [8]]
+    assert list(minhash._whole_groups([], ["a", "b"])) == []
+
+
+def test_samples_equal_their_definition():
+    rng = np.random.default_rng(11)
+    h, w = rng.integers(0, 2**44, 900).astype(np.uint64), (rng.random(900) * 5 + 0.1) * rng.choice([1e-6, 1, 1, 1e30], 900)
+    h[300:600] = h[0]  # level ranks
+    offsets = np.array([0, 300, 300, 600, 601, 900])
+    sampler, u = minhash.Sampler(draws=12), np.uint64
+    got = sampler.sketches(h, w, offsets, piece=64)
+    for j, salt in enumerate(sampler.salts):
+        x = h * salt
+        x = (x ^ x >> u(32)) * u(0xD6E8FEB86659FD93)
+        x ^= x >> u(29)
+        r, beta, c = (table[(x >> u(k) & u(0xFFFF)).astype(int)] for k, table in ((0, sampler.r), (16, sampler.b), (32, sampler.log_c)))
+        t = np.floor(np.log(w).astype(np.float32) * (1 / r) + beta)
+        fixed = (np.maximum(c - r * (t - beta + np.float32(1)), np.float32(-95.9)) * np.float32(1 << 24) + np.float32(96 << 24)).astype(np.int64).view(u)
+        sample = (x + t.astype(np.int64).view(u) * u(0x9E3779B97F4A7C15)) * u(0xFF51AFD7ED558CCD) >> u(32)
+        every = fixed << u(32) | sample
+        assert got[:, j].tolist() == [int(every[a:b].min() & u(0xFFFFFFFF)) if b > a else 0 for a, b in zip(offsets, offsets[1:], strict=False)]
+
+
 def test_samples_agree_as_often_as_weighted_sets_are_alike():
     rng = np.random.default_rng(6)
     sampler = minhash.Sampler(draws=3000)
