@@ -51,6 +51,9 @@ PARTS = 256
 # BANDS bands, at most BANDS / SPLIT_SHARE bands are split.
 SPLIT_ROWS, SPLIT_SHARE = 512, 0.001
 
+# First bytes of a node's key that tell its place among the marks of nodes in groups.
+MARK_BYTES = 3
+
 U64 = np.uint64
 
 
@@ -309,20 +312,39 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     The row with the smallest id stands for its group (one without id only where the group has none). Decisions are taken by row: of rows that
     are equal in id and words the least in all columns stays, and another text under the id of a dropped one is not dropped with it. The columns of
-    ``docs`` must be orderable, and none be named ``__node``.
+    ``docs`` must be orderable, and none be named ``__node`` or ``__marked``.
     """
     sketches, classes = _classes(docs, threshold)
     heads = classes.where("node = head").selectExpr("node", "class_id")
     again = written(sketches.select("doc_id", "node").join(heads, "node").where("doc_id <=> class_id").groupBy("node").agg(F.count("*").alias("n"))
                     .where("n > 1").select("node"), "minhash-again")
-    keyed = _keyed(docs).join(classes.select(F.col("node").alias("__node"), "head", "class_id"), "__node", "left")
+    marks = docs.sparkSession.sparkContext.broadcast(group_marks(classes))
+    keyed = _keyed(docs, marks)
+    # What the marks show to be in no group stays as it is; the join moves the texts of the others only.
+    alone = keyed.where("not __marked").select(*docs.columns)
+    marked = keyed.where("__marked").join(classes.select(F.col("node").alias("__node"), "head", "class_id"), "__node", "left")
     own = F.col("doc_id").cast("long").eqNullSafe(F.col("class_id"))
-    kept = keyed.where(F.col("head").isNull() | ((F.col("head") == F.col("__node")) & own)).select("__node", *docs.columns)
+    kept = marked.where(F.col("head").isNull() | ((F.col("head") == F.col("__node")) & own)).select("__node", *docs.columns)
     if again.isEmpty():
-        return kept.select(*docs.columns)
+        return alone.unionByName(kept.select(*docs.columns))
     again = again.withColumnRenamed("node", "__node")
     one = kept.join(again, "__node", "left_semi").groupBy("__node").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
-    return kept.join(again, "__node", "left_anti").select(*docs.columns).unionByName(one)
+    return alone.unionByName(kept.join(again, "__node", "left_anti").select(*docs.columns)).unionByName(one)
+
+
+def group_marks(classes: DataFrame) -> np.ndarray:
+    """Marks of the nodes of ``classes``: a set bit for each one's place, of 2^MARK_BITS. A node whose bit is not set is in no group; others
+    may share the bit of one that is, which grows with the number of nodes and only makes the join larger."""
+    # Spark's bitmaps number places from 1 on, and so do their buckets.
+    place = F.expr(f"cast(conv(hex(substring(node, 1, {MARK_BYTES})), 16, 10) as long) + 1").alias("place")
+    bitmaps = (classes.select(place).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
+    marks = np.zeros(1 << 8 * MARK_BYTES - 3, np.uint8)
+    # At most one bit for each place comes to the driver, 2 MB in all, whatever the number of nodes.
+    for bucket, bits in bitmaps.toLocalIterator():
+        first = (bucket - 1) * len(bits)
+        marks[first:first + len(bits)] = np.frombuffer(bits, np.uint8)
+    return marks
 
 
 def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -485,16 +507,24 @@ def block_links(rows: pa.Table, idf: np.ndarray, threshold: float) -> list[tuple
     return links
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with ``__node``, the key of their words, null without words."""
-    place, names = docs.columns.index("text"), [*docs.columns, "__node"]
+def _keyed(docs: DataFrame, marks=None) -> DataFrame:
+    """Rows with ``__node``, the key of their words, null without words; with ``group_marks`` (broadcast) also ``__marked``, false for
+    rows without words or in no group."""
+    place, names = docs.columns.index("text"), [*docs.columns, "__node", *(["__marked"] if marks else [])]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, place, SLICE_CHARS):
             keys = [xxhash.xxh128_digest(" ".join(w).encode("utf-8", "surrogatepass")) if (w := t.lower().split()) else None for t in texts]
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary())], names)
+            more = [pa.array([k is not None and is_marked(marks.value, k) for k in keys], pa.bool_())] if marks else []
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary()), *more], names)
+
+    fields = [T.StructField("__node", T.BinaryType()), *([T.StructField("__marked", T.BooleanType())] if marks else [])]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.BinaryType())]))
+def is_marked(marks: np.ndarray, node: bytes) -> bool:
+    place = int.from_bytes(node[:MARK_BYTES], "big")
+    return bool(marks[place >> 3] >> (place & 7) & 1)
 
 
 def _without_id(slim: DataFrame) -> DataFrame:

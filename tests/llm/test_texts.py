@@ -223,6 +223,39 @@ def test_one_row_of_each_group_stays(spark):
     assert minhash.representatives(docs.limit(0)).collect() == []
 
 
+def shuffled_rows(node):
+    """Rows that the shuffles of an executed plan have written."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled_rows(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return shuffled_rows(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_rows(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_texts_in_no_group_are_not_shuffled(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(900)], 12)) for _ in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts), (300, texts[7].upper()), (301, None)], "doc_id long, text string")
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = minhash.representatives(docs)
+        assert sorted(r.doc_id for r in got.collect()) == [*range(300), 301]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+    assert 0 < shuffled_rows(got._jdf.queryExecution().executedPlan()) < 20  # the group's rows, not all 302
+
+
+def test_marks_hold_every_node_of_a_group(spark):
+    rng = np.random.default_rng(9)
+    nodes = [bytes(k) for k in rng.integers(0, 256, (500, 16), np.uint8)] + [b"\0" * 16, b"\xff" * 16, b"\0\0\7" + b"x" * 13, b"\0\x80\0" + b"x" * 13]
+    marks = minhash.group_marks(spark.createDataFrame([(k,) for k in nodes], "node binary"))
+    assert all(minhash.is_marked(marks, k) for k in nodes)
+    assert int(np.unpackbits(marks).sum()) == len({k[:3] for k in nodes})
+
+
 def test_pairs_of_a_block_that_cannot_be_alike_are_not_compared(monkeypatch):
     rng = np.random.default_rng(10)
     texts = [" ".join(rng.choice([f"w{i}" for i in range(900)], 100)) for _ in range(40)]
