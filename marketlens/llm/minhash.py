@@ -238,13 +238,16 @@ def sketch_documents(docs: DataFrame, idf) -> DataFrame:
 
 
 def packed_shingles(docs: DataFrame) -> DataFrame:
-    """``node`` and its shingles (6 bytes each, ascending, then 4 bytes of count each) for rows of ``node`` and ``text``."""
+    """``node`` and its shingles (6 bytes each, ascending, then 4 bytes of count each) for the rows of ``node`` and ``text`` whose text has
+    the node's words; other rows are left out."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, "text", SLICE_CHARS):
-            hashes, counts, offsets, _ = shingles(texts)
+            hashes, counts, offsets, keys = shingles(texts)
+            nodes = rows.column("node").to_pylist()
+            own = [i for i, (k, n) in enumerate(zip(keys, nodes, strict=True)) if k == n]
             packed = [hashes[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + counts[a:b].astype("<u4").tobytes()
-                      for a, b in zip(offsets, offsets[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
+                      for a, b in zip(offsets[own].tolist(), offsets[1:][own].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in own], pa.binary()), pa.array(packed, pa.binary())], ["node", "packed"])
 
     return docs.select("node", "text").mapInArrow(run, "node binary, packed binary")
 
@@ -365,8 +368,9 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     texts = wanted.join(slim.where("doc_id is not null"), "doc_id").select("node", "text")
     no_id = wanted.where("doc_id is null").join(_without_id(slim), "node").select("node", "text")
-    # An id may have several texts; only the one with the node's words is it.
-    packed = written(packed_shingles(_with_words(texts.unionByName(no_id))), "minhash-shingles")
+    # An id may have several texts; only the one with the node's words is it. Words are compared and shingles made by one Python worker a task:
+    # Spark keeps as many workers as ever ran at once, and deals later tasks to all of them, each with a memory of its own.
+    packed = written(packed_shingles(texts.unionByName(no_id)), "minhash-shingles")
 
     centres = members.groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("centre"), F.max("parts").alias("parts"))
     links = _verified(_join_bands(members, centres).where("node != centre"), packed, idf, threshold)
@@ -532,17 +536,6 @@ def _without_id(slim: DataFrame) -> DataFrame:
     return _keyed(slim.where("doc_id is null")).groupBy(F.col("__node").alias("node")).agg(F.first("text").alias("text"))
 
 
-def _with_words(texts: DataFrame) -> DataFrame:
-    """Rows of ``node`` and ``text`` whose text has the node's words, once a node."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, own in text_slices(batches, "text", SLICE_CHARS):
-            keep = [xxhash.xxh128_digest(" ".join(t.lower().split()).encode("utf-8", "surrogatepass")) == n
-                    for t, n in zip(own, rows.column("node").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(rows.columns, rows.schema.names).filter(pa.array(keep))
-
-    return texts.mapInArrow(run, "node binary, text string")
-
-
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles, weighted Jaccard similarity of 0.8 or more."""
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -248,6 +248,47 @@ def test_texts_in_no_group_are_not_shuffled(spark):
     assert 0 < shuffled_rows(got._jdf.queryExecution().executedPlan()) < 20  # the group's rows, not all 302
 
 
+def python_nodes_together(df):
+    """Python nodes of a plan that get rows from another one without a shuffle between: a task then runs both workers at once."""
+    above, together = [], 0
+    for line in df._jdf.queryExecution().sparkPlan().toString().splitlines():
+        depth, name = re.match(r"[ :+-]*", line).end(), line.lstrip(" :+-")
+        above = [a for a in above if a[0] < depth]
+        kind = "python" if re.match(r"(Python)?Map(InArrow|InPandas)|FlatMap\w*Groups|ArrowEvalPython|BatchEvalPython", name) else None
+        if kind is None and re.match(r"Sort ?Aggregate|HashAggregate|ObjectHashAggregate|SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|Exchange|Repartition", name):
+            kind = "other"
+        # Joins and aggregates shuffle their rows, whatever else is between.
+        together += kind == "python" and bool(near := [a for a in above if a[1]]) and near[-1][1] == "python"
+        above.append((depth, kind))
+    return together
+
+
+def test_no_task_of_the_pipeline_runs_two_python_workers(spark, monkeypatch):
+    found = []
+
+    def noted(df, name):
+        found.append((name, python_nodes_together(df)))
+        return written(df, name)
+
+    twice = spark.range(3).mapInArrow(lambda b: b, "id long")
+    assert [python_nodes_together(x) for x in (twice, twice.mapInArrow(lambda b: b, "id long"))] == [0, 1]
+    monkeypatch.setattr(minhash, "written", noted)
+    monkeypatch.setattr(corpus_pipeline, "written", noted)
+    docs = odd_docs(spark, [(50, LONG + " end")])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = noted(stage(spark, docs, SF), name)
+    assert {"minhash-shingles", "minhash-sketches", "pipeline-pieces", "packing"} <= {n for n, _ in found}
+    assert [n for n, k in found if k] == []
+
+
+def test_shingles_are_of_the_text_with_the_words_of_the_node(spark):
+    texts = ["one two three four five six", "other words", "", None, "A  b\nC"]
+    keys = minhash.shingles([t or "" for t in texts])[3]
+    rows = [(keys[0], texts[0]), (keys[0], texts[1]), (keys[1], texts[2]), (keys[1], None), (keys[4], "a B c"), (None, "x")]
+    got = minhash.packed_shingles(spark.createDataFrame(rows, "node binary, text string")).collect()
+    assert sorted((bytes(r.node), len(r.packed)) for r in got) == sorted([(keys[0], 20), (keys[4], 10)])
+
+
 def test_marks_hold_every_node_of_a_group(spark):
     rng = np.random.default_rng(9)
     nodes = [bytes(k) for k in rng.integers(0, 256, (500, 16), np.uint8)] + [b"\0" * 16, b"\xff" * 16, b"\0\0\7" + b"x" * 13, b"\0\x80\0" + b"x" * 13]
