@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import itertools
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -143,6 +144,42 @@ def chunk_text(key: str) -> str:
     return key if key[0] == "\n" else " " + key
 
 
+# Python's white space as an Arrow pattern writes it, the texts that ``_IRREGULAR`` finds, and chunks that may be encoded together.
+_SPACES_RE2 = r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_IRREGULAR_RE2 = rf"[ \n](?:[{_SPACES_RE2}]|\z)|\A\n"
+_JOINS_RE2 = rf"\A[ \n][^{_SPACES_RE2}]+\z"
+
+
+def space_chunk_keys(texts: list[str], whole: tuple[str, ...] = ()) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``space_chunks`` of many texts: the keys, each chunk's place among them, and the number of chunks of each text.
+
+    Arrow cuts the texts and finds the different chunks, so that Python sees each of them once.
+    """
+    column = pa.array(texts, pa.large_string())
+    odd = pc.match_substring_regex(column, _IRREGULAR_RE2).to_numpy(zero_copy_only=False)
+    for w in whole:
+        odd = odd | pc.match_substring(column, w).to_numpy(zero_copy_only=False)
+    cut = pc.split_pattern(pc.replace_substring(column.filter(pa.array(~odd)), "\n", " \n"), " ")
+    edges = cut.offsets.to_numpy()
+    chunks = cut.flatten()
+    opens = np.zeros(len(chunks), bool)
+    opens[edges[:-1] - edges[0]] = True
+    # A text's first chunk, or a whole text, is another key than the same characters after a space.
+    rest = chunks.filter(pa.array(~opens)).dictionary_encode()
+    counts = np.ones(len(texts), np.int64)
+    counts[~odd] = np.diff(edges)
+    first = np.zeros(int(counts.sum()), bool)
+    first[starts(counts)[:-1]] = True
+    keys = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+    places = np.empty(len(first), np.int64)
+    places[~first] = rest.indices.to_numpy(zero_copy_only=False)
+    places[first] = np.arange(len(keys), len(keys) + len(texts))
+    opening = np.empty(len(texts), object)
+    opening[~odd] = chunks.filter(pa.array(opens)).to_numpy(zero_copy_only=False)
+    opening[odd] = column.filter(pa.array(odd)).to_numpy(zero_copy_only=False)
+    return keys + [" " + t for t in opening], places, counts
+
+
 _WIDE = re.compile("[^\x00-\u024f]")
 
 
@@ -160,6 +197,17 @@ def word_chunks(text: str, whole: tuple[str, ...] = ()) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def word_chunk_keys(texts: list[str], whole: tuple[str, ...] = ()) -> tuple[list[str], slice, np.ndarray]:
+    """``word_chunks`` of many texts, end to end, as ``space_chunk_keys`` has them."""
+    chunks: list[str] = []
+    counts = np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        own = word_chunks(text, whole)
+        counts[i] = len(own)
+        chunks += own
+    return chunks, slice(None), counts
+
+
 class ChunkEncoder:
     """Token ids of whole texts: chunks are encoded once by ``encode`` and remembered, up to a bound.
 
@@ -169,7 +217,8 @@ class ChunkEncoder:
     MOST_CHUNKS, MOST_CHARS = 1_100_000, 24_000_000
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 split: Callable[[str], list[str]] = space_chunks, text_of: Callable[[str], str] = chunk_text) -> None:
+                 split: Callable[[list[str]], tuple[list[str], np.ndarray | slice, np.ndarray]] = space_chunk_keys,
+                 text_of: Callable[[str], str] = chunk_text) -> None:
         self.encode, self.split, self.text_of = encode, split, text_of
         self._forget()
 
@@ -181,13 +230,8 @@ class ChunkEncoder:
         """Ids of all texts end to end (uint32), and the offsets of each text among them."""
         if len(self.known) > self.MOST_CHUNKS or self.chars > self.MOST_CHARS:
             self._forget()
-        chunks: list[str] = []
-        counts = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = self.split(text)
-            counts[i] = len(own)
-            chunks += own
-        index = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        keys, places, counts = self.split(texts)
+        index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[places]
         if new := self.known.new:
             self.chars += sum(map(len, new))
             ids, lengths = self.encode([self.text_of(k) for k in new])
@@ -213,7 +257,7 @@ def _library(path: str, added_tokens: bool = False):
 def _flat(encodings: list) -> tuple[np.ndarray, np.ndarray]:
     ids = [e.ids for e in encodings]
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for own in ids for i in own), np.uint32, int(lengths.sum())), lengths
+    return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
 
 def added_strings(path: str) -> tuple[str, ...]:
@@ -239,14 +283,16 @@ def byte_level_encoder(path: str, together: int = 200, added_tokens: bool = Fals
     widths = np.zeros(max(vocab.values()) + 1, np.int64)
     for token, i in vocab.items():
         widths[i] = len(token)  # a byte-level token has one character for each byte
-    joins = re.compile(r"[ \n]\S+\Z")
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((joins.match(t) is not None and not any(w in t for w in whole) for t in texts), bool, len(texts))
-        joined = [t for t, p in zip(texts, plain.tolist(), strict=True) if p]
+        column = pa.array(texts, pa.large_string())
+        plain = pc.match_substring_regex(column, _JOINS_RE2).to_numpy(zero_copy_only=False)
+        for w in whole:
+            plain = plain & ~pc.match_substring(column, w).to_numpy(zero_copy_only=False)
+        joined = list(itertools.compress(texts, plain.tolist()))
         flat, lengths = _flat(tokenizer.encode_batch_fast(
             ["".join(joined[i:i + together]) for i in range(0, len(joined), together)], add_special_tokens=False))
-        ends = np.cumsum(np.fromiter((len(t.encode()) for t in joined), np.int64, len(joined)))
+        ends = np.cumsum(pc.binary_length(column).to_numpy()[plain])
         cuts = np.searchsorted(np.cumsum(widths[flat]), ends) + 1
         if plain.all():
             return flat, np.diff(cuts, prepend=0)
@@ -272,7 +318,7 @@ def library_chunks(path: str, byte_level: bool = True, added_tokens: bool = Fals
     if _KEPT.get("stage") != _stage() or (path, added_tokens) not in _KEPT:
         _KEPT.clear()
         whole = added_strings(path) if added_tokens else ()
-        encoder = (ChunkEncoder(byte_level_encoder(path, added_tokens=added_tokens), functools.partial(space_chunks, whole=whole)) if byte_level else
-                   ChunkEncoder(library_encoder(path, added_tokens), functools.partial(word_chunks, whole=whole), lambda c: c))
+        encoder = (ChunkEncoder(byte_level_encoder(path, added_tokens=added_tokens), functools.partial(space_chunk_keys, whole=whole)) if byte_level else
+                   ChunkEncoder(library_encoder(path, added_tokens), functools.partial(word_chunk_keys, whole=whole), lambda c: c))
         _KEPT.update({"stage": _stage(), (path, added_tokens): encoder})
     return _KEPT[path, added_tokens]

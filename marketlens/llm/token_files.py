@@ -26,7 +26,8 @@ from marketlens.llm.common import library_chunks, read_table, starts, text_slice
 from marketlens.session import scratch_path
 
 BLOCK_IDS = 2048
-SEGMENT_IDS = 3_000_000
+# All blocks of a segment are coded in step: the more there are, the less each numpy call costs an id.
+SEGMENT_IDS = 8_000_000
 MOST_ID = 2**18 - 2
 
 # Slots of the two context tables, the 16-bit scale of shares, and the bounds of a learned share.
@@ -36,6 +37,10 @@ SCALE, FLOOR = 65536, 2048
 N_GROUPS, GROUP_STEP, GROUP_LIMIT = 38, 24, 8192
 
 U64 = np.uint64
+# Below these, the top 16 bits of low and of low plus range are equal, or the range is too short to go on.
+TOP, SHORT = U64(1 << 48), U64(1 << 47)
+# The confidence after a hit, by the one before, at its place in a slot.
+NEXT_CONF = np.array([1, 2, 3, 3, 0], np.int64) << 20
 
 
 def _group(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,76 +54,127 @@ def _group(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class _Lanes:
-    """Model and coder state of a set of blocks that are coded in step; encoder and decoder share every update."""
+    """Model and coder state of a set of blocks that are coded in step; encoder and decoder share every update.
+
+    Every update works on whole arrays of lanes: a lane to which it does not apply gets a neutral value, which costs less than
+    picking the others out. Ids are held plus 1, so that 0 is no id.
+    """
+
+    PER_LANE = ("lane", "at1", "at2", "at_p", "a", "b", "low", "range")
 
     def __init__(self, n: int) -> None:
-        lane = np.arange(n, dtype=np.int64)
-        self.at1, self.at2, self.at_p, self.at_c = lane * SLOTS_1, lane * SLOTS_2, lane * 4, lane * (N_GROUPS + 1)
-        self.seen1 = np.zeros(n * SLOTS_1, np.uint32)  # id + 1, and its confidence from bit 20 on
-        self.seen2 = np.zeros(n * SLOTS_2, np.uint32)
-        self.share1 = np.full(n * 4, SCALE // 4, np.int32)
-        self.share2 = np.full(n * 4, SCALE // 2, np.int32)
-        self.cum = np.tile(np.arange(N_GROUPS + 1, dtype=np.uint16), (n, 1))
-        self.raises = np.triu(np.full((N_GROUPS, N_GROUPS + 1), GROUP_STEP, np.uint16), 1)
+        self.n = n
+        self.lane = np.arange(n, dtype=np.int64)
+        self.at1, self.at2, self.at_p = self.lane * SLOTS_1, self.lane * SLOTS_2, self.lane * 5
+        self.seen1 = np.full(n * SLOTS_1, 4 << 20, np.int32)  # id + 1, and its confidence from bit 20 on (4: none seen)
+        self.seen2 = np.full(n * SLOTS_2, 4 << 20, np.int32)
+        self.share1 = np.full((n, 5), SCALE // 4, np.int64)  # by confidence; nothing for none seen
+        self.share2 = np.full((n, 5), SCALE // 2, np.int64)
+        self.share1[:, 4] = self.share2[:, 4] = 0
+        # Sums of the counts of the groups before each, one column a lane.
+        self.cum = np.repeat(np.arange(N_GROUPS + 1, dtype=np.uint16)[:, None], n, axis=1)
+        self.all_cum = self.cum.reshape(-1)
+        self.all_groups = np.arange(N_GROUPS + 1, dtype=np.uint8)[:, None]
         self.a = np.zeros(n, np.int64)
         self.b = np.zeros(n, np.int64)
         self.low = np.zeros(n, U64)
         self.range = np.full(n, 2**64 - 1, U64)
 
-    def predict(self, n: int) -> None:
-        """Predictions and slices for the next id of the first n lanes."""
-        self.slot1 = self.at1[:n] + (self.a[:n] * 40503 >> 6) % SLOTS_1
-        self.slot2 = self.at2[:n] + ((self.a[:n] * 40503 + self.b[:n] * 30011) >> 5) % SLOTS_2
-        s1, s2 = self.seen1[self.slot1], self.seen2[self.slot2]
-        self.guess1, self.guess2 = (s1 & 0xFFFFF).astype(np.int64) - 1, (s2 & 0xFFFFF).astype(np.int64) - 1
-        self.conf1, self.conf2 = s1 >> 20, s2 >> 20
-        self.p1, self.p2 = self.at_p[:n] + self.conf1, self.at_p[:n] + self.conf2
-        f2 = np.where(s2 > 0, self.share2[self.p2], 0)
-        f1 = np.where(s1 > 0, np.maximum((SCALE - f2) * self.share1[self.p1] >> 16, 1), 0)
-        same = self.guess1 == self.guess2
-        self.f2 = np.where(same, f1 + f2, f2)
-        self.f12 = f1 + f2
-
-    def learn(self, n: int, ids: np.ndarray) -> None:
-        for guess, conf, p, share, seen, slot in ((self.guess1, self.conf1, self.p1, self.share1, self.seen1, self.slot1),
-                                                  (self.guess2, self.conf2, self.p2, self.share2, self.seen2, self.slot2)):
+    def keep(self, n: int) -> None:
+        """Go on with the first n lanes alone."""
+        for name in self.PER_LANE:
+            setattr(self, name, getattr(self, name)[:n])
+        self.cum = self.cum[:, :n]
+
+    def predict(self) -> None:
+        """Predictions and slices for the next id of each lane."""
+        h = self.a * 40503
+        self.slot1 = (h >> 6) & (SLOTS_1 - 1)
+        self.slot1 += self.at1
+        h += self.b * 30011
+        h >>= 5
+        h &= SLOTS_2 - 1
+        h += self.at2
+        self.slot2 = h
+        s1, s2 = self.seen1.take(self.slot1).astype(np.int64), self.seen2.take(self.slot2).astype(np.int64)
+        self.guess1, self.guess2 = s1 & 0xFFFFF, s2 & 0xFFFFF
+        s1 >>= 20
+        s2 >>= 20
+        self.conf1, self.conf2 = s1, s2
+        self.p1, self.p2 = s1 + self.at_p, s2 + self.at_p
+        self.old1, self.old2 = self.share1.take(self.p1), self.share2.take(self.p2)
+        f1 = SCALE - self.old2
+        f1 *= self.old1
+        f1 >>= 16
+        self.f12 = f1 + self.old2
+        f1 *= self.guess1 == self.guess2
+        f1 += self.old2
+        self.f2 = f1
+
+    def narrow_guess(self, part: np.ndarray, in2: np.ndarray, in1: np.ndarray) -> np.ndarray:
+        """Keep the slice of the order (``in2`` before ``in1``); ``part`` is what one unit of the scale takes of the range. How far low moved."""
+        low = np.where(in2, 0, np.where(in1, self.f2, self.f12))
+        size = np.where(in2, self.f2, np.where(in1, self.f12, SCALE))
+        size -= low
+        moved = part * low.view(U64)
+        self.low += moved
+        np.multiply(part, size.view(U64), out=self.range)
+        return moved
+
+    def narrow_group(self, part: np.ndarray, group: np.ndarray, miss: np.ndarray) -> np.ndarray:
+        """Keep the slice of the group where both guesses missed, and count the group. How far low moved."""
+        at = group * self.n
+        at += self.lane
+        low = self.all_cum.take(at)
+        at += self.n * miss
+        size = self.all_cum.take(at) - low
+        size += ~miss
+        low = (low * miss).astype(U64)
+        low *= part
+        self.low += low
+        np.multiply(part, size, out=self.range)
+        raised = self.all_groups > group.astype(np.uint8)
+        self.cum += (raised.view(np.uint8) * np.uint8(GROUP_STEP)).astype(np.uint16)
+        if (full := np.flatnonzero(self.cum[-1] > GROUP_LIMIT)).size:
+            halved = (np.diff(self.cum[:, full].astype(np.int64), axis=0) + 1) >> 1
+            self.cum[1:, full] = np.cumsum(halved, axis=0)
+        return low
+
+    def totals(self, miss: np.ndarray) -> np.ndarray:
+        """Sum of the counts of the groups where both guesses missed, else 1."""
+        return np.where(miss, self.cum[-1], np.uint16(1)).astype(U64)
+
+    def learn(self, ids: np.ndarray) -> None:
+        """``ids`` (plus 1) are the next ones."""
+        for guess, conf, p, old, share, seen, slot in ((self.guess1, self.conf1, self.p1, self.old1, self.share1, self.seen1, self.slot1),
+                                                       (self.guess2, self.conf2, self.p2, self.old2, self.share2, self.seen2, self.slot2)):
             hit = guess == ids
-            old = share[p]
-            new = old + (np.where(hit, SCALE - FLOOR, FLOOR) - old >> 4)
-            share[p] = np.where(guess >= 0, new, old)
-            seen[slot] = (ids + 1) | np.where(hit, np.minimum(conf + 1, 3), 0) << 20
-        self.b[:n] = self.a[:n]
-        self.a[:n] = ids + 1
-
-    def learn_groups(self, rows: np.ndarray, group: np.ndarray) -> None:
-        own = self.cum[rows]
-        own += self.raises[group]
-        if (full := np.flatnonzero(own[:, -1] > GROUP_LIMIT)).size:
-            halved = (np.diff(own[full].astype(np.int64), axis=1) + 1) >> 1
-            own[full, 1:] = np.cumsum(halved, axis=1)
-        self.cum[rows] = own
-
-    def narrow(self, part: np.ndarray, low: np.ndarray, size: np.ndarray | int, rows: slice | np.ndarray) -> None:
-        """Keep the slice at ``low`` of the range, ``part`` being what one unit of the scale takes of it."""
-        self.low[rows] += part * low.astype(U64)
-        self.range[rows] = part * (size.astype(U64) if isinstance(size, np.ndarray) else U64(size))
-
-    def settled(self, n: int) -> Iterator[np.ndarray]:
-        """Lanes whose top 16 bits are settled, again and again; the caller moves those bits out or in."""
-        while True:
-            low, span = self.low[:n], self.range[:n]
-            top = (low ^ (low + span)) < U64(1 << 48)
-            short = ~top & (span < U64(1 << 47))
-            if short.any():
-                rows = np.flatnonzero(short)
-                self.range[rows] = (U64(0) - self.low[rows]) & U64((1 << 47) - 1)
-                top |= short
-            rows = np.flatnonzero(top)
-            if not len(rows):
-                return
-            yield rows
-            self.low[rows] <<= U64(16)
-            self.range[rows] <<= U64(16)
+            new = np.where(hit, SCALE - FLOOR, FLOOR)
+            new -= old
+            new >>= 4
+            new += old
+            share.reshape(-1)[p] = new
+            share[:, 4] = 0
+            sure = NEXT_CONF.take(conf)
+            sure *= hit
+            sure += ids
+            seen[slot] = sure
+        self.b = self.a
+        self.a = ids
+
+    def settled(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lanes whose top 16 bits are settled, and their low, again and again; the caller moves those bits out or in."""
+        rows = np.flatnonzero(((self.low ^ (self.low + self.range)) < TOP) | (self.range < SHORT))
+        low, span = self.low[rows], self.range[rows]
+        while len(rows):
+            span = np.where((low ^ (low + span)) < TOP, span, (U64(0) - low) & (SHORT - U64(1)))
+            yield rows, low
+            low <<= U64(16)
+            span <<= U64(16)
+            self.low[rows] = low
+            self.range[rows] = span
+            more = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < SHORT))
+            rows, low, span = rows[more], low[more], span[more]
 
 
 def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[bytes, np.ndarray]:
@@ -128,37 +184,47 @@ def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[bytes, n
         return b"", np.zeros(0, np.int64)
     if int(ids.max()) > MOST_ID:
         raise ValueError(f"ids above {MOST_ID} do not fit this format")
-    grid = np.zeros((n_blocks, block_ids), np.int64)
+    grid = np.zeros((n_blocks, block_ids), np.uint32)
     grid.reshape(-1)[: len(ids)] = ids
+    grid = np.ascontiguousarray(grid.T)
     last = len(ids) - (n_blocks - 1) * block_ids
-    of = _group(np.arange(int(ids.max()) + 1))
+    group_of = _group(np.arange(int(ids.max()) + 1))[0].astype(np.uint8)
+    base_of, power_of = _group_tables()
     m = _Lanes(n_blocks)
-    out = np.empty((n_blocks, 3 * block_ids + 8), np.uint16)
-    used = np.zeros(n_blocks, np.int64)
+    width = 3 * block_ids + 8
+    out = np.empty(n_blocks * width, np.uint16)
+    first = np.arange(n_blocks) * width
+    end = first.copy()
     for t in range(block_ids if n_blocks > 1 else last):
-        n = n_blocks if t < last else n_blocks - 1
-        x = grid[:n, t]
-        m.predict(n)
-        in2 = m.guess2 == x
-        in1 = ~in2 & (m.guess1 == x)
-        low = np.where(in2, 0, np.where(in1, m.f2, m.f12))
-        size = np.where(in2, m.f2, np.where(in1, m.f12 - m.f2, SCALE - m.f12))
-        m.narrow(m.range[:n] >> U64(16), low, size, slice(0, n))
-        if (rows := np.flatnonzero(~(in2 | in1))).size:
-            group, base, inside = (table[x[rows]] for table in of)
-            low = m.cum[rows, group].astype(np.int64)
-            m.narrow(m.range[rows] // m.cum[rows, -1], low, m.cum[rows, group + 1] - low, rows)
-            m.narrow(m.range[rows] >> inside, x[rows] - base, 1, rows)
-            m.learn_groups(rows, group)
-        m.learn(n, x)
-        for rows in m.settled(n):
-            out[rows, used[rows]] = m.low[rows] >> U64(48)
-            used[rows] += 1
+        if t == last:
+            m.keep(n_blocks - 1)
+        x = grid[t, : len(m.lane)].astype(np.int64)
+        y = x + 1
+        m.predict()
+        in2, in1 = m.guess2 == y, m.guess1 == y
+        miss = ~(in2 | in1)
+        m.narrow_guess(m.range >> U64(16), in2, in1)
+        group = np.where(miss, group_of.take(x), np.uint8(N_GROUPS)).astype(np.int64)
+        m.narrow_group(m.range // m.totals(miss), group, miss)
+        # The place in the group; a guess that hit takes what there is.
+        x -= base_of.take(group)
+        x *= miss
+        m.range >>= power_of.take(group)
+        m.low += m.range * x.view(U64)
+        m.learn(y)
+        for rows, low in m.settled():
+            at = end[rows]
+            out[at] = low >> U64(48)
+            at += 1
+            end[rows] = at
+        if t == last - 1:
+            final = m.low[-1]
+    lows = np.append(m.low, final) if len(m.lane) < n_blocks else m.low
     for shift in (48, 32, 16, 0):
-        out[np.arange(n_blocks), used] = (m.low >> U64(shift)) & U64(0xFFFF)
-        used += 1
-    payload = b"".join(out[i, :k].astype("<u2").tobytes() for i, k in enumerate(used.tolist()))
-    return payload, used * 2
+        out[end] = (lows >> U64(shift)) & U64(0xFFFF)
+        end += 1
+    payload = b"".join(out[a:b].astype("<u2").tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True))
+    return payload, (end - first) * 2
 
 
 def decode_blocks(payload: bytes, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -169,49 +235,52 @@ def decode_blocks(payload: bytes, sizes: np.ndarray, lengths: np.ndarray) -> np.
     block_ids, last = int(lengths[0]), int(lengths[-1])
     words = np.concatenate([np.frombuffer(payload, "<u2"), np.zeros(8, "<u2")])
     at = starts(sizes // 2)[:-1]
-    code = np.zeros(n_blocks, U64)
+    ahead = np.zeros(n_blocks, U64)  # the code less low
     for _ in range(4):
-        code = code << U64(16) | words[at]
+        ahead = ahead << U64(16) | words[at]
         at += 1
-    out = np.zeros((n_blocks, block_ids), np.uint32)
+    out = np.zeros((block_ids, n_blocks), np.uint32)
     base_of, power_of = _group_tables()
     m = _Lanes(n_blocks)
     for t in range(block_ids):
-        n = n_blocks if t < last else n_blocks - 1
-        m.predict(n)
-        part = m.range[:n] >> U64(16)
-        value = ((code[:n] - m.low[:n]) // part).astype(np.int64)
-        in2 = value < m.f2
-        in1 = ~in2 & (value < m.f12)
-        x = np.where(in2, m.guess2, m.guess1)
-        low = np.where(in2, 0, np.where(in1, m.f2, m.f12))
-        size = np.where(in2, m.f2, np.where(in1, m.f12 - m.f2, SCALE - m.f12))
-        m.narrow(part, low, size, slice(0, n))
-        if (rows := np.flatnonzero(~(in2 | in1))).size:
-            cum = m.cum[rows]
-            part = m.range[rows] // cum[:, -1]
-            value = np.minimum((code[rows] - m.low[rows]) // part, cum[:, -1] - U64(1)).astype(np.uint16)
-            group = np.add.reduce(cum <= value[:, None], axis=1, dtype=np.int64) - 1
-            low = cum[np.arange(len(rows)), group].astype(np.int64)
-            m.narrow(part, low, cum[np.arange(len(rows)), group + 1] - low, rows)
-            part = m.range[rows] >> power_of[group]
-            place = (code[rows] - m.low[rows]) // part
-            m.narrow(part, place, 1, rows)
-            x[rows] = base_of[group] + place.astype(np.int64)
-            m.learn_groups(rows, group)
-        m.learn(n, x)
-        out[:n, t] = x
-        for rows in m.settled(n):
-            code[rows] = code[rows] << U64(16) | words[at[rows]]
-            at[rows] += 1
-    return out.reshape(-1)[: (n_blocks - 1) * block_ids + last]
+        if t == last:
+            m.keep(n_blocks - 1)
+            ahead = ahead[: n_blocks - 1]
+        m.predict()
+        part = m.range >> U64(16)
+        value = (ahead // part).view(np.int64)
+        in2, in12 = value < m.f2, value < m.f12
+        y = np.where(in2, m.guess2, m.guess1)
+        miss = ~in12
+        ahead -= m.narrow_guess(part, in2, in12)
+        totals = m.totals(miss)
+        part = m.range // totals
+        value = np.minimum(ahead // part, totals - U64(1)).astype(np.uint16)
+        value[in12] = 0xFFFF
+        group = np.add.reduce((m.cum <= value).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64) - 1
+        ahead -= m.narrow_group(part, group, miss)
+        m.range >>= power_of.take(group)
+        place = ahead // m.range
+        place *= miss
+        moved = place * m.range
+        m.low += moved
+        ahead -= moved
+        y = np.where(miss, base_of.take(group) + place.view(np.int64) + 1, y)
+        m.learn(y)
+        out[t, : len(y)] = y - 1
+        for rows, _low in m.settled():
+            k = at[rows]
+            ahead[rows] = ahead[rows] << U64(16) | words[k]
+            k += 1
+            at[rows] = k
+    return out.T.reshape(-1)[: (n_blocks - 1) * block_ids + last]
 
 
 def _group_tables() -> tuple[np.ndarray, np.ndarray]:
-    """First id and power of 2 of the size of each group."""
+    """First id and power of 2 of the size of each group, and zeros for no group."""
     firsts = np.array([0, *(((2 + h) << (e - 1)) - 1 for e in range(1, N_GROUPS // 2) for h in (0, 1))])
     group, base, power = _group(firsts)
-    base_of, power_of = np.zeros(N_GROUPS, np.int64), np.zeros(N_GROUPS, U64)
+    base_of, power_of = np.zeros(N_GROUPS + 1, np.int64), np.zeros(N_GROUPS + 1, U64)
     base_of[group], power_of[group] = base, power
     return base_of, power_of
 

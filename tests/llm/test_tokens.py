@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from marketlens.llm import byte_bpe, packing, token_files
 from marketlens.llm.byte_bpe import ByteBPE, RankBitmap
-from marketlens.llm.common import library_chunks, starts
+from marketlens.llm.common import library_chunks, space_chunk_keys, space_chunks, starts
 
 from .helpers import empty_docs, odd_docs, odd_texts
 
@@ -136,6 +136,25 @@ def test_range_coder_adapts():
     assert len(payload) < len(ids) / 4  # two bits an id, where plain ids take 16
 
 
+def test_range_coder_gives_order_1_its_share_beside_a_sure_order_2():
+    # Both shares near their most: their product passes 2**31.
+    ids = np.tile(np.random.default_rng(1).integers(0, 1000, 266).astype(np.uint32), 9)
+    payload, sizes = token_files.encode_blocks(ids)
+    assert len(payload) < 950
+    assert token_files.decode_blocks(payload, sizes, np.array([2048, len(ids) - 2048])).tolist() == ids.tolist()
+
+
+def test_texts_are_cut_into_different_chunks_once():
+    texts = ["a b a b", "b\nb a", "", " ", "a", " a", "\nb", "a  b", "a\n", "a \x85", "a \u3000b", "é\u2028 b", "a<|e|>b a", "a\tb \x00", *(t or "" for t in odd_texts())]
+    for whole in ((), ("<|e|>",)):
+        keys, places, counts = space_chunk_keys(texts, whole)
+        want = [space_chunks(t, whole) for t in texts]
+        assert [keys[i] for i in places] == [c for own in want for c in own]
+        assert counts.tolist() == list(map(len, want))
+        inner = [k for k in keys if k[:1] != " "]
+        assert len(inner) == len(set(inner))
+
+
 def test_token_files_hold_all_documents_in_order(spark, tmp_path):
     docs = odd_docs(spark).repartition(3)
     token_files.write_files(docs, P.path("byte_bpe_50k.json"), str(tmp_path / "ids"))
