@@ -6,9 +6,9 @@ end together closes a group. Neither vocabulary has a token across the beginning
 cut there into pieces (an irregular one stays whole) and equal pieces are tokenised and aligned once; a document's groups are those of its pieces.
 
 How many documents hold a pair of ids linked is counted over the whole corpus in two passes. The first writes a row for each slice of
-documents: their own figures, their distinct links with multiplicities (packed), and the slice's distinct links with the number of
-documents. The second sums these by link, takes each A id's highest count (at most a row for each A id) and sends every slice the counts
-of its links.
+documents: their own figures, their distinct links with multiplicities (packed and compressed), and the slice's distinct links with the
+number of documents, packed by buckets of A ids. The second sums these by link within each bucket, takes each A id's highest count and sends
+every slice the counts of its links. The JVM moves a row for each slice and bucket, not one for each link, and few large rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -26,11 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import Numbering, byte_level_encoder, ragged_take, read_table, segment_sums, starts, text_slices
-from marketlens.session import scratch_path
+from marketlens.llm.common import Numbering, byte_level_encoder, give_back, ragged_take, read_table, segment_sums, starts, text_slices
+from marketlens.session import BASE_CONF, scratch_path
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000  # a slice's row stays below half a megabyte for most texts; larger ones lie badly in the JVM's heap
+PART_CHARS = 1_000_000  # of a slice aligned at once: bounds a worker's memory, while a slice's links, sent through the cluster, stay few
 MOST_PIECES, MOST_CHARS = 300_000, 12_000_000
+SLICES_TOGETHER = 4  # in a row group of what is written
+BUCKETS = 512  # of A ids: the links of one are counted together in a worker
 LARGE_GROUP = 1_024  # pairs of tokens; above, equal ids of a group are taken together before pairing
 
 _IRREGULAR = re.compile(r"[ \n](?:\s|\Z)|\A\s|▁")
@@ -246,10 +250,79 @@ _LONGS = pa.list_(pa.int64())
 SLICE_SCHEMA = pa.schema([
     ("slice", pa.int64()), ("doc_ids", _LONGS), ("has_id", pa.list_(pa.bool_())), ("n_a", _LONGS), ("n_b", _LONGS), ("n_groups", _LONGS),
     ("n_links", _LONGS), ("groups_sha256", pa.list_(pa.string())),
-    ("n_distinct", _LONGS), ("links", pa.binary()), ("times", pa.binary()),  # each document's links (int32 places in codes), and their multiplicities
-    ("codes", _LONGS), ("n_docs", _LONGS)])  # the slice's distinct links, and how many of its documents hold each
+    ("n_distinct", _LONGS), ("links", pa.binary()), ("times", pa.binary()),  # each document's links (steps of int32 places among those asked), and their multiplicities
+    # The slice's distinct links by buckets and in order, and how many of its documents hold each (int64 and int32).
+    ("asked", pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary()), ("n_docs", pa.binary())])))])
 SLICES = ("slice long, doc_ids array<long>, has_id array<boolean>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-          "groups_sha256 array<string>, n_distinct array<long>, links binary, times binary, codes array<long>, n_docs array<long>")
+          "groups_sha256 array<string>, n_distinct array<long>, links binary, times binary, asked array<struct<bucket: int, codes: binary, n_docs: binary>>")
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Compressed, as the JVM holds a slice's row at several places."""
+    return pa.compress(values.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: type, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
+
+
+def by_bucket(buckets: np.ndarray, codes: np.ndarray, n_docs: np.ndarray) -> list[dict]:
+    edges = np.append(np.flatnonzero(np.diff(buckets, prepend=-1)), len(buckets)).tolist()
+    return [{"bucket": int(buckets[i]), "codes": codes[i:j].tobytes(), "n_docs": n_docs[i:j].tobytes()} for i, j in zip(edges, edges[1:], strict=False)]
+
+
+def text_parts(texts: list[str], chars: int = PART_CHARS) -> Iterator[list[str]]:
+    """Runs of texts of at most ``chars`` characters (one text at least)."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > chars:
+            yield texts[begin:i]
+            begin, size = i, 0
+        size += len(text)
+    yield texts[begin:]
+
+
+def text_links(aligner: PieceAligner, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's numbers of tokens of A, of B, groups and links, and its groups_sha256 and number of distinct links; these links' codes and multiplicities."""
+    numbers, offsets = aligner(texts)
+    figures = segment_sums(aligner.figures[numbers], offsets).astype(np.int64)
+    whole = figures[:, 3] == np.diff(offsets)
+    kept = np.repeat(whole, np.diff(offsets))
+    piece_links = aligner.code_offsets[numbers + 1] - aligner.code_offsets[numbers]
+    of = np.repeat(np.repeat(np.arange(len(texts)), np.diff(offsets))[kept], piece_links[kept])
+    codes = ragged_take(aligner.codes, aligner.code_offsets, numbers[kept])
+    times = ragged_take(aligner.multiple, aligner.code_offsets, numbers[kept])
+    space = (len(aligner.sides[0].offsets) - 1) * aligner.base
+    if len(texts) * space >= 1 << 62:
+        raise ValueError("too many documents in a slice for these vocabularies")
+    distinct = of * space + codes
+    if (times == 1).all():
+        distinct, times = np.unique(distinct, return_counts=True)
+    else:
+        order = np.argsort(distinct, kind="stable")
+        distinct = distinct[order]
+        first = np.flatnonzero(np.concatenate([[True], distinct[1:] != distinct[:-1]]))
+        distinct, times = distinct[first], np.add.reduceat(times[order], first)
+    of, codes = distinct // space, distinct % space
+    digests = []
+    for i, ok in enumerate(whole.tolist()):
+        joined = b"".join(map(aligner.listed.__getitem__, numbers[offsets[i]:offsets[i + 1]].tolist())) if ok else b""
+        digests.append(hashlib.sha256(joined[:-1]).hexdigest() if joined else "")
+    n_distinct = np.bincount(of, minlength=len(texts))
+    n_links = segment_sums(times, starts(n_distinct)).astype(np.int64)
+    return np.column_stack([figures[:, :3] * whole[:, None], n_links]), digests, n_distinct, codes, times
+
+
+@contextmanager
+def texts_in_small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, Parquet columns are read in batches as small as those that go to Python: a batch of 4096 texts is a large array of the JVM's heap."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), int(BASE_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"])))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_alignments(docs: DataFrame, path: str, byte_level_file: str, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> int:
@@ -261,76 +334,72 @@ def write_alignments(docs: DataFrame, path: str, byte_level_file: str, model_fil
         aligner = PieceAligner(ByteLevelSide(byte_level_file), SentencePieceSide(model_file))
         number = TaskContext.get().partitionId() << 32
         for part, texts in text_slices(batches, chars=SLICE_CHARS):
-            numbers, offsets = aligner(texts)
-            figures = segment_sums(aligner.figures[numbers], offsets).astype(np.int64)
-            whole = figures[:, 3] == np.diff(offsets)
-            kept = np.repeat(whole, np.diff(offsets))
-            piece_links = aligner.code_offsets[numbers + 1] - aligner.code_offsets[numbers]
-            of = np.repeat(np.repeat(np.arange(len(texts)), np.diff(offsets))[kept], piece_links[kept])
-            codes = ragged_take(aligner.codes, aligner.code_offsets, numbers[kept])
-            times = ragged_take(aligner.multiple, aligner.code_offsets, numbers[kept])
+            figures, digests, n_distinct, codes, times = zip(*(text_links(aligner, own) for own in text_parts(texts)), strict=True)
+            codes, times, n_distinct = np.concatenate(codes), np.concatenate(times), np.concatenate(n_distinct)
             space = (len(aligner.sides[0].offsets) - 1) * aligner.base
-            if len(texts) * space >= 1 << 62:
-                raise ValueError("too many documents in a slice for these vocabularies")
-            distinct = of * space + codes
-            if (times == 1).all():
-                distinct, times = np.unique(distinct, return_counts=True)
-            else:
-                order = np.argsort(distinct, kind="stable")
-                distinct = distinct[order]
-                first = np.flatnonzero(np.concatenate([[True], distinct[1:] != distinct[:-1]]))
-                distinct, times = distinct[first], np.add.reduceat(times[order], first)
-            of, codes = distinct // space, distinct % space
-            own, index = np.unique(codes, return_inverse=True)
-            digests = []
-            for i, ok in enumerate(whole.tolist()):
-                joined = b"".join(map(aligner.listed.__getitem__, numbers[offsets[i]:offsets[i + 1]].tolist())) if ok else b""
-                digests.append(hashlib.sha256(joined[:-1]).hexdigest() if joined else "")
-            n_distinct = np.bincount(of, minlength=len(texts))
+            own, index = np.unique(codes // aligner.base % BUCKETS * space + codes, return_inverse=True)
+            order = np.argsort(np.repeat(np.arange(len(texts)), n_distinct) * len(own) + index)  # each document's links by place: small steps
             columns = [number, pc.fill_null(part.column(0), 0).to_pylist(), pc.is_valid(part.column(0)).to_pylist(),
-                       *(figures[:, :3] * whole[:, None]).T.tolist(), segment_sums(times, starts(n_distinct)).astype(np.int64).tolist(), digests,
-                       n_distinct.tolist(), index.astype(np.int32).tobytes(), times.astype(np.int64).tobytes(),
-                       own.tolist(), np.bincount(index, minlength=len(own)).tolist()]
+                       *np.concatenate(figures).T.tolist(), [d for own_digests in digests for d in own_digests],
+                       n_distinct.tolist(), packed(np.diff(index[order], prepend=0).astype(np.int32)), packed(times[order].astype(np.int64)),
+                       by_bucket(own // space, own % space, np.bincount(index, minlength=len(own)).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, SLICE_SCHEMA, strict=True)], schema=SLICE_SCHEMA)
             number += 1
-
-    (docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-     .mapInArrow(run, SLICES).write.option("compression", "zstd").mode("errorifexists").parquet(path))
+        # The worker stays beside the JVM after its last task.
+        del aligner
+        give_back()
+        pa.default_memory_pool().release_unused()
+
+    with texts_in_small_batches(docs.sparkSession):
+        # The reader holds up to a whole row group at once.
+        (docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text").mapInArrow(run, SLICES)
+         .write.options(**{"compression": "zstd", "parquet.block.row.count.limit": SLICES_TOGETHER}).mode("errorifexists").parquet(path))
     import sentencepiece
 
     return sentencepiece.SentencePieceProcessor(model_file=model_file).get_piece_size()
 
 
+def counted_links(codes: np.ndarray, n_docs: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry how many documents hold its link over all entries, and whether no link of its A id is held by more; all entries of an A id are given."""
+    own, index = np.unique(codes, return_inverse=True)
+    totals = np.zeros(len(own), np.int64)
+    np.add.at(totals, index, n_docs)
+    firsts = np.flatnonzero(np.diff(own // base, prepend=-1))
+    most = np.maximum.reduceat(totals, firsts) if len(own) else totals
+    best = totals == np.repeat(most, np.diff(np.append(firsts, len(own))))
+    return totals[index], best[index]
+
+
 def link_counts(spark: SparkSession, path: str, base: int) -> DataFrame:
-    """``code``, ``a``, ``b`` and ``n_docs`` (documents that hold the ids linked) over all slices."""
-    rows = spark.read.schema(SLICES).parquet(path).select(F.explode(F.arrays_zip("codes", "n_docs")).alias("x")).select("x.codes", "x.n_docs")
-    return (rows.groupBy(F.col("codes").alias("code")).agg(F.sum("n_docs").alias("n_docs"))
-            .select("code", F.expr(f"code div {base}").alias("a"), (F.col("code") % base).alias("b"), "n_docs"))
+    """``slice``, ``bucket`` and ``answers``: for each link asked, in its order, 2 * n_docs (documents of all slices that hold it), 1 more for a best one."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        give_back()
+        codes = np.frombuffer(b"".join(rows["codes"]), np.int64)
+        n_docs, best = counted_links(codes, np.frombuffer(b"".join(rows["n_docs"]), np.int32), base)
+        answers, edges = n_docs * 2 + best, starts(rows["codes"].map(len).to_numpy(np.int64) // 8).tolist()
+        return rows[["slice", "bucket"]].assign(answers=[answers[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)])
+
+    asked = spark.read.schema(SLICES).parquet(path).select("slice", F.inline("asked"))
+    return asked.groupBy("bucket").applyInPandas(run, "slice long, bucket int, answers binary")
 
 
 def document_links(spark: SparkSession, path: str, base: int) -> DataFrame:
     """Figures of each document: n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256, by what ``write_alignments`` has written."""
-    counts = link_counts(spark, path, base)
-    # At most a row for each id of A.
-    best = F.broadcast(counts.groupBy("a").agg(F.max("n_docs").alias("most")))
-    judged = counts.join(best, "a").select("code", "n_docs", (F.col("n_docs") == F.col("most")).alias("best"))
-    asked = spark.read.schema(SLICES).parquet(path).select("slice", F.posexplode("codes").alias("place", "code"))
-    answers = asked.join(judged, "code").select("slice", "place", "n_docs", "best")
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def run(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row = rows.iloc[0]
-        n, best = np.zeros(len(told), np.int64), np.zeros(len(told), np.int64)
-        n[told["place"]], best[told["place"]] = told["n_docs"], told["best"]
-        link, times = np.frombuffer(row["links"], np.int32), np.frombuffer(row["times"], np.int64)
+        answers = np.frombuffer(b"".join(told.sort_values("bucket")["answers"]), np.int64)
+        n, best = answers >> 1, answers & 1
         own = starts(np.asarray(row["n_distinct"], np.int64))
+        link, times = np.cumsum(unpacked(row["links"], np.int32, own[-1])), unpacked(row["times"], np.int64, own[-1])
         sums = [np.add.reduceat(np.append(v, 0), own[:-1]) * (np.diff(own) > 0) for v in (times * best[link], times * n[link])]
         ids = pd.Series(row["doc_ids"], dtype="Int64").where(pd.Series(row["has_id"], dtype=bool))
         values = [ids, row["n_a"], row["n_b"], row["n_groups"], row["n_links"], *sums, row["groups_sha256"]]
         return pd.DataFrame(dict(zip(columns, values, strict=True)))
 
-    slices = spark.read.schema(SLICES).parquet(path).drop("codes", "n_docs")
-    return (slices.groupBy("slice").cogroup(answers.groupBy("slice"))
+    slices = spark.read.schema(SLICES).parquet(path).drop("asked")
+    return (slices.groupBy("slice").cogroup(link_counts(spark, path, base).groupBy("slice"))
             .applyInPandas(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"))
 
 

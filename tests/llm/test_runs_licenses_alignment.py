@@ -6,12 +6,15 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
+from unittest.mock import MagicMock
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketlens.llm import license_scan, run_detection, token_alignment
@@ -309,3 +312,50 @@ def test_large_groups_are_paired_by_distinct_ids():
     codes, times, counts = found.links(10)
     assert len(codes) == counts.sum() == 6
     assert dict(zip(codes.tolist(), times.tolist(), strict=True)) == Counter(int(x) * 10 + int(y) for x in a.ids for y in b.ids)
+
+
+def worker_run(monkeypatch):
+    """The function of ``write_alignments`` that runs in the workers."""
+    docs, context = MagicMock(), MagicMock()
+    context.get.return_value.partitionId.return_value = 0
+    monkeypatch.setattr(token_alignment, "TaskContext", context)
+    token_alignment.write_alignments(docs, "unused", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return docs.selectExpr.return_value.mapInArrow.call_args.args[0]
+
+
+def test_a_worker_stays_small_and_its_rows_too(monkeypatch):
+    run, rng = worker_run(monkeypatch), random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(150)) for _ in range(3_500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    list(run([batch.slice(0, 10)]))
+    tracemalloc.start()
+    links = size = 0
+    for row in run([batch]):
+        links += sum(row.column("n_distinct")[0].as_py())
+        size += sum(len(row.column(c)[0].as_py()) for c in ("links", "times"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000_000 and size < 4 * links
+
+
+def test_parts_hold_every_text():
+    texts = ["one two three", "", "x" * 30, "two three", "", "", "three four five six", "y"]
+    assert [list(p) for p in token_alignment.text_parts(texts, 20)] == [texts[:2], [texts[2]], texts[3:6], texts[6:]]
+    assert list(token_alignment.text_parts([""])) == [[""]]
+
+
+def test_links_are_counted_by_buckets():
+    base, rng = 10, random.Random(4)
+    entries = [(rng.randrange(30) * base + rng.randrange(base), rng.randint(1, 5)) for _ in range(400)]
+    total, most = Counter(), Counter()
+    for code, n in entries:
+        total[code] += n
+    for code, n in total.items():
+        most[code // base] = max(most[code // base], n)
+    codes, n_docs = (np.array(x) for x in zip(*entries, strict=True))
+    got, best = token_alignment.counted_links(codes, n_docs, base)
+    assert got.tolist() == [total[c] for c in codes.tolist()] and best.tolist() == [total[c] == most[c // base] for c in codes.tolist()]
+    assert [len(x) for x in token_alignment.counted_links(codes[:0], n_docs[:0], base)] == [0, 0]
+    parts = token_alignment.by_bucket(np.array([0, 0, 2]), np.array([5, 9, 7]), np.array([1, 2, 3], np.int32))
+    assert [(p["bucket"], np.frombuffer(p["codes"], np.int64).tolist(), np.frombuffer(p["n_docs"], np.int32).tolist()) for p in parts] == [
+        (0, [5, 9], [1, 2]), (2, [7], [3])]
