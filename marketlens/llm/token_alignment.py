@@ -35,6 +35,7 @@ PART_CHARS = 1_000_000  # of a slice aligned at once: bounds a worker's memory,
 MOST_PIECES, MOST_CHARS = 300_000, 12_000_000
 SLICES_TOGETHER = 4  # in a row group of what is written
 BUCKETS = 512  # of A ids: the links of one are counted together in a worker
+LARGE_BUCKET = 50_000  # links asked; above, a worker gives memory back before it counts them
 LARGE_GROUP = 1_024  # pairs of tokens; above, equal ids of a group are taken together before pairing
 
 _IRREGULAR = re.compile(r"[ \n](?:\s|\Z)|\A\s|▁")
@@ -373,8 +374,9 @@ def counted_links(codes: np.ndarray, n_docs: np.ndarray, base: int) -> tuple[np.
 def link_counts(spark: SparkSession, path: str, base: int) -> DataFrame:
     """``slice``, ``bucket`` and ``answers``: for each link asked, in its order, 2 * n_docs (documents of all slices that hold it), 1 more for a best one."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        give_back()
         codes = np.frombuffer(b"".join(rows["codes"]), np.int64)
+        if len(codes) > LARGE_BUCKET:
+            give_back()
         n_docs, best = counted_links(codes, np.frombuffer(b"".join(rows["n_docs"]), np.int32), base)
         answers, edges = n_docs * 2 + best, starts(rows["codes"].map(len).to_numpy(np.int64) // 8).tolist()
         return rows[["slice", "bucket"]].assign(answers=[answers[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)])
